@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Unit separator: glues regex groups together and does not occur in sane log lines.
@@ -50,21 +50,33 @@ def last_wins(entries: Column) -> Column:
     return first_wins(F.reverse(entries))
 
 
-def matched_groups(text: Column, pattern: str) -> Column:
-    """All groups of ``pattern`` at the start of ``text`` as an array, NULL when it does not match.
+def settle(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Add columns that are computed once per row, whatever uses them afterwards.
+
+    A plain projection may be merged into its consumers, which then repeat costly expressions (regexes
+    above all). A generator over a one-element array is left alone by the optimizer.
+    """
+    for name, value in columns.items():
+        df = df.select("*", F.explode(F.array(value)).alias(name))
+    return df
+
+
+def settle_groups(df: DataFrame, name: str, text: str, pattern: str) -> DataFrame:
+    """Add the groups of ``pattern`` at the start of ``text`` as an array, NULL when it does not match.
 
     One regex run yields every group: the match is rewritten to the groups glued by a separator and
     split again. A text that already holds the separator takes the slower group-by-group way.
     """
+    value = F.col(text)
     count = re.compile(pattern).groups
-    whole = "^(?:" + java_regex(pattern)[5:] + ")"
+    flags, body = java_regex("")[:5], java_regex(pattern)[5:]
+    whole = f"{flags}^(?:{body})"
     glue = "".join(f"{UNIT}${i}" for i in range(1, count + 1))
-    quick = F.split(F.regexp_replace(text, "(?Ud)" + whole + "(?s:.*)$", glue), UNIT)
-    slow = F.array(
-        F.lit(""), *[F.regexp_extract(text, "(?Ud)" + whole, i) for i in range(1, count + 1)]
-    )
-    clean = ~text.contains(UNIT)
-    return (
-        F.when(clean & (F.size(quick) > 1), F.slice(quick, 2, count))
-        .when(~clean & text.rlike("(?Ud)" + whole), F.slice(slow, 2, count))
+    glued = F.when(~value.contains(UNIT), F.regexp_replace(value, f"{whole}(?s:.*)$", glue))
+    slow = F.array(F.lit(""), *[F.regexp_extract(value, whole, i) for i in range(1, count + 1)])
+    parts = (
+        F.when(F.col("_glued").startswith(UNIT), F.split("_glued", UNIT))
+        .when(F.col("_glued").isNull() & value.rlike(whole), slow)
     )
+    df = settle(df, {"_glued": glued})
+    return settle(df, {name: F.slice(parts, 2, count)}).drop("_glued")

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from mapmeter.functions import ogc
 from mapmeter.functions.agents import user_agent_fields
+from mapmeter.functions.base import settle
+from mapmeter.functions.urls import settle_query_map, url_parts, url_path, url_query
 from mapmeter.schemas import DETAIL_TYPES, USER_AGENT_FIELDS
 from mapmeter.settings import Settings
 
@@ -147,7 +149,7 @@ def route(
     relevant = _choose(
         F.col("_routed"), [(names, rule(request)) for rule, names in by_rule.items()], F.lit(False)
     )
-    return df.withColumn("_kind", F.when(relevant, F.col("_routed"))).drop("_routed")
+    return settle(df, {"_kind": F.when(relevant, F.col("_routed"))}).drop("_routed")
 
 
 def _request() -> Request:
@@ -180,7 +182,8 @@ def with_details(
         df = df.withColumn("_kind", F.coalesce(kind, F.lit(RAW)))
 
     is_ogc = kind.isin(*ogc_names) if ogc_names else F.lit(False)
-    df = df.withColumns(
+    df = settle(
+        df,
         {
             "_stripped": ogc.strip_app_path(request.path, request.app_path),
             "_api": F.when(is_ogc, ogc.ogc_api_features(request.path)),
@@ -188,12 +191,11 @@ def with_details(
             "_dataapi": F.when(
                 kind == "dataapi", ogc.dataapi_request(settings, request.path, params)
             ),
-        }
+        },
     )
     infers_tiled = [n for n in ogc_names if settings.app_options(n).infer_is_tiled]
     infers_download = [n for n in ogc_names if settings.app_options(n).infer_is_download]
-    df = df.withColumn(
-        "_ogc",
+    made_ogc = (
         F.when(
             is_ogc,
             F.struct(
@@ -206,20 +208,26 @@ def with_details(
                     F.col("_size"), params["tiled"], kind.isin(*infers_tiled) if infers_tiled else F.lit(False)
                 ).alias("tiled"),
             ),
-        ),
+        )
     )
     download = ogc.infer_download(
         settings, kind, request.path, F.col("_ogc.service"), F.col("_ogc.request"), params
     )
-    df = df.withColumns(
+    df = settle(
+        df,
         {
+            "_ogc": made_ogc,
+            "_workspace": F.when(
+                (kind == "geoserver") & (F.length("_ogc.layers") > 0),
+                ogc.workspace_from_path(F.col("_stripped")),
+            ),
             "_download": F.when(kind.isin(*infers_download), download) if infers_download else F.when(F.lit(False), download),
             "_layers": F.when(
                 kind == "geoserver",
-                ogc.normalise_layers(ogc.workspace_from_path(F.col("_stripped")), F.col("_ogc.layers")),
+                ogc.normalise_layers(F.col("_workspace"), F.col("_ogc.layers")),
             ),
             "_agent_fields": F.when(F.length("_agent") > 0, user_agent_fields(F.col("_agent"))),
-        }
+        },
     )
 
     raw, made, empty = _raw_fields(params), _ogc_fields(params), _empty_fields()
@@ -246,7 +254,7 @@ def with_details(
         columns.append(_choose(kind, branches, default).alias(name))
     df = df.withColumn("request_details", F.struct(*columns))
     return df.drop(
-        "_kind", "_stripped", "_api", "_size", "_dataapi", "_ogc", "_download", "_layers",
+        "_kind", "_stripped", "_api", "_size", "_dataapi", "_ogc", "_download", "_layers", "_workspace",
         "_agent_fields", "_params", "_agent", "_referrer",
     )
 
@@ -260,19 +268,17 @@ def details_from_url(
     app_path: str | None = None,
 ) -> DataFrame:
     """``request_details`` of full URLs of one application, relevant or not."""
-    from mapmeter.functions.urls import query_map, split_url
-
     always = tuple(
         Processor(p.name, lambda r: F.lit(True), p.details, p.base) for p in registry if p.name == app_name
     )
-    df = df.withColumn("_url", split_url(F.col(url))).withColumns(
+    df = settle(df, {"_url": url_parts(F.col(url))})
+    df = settle_query_map(df, "_params", url_query(F.col("_url"))).withColumns(
         {
             "app_id": F.lit(app_name),
             "app_name": F.lit(app_name),
             "app_path": F.lit(app_path or app_name),
-            "request_path": F.col("_url.path"),
-            "request_query_string": F.col("_url.query"),
-            "_params": query_map(F.col("_url.query")),
+            "request_path": url_path(F.col("_url")),
+            "request_query_string": url_query(F.col("_url")),
             "_agent": F.lit(None).cast("string"),
             "_referrer": F.lit(None).cast("string"),
         }

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mapmeter.functions import urls, values
-from mapmeter.functions.base import last_wins
+from mapmeter.functions.base import last_wins, settle
 from mapmeter.operators.apps import BUILT_IN, Processor, with_details
 from mapmeter.operators.lookups import app_name
 from mapmeter.operators.records import as_access_records, prefer
@@ -39,9 +39,9 @@ def params_from_attributes(attributes: Column) -> Column:
     )
 
 
-def with_params_fallback(params: Column, query: Column) -> Column:
-    """The parsed query string where no parameter came as attribute."""
-    return F.when(F.size(params) > 0, params).otherwise(urls.query_map(query))
+def with_params_fallback(params: Column, parsed: Column) -> Column:
+    """The parameters of the query string where none came as attribute."""
+    return F.when(F.size(params) > 0, params).otherwise(parsed)
 
 
 def otel_generics(df: DataFrame) -> DataFrame:
@@ -71,19 +71,21 @@ def otel_mdc(df: DataFrame, settings: Settings) -> DataFrame:
         value = F.col("attributes")[key]
         return value if default is None else F.coalesce(value, F.lit(default))
 
-    df = df.withColumn("_url", urls.split_url(attribute("http.request.url")))
+    df = settle(df, {"_url": urls.url_parts(attribute("http.request.url"))})
+    query = urls.url_query(F.col("_url"))
+    sent = params_from_attributes(F.col("attributes"))
     df = df.withColumns(
         {
-            "request_path": prefer(F.lower(attribute("http.request.path")), F.col("_url.path")),
-            "server_address": prefer(F.lower(attribute("server.address")), F.col("_url.host")),
+            "request_path": prefer(F.lower(attribute("http.request.path")), urls.url_path(F.col("_url"))),
+            "server_address": prefer(F.lower(attribute("server.address")), urls.url_host(F.col("_url"))),
             "request_query_string": F.coalesce(
-                prefer(F.lower(attribute("http.request.query-string")), F.col("_url.query")), F.lit("")
-            ),
-            "_from_attributes": F.coalesce(
-                params_from_attributes(F.col("attributes")), F.create_map().cast("map<string,string>")
+                prefer(F.lower(attribute("http.request.query-string")), query), F.lit("")
             ),
         }
     )
+    df = settle(df, {"_sent": sent})
+    df = urls.settle_query_map(df, "_parsed", F.when(F.coalesce(F.size("_sent"), F.lit(0)) <= 0, query))
+    df = df.withColumn("_params", with_params_fallback(F.col("_sent"), F.col("_parsed"))).drop("_parsed")
     root = F.coalesce(attribute("app_path_is_root", None) != "", F.lit(False))
     df = df.withColumn("app_path", values.app_path(F.col("request_path"), root))
     df = df.withColumn(
@@ -99,7 +101,6 @@ def otel_mdc(df: DataFrame, settings: Settings) -> DataFrame:
             "roles": values.split_roles(attribute("enduser.roles")),
             "auth_method": attribute("enduser.auth-method"),
             "request_method": F.upper(attribute("http.request.method")),
-            "_params": with_params_fallback(F.col("_from_attributes"), F.col("_url.query")),
             "response_time": values.int_or_none(attribute("http.response.duration_ms")),
             "response_size": values.int_or_none(attribute("http.response.body.size_bytes")),
             "status_code": values.int_or_none(attribute("http.status_code")),
@@ -107,7 +108,7 @@ def otel_mdc(df: DataFrame, settings: Settings) -> DataFrame:
             "_agent": attribute("http.request.header.User-Agent"),
             "_referrer": attribute("http.request.header.Referer"),
         }
-    ).drop("_url", "_from_attributes")
+    ).drop("_url", "_sent")
 
 
 def merge_message(df: DataFrame, settings: Settings) -> DataFrame:

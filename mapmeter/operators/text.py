@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mapmeter.functions import urls, values
-from mapmeter.functions.base import matched_groups
+from mapmeter.functions.base import settle, settle_groups
 from mapmeter.operators.apps import BUILT_IN, Processor, with_details
 from mapmeter.operators.lookups import app_name
 from mapmeter.operators.records import as_access_records
@@ -27,7 +27,7 @@ def parse_line(df: DataFrame, pattern: str, line: str = "value") -> DataFrame:
     ``-`` in a group means that nothing was logged and becomes NULL.
     """
     names = re.compile(pattern).groupindex
-    df = df.withColumn("_groups", matched_groups(F.col(line), pattern))
+    df = settle_groups(df, "_groups", line, pattern)
     groups = {
         name: values.dash_to_null(F.get(F.col("_groups"), F.lit(index - 1)))
         for name, index in names.items()
@@ -64,7 +64,14 @@ def parse_text_logs(
     Requests without processor are kept with raw parameters unless ``unsupported`` is ``drop``.
     """
     df = drop_unparsed(with_constants(parse_line(df, settings.text_pattern), settings.extra_info))
-    df = df.withColumns({"_user": values.split_user(_or_null(df, "user")), "_url": urls.split_url(F.col("path"))})
+    df = settle(
+        df,
+        {
+            "_ts": values.clf_timestamp(F.col("timestamp")),
+            "_url": urls.url_parts(F.col("path")),
+        },
+    )
+    df = urls.settle_query_map(df, "_params", urls.url_query(F.col("_url")))
     path = F.nullif(F.lower(_or_null(df, "app_path")), F.lit(""))
     identity = (
         F.col("app_id")
@@ -72,22 +79,23 @@ def parse_text_logs(
         else values.app_id(_or_null(df, "server_address"), path, settings.multi_domain)
     )
     df = df.withColumns({"app_path": path, "app_id": identity})
+    user = values.split_user(_or_null(df, "user"))
     records = df.select(
         values.request_id(F.col("value")).alias("id"),
-        values.clf_timestamp(F.col("timestamp")).alias("ts"),
+        F.col("_ts").alias("ts"),
         F.col("value").alias("message"),
         "app_id",
         "app_path",
         app_name(F.col("app_id"), settings.apps_mapping, settings.multi_domain).alias("app_name"),
-        F.col("_user.name").alias("user_id"),
-        F.col("_user.name").alias("user_name"),
-        F.col("_user.org").alias("org_id"),
-        F.col("_user.org").alias("org_name"),
-        F.col("_user.roles").alias("roles"),
+        user["name"].alias("user_id"),
+        user["name"].alias("user_name"),
+        user["org"].alias("org_id"),
+        user["org"].alias("org_name"),
+        user["roles"].alias("roles"),
         F.col("method").alias("request_method"),
-        F.col("_url.path").alias("request_path"),
-        F.col("_url.query").alias("request_query_string"),
-        urls.query_map(F.col("_url.query")).alias("_params"),
+        urls.url_path(F.col("_url")).alias("request_path"),
+        urls.url_query(F.col("_url")).alias("request_query_string"),
+        "_params",
         _or_null(df, "user_agent").alias("_agent"),
         _or_null(df, "referrer").alias("_referrer"),
         values.response_time_ms(_or_null(df, "response_time"), settings.response_time_unit).alias(
