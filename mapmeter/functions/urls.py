@@ -15,7 +15,7 @@ _UNSAFE = r"[\t\r\n\x1f]"
 # One pass over a query string: a parameter with a value becomes RECORD key UNIT value, a flag or a blank
 # value RECORD UNIT.
 _RECORD = "\x1e"
-_PARAMETER = r"(?:^|&)(?:[^&=]*=?(?=&|$)|([^&=]*)=([^&]+))"
+_PARAMETER = r"&(?:[^&=]*=?(?=&|$)|([^&=]*)=([^&]+))"
 
 
 def url_parts(url: Column) -> Column:
@@ -71,7 +71,7 @@ def _glued(low: Column) -> Column:
     risky = F.lit(False)
     for mark in (_RECORD, UNIT, "%1e", "%1f"):
         risky = risky | low.contains(mark)
-    return F.when(~risky, F.regexp_replace(low, _PARAMETER, f"{_RECORD}$1{UNIT}$2"))
+    return F.when(~risky, F.regexp_replace(F.concat(F.lit("&"), low), _PARAMETER, f"{_RECORD}$1{UNIT}$2"))
 
 
 def _pairs(glued: Column) -> Column:

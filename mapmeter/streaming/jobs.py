@@ -30,9 +30,13 @@ def bounded_late(df: DataFrame, time: str = "ts", lateness: str = LOOKBACK["hour
 
 
 def dedupe_stream(df: DataFrame, lateness: str = LOOKBACK["hour"]) -> DataFrame:
-    """Drop repeated ``(ts, id)`` with state bounded by the watermark. Rows without id all count as one
-    key here, so they belong in a stream of their own."""
-    return bounded_late(df, "ts", lateness).dropDuplicatesWithinWatermark(["ts", "id"])
+    """Drop repeated ``(ts, id)`` with state bounded by the watermark; rows without id are all kept."""
+    return (
+        bounded_late(df, "ts", lateness)
+        .withColumn("_key", F.coalesce("id", F.concat(F.lit("~"), F.uuid())))
+        .dropDuplicatesWithinWatermark(["ts", "_key"])
+        .drop("_key")
+    )
 
 
 def ingest_stream(
