@@ -5,7 +5,7 @@ from __future__ import annotations
 
 def load():
     """All queries and all oracle texts, by name."""
-    from checks import columns, intake  # noqa: F401
+    from checks import columns, intake, usage  # noqa: F401
     from checks.registry import ORACLES, QUERIES
 
     return dict(QUERIES), dict(ORACLES)
