@@ -58,7 +58,7 @@ def query_map(spark, sf):
     df = lines(spark, sf).select(
         "event_id", F.concat("query", F.lit("&layers=dup%2Bx&flag&blank=&x=a+b")).alias("q")
     )
-    out = urls.settle_query_map(df, "m", F.col("q"))
+    out = urls.settle_query_map(df, "m", F.lower("q"))
     return out.select("event_id", F.explode("m").alias("key", "val"))
 
 
@@ -176,7 +176,7 @@ def strip_app_path(spark, sf):
 
 def _params(spark, sf):
     df = lines(spark, sf)
-    return urls.settle_query_map(df, "params", F.col("query"))
+    return urls.settle_query_map(df, "params", F.lower("query"))
 
 
 @check(
@@ -304,7 +304,7 @@ def mapserver_endpoint(spark, sf):
 
 def _details(spark, sf, *apps_wanted):
     df = lines(spark, sf).select("event_id", "k", "app_name", "app_path", "app_id", "request_path", "query")
-    df = urls.settle_query_map(df, "_params", F.col("query")).withColumns(
+    df = urls.settle_query_map(df, "_params", F.lower("query")).withColumns(
         {
             "request_query_string": F.lower("query"),
             "_agent": F.lit(None).cast("string"),

@@ -8,10 +8,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from mapmeter.functions.base import let
+
 
 @dataclass(frozen=True)
 class AgentRule:
-    """``family`` when the agent contains ``token``; ``version`` is a regex with major and minor groups."""
+    """``family`` when the agent contains ``token``; its version follows ``version``."""
 
     family: str
     token: str
@@ -20,29 +22,29 @@ class AgentRule:
 
 # --- fixed values: families by token, first match wins ------------------------------------------
 AGENT_RULES: tuple[AgentRule, ...] = (
-    AgentRule("Googlebot", "Googlebot/", r"Googlebot/(\d+)(?:\.(\d+))?"),
-    AgentRule("bingbot", "bingbot/", r"bingbot/(\d+)(?:\.(\d+))?"),
-    AgentRule("QGIS", "QGIS/", r"QGIS/(\d+)(?:\.(\d+))?"),
-    AgentRule("Edge", "Edg/", r"Edg/(\d+)(?:\.(\d+))?"),
-    AgentRule("Opera", "OPR/", r"OPR/(\d+)(?:\.(\d+))?"),
-    AgentRule("Firefox", "Firefox/", r"Firefox/(\d+)(?:\.(\d+))?"),
-    AgentRule("Chrome", "Chrome/", r"Chrome/(\d+)(?:\.(\d+))?"),
-    AgentRule("Safari", "Safari/", r"Version/(\d+)(?:\.(\d+))?"),
-    AgentRule("IE", "MSIE ", r"MSIE (\d+)(?:\.(\d+))?"),
-    AgentRule("curl", "curl/", r"curl/(\d+)(?:\.(\d+))?"),
-    AgentRule("Wget", "Wget/", r"Wget/(\d+)(?:\.(\d+))?"),
-    AgentRule("Python Requests", "python-requests/", r"python-requests/(\d+)(?:\.(\d+))?"),
-    AgentRule("Java", "Java/", r"Java/(\d+)(?:\.(\d+))?"),
+    AgentRule("Googlebot", "Googlebot/", "Googlebot/"),
+    AgentRule("bingbot", "bingbot/", "bingbot/"),
+    AgentRule("QGIS", "QGIS/", "QGIS/"),
+    AgentRule("Edge", "Edg/", "Edg/"),
+    AgentRule("Opera", "OPR/", "OPR/"),
+    AgentRule("Firefox", "Firefox/", "Firefox/"),
+    AgentRule("Chrome", "Chrome/", "Chrome/"),
+    AgentRule("Safari", "Safari/", "Version/"),
+    AgentRule("IE", "MSIE ", "MSIE "),
+    AgentRule("curl", "curl/", "curl/"),
+    AgentRule("Wget", "Wget/", "Wget/"),
+    AgentRule("Python Requests", "python-requests/", "python-requests/"),
+    AgentRule("Java", "Java/", "Java/"),
 )
 OS_RULES: tuple[AgentRule, ...] = (
-    AgentRule("Windows", "Windows NT", r"Windows NT (\d+)"),
-    AgentRule("Android", "Android", r"Android (\d+)"),
-    AgentRule("iOS", "like Mac OS X", r"OS (\d+)"),
-    AgentRule("Mac OS X", "Mac OS X", r"Mac OS X (\d+)"),
+    AgentRule("Windows", "Windows NT", "Windows NT "),
+    AgentRule("Android", "Android", "Android "),
+    AgentRule("iOS", "like Mac OS X", "OS "),
+    AgentRule("Mac OS X", "Mac OS X", "Mac OS X "),
     AgentRule("Linux", "Linux"),
 )
+# token, family, brand, model
 DEVICE_RULES: tuple[tuple[str, str, str, str], ...] = (
-    # token, family, brand, model
     ("Googlebot", "Spider", "Spider", "Desktop"),
     ("bingbot", "Spider", "Spider", "Desktop"),
     ("iPhone", "iPhone", "Apple", "iPhone"),
@@ -52,19 +54,17 @@ DEVICE_RULES: tuple[tuple[str, str, str, str], ...] = (
 # --- end of fixed values --------------------------------------------------------------------------
 
 
-def _first(agent: Column, choices: Sequence[tuple[str, Column]]) -> Column:
-    chain = F.lit(None).cast("string")
-    for token, value in reversed(choices):
-        chain = F.when(agent.contains(token), value).otherwise(chain)
-    return chain
+def _first(agent: Column, rules: Sequence[tuple[str, ...]], names: Sequence[str]) -> Column:
+    """The first rule whose token the agent contains, from a constant array of rules."""
+    table = F.array(
+        *[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, rule)]) for rule in rules]
+    )
+    return F.get(F.filter(table, lambda r: agent.contains(r["token"])), F.lit(0))
 
 
-def _version(agent: Column, rule: AgentRule) -> Column:
-    if not rule.version:
-        return F.lit(None).cast("string")
-    groups = 2 if "?:" in rule.version else 1
-    parts = [F.nullif(F.regexp_extract(agent, rule.version, i + 1), F.lit("")) for i in range(groups)]
-    return F.nullif(F.concat_ws(".", *parts), F.lit(""))
+def _version(agent: Column, token: Column, digits: str) -> Column:
+    rest = F.substr(agent, F.instr(agent, token) + F.length(token))
+    return F.when((F.length(token) > 0) & agent.contains(token), F.get(F.regexp_extract_all(rest, F.lit(f"^({digits})")), F.lit(0)))
 
 
 def user_agent_fields(
@@ -73,14 +73,23 @@ def user_agent_fields(
     systems: Sequence[AgentRule] = OS_RULES,
 ) -> Column:
     """The eight user-agent details; an unknown agent keeps only its text."""
-    text = F.nullif(agent, F.lit(""))
-    return F.struct(
-        text.alias("user_agent_string"),
-        _first(text, [(r.token, F.lit(r.family)) for r in agents]).alias("user_agent_family"),
-        _first(text, [(r.token, _version(text, r)) for r in agents]).alias("user_agent_version"),
-        _first(text, [(r.token, F.lit(r.family)) for r in systems]).alias("os_family"),
-        _first(text, [(r.token, _version(text, r)) for r in systems]).alias("os_version"),
-        _first(text, [(d[0], F.lit(d[1])) for d in DEVICE_RULES]).alias("device_family"),
-        _first(text, [(d[0], F.lit(d[2])) for d in DEVICE_RULES]).alias("device_brand"),
-        _first(text, [(d[0], F.lit(d[3])) for d in DEVICE_RULES]).alias("device_model"),
+    named = ("family", "token", "version")
+    found = F.struct(
+        agent.alias("text"),
+        _first(agent, [(r.family, r.token, r.version) for r in agents], named).alias("agent"),
+        _first(agent, [(r.family, r.token, r.version) for r in systems], named).alias("system"),
+        _first(agent, DEVICE_RULES, ("token", "family", "brand", "model")).alias("device"),
+    )
+    return let(
+        found,
+        lambda f: F.struct(
+            F.nullif(f["text"], F.lit("")).alias("user_agent_string"),
+            f["agent"]["family"].alias("user_agent_family"),
+            _version(f["text"], f["agent"]["version"], r"\d+(?:\.\d+)?").alias("user_agent_version"),
+            f["system"]["family"].alias("os_family"),
+            _version(f["text"], f["system"]["version"], r"\d+").alias("os_version"),
+            f["device"]["family"].alias("device_family"),
+            f["device"]["brand"].alias("device_brand"),
+            f["device"]["model"].alias("device_model"),
+        ),
     )

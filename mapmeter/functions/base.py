@@ -54,29 +54,33 @@ def settle(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     """Add columns that are computed once per row, whatever uses them afterwards.
 
     A plain projection may be merged into its consumers, which then repeat costly expressions (regexes
-    above all). A generator over a one-element array is left alone by the optimizer.
+    above all), and a filter may be pushed below it together with them. A generator over a one-element
+    array is left alone by the optimizer. Not for higher-order functions: these would keep the generator
+    out of code generation.
     """
-    for name, value in columns.items():
-        df = df.select("*", F.explode(F.array(value)).alias(name))
-    return df
+    if len(columns) == 1:
+        ((name, value),) = columns.items()
+        return df.select("*", F.explode(F.array(value)).alias(name))
+    row = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select("*", F.inline(F.array(row)))
 
 
 def settle_groups(df: DataFrame, name: str, text: str, pattern: str) -> DataFrame:
     """Add the groups of ``pattern`` at the start of ``text`` as an array, NULL when it does not match.
 
-    One regex run yields every group: the match is rewritten to the groups glued by a separator and
-    split again. A text that already holds the separator takes the slower group-by-group way.
+    One regex run yields every group: the match is rewritten to the groups, each after a separator, and
+    split again. In a text that already holds the separator, a longer one made of the text's own digest
+    takes its place.
     """
     value = F.col(text)
     count = re.compile(pattern).groups
     flags, body = java_regex("")[:5], java_regex(pattern)[5:]
-    whole = f"{flags}^(?:{body})"
     glue = "".join(f"{UNIT}${i}" for i in range(1, count + 1))
-    glued = F.when(~value.contains(UNIT), F.regexp_replace(value, f"{whole}(?s:.*)$", glue))
-    slow = F.array(F.lit(""), *[F.regexp_extract(value, whole, i) for i in range(1, count + 1)])
-    parts = (
-        F.when(F.col("_glued").startswith(UNIT), F.split("_glued", UNIT))
-        .when(F.col("_glued").isNull() & value.rlike(whole), slow)
+    clean = ~value.contains(UNIT)
+    separator = F.when(clean, F.lit(UNIT)).otherwise(F.concat(F.lit(UNIT), F.md5(value), F.lit(UNIT)))
+    rewrite = F.when(clean, F.lit(glue)).otherwise(F.replace(F.lit(glue), F.lit(UNIT), separator))
+    df = settle(df, {"_glued": F.regexp_replace(value, F.lit(f"{flags}^(?:{body})(?s:.*)$"), rewrite)})
+    groups = F.when(
+        F.col("_glued").startswith(separator), F.slice(F.split("_glued", separator), 2, count)
     )
-    df = settle(df, {"_glued": glued})
-    return settle(df, {name: F.slice(parts, 2, count)}).drop("_glued")
+    return settle(df, {name: groups}).drop("_glued")

@@ -93,20 +93,20 @@ def _first_wins(pairs: Column, keys: Column) -> Column:
 
 
 def settle_query_map(df: DataFrame, name: str, query: Column) -> DataFrame:
-    """Add the query string as ``map<string,string>``: decoded, lower case, blanks and flags left out.
+    """Add the (lower-case) query string as ``map<string,string>``: decoded, blanks and flags left out.
 
     The first value of a repeated key is kept. The text is cut and decoded as a whole, in stages that
     each run once per row; only a text that holds the cutting characters itself is taken apart parameter
     by parameter.
     """
-    df = settle(df, {"_low": F.lower(F.coalesce(query, F.lit("")))})
-    df = settle(df, {"_glued": _glued(F.col("_low"))})
-    df = settle(df, {"_pairs": _pairs(F.col("_glued"))})
-    df = settle(df, {"_keys": F.transform("_pairs", lambda p: F.substring_index(p, UNIT, 1))})
-    whole = F.when(
-        F.col("_glued").isNull(), _query_map_by_parameter(F.col("_low"))
-    ).otherwise(_first_wins(F.col("_pairs"), F.col("_keys")))
-    return settle(df, {name: whole}).drop("_low", "_glued", "_pairs", "_keys")
+    low = F.coalesce(query, F.lit(""))
+    df = settle(df, {"_cut": _glued(low)})
+    df = settle(df, {"_pairs": _pairs(F.col("_cut"))})
+    keys = F.transform("_pairs", lambda p: F.substring_index(p, UNIT, 1))
+    whole = F.when(F.col("_cut").isNull(), _query_map_by_parameter(low)).otherwise(
+        let(keys, lambda k: _first_wins(F.col("_pairs"), k))
+    )
+    return df.withColumn(name, whole).drop("_cut", "_pairs")
 
 
 def query_map(query: Column) -> Column:

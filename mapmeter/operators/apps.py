@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -135,13 +136,19 @@ def route(
     A request needs an application id, name and path; an application without processor goes to the
     generic one only if the settings say so.
     """
+    routed, relevant = _routes(settings, registry)
+    df = df.withColumn("_routed", routed)
+    return settle(df, {"_kind": F.when(relevant, F.col("_routed"))}).drop("_routed")
+
+
+@cache
+def _routes(settings: Settings, registry: tuple[Processor, ...]) -> tuple[Column, Column]:
     app = F.lower("app_name")
     names = [p.name for p in registry]
     complete = (F.col("app_id") != "") & (F.col("app_name") != "") & (F.col("app_path") != "")
     routed = F.when(app.isin(*names), app)
     if settings.fallback_on_generic:
         routed = routed.otherwise(F.lit(GENERIC))
-    df = df.withColumn("_routed", F.when(complete, routed))
     request = _request()
     by_rule: dict[Callable, list[str]] = {}
     for p in registry:
@@ -149,7 +156,7 @@ def route(
     relevant = _choose(
         F.col("_routed"), [(names, rule(request)) for rule, names in by_rule.items()], F.lit(False)
     )
-    return settle(df, {"_kind": F.when(relevant, F.col("_routed"))}).drop("_routed")
+    return F.when(complete, routed), relevant
 
 
 def _request() -> Request:
@@ -158,105 +165,100 @@ def _request() -> Request:
     )
 
 
-def with_details(
-    df: DataFrame,
-    settings: Settings,
-    registry: tuple[Processor, ...] = BUILT_IN,
-    unsupported: str = "drop",
-) -> DataFrame:
-    """Replace ``_params``, ``_agent`` and ``_referrer`` by the typed ``request_details``.
-
-    ``unsupported`` says what becomes of requests no processor takes: ``drop`` them, or ``keep`` them
-    with their raw parameters.
-    """
+@cache
+def _stages(
+    settings: Settings, registry: tuple[Processor, ...]
+) -> tuple[list[dict[str, Column]], list[Column]]:
+    """The projections that lead from a routed request to its details; they depend on the options only."""
     request = _request()
     kind, params = F.col("_kind"), request.params
-    ogc_names = [p.name for p in registry if p.base == "ogc"]
+    ogc_names = [p.name for p in registry if p.base == "ogc"] or ["ogcserver"]
     raw_names = [p.name for p in registry if p.base == "raw"] + [RAW]
-    empty_names = [p.name for p in registry if p.base == "empty"]
-
-    df = route(df, settings, registry)
-    if unsupported == "drop":
-        df = df.filter(kind.isNotNull())
-    else:
-        df = df.withColumn("_kind", F.coalesce(kind, F.lit(RAW)))
-
-    is_ogc = kind.isin(*ogc_names) if ogc_names else F.lit(False)
-    df = settle(
-        df,
-        {
-            "_stripped": ogc.strip_app_path(request.path, request.app_path),
-            "_api": F.when(is_ogc, ogc.ogc_api_features(request.path)),
-            "_size": F.when(is_ogc, ogc.image_size(params["width"], params["height"])),
-            "_dataapi": F.when(
-                kind == "dataapi", ogc.dataapi_request(settings, request.path, params)
-            ),
-        },
-    )
-    infers_tiled = [n for n in ogc_names if settings.app_options(n).infer_is_tiled]
-    infers_download = [n for n in ogc_names if settings.app_options(n).infer_is_download]
-    made_ogc = (
-        F.when(
-            is_ogc,
-            F.struct(
-                F.coalesce(F.col("_api.service"), F.upper(params["service"])).alias("service"),
-                F.coalesce(F.col("_api.request"), F.lower(params["request"])).alias("request"),
-                F.coalesce(F.col("_api.layers"), ogc.request_layers(params)).alias("layers"),
-                ogc.request_crs(params).alias("crs"),
-                F.col("_size").alias("size"),
-                ogc.infer_tiled(
-                    F.col("_size"), params["tiled"], kind.isin(*infers_tiled) if infers_tiled else F.lit(False)
-                ).alias("tiled"),
-            ),
-        )
+    empty_names = [p.name for p in registry if p.base == "empty"] or [GENERIC]
+    is_ogc = kind.isin(*ogc_names)
+
+    def inferring(option: str) -> Column:
+        names = [n for n in ogc_names if getattr(settings.app_options(n), option)]
+        return kind.isin(*names) if names else F.lit(False)
+
+    first = {
+        "_stripped": ogc.strip_app_path(request.path, request.app_path),
+        "_api": F.when(is_ogc, ogc.ogc_api_features(request.path)),
+        "_size": F.when(is_ogc, ogc.image_size(params["width"], params["height"])),
+        "_dataapi": F.when(kind == "dataapi", ogc.dataapi_request(settings, request.path, params)),
+    }
+    made = F.struct(
+        F.coalesce(F.col("_api.service"), F.upper(params["service"])).alias("service"),
+        F.coalesce(F.col("_api.request"), F.lower(params["request"])).alias("request"),
+        F.coalesce(F.col("_api.layers"), ogc.request_layers(params)).alias("layers"),
+        ogc.request_crs(params).alias("crs"),
+        F.col("_size").alias("size"),
+        ogc.infer_tiled(F.col("_size"), params["tiled"], inferring("infer_is_tiled")).alias("tiled"),
     )
+    second = {"_ogc": F.when(is_ogc, made)}
     download = ogc.infer_download(
         settings, kind, request.path, F.col("_ogc.service"), F.col("_ogc.request"), params
     )
-    df = settle(
-        df,
-        {
-            "_ogc": made_ogc,
-            "_workspace": F.when(
-                (kind == "geoserver") & (F.length("_ogc.layers") > 0),
-                ogc.workspace_from_path(F.col("_stripped")),
-            ),
-            "_download": F.when(kind.isin(*infers_download), download) if infers_download else F.when(F.lit(False), download),
-            "_layers": F.when(
-                kind == "geoserver",
-                ogc.normalise_layers(F.col("_workspace"), F.col("_ogc.layers")),
-            ),
-            "_agent_fields": F.when(F.length("_agent") > 0, user_agent_fields(F.col("_agent"))),
-        },
-    )
+    third = {
+        "_download": F.when(inferring("infer_is_download"), download),
+        "_workspace": F.when(
+            (kind == "geoserver") & (F.length("_ogc.layers") > 0),
+            ogc.workspace_from_path(F.col("_stripped")),
+        ),
+    }
+    fourth = {
+        "_layers": F.when(
+            kind == "geoserver", ogc.normalise_layers(F.col("_workspace"), F.col("_ogc.layers"))
+        ),
+        "_agent_fields": F.when(F.length("_agent") > 0, user_agent_fields(F.col("_agent"))),
+    }
 
-    raw, made, empty = _raw_fields(params), _ogc_fields(params), _empty_fields()
+    raw, ogc_made, empty = _raw_fields(params), _ogc_fields(params), _empty_fields()
     overrides = {p.name: p.details(request) for p in registry}
-    columns = []
+    fields = []
     for name in (*DETAIL_TYPES, "params"):
+        branches = [([n], o[name]) for n, o in overrides.items() if name in o]
         if name in USER_AGENT_FIELDS or name == "referrer":
             # headers sit beside the parameters and win over one of the same name
             header = F.col("_referrer") if name == "referrer" else F.col("_agent_fields")[name]
-            value = F.coalesce(F.nullif(header, F.lit("")), params[name])
-            own = [([n], o[name]) for n, o in overrides.items() if name in o]
-            columns.append(
-                _choose(kind, [*own, (empty_names or [GENERIC], empty[name])], value).alias(name)
-            )
-            continue
-        branches = [([n], o[name]) for n, o in overrides.items() if name in o]
-        if name in _PLAIN:
-            branches.append((empty_names or [GENERIC], empty[name]))
+            branches.append((empty_names, empty[name]))
+            default = F.coalesce(F.nullif(header, F.lit("")), params[name])
+        elif name in _PLAIN:
+            branches.append((empty_names, empty[name]))
             default = raw[name]
         else:
-            branches.append((ogc_names or ["ogcserver"], made[name]))
-            branches.append((raw_names, raw[name]))
+            branches += [(ogc_names, ogc_made[name]), (raw_names, raw[name])]
             default = empty[name]
-        columns.append(_choose(kind, branches, default).alias(name))
-    df = df.withColumn("request_details", F.struct(*columns))
-    return df.drop(
-        "_kind", "_stripped", "_api", "_size", "_dataapi", "_ogc", "_download", "_layers", "_workspace",
-        "_agent_fields", "_params", "_agent", "_referrer",
-    )
+        fields.append(_choose(kind, branches, default).alias(name))
+    return [first, second, third, fourth], fields
+
+
+_SCRATCH = (
+    "_kind", "_stripped", "_api", "_size", "_dataapi", "_ogc", "_download", "_layers", "_workspace",
+    "_agent_fields", "_params", "_agent", "_referrer",
+)
+
+
+def with_details(
+    df: DataFrame,
+    settings: Settings,
+    registry: tuple[Processor, ...] = BUILT_IN,
+    unsupported: str = "drop",
+) -> DataFrame:
+    """Replace ``_params``, ``_agent`` and ``_referrer`` by the typed ``request_details``.
+
+    ``unsupported`` says what becomes of requests no processor takes: ``drop`` them, or ``keep`` them
+    with their raw parameters.
+    """
+    df = route(df, settings, registry)
+    if unsupported == "drop":
+        df = df.filter(F.col("_kind").isNotNull())
+    else:
+        df = df.withColumn("_kind", F.coalesce("_kind", F.lit(RAW)))
+    stages, fields = _stages(settings, registry)
+    for stage in stages:
+        df = df.withColumns(stage)
+    return df.withColumn("request_details", F.struct(*fields)).drop(*_SCRATCH)
 
 
 def details_from_url(

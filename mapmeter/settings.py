@@ -70,7 +70,7 @@ def default_apps() -> dict[str, AppOptions]:
     }
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Settings:
     """Everything a run can be tuned with; plain values only, so it travels with the driver program."""
 
