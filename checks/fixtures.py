@@ -182,13 +182,15 @@ def facts(spark: SparkSession, sf: str, *more: str) -> DataFrame:
             "ts_date": F.to_date("ts"),
         }
     )
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in ACCESS_LOG_SCHEMA
-        ],
-        *more,
-    )
+    have = {f.name: f.dataType.simpleString() for f in df.schema}
+
+    def fit(field):
+        if have.get(field.name) == field.dataType.simpleString():
+            return F.col(field.name)
+        value = F.col(field.name) if field.name in have else F.lit(None)
+        return value.cast(field.dataType).alias(field.name)
+
+    return df.select(*[fit(f) for f in ACCESS_LOG_SCHEMA], *more)
 
 
 SCOPES = ("org.demo.gateway.accesslog", "org.demo.security-proxy.accesslog", NETTY_SCOPE)

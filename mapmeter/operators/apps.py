@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from mapmeter.functions import ogc
 from mapmeter.functions.agents import user_agent_fields
-from mapmeter.functions.base import settle
+from mapmeter.functions.base import let, settle
 from mapmeter.functions.urls import settle_query_map, url_parts, url_path, url_query
 from mapmeter.schemas import DETAIL_TYPES, USER_AGENT_FIELDS
 from mapmeter.settings import Settings
@@ -181,34 +181,38 @@ def _stages(
         names = [n for n in ogc_names if getattr(settings.app_options(n), option)]
         return kind.isin(*names) if names else F.lit(False)
 
+    def made(b: Column) -> Column:
+        return F.struct(
+            F.coalesce(b["api"]["service"], F.upper(params["service"])).alias("service"),
+            F.coalesce(b["api"]["request"], F.lower(params["request"])).alias("request"),
+            F.coalesce(b["api"]["layers"], ogc.request_layers(params)).alias("layers"),
+            ogc.request_crs(params).alias("crs"),
+            b["size"].alias("size"),
+            ogc.infer_tiled(b["size"], params["tiled"], inferring("infer_is_tiled")).alias("tiled"),
+        )
+
+    # The lambdas keep these projections out of whole-stage code, on purpose: fused with everything else
+    # they make one method too long for the JIT compiler, while on their own they are cut into small ones.
+    bound = F.struct(
+        ogc.ogc_api_features(request.path).alias("api"),
+        ogc.image_size(params["width"], params["height"]).alias("size"),
+    )
     first = {
         "_stripped": ogc.strip_app_path(request.path, request.app_path),
-        "_api": F.when(is_ogc, ogc.ogc_api_features(request.path)),
-        "_size": F.when(is_ogc, ogc.image_size(params["width"], params["height"])),
+        "_ogc": F.when(is_ogc, let(bound, made)),
         "_dataapi": F.when(kind == "dataapi", ogc.dataapi_request(settings, request.path, params)),
     }
-    made = F.struct(
-        F.coalesce(F.col("_api.service"), F.upper(params["service"])).alias("service"),
-        F.coalesce(F.col("_api.request"), F.lower(params["request"])).alias("request"),
-        F.coalesce(F.col("_api.layers"), ogc.request_layers(params)).alias("layers"),
-        ogc.request_crs(params).alias("crs"),
-        F.col("_size").alias("size"),
-        ogc.infer_tiled(F.col("_size"), params["tiled"], inferring("infer_is_tiled")).alias("tiled"),
-    )
-    second = {"_ogc": F.when(is_ogc, made)}
     download = ogc.infer_download(
         settings, kind, request.path, F.col("_ogc.service"), F.col("_ogc.request"), params
     )
-    third = {
+    second = {
         "_download": F.when(inferring("infer_is_download"), download),
-        "_workspace": F.when(
-            (kind == "geoserver") & (F.length("_ogc.layers") > 0),
-            ogc.workspace_from_path(F.col("_stripped")),
-        ),
-    }
-    fourth = {
         "_layers": F.when(
-            kind == "geoserver", ogc.normalise_layers(F.col("_workspace"), F.col("_ogc.layers"))
+            (kind == "geoserver") & (F.length("_ogc.layers") > 0),
+            let(
+                ogc.workspace_from_path(F.col("_stripped")),
+                lambda workspace: ogc.normalise_layers(workspace, F.col("_ogc.layers")),
+            ),
         ),
         "_agent_fields": F.when(F.length("_agent") > 0, user_agent_fields(F.col("_agent"))),
     }
@@ -230,12 +234,12 @@ def _stages(
             branches += [(ogc_names, ogc_made[name]), (raw_names, raw[name])]
             default = empty[name]
         fields.append(_choose(kind, branches, default).alias(name))
-    return [first, second, third, fourth], fields
+    return [first, second], fields
 
 
 _SCRATCH = (
-    "_kind", "_stripped", "_api", "_size", "_dataapi", "_ogc", "_download", "_layers", "_workspace",
-    "_agent_fields", "_params", "_agent", "_referrer",
+    "_kind", "_stripped", "_dataapi", "_ogc", "_download", "_layers", "_agent_fields", "_params", "_agent",
+    "_referrer",
 )
 
 

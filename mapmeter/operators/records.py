@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mapmeter.schemas import ACCESS_LOG_SCHEMA
 from mapmeter.settings import Settings
@@ -21,12 +22,16 @@ def apply_privacy(df: DataFrame, keys_blacklist: Iterable[str]) -> DataFrame:
 def as_access_records(df: DataFrame, settings: Settings) -> DataFrame:
     """Apply the privacy list and bring columns to fact-table order, with the partition date."""
     df = apply_privacy(df.withColumn("ts_date", F.to_date("ts")), settings.keys_blacklist)
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in ACCESS_LOG_SCHEMA
-        ]
-    )
+    # a cast copies nested values, so only what really differs is cast
+    have = {f.name: f.dataType.simpleString() for f in df.schema}
+
+    def fit(field: T.StructField) -> Column:
+        if have.get(field.name) == field.dataType.simpleString():
+            return F.col(field.name)
+        value = F.col(field.name) if field.name in have else F.lit(None)
+        return value.cast(field.dataType).alias(field.name)
+
+    return df.select(*[fit(f) for f in ACCESS_LOG_SCHEMA])
 
 
 def prefer(*choices: Column) -> Column:

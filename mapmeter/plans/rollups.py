@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from mapmeter.functions import times
@@ -57,14 +58,38 @@ def dataapi_spec(timezone: str = "Europe/Paris") -> RollupSpec:
     )
 
 
-def exact_medians(df: DataFrame, keys: list[str], value: str, weight: str | None = None, name: str = "median") -> DataFrame:
+def _median_rows(rows: DataFrame, keys: list[str], value: str, weight: Column) -> tuple[DataFrame, Column]:
+    """Rank ``value`` within each group and say how its median reads off the ranked rows.
+
+    ``weight`` tells how often a row's value counts. The window and the aggregation after it share one
+    shuffle, and buffers stay plain numbers, unlike those of ``percentile``, which hold a map per group.
+    """
+    ordered = W.partitionBy(*keys).orderBy(value)
+    ranked = rows.withColumns(
+        {
+            "_upto": F.sum(weight).over(ordered.rowsBetween(W.unboundedPreceding, W.currentRow)),
+            "_total": F.sum(weight).over(ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)),
+        }
+    )
+    last = F.col("_upto") - 1
+    first = F.col("_upto") - weight
+
+    def at(place: str) -> Column:
+        position = F.expr(place)
+        return F.max(F.when((first <= position) & (position <= last), F.col(value).cast("double")))
+
+    return ranked, (at("(_total - 1) div 2") + at("_total div 2")) / 2
+
+
+def exact_medians(df: DataFrame, keys: list[str], value: str, name: str = "median") -> DataFrame:
     """Exact median of ``value`` per key group (NULLs left out, linear between the middle two).
 
     Equal values are counted first, with map-side combining, so that a group with very many rows reaches
     its final task as one row per distinct value.
     """
-    counted = df.groupBy(*keys, value).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_n"))
-    return counted.groupBy(*keys).agg(F.percentile(value, 0.5, F.col("_n")).alias(name))
+    counted = df.groupBy(*keys, value).agg(F.count(value).alias("_n"))
+    ranked, median = _median_rows(counted, keys, value, F.col("_n"))
+    return ranked.groupBy(*keys).agg(median.alias(name))
 
 
 def facts_rollup(facts: DataFrame, spec: RollupSpec, grain: str = "hour") -> DataFrame:
@@ -87,11 +112,12 @@ def facts_rollup(facts: DataFrame, spec: RollupSpec, grain: str = "hour") -> Dat
             .select(*keys, "nb_req", "avg_time", *STATE)
         )
     # first by value, so that a hot group is combined map-side and spread over the shuffle
-    counted = rows.groupBy(*keys, "_rt").agg(F.count("id").alias("_ids"), F.count(F.lit(1)).alias("_n"))
+    counted = rows.groupBy(*keys, "_rt").agg(F.count("id").alias("_ids"), F.count("_rt").alias("_n"))
+    ranked, median = _median_rows(counted, keys, "_rt", F.col("_n"))
     number = F.col("_rt").cast("double")
-    return counted.groupBy(*keys).agg(
+    return ranked.groupBy(*keys).agg(
         F.sum("_ids").alias("nb_req"),
-        F.percentile(number, 0.5, F.col("_n")).alias("response_time_median"),
+        median.alias("response_time_median"),
         F.min(number).alias("response_time_min"),
         F.max(number).alias("response_time_max"),
     )
@@ -109,9 +135,11 @@ def next_rollup(finer: DataFrame, spec: RollupSpec, grain: str) -> DataFrame:
             .select(*keys, "nb_req", "avg_time", *STATE)
         )
     # at most one row per finer bucket reaches a group, which bounds it
-    return rows.groupBy(*keys).agg(
+    counts = F.when(F.col("response_time_median").isNotNull(), F.lit(1)).otherwise(F.lit(0))
+    ranked, median = _median_rows(rows, keys, "response_time_median", counts)
+    return ranked.groupBy(*keys).agg(
         F.sum("nb_req").alias("nb_req"),
-        F.percentile("response_time_median", 0.5).alias("response_time_median"),
+        median.alias("response_time_median"),
         F.min("response_time_min").alias("response_time_min"),
         F.max("response_time_max").alias("response_time_max"),
     )
