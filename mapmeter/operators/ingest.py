@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from mapmeter.session import persist_table
+from mapmeter.session import BROADCAST_ROWS, fits_broadcast, persist_table
 from mapmeter.sources.tables import read_access_logs, table_exists, write_access_logs
 
 KEYS = ("ts", "id")
@@ -55,24 +55,32 @@ def append_if_absent(
     path: str,
     keys: Sequence[str] = KEYS,
     order: Sequence[str | Column] = ("message",),
+    max_rows: int = BROADCAST_ROWS,
 ) -> None:
     """Append the rows whose key is not yet in the table; running it twice changes nothing.
 
-    The de-duplicated batch is written once to the shared folder. From there its date range is read (the
-    partition column alone) to prune the table before the anti-join, and rows without id go around the
-    join, as they cannot match. One writer at a time is assumed.
+    The de-duplicated batch is written once to the shared folder. From there its date range is read (one
+    column) to prune the table before the anti-join, and rows without id go around the join, as they
+    cannot match. A batch that is small by count is broadcast, so that the keys of a large table are
+    filtered where they are read; otherwise both sides are shuffled. One writer at a time is assumed.
     """
+    unique = dedupe_keep_first(new, keys, order)
     if not table_exists(spark, path):
-        write_access_logs(dedupe_keep_first(new, keys, order), path)
+        write_access_logs(unique, path)
         return
-    batch = persist_table(dedupe_keep_first(new, keys, order), "batch", ("ts_date",))
+    batch = persist_table(unique, "batch")
     first, last = batch.agg(F.min("ts_date"), F.max("ts_date")).first()
     if first is None:
         return
+    identity = F.col(keys[-1])
     table = read_access_logs(spark, path).filter(F.col("ts_date").between(F.lit(first), F.lit(last)))
-    keyed = batch.filter(F.col(keys[-1]).isNotNull())
-    fresh = absent_rows(keyed, table.filter(F.col(keys[-1]).isNotNull()), keys)
-    write_access_logs(fresh.unionByName(batch.filter(F.col(keys[-1]).isNull())).select(*new.columns), path)
+    present = table.filter(identity.isNotNull()).select(*keys)
+    keyed = batch.filter(identity.isNotNull())
+    wanted = keyed.select(*keys)
+    if fits_broadcast(wanted, max_rows):
+        present = present.join(F.broadcast(wanted), list(keys), "left_semi")
+    fresh = absent_rows(keyed, present, keys).unionByName(batch.filter(identity.isNull()))
+    write_access_logs(fresh.select(*new.columns), path)
 
 
 def page(df: DataFrame, offset: int, limit: int, time: str = "timestamp", tie: str = "span_id") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from mapmeter.functions.agents import AGENT_RULES, OS_RULES, AgentRule, user_agent_fields
 from mapmeter.functions.base import literal_map
 from mapmeter.functions.values import trim_slashes
-from mapmeter.session import BROADCAST_ROWS, checked_broadcast
+from mapmeter.session import BROADCAST_ROWS, checked_broadcast, persist_table
 from mapmeter.settings import Settings
 
 # A mapping given as a Python dict is small by nature; beyond this it belongs in a table.
@@ -65,15 +65,16 @@ def lookup_user_agent(
 ) -> DataFrame:
     """Classify each distinct agent once and join the result back.
 
-    The distinct runs map-side first, so a hot agent costs one row per task. The dimension is broadcast
-    when a count shows it small; otherwise Spark joins by shuffle, where adaptive execution splits hot
-    agents.
+    The distinct runs map-side first, so a hot agent costs one row per task. The dimension is written
+    once, and broadcast when a count shows it small; otherwise Spark joins by shuffle, where adaptive
+    execution splits hot agents.
     """
-    dimension = (
+    dimension = persist_table(
         df.select(F.col(agent).alias("_ua"))
         .filter(F.col("_ua").isNotNull())
         .distinct()
         .withColumn("_fields", user_agent_fields(F.col("_ua"), agents, systems))
-        .select("_ua", "_fields.*")
+        .select("_ua", "_fields.*"),
+        "agents",
     )
     return df.join(checked_broadcast(dimension, max_rows), df[agent] == F.col("_ua"), "left").drop("_ua")

@@ -39,16 +39,19 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def persist_table(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def persist_table(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: short lineage that outlives executors."""
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.partitionBy(*partition_by).parquet(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a bounded count proves that ``df`` has at most ``max_rows`` rows."""
+    return df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
+
+
 def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``small`` for broadcast if a bounded count proves it small; else leave the choice to Spark."""
-    if small.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(small)
-    return small
+    """Mark ``small`` for broadcast if it is proved small; else leave the choice to Spark."""
+    return F.broadcast(small) if fits_broadcast(small, max_rows) else small

@@ -20,6 +20,7 @@ def write_access_logs(df: DataFrame, path: str, mode: str = "append") -> None:
         df.hint("rebalance", "ts_date")
         .sortWithinPartitions("ts_date", "app_name", "ts")
         .write.mode(mode)
+        .option("compression", "zstd")
         .partitionBy("ts_date")
         .parquet(path)
     )

@@ -43,11 +43,12 @@ def _facts(spark, n=2000, hot=0):
     )
 
 
-def test_append_twice_changes_nothing(spark):
+@pytest.mark.parametrize("max_rows", [0, 100_000])
+def test_append_twice_changes_nothing(spark, max_rows):
     path, df = fresh_path(spark, "t"), _facts(spark, 500)
-    append_if_absent(spark, df.limit(200), path)
-    append_if_absent(spark, df, path)
-    append_if_absent(spark, df.unionByName(df), path)
+    append_if_absent(spark, df.limit(200), path, max_rows=max_rows)
+    append_if_absent(spark, df, path, max_rows=max_rows)
+    append_if_absent(spark, df.unionByName(df), path, max_rows=max_rows)
     table = read_access_logs(spark, path)
     assert table.count() == 500
     assert table.select("id").distinct().count() == 500
@@ -81,6 +82,15 @@ def test_time_bounds_prune_days(spark):
     assert df.count() == _facts(spark, 500).filter("ts >= '2024-01-05' AND ts < '2024-01-07'").count()
 
 
+def test_rollup_reads_only_the_fields_it_groups_by(spark):
+    path = fresh_path(spark, "t")
+    append_if_absent(spark, _facts(spark, 50), path)
+    hour = rollups.facts_rollup(read_access_logs(spark, path), rollups.ogc_spec())
+    schema = hour._jdf.queryExecution().executedPlan().toString().split("ReadSchema: ")[1]
+    for field in ("message", "roles", "params", "bbox", "user_agent_string"):
+        assert f"{field}:" not in schema.split("\n")[0]
+
+
 def test_medians_by_brute_force(spark):
     df = _facts(spark, 4000, hot=1300)
     levels = rollups.all_levels(df, rollups.ogc_spec("UTC"))
