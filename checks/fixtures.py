@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mapmeter.schemas import ACCESS_LOG_SCHEMA, DETAIL_TYPES
+from mapmeter.session import spread
 from mapmeter.settings import COMBINED_PATTERN, NETTY_SCOPE, Settings
 
 SETTINGS = Settings(text_pattern=COMBINED_PATTERN, keys_blacklist=())
@@ -140,7 +141,7 @@ def with_base(body: str) -> str:
 
 
 def base(spark: SparkSession, sf: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf}/events.parquet")
+    events = spread(spark.read.parquet(f"{sf}/events.parquet"))
     return events.select(
         "event_id",
         F.col("ts").cast("timestamp").alias("ts"),

@@ -10,7 +10,7 @@ from mapmeter.operators.apps import BUILT_IN, Processor
 from mapmeter.operators.ingest import append_if_absent
 from mapmeter.operators.telemetry import filter_scope, parse_telemetry
 from mapmeter.operators.text import parse_text_logs
-from mapmeter.session import use_utc
+from mapmeter.session import spread, use_utc
 from mapmeter.settings import Settings
 from mapmeter.sources.logs import read_otel_buffer, read_text_logs
 
@@ -22,7 +22,8 @@ def ingest_text(
     settings: Settings,
     registry: tuple[Processor, ...] = BUILT_IN,
 ) -> None:
-    append_if_absent(use_utc(spark), parse_text_logs(read_text_logs(spark, source), settings, registry), table)
+    lines = spread(read_text_logs(use_utc(spark), source))
+    append_if_absent(spark, parse_text_logs(lines, settings, registry), table)
 
 
 def ingest_telemetry(
@@ -34,5 +35,5 @@ def ingest_telemetry(
     registry: tuple[Processor, ...] = BUILT_IN,
     fmt: str = "parquet",
 ) -> None:
-    records = filter_scope(read_otel_buffer(use_utc(spark), source, cutoff, fmt))
+    records = spread(filter_scope(read_otel_buffer(use_utc(spark), source, cutoff, fmt)))
     append_if_absent(spark, parse_telemetry(records, settings, registry), table)

@@ -47,6 +47,13 @@ def persist_table(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input of few splits (one small file, a gzip), as parsing costs more than the
+    shuffle. An input with enough splits, the normal case, is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """Whether a bounded count proves that ``df`` has at most ``max_rows`` rows."""
     return df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
