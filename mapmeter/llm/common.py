@@ -46,3 +46,10 @@ def settle(df: DataFrame, label: str) -> DataFrame:
 def fits(df: DataFrame, rows: int) -> bool:
     """Whether ``df`` has at most ``rows`` rows; reads no more than it needs to know."""
     return df.select(F.lit(1)).limit(rows + 1).count() <= rows
+
+
+def text_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Whole texts go to Python in batches of few rows, so that long ones don't add up. A user's setting stays."""
+    key, default = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+    if spark.conf.get(key, default) == default:
+        spark.conf.set(key, rows)

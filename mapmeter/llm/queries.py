@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapmeter.llm import decontam, licenses, urls
+from mapmeter.llm import decontam, licenses, packing, urls
 from mapmeter.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,6 +69,22 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "filter.host", "filter.path", "filter.rule", "filter.verdict")
 
 
+# --- 2 ----------------------------------------------------------------------------------------
+
+
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op2_best_fit_packing")
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    pieces = packing.token_pieces(docs, "doc_id", "text", tokenizer_file(), size=1024, end_id=2)
+    return packing.pack(pieces, "length", size=1024)
+
+
 # --- 4 ----------------------------------------------------------------------------------------
 
 
