@@ -63,6 +63,10 @@ class Encoder:
     def __call__(self, text: str) -> bytes:
         return np.asarray(self.fast.encode_ordinary(text), dtype="<u4").tobytes()
 
+    def decode(self, ids) -> str:
+        """The text of ``ids``, which end at a character's end."""
+        return self.fast.decode_bytes([int(i) for i in ids]).decode("utf-8")
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:

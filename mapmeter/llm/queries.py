@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapmeter.llm import decontam, licenses, packing, urls
-from mapmeter.llm.common import table
+from mapmeter.llm import chat, decontam, knn, licenses, packing, urls
+from mapmeter.llm.common import settle, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -102,6 +102,23 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- 6 ----------------------------------------------------------------------------------------
+
+
+@query(
+    "op6_top_k_search",
+    """
+    WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+               WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.v, d.v)::BIGINT AS score
+               FROM v q JOIN v d ON q.vec_id % 20 = 0 AND d.vec_id <> q.vec_id),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
+)
+def op6_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.knn_join(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 20 == 0, k=20, factor=64.0)
+
+
 # --- 7 ----------------------------------------------------------------------------------------
 
 WORDS_SQL = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
@@ -133,3 +150,39 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "leak.n_words", "leak.n_hit", F.size("leak.items").cast("long").alias("n_items"),
         F.sha2(F.array_join(names, ","), 256).alias("items_sha256"), (F.col("leak.n_hit") > 0).alias("contaminated"),
     )
+
+
+# --- 9 ----------------------------------------------------------------------------------------
+
+PROBE = "</s>[INST] ok [/INST]"
+
+
+@query(
+    "op9_chat_formatting",
+    """
+    WITH rows AS (
+      SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT * FROM (VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))),
+    escaped AS (
+      SELECT *, regexp_replace(replace(text, '\\', '\\\\'),
+        '(<([|](turn|text|end|endoftext|im_start|im_end)[|]>|s>|/s>|<SYS>>|</SYS>>)|\\[/?INST\\])', '*\\1', 'g') AS e FROM rows)
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+           sum(length(e) + length(role) + 23)::BIGINT AS formatted_chars
+    FROM escaped GROUP BY conv_id""",
+)
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)], rows.schema)
+    convs = settle(chat.conversations(rows.unionByName(probe), "conv_id", "turn", "role", "text"), "conversations")
+    tree = settle(chat.prefix_tree(convs, tokenizer_file()), "tree")
+    back = chat.read_back(tree, convs, tokenizer_file())
+    join = lambda part: F.array_join(F.transform("turns", part), "")
+    loss = join(lambda t: t["loss"])
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(join(lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+        F.aggregate("turns", F.lit(0).cast("long"), lambda a, t: a + t["chars"]).alias("formatted_chars"),
+    )
