@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapmeter.llm import chat, decontam, knn, licenses, packing, urls
+from mapmeter.llm import chat, decontam, html, knn, licenses, packing, quality, urls
 from mapmeter.llm.common import settle, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,6 +152,15 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- 8 ----------------------------------------------------------------------------------------
+
+
+@query("op8_html_extraction")
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html.extract(table(spark, sf_dir, "pages"), "html", "text")
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 # --- 9 ----------------------------------------------------------------------------------------
 
 PROBE = "</s>[INST] ok [/INST]"
@@ -186,3 +195,23 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
         F.aggregate("turns", F.lit(0).cast("long"), lambda a, t: a + t["chars"]).alias("formatted_chars"),
     )
+
+
+# --- 10 ---------------------------------------------------------------------------------------
+
+ACCEPT = 0.3  # score from which a document counts as good
+
+
+def quality_scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` with ``score``; labels of held-out rows are not looked at."""
+    vectors = quality.word_vectors(docs, "text")
+    learn = labels.where(~quality.held_out(F.col("doc_id")))
+    net = quality.train(docs, "doc_id", "text", learn, "doc_id", "quality", vectors)
+    return quality.score(docs, "text", vectors, net, "score")
+
+
+@query("op10_quality_classifier")
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality_scored(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= ACCEPT).cast("int").alias("predicted"))
