@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapmeter.llm import chat, decontam, html, knn, licenses, packing, quality, urls
+from mapmeter.llm import chat, decontam, html, knn, licenses, packing, quality, toxicity, urls
 from mapmeter.llm.common import settle, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +85,23 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces, "length", size=1024)
 
 
+# --- 3 ----------------------------------------------------------------------------------------
+
+
+def toxicity_scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` with ``toxicity`` (a probability per category) and ``toxic_rejected``."""
+    chain = toxicity.train(docs, "doc_id", "text", labels, "doc_id", "toxic")
+    scored = toxicity.score(docs, "text", chain)
+    return scored.withColumn("toxic_rejected", F.col("toxicity.toxic") >= chain.thresholds[0] if chain.thresholds else F.lit(False))
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity_scored(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "toxicity.*", F.col("toxic_rejected").alias("rejected"))
+
+
 # --- 4 ----------------------------------------------------------------------------------------
 
 
