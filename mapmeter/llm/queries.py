@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapmeter.llm import chat, decontam, html, knn, licenses, packing, quality, toxicity, urls
+from mapmeter.llm import chat, decontam, html, knn, licenses, neardup, packing, quality, toxicity, urls
 from mapmeter.llm.common import settle, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,6 +119,14 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- 5 ----------------------------------------------------------------------------------------
+
+
+@query("op5_minhash_near_dedup")
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", size=3, num=85, den=100).drop("text_key")
+
+
 # --- 6 ----------------------------------------------------------------------------------------
 
 
