@@ -254,13 +254,13 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str, text: str, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """``doc_id, text_key, n_shingles, component_id, kept`` of each row.
+    """``doc_id, text_key, n_shingles, component_id, kept, stays`` of each row.
 
     Two texts are linked if ``den`` x intersection >= ``num`` x union of their sets of ``size``-word shingles;
     ``component_id`` is the smallest id reachable over links, ``kept`` whether it is the row's own. Null and empty texts
     have no shingles and no links. Null ids are never the smallest; in groups of null ids alone the component is null
     and all are kept. Repeated rows stay and share a result; an id with several texts has a row, and a component, for
-    each. Other columns are left out.
+    each. ``stays`` is true for one id and text of each component, also where ids are null. Other columns are left out.
     """
     threshold = num / den
     rows = settle(_signed(docs, doc_id, text, size), "signed")
@@ -292,9 +292,24 @@ def near_duplicates(docs: DataFrame, doc_id: str, text: str, size: int = 5, num:
         elif labels is None:
             labels = candidates.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
-    grouped = nodes.select("node", "digest", "id").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    lowest = grouped.groupBy("component").agg(F.min("id").alias("component_id"))
-    result = grouped.join(lowest, "component").select("digest", "component_id")
+    grouped = nodes.select("node", "digest", "id", "key").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    lowest = grouped.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key")).alias("r"))
+    result = grouped.join(lowest, "component").select("digest", "r")
     out = rows.select("id", "key", "n", "digest").join(result, "digest", "left")
-    group = F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    return out.select(F.col("id").alias("doc_id"), F.col("key").alias("text_key"), F.col("n").alias("n_shingles"), group.alias("component_id"), group.eqNullSafe(F.col("id")).alias("kept"))
+    lonely = F.col("digest").isNull()
+    group = F.when(lonely, F.col("id")).otherwise(F.col("r.id"))
+    return out.select(
+        F.col("id").alias("doc_id"), F.col("key").alias("text_key"), F.col("n").alias("n_shingles"), group.alias("component_id"),
+        group.eqNullSafe(F.col("id")).alias("kept"), (lonely | (F.col("id").eqNullSafe(F.col("r.id")) & (F.col("key") == F.col("r.key")))).alias("stays"),
+    )
+
+
+def without_duplicates(docs: DataFrame, doc_id: str, text: str, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The rows of ``docs``, with their columns, that stay: one of each component, repeated rows once."""
+    found = near_duplicates(docs, doc_id, text, size, num, den).where("stays").groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("_many"))
+    found = found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_many")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    keyed = docs.select(row, F.col(f"`{doc_id}`").cast("long").alias("_id2"), text_key(F.col(f"`{text}`")).alias("_key2"))
+    kept = keyed.join(found, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_key") == F.col("_key2")))
+    once = kept.where("_many > 1").groupBy("_id2", "_key2").agg(F.first("_row").alias("_row"))
+    return kept.where("_many = 1").select("_row.*").unionByName(once.select("_row.*"))

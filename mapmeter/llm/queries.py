@@ -124,7 +124,7 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_minhash_near_dedup")
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", size=3, num=85, den=100).drop("text_key")
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", size=3, num=85, den=100).drop("text_key", "stays")
 
 
 # --- 6 ----------------------------------------------------------------------------------------
