@@ -110,7 +110,7 @@ def decontaminate(docs: DataFrame, doc_id: str, text: str, items: DataFrame, ite
 
 
 def without_spans(text: Column, spans: Column) -> Column:
-    """``text`` (as it was) without the words of ``spans`` and what stands between them; other words keep their place."""
+    """``text`` (as it was) without the words of ``spans`` and what stands before each of them; the rest is as it was."""
     pieces = F.regexp_extract_all(text, F.lit(r"[^0-9A-Za-z\x{80}-\x{10FFFF}]*[0-9A-Za-z\x{80}-\x{10FFFF}]+"), F.lit(0))
     tail = F.regexp_extract(text, r"[^0-9A-Za-z\x{80}-\x{10FFFF}]*$", 0)
     kept = F.filter(pieces, lambda _, i: ~F.exists(spans, lambda s: (i >= s["start"]) & (i < s["end"])))

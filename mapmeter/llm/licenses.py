@@ -58,10 +58,12 @@ def _votes(docs: DataFrame, doc_id: str, text: str, known: DataFrame) -> DataFra
     """
     grams = known.select("template", "phrase", F.size("words").alias("length"), F.posexplode(_grams(F.col("words"))).alias("at", "gram_hash"), "words")
     grams = grams.select("template", "phrase", "length", "at", "gram_hash", F.slice("words", F.col("at") + 1, K).alias("gram"))
-    rows = docs.select(F.col(f"`{doc_id}`").alias("_id"), text_key(F.col(f"`{text}`")).alias("_key"), words(F.col(f"`{text}`")).alias("w")).where(F.size("w") >= K)
-    scanned = rows.select("_id", "_key", "w", F.posexplode(_grams(F.col("w"))).alias("pos", "hash"))
+    rows = docs.select(F.col(f"`{doc_id}`").alias("_id"), text_key(F.col(f"`{text}`")).alias("_key"), words(F.col(f"`{text}`")).alias("w"))
+    # repeated rows must not add up their votes
+    rows = rows.withColumn("_no", F.monotonically_increasing_id()).where(F.size("w") >= K)
+    scanned = rows.select("_id", "_key", "_no", "w", F.posexplode(_grams(F.col("w"))).alias("pos", "hash"))
     hits = scanned.join(F.broadcast(grams), F.col("hash") == F.col("gram_hash")).where(F.slice("w", F.col("pos") + 1, K) == F.col("gram"))
-    return hits.groupBy("_id", "_key", "template", "phrase", "length", (F.col("pos") - F.col("at")).alias("diagonal")).agg(
+    return hits.groupBy("_id", "_key", "_no", "template", "phrase", "length", (F.col("pos") - F.col("at")).alias("diagonal")).agg(
         F.count(F.lit(1)).alias("votes"), F.min("pos").alias("first"), (F.max("pos") + K - 1).alias("last")
     )
 
@@ -75,16 +77,16 @@ def scan_licenses(docs: DataFrame, doc_id: str, text: str, known: DataFrame) ->
     """
     votes = settle(_votes(docs, doc_id, text, known), "votes")
     exact = votes.where(F.col("phrase") & (F.col("votes") == F.col("length") - K + 1)).select(
-        "_id", "_key", "template", "phrase", "length", F.col("diagonal").alias("start"), (F.col("diagonal") + F.col("length") - 1).alias("end"), F.col("votes").alias("matched")
+        "_id", "_key", "_no", "template", "phrase", "length", F.col("diagonal").alias("start"), (F.col("diagonal") + F.col("length") - 1).alias("end"), F.col("votes").alias("matched")
     )
     # a diagonal with next to no votes is chance; it neither starts nor carries a span
-    w = Window.partitionBy("_id", "_key", "template").orderBy("diagonal", "first")
+    w = Window.partitionBy("_no", "template").orderBy("diagonal", "first")
     loose = votes.where(~F.col("phrase") & (F.col("votes") >= 2)).withColumn(
         "cut", F.coalesce((F.col("diagonal") - F.lag("diagonal").over(w) > DRIFT).cast("int"), F.lit(1))
     )
     merged = (
         loose.withColumn("run", F.sum("cut").over(w))
-        .groupBy("_id", "_key", "template", "phrase", "length", "run")
+        .groupBy("_id", "_key", "_no", "template", "phrase", "length", "run")
         .agg(F.min("first").alias("start"), F.max("last").alias("end"), F.sum("votes").alias("matched"))
         .where(F.col("matched") >= COVER * (F.col("length") - K + 1))
         .drop("run")
@@ -94,7 +96,7 @@ def scan_licenses(docs: DataFrame, doc_id: str, text: str, known: DataFrame) ->
         exact.unionByName(merged)
         .join(labels, "template")
         .groupBy("_id", "_key")
-        .agg(F.array_sort(F.collect_list(F.struct("start", "end", "label", "phrase", "matched", "length"))).alias("spans"))
+        .agg(F.array_sort(F.collect_set(F.struct("start", "end", "label", "phrase", "matched", "length"))).alias("spans"))
     )
 
 

@@ -19,6 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -88,10 +89,10 @@ def _signed(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
     """``id, key, n, digest, signature (16 bits a place), bands`` of each row."""
     text_batches(docs.sparkSession)
 
-    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for value in batch["text"]:
+            for value in batch.column(2).to_pylist():
                 found = shingles(value, size)
                 if not len(found):
                     rows.append((0, None, None, None))
@@ -99,13 +100,12 @@ def _signed(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
                 minima = signature(found)
                 bands = [xxhash.xxh3_64_intdigest(part.tobytes(), i) - (1 << 63) for i, part in enumerate(minima.reshape(BANDS, ROWS))]
                 rows.append((len(found), hashlib.blake2b(found.tobytes(), digest_size=16).digest(), (minima & 0xFFFF).astype("<u2").tobytes(), bands))
-            out = pd.DataFrame(rows, columns=["n", "digest", "signature", "bands"])
-            out.insert(0, "id", batch["id"].astype("Int64"))
-            out.insert(1, "key", batch["key"])
-            yield out
+            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
+            made = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], ["id", "key", "n", "digest", "signature", "bands"])
 
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), text_key(F.col(f"`{text}`")).alias("key"), F.col(f"`{text}`").alias("text"))
-    return rows.mapInPandas(sign, "id long, key long, n long, digest binary, signature binary, bands array<bigint>")
+    return rows.mapInArrow(sign, "id long, key long, n long, digest binary, signature binary, bands array<bigint>")
 
 
 # --- the sequential test ----------------------------------------------------------------------

@@ -13,10 +13,9 @@ from collections.abc import Iterator
 from functools import cached_property, lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from mapmeter.llm.common import settle, text_batches
 
@@ -83,27 +82,29 @@ def token_pieces(docs: DataFrame, doc_id: str, text: str, tokenizer: str, size:
     text_batches(docs.sparkSession)
     end = np.asarray([end_id], dtype="<u4").tobytes()
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = PIECES + (", ids binary" if ids else "")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
         for batch in batches:
-            rows = []
-            for key, value in zip(batch["doc_id"], batch["text"], strict=True):
-                data = encode(value or "") + end
+            rows, source = [], []
+            for at, text_ in enumerate(batch.column(1).to_pylist()):
+                data = encode(text_ or "") + end
                 total = len(data) // 4
                 start, no = 0, 0
                 while start < total:
                     length = (total % size or size) if no == 0 else size
                     part = data[4 * start : 4 * (start + length)]
-                    row = (key, no, start, length, zlib.crc32(part))
-                    rows.append((*row, part) if ids else row)
+                    rows.append((no, start, length, zlib.crc32(part), part))
+                    source.append(at)
                     start, no = start + length, no + 1
-            columns = [f.split()[0] for f in PIECES.split(", ")] + ["ids"] * ids
-            out = pd.DataFrame(rows, columns=columns)
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+            columns = [[r[i] for r in rows] for i in range(5)]
+            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()][: 5 if ids else 4]
+            arrays = [batch.column(0).take(pa.array(source, pa.int32()))] + [pa.array(c, k) for c, k in zip(columns, kinds, strict=False)]
+            yield pa.RecordBatch.from_arrays(arrays, [f.split()[0] for f in schema.split(", ")])
 
     source = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    return source.mapInPandas(cut, PIECES + (", ids binary" if ids else ""))
+    return source.mapInArrow(cut, schema)
 
 
 # --- packing ----------------------------------------------------------------------------------
@@ -135,45 +136,51 @@ def best_fit(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np
     return bins, offsets, np.asarray(fills, np.int64)
 
 
-def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Frames of at most ``WINDOW`` bins (and one batch), never cutting a bin: rows come sorted by bin."""
-    held: list[pd.DataFrame] = []
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of at most ``WINDOW`` rows (and one batch), never cutting a bin: rows come sorted by bin."""
+    held: list[pa.Table] = []
     count = 0
     for batch in batches:
-        held.append(batch)
-        count += len(batch)
+        if not batch.num_rows:
+            continue
+        held.append(pa.Table.from_batches([batch]))
+        count += batch.num_rows
         if count >= WINDOW:
-            frame = pd.concat(held, ignore_index=True)
-            last = frame["sequence_id"].iloc[-1]
-            whole = frame["sequence_id"] != last
-            if whole.any():
-                yield frame[whole].reset_index(drop=True)
-                frame = frame[~whole]
-            held, count = [frame], len(frame)
+            table = pa.concat_tables(held)
+            bins = table["sequence_id"].to_numpy()
+            cut = int(np.argmax(bins == bins[-1]))  # where the last bin begins
+            if cut:
+                yield table.slice(0, cut)
+                table = table.slice(cut)
+            held, count = [table], table.num_rows
     if count:
-        yield pd.concat(held, ignore_index=True)
+        yield pa.concat_tables(held)
 
 
 def _round(rows: DataFrame, size: int, number: int, slack: int) -> DataFrame:
     """Packs the bins of each partition as items; ``_open`` marks bins with more than ``slack`` left."""
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         task = TaskContext.get().partitionId()
         made = 0
-        for frame in _windows(batches):
-            old, index = np.unique(frame["sequence_id"].to_numpy(), return_inverse=True)
-            lengths = np.bincount(index, weights=frame["_size"].to_numpy(), minlength=len(old)).astype(np.int64)
+        for table in _windows(batches):
+            old, index = np.unique(table["sequence_id"].to_numpy(), return_inverse=True)
+            lengths = np.bincount(index, weights=table["_size"].to_numpy(), minlength=len(old)).astype(np.int64)
             bins, offsets, fills = best_fit(lengths, size)
-            frame["offset"] = frame["offset"].to_numpy() + offsets[index]
-            frame["sequence_id"] = (number << 56) + (task << 36) + made + bins[index]
-            frame["_open"] = (size - fills[bins[index]]) > slack
-            frame["_task"] = task
+            new = {
+                "sequence_id": pa.array((number << 56) + (task << 36) + made + bins[index]),
+                "offset": pa.array(table["offset"].to_numpy() + offsets[index]),
+                "_open": pa.array((size - fills[bins[index]]) > slack),
+                "_task": pa.array(np.full(table.num_rows, task, np.int32)),
+            }
+            for name, column in new.items():
+                table = table.set_column(table.schema.get_field_index(name), name, column)
             made += len(fills)
-            yield frame
+            yield from table.combine_chunks().to_batches()
 
-    return rows.mapInPandas(pack, rows.schema)
+    return rows.mapInArrow(pack, rows.schema)
 
 
 def pack(items: DataFrame, length: str, size: int = 1024, slack: int | None = None) -> DataFrame:
