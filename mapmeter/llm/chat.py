@@ -84,11 +84,11 @@ def _tokens(nodes: DataFrame, tokenizer: str, loss_role: str) -> DataFrame:
                 end = at + len(body) if role == loss_role else at
                 rows.append((np.concatenate([head, body, tail]).astype(np.int32), at, end))
             yield pd.DataFrame({
-                "node": batch["node"], "path": batch["path"], "ids": [r[0] for r in rows], "length": [len(r[0]) for r in rows],
-                "loss_start": [r[1] for r in rows], "loss_end": [r[2] for r in rows],
+                "node": batch["node"], "parent": batch["parent"], "depth": batch["depth"], "order": batch["order"], "ids": [r[0] for r in rows],
+                "length": [len(r[0]) for r in rows], "loss_start": [r[1] for r in rows], "loss_end": [r[2] for r in rows],
             })
 
-    return nodes.mapInPandas(encode, "node string, path array<string>, ids array<int>, length long, loss_start int, loss_end int")
+    return nodes.mapInPandas(encode, "node string, parent string, depth int, order string, ids array<int>, length long, loss_start int, loss_end int")
 
 
 def prefix_tree(convs: DataFrame, tokenizer: str, loss_role: str = "assistant") -> DataFrame:
@@ -98,41 +98,47 @@ def prefix_tree(convs: DataFrame, tokenizer: str, loss_role: str = "assistant")
     ``intervals`` the (start, end) parts of the stream it may attend to before itself, in order, neighbours merged.
     Conversations as :func:`conversations` gives them; without any there are no nodes.
     """
-    places = convs.select(F.posexplode("path").alias("depth", "node"), "path", "turns")
-    nodes = (
-        places.select("node", F.slice("path", 1, F.col("depth") + 1).alias("path"), F.get("turns", F.col("depth"))["role"].alias("role"), F.get("turns", F.col("depth"))["text"].alias("text"))
-        .groupBy("node")
-        .agg(F.first("path").alias("path"), F.first("role").alias("role"), F.first("text").alias("text"))
-    )
     # digests of the history, one behind the other, sort depth-first
-    order = F.array_join(F.transform("path", lambda p: F.substring(p, 1, 12)), "")
-    ordered = _tokens(nodes, tokenizer, loss_role).withColumn("order", order).repartitionByRange(F.col("order"), F.col("node"))
-    ordered = settle(ordered.withColumn("part", F.spark_partition_id()), "nodes")
+    turn = lambda t, i: F.struct(
+        F.get("path", i).alias("node"), F.get("path", i - 1).alias("parent"), i.alias("depth"),
+        F.array_join(F.transform(F.slice("path", 1, i + 1), lambda p: F.substring(p, 1, 16)), "").alias("order"), t["role"].alias("role"), t["text"].alias("text"),
+    )
+    places = convs.select(F.explode(F.transform("turns", turn)).alias("n")).select("n.*")
+    nodes = places.groupBy("node").agg(*[F.first(c).alias(c) for c in ("parent", "depth", "order", "role", "text")])
+    tokens = settle(_tokens(nodes, tokenizer, loss_role), "tokens")
 
-    # a running sum over the stream: within parts, and over the parts' sums (one row each)
+    # a running sum over the stream: within parts of the sorted nodes, and over the parts' sums (one row each)
+    ordered = tokens.select("node", "order", "length").repartitionByRange(F.col("order"), F.col("node"))
+    ordered = settle(ordered.withColumn("part", F.spark_partition_id()), "ordered")
     sums = ordered.groupBy("part").agg(F.sum("length").alias("total"))
     before = sums.select("part", F.coalesce(F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     inner = Window.partitionBy("part").orderBy("order", "node").rowsBetween(Window.unboundedPreceding, -1)
     placed = ordered.join(F.broadcast(before), "part").withColumn("start", F.col("before") + F.coalesce(F.sum("length").over(inner), F.lit(0)))
-    placed = settle(placed.drop("part", "before", "order"), "placed")
-
-    above = placed.select("node", F.explode(F.slice("path", 1, F.size("path") - 1)).alias("ancestor"))
-    spans = placed.select(F.col("node").alias("ancestor"), F.col("start").alias("from"), (F.col("start") + F.col("length")).alias("to"))
-    seen = above.join(spans, "ancestor").groupBy("node").agg(F.array_sort(F.collect_list(F.struct(F.col("from").alias("start"), F.col("to").alias("end")))).alias("seen"))
-    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    merged = F.aggregate(
-        "seen",
-        none,
-        lambda acc, s: F.when(
-            (F.size(acc) > 0) & (F.element_at(acc, -1)["end"] == s["start"]),
-            F.array_append(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.struct(F.element_at(acc, -1)["start"].alias("start"), s["end"].alias("end"))),
-        ).otherwise(F.array_append(acc, s)),
-    )
-    return placed.join(seen.select("node", merged.alias("intervals")), "node", "left").select(
-        "node", F.get("path", F.size("path") - 2).alias("parent"), (F.size("path") - 1).alias("depth"), "ids", "length", "loss_start", "loss_end", "start",
-        F.aggregate(F.coalesce("intervals", none), F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"]).alias("position"),
-        F.coalesce("intervals", none).alias("intervals"),
-    )
+    placed = settle(placed.select("node", "start", "length"), "placed")
+
+    # each distinct conversation looks once at its own turns, whose ancestors are the turns before
+    leaves = convs.where(F.size("path") > 0).groupBy(F.element_at("path", -1).alias("leaf")).agg(F.first("path").alias("path"))
+    along = leaves.select("leaf", F.posexplode("path").alias("at", "node")).join(placed.select("node", "start", "length"), "node")
+    lines = along.groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("at", "node", "start", "length"))).alias("line"))
+    seen = lines.select("line.node", "line.start", "line.length").mapInPandas(_ancestors, "node string, position long, intervals array<struct<start:bigint,end:bigint>>")
+    around = placed.select("node", "start").join(seen.dropDuplicates(["node"]), "node")
+    return tokens.drop("order").join(around, "node")
+
+
+def _ancestors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """From a conversation's nodes to what each of them has before it: tokens, and intervals of the stream."""
+    for batch in batches:
+        rows = []
+        for nodes, starts, lengths in zip(batch["node"], batch["start"], batch["length"], strict=True):
+            position, intervals = 0, []
+            for node, start, length in zip(nodes, starts.tolist(), lengths.tolist(), strict=True):
+                rows.append((node, position, [{"start": s, "end": e} for s, e in intervals]))
+                position += length
+                if intervals and intervals[-1][1] == start:
+                    intervals[-1] = (intervals[-1][0], start + length)
+                else:
+                    intervals.append((start, start + length))
+        yield pd.DataFrame(rows, columns=["node", "position", "intervals"])
 
 
 def read_back(tree: DataFrame, convs: DataFrame, tokenizer: str) -> DataFrame:
