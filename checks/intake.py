@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from checks.fixtures import (
@@ -10,12 +12,26 @@ from checks.fixtures import (
 from checks.registry import check
 from mapmeter.functions import jsons, ogc, values
 from mapmeter.operators import apps, archive, ingest, layers, lookups, maintenance, reconcile, records, telemetry, text
+from mapmeter.plans import ingestion
 from mapmeter.schemas import LEGACY_SCHEMA, OTEL_SCHEMA
 from mapmeter.session import fresh_path
 from mapmeter.settings import COMBINED_PATTERN, NETTY_SCOPE, Settings
 from mapmeter.sources import csvs, logs, tables
 
 CUTOFF = "2024-01-20 12:00:00"
+NETTY_MESSAGE = r"^netty (?P<path>/\S*)$"
+
+# the two sides of each access, and what becomes of them; see _two_sides
+RECONCILED_SQL = with_lines(
+    ", placed AS (SELECT *, CASE WHEN k % 13 <> 7 THEN TIMESTAMP '2024-01-01 00:00:00' + to_seconds(event_id * 3) END AS at0,"
+    " CASE WHEN k % 9 = 4 THEN NULL WHEN k % 8 = 0 THEN 'hot' ELSE id END AS span FROM lines),"
+    " every AS (SELECT *, at0 AS t FROM placed UNION ALL SELECT *, at0 + INTERVAL 2 SECOND FROM placed WHERE k % 10 = 5),"
+    " n AS (SELECT span, event_id, t + INTERVAL 200 MILLISECOND AS t, t AS t0, concat('netty ', url) AS message FROM every WHERE k % 3 < 2),"
+    " g AS (SELECT span, event_id, t, user_name FROM every WHERE k % 3 > 0),"
+    " merged AS (SELECT coalesce(n.span, g.span) AS span_id, n.message AS message,"
+    f" concat(CASE WHEN n.message IS NOT NULL THEN '{NETTY_SCOPE}' ELSE '' END, CASE WHEN g.event_id IS NOT NULL THEN '{SCOPES[0]}' ELSE '' END) AS scope,"
+    " coalesce(g.t, n.t) AS timestamp, g.user_name AS user_name FROM n FULL OUTER JOIN g ON n.span = g.span AND n.t0 = g.t)"
+)
 
 
 def _line_files(spark, sf):
@@ -522,22 +538,30 @@ def unnest_layers(spark, sf):
 
 @check(
     "reconcile_j6",
-    with_lines(
-        ", n AS (SELECT id, concat('netty ', url) AS message FROM lines WHERE k % 3 < 2), g AS (SELECT id, ts, user_name FROM lines WHERE k % 3 > 0)"
-        f" SELECT coalesce(n.id, g.id) AS span_id, n.message AS message, concat(CASE WHEN n.id IS NOT NULL THEN '{NETTY_SCOPE}' ELSE '' END, CASE WHEN g.id IS NOT NULL THEN '{SCOPES[0]}' ELSE '' END) AS scope,"
-        " g.ts AS timestamp, g.user_name AS user_name FROM n FULL OUTER JOIN g ON n.id = g.id"
-    ),
+    RECONCILED_SQL + " SELECT * FROM merged",
 )
 def reconcile_batch(spark, sf):
-    netty, gateway = _two_sides(spark, sf)
-    out = reconcile.reconcile(netty, gateway)
-    return out.select(
+    return _reconciled(reconcile.reconcile(*_two_sides(spark, sf)))
+
+
+def _reconciled(df):
+    return df.select(
         "span_id", "message", F.col("scope.name").alias("scope"), "timestamp", F.col("attributes")["enduser.id"].alias("user_name")
     )
 
 
 def _two_sides(spark, sf):
+    """Netty and gateway records of the requests: both (k % 3 = 1) or one; a hot span (k % 8 = 0) whose records
+    lie far apart; spans repeated after a while (k % 10 = 5); no span (k % 9 = 4) and no time (k % 13 = 7)."""
     df = otel(spark, sf).withColumn("_url", F.substr("message", F.lit(5)))
+    df = df.withColumns(
+        {
+            "timestamp": F.expr("CASE WHEN k % 13 <> 7 THEN timestamp_seconds(1704067200 + event_id * 3) END"),
+            "span_id": F.expr("CASE WHEN k % 9 = 4 THEN NULL WHEN k % 8 = 0 THEN 'hot' ELSE span_id END"),
+        }
+    )
+    again = df.filter("k % 10 = 5").withColumn("timestamp", F.expr("timestamp + INTERVAL 2 SECONDS"))
+    df = df.unionByName(again)
     netty = df.filter("k % 3 < 2").withColumns(
         {
             "timestamp": F.expr("timestamp + INTERVAL 200 MILLISECONDS"),
@@ -550,6 +574,38 @@ def _two_sides(spark, sf):
     return netty.select(*names), gateway.select(*names)
 
 
+@check(
+    "reconciled_to_facts",
+    RECONCILED_SQL
+    + """ SELECT kind, count(*) AS nb, count(DISTINCT id) AS ids, CAST(sum(has_user) AS BIGINT) AS users, CAST(sum(has_path) AS BIGINT) AS paths FROM (
+            SELECT CASE WHEN timestamp IS NULL THEN 'rejected' WHEN scope = {both} THEN 'merged' WHEN scope = {netty} THEN 'netty' ELSE 'gateway' END AS kind,
+                   CASE WHEN span_id IS NULL OR timestamp IS NULL THEN concat('x', row_number() OVER ()) ELSE concat(span_id, timestamp) END AS id,
+                   CASE WHEN user_name IS NOT NULL AND timestamp IS NOT NULL THEN 1 ELSE 0 END AS has_user, CASE WHEN timestamp IS NOT NULL THEN 1 ELSE 0 END AS has_path
+            FROM merged) GROUP BY kind""".replace("{both}", f"'{NETTY_SCOPE}{SCOPES[0]}'").replace("{netty}", f"'{NETTY_SCOPE}'"),
+)
+def reconciled_to_facts(spark, sf):
+    """From the two sides to facts: merged, lone and unreadable records, none lost. Done twice, with one result."""
+    netty, gateway = fresh_path(spark, "netty"), fresh_path(spark, "gateway")
+    for side, path in zip(_two_sides(spark, sf), (netty, gateway)):
+        side.write.parquet(path)
+    table, rejects = fresh_path(spark, "access_logs"), fresh_path(spark, "rejects")
+    settings = replace(SETTINGS, parse_message=True, message_pattern=NETTY_MESSAGE)
+    for _ in range(2):
+        ingestion.ingest_reconciled(spark, netty, gateway, table, settings, "2030-01-01", rejects=rejects, unsupported="keep")
+    df = tables.read_access_logs(spark, table)
+    logger = F.col("context_data.logger")
+    kind = F.when(logger == NETTY_SCOPE + SCOPES[0], "merged").when(logger == NETTY_SCOPE, "netty").otherwise("gateway")
+    facts_ = df.select(kind.alias("kind"), F.concat("id", F.col("ts").cast("string")).alias("id"), "user_name", "request_path")
+    # the second run rejects the same rows again
+    lost = spark.read.parquet(rejects).select(F.lit("rejected").alias("kind"), "message").groupBy("kind").agg((F.count(F.lit(1)) / 2).cast("bigint").alias("nb"))
+    lost = lost.select("kind", "nb", F.col("nb").alias("ids"), F.lit(0).cast("bigint").alias("users"), F.lit(0).cast("bigint").alias("paths"))
+    return facts_.groupBy("kind").agg(
+        F.count(F.lit(1)).alias("nb"), F.count_distinct("id").alias("ids"),
+        F.sum((F.coalesce("user_name", F.lit("")) != "").cast("bigint")).alias("users"),
+        F.sum((F.coalesce("request_path", F.lit("")) != "").cast("bigint")).alias("paths"),
+    ).unionByName(lost)
+
+
 @check(
     "lookup_user_agent_j7",
     with_facts("SELECT event_id, user_agent_family, CASE k % 4 WHEN 0 THEN '102.0' WHEN 1 THEN '3.28' WHEN 2 THEN '115.0' END AS user_agent_version FROM facts"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.fixtures import SCOPES, SETTINGS, base, facts, flat, lines, with_base, with_facts, with_lines
-from checks.intake import _line_files, _two_sides
+from checks.intake import RECONCILED_SQL, _line_files, _reconciled, _two_sides
 from checks.registry import check
 from mapmeter.functions import times
 from mapmeter.operators import ingest, layers, maintenance
@@ -13,7 +13,6 @@ from mapmeter.operators.text import parse_text_logs
 from mapmeter.plans import reports, rollups
 from mapmeter.schemas import ACCESS_LOG_SCHEMA, OTEL_SCHEMA
 from mapmeter.session import fresh_path
-from mapmeter.settings import NETTY_SCOPE
 from mapmeter.sources import logs, tables
 from mapmeter.streaming import jobs
 
@@ -419,22 +418,16 @@ def dedupe_stream(spark, sf):
     return out.groupBy("id").agg(F.count(F.lit(1)).alias("nb"))
 
 
-@check(
-    "reconcile_stream_st4",
-    with_lines(
-        ", n AS (SELECT id, ts + INTERVAL 200 MILLISECONDS AS ts, concat('netty ', url) AS message FROM lines WHERE k % 3 < 2), g AS (SELECT id, ts FROM lines WHERE k % 3 > 0)"
-        " SELECT g.id AS span_id, n.message AS message, g.ts AS timestamp FROM g JOIN n ON n.id = g.id"
-    ),
-)
+@check("reconcile_stream_st4", RECONCILED_SQL + " SELECT * FROM merged")
 def reconcile_stream(spark, sf):
-    """The matched records; lone ones at the end of the data still wait for the watermark."""
-    netty, gateway = _two_sides(spark, sf)
-    sides = [
-        spark.readStream.schema(OTEL_SCHEMA).parquet(_fact_files(spark, side)) for side in (netty, gateway)
-    ]
+    """The same records as in batch; one far ahead on each side moves the watermark past all others."""
+    sides = []
+    for side in _two_sides(spark, sf):
+        last = side.limit(1).withColumns({"timestamp": F.lit("2030-01-01").cast("timestamp"), "span_id": F.lit("end")})
+        files = _fact_files(spark, side.unionByName(last).coalesce(1))
+        sides.append(spark.readStream.schema(OTEL_SCHEMA).parquet(files))
     out = _collected(jobs.reconcile_stream(*sides), spark)
-    both = f"{NETTY_SCOPE}{SCOPES[0]}"
-    return out.filter(F.col("scope.name") == both).select("span_id", "message", "timestamp")
+    return _reconciled(out.filter("span_id IS NULL OR span_id <> 'end'"))
 
 
 @check(

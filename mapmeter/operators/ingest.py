@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from mapmeter.session import BROADCAST_ROWS, fits_broadcast, persist_table
 from mapmeter.sources.tables import read_access_logs, table_exists, write_access_logs
 
 KEYS = ("ts", "id")
@@ -55,34 +54,34 @@ def append_if_absent(
     path: str,
     keys: Sequence[str] = KEYS,
     order: Sequence[str | Column] = ("message",),
-    max_rows: int = BROADCAST_ROWS,
 ) -> None:
-    """Append the rows whose key is not yet in the table; running it twice changes nothing.
+    """Append the rows whose key is not yet in the table; running it twice changes nothing for rows with a key.
 
-    The de-duplicated batch is written once to the shared folder. From there its date range is read (one
-    column) to prune the table before the anti-join, and rows without id go around the join, as they
-    cannot match. A batch that is small by count is broadcast, so that the keys of a large table are
-    filtered where they are read; otherwise both sides are shuffled. One writer at a time is assumed.
+    A row with a NULL key part conflicts with nothing, in the table or in the batch, and is appended each time. Of
+    equal keys in the batch the first by ``order`` is kept. The batch's dates (one column, a few values) prune the
+    table to its own partitions, so a stray old row opens one more day and not all between. De-duplication and
+    anti-join share one shuffle by date and key. One writer at a time is assumed.
     """
-    unique = dedupe_keep_first(new, keys, order)
+    full = ["ts_date", *keys]
     if not table_exists(spark, path):
-        write_access_logs(unique, path)
+        write_access_logs(dedupe_keep_first(new, full, order), path)
         return
-    batch = persist_table(unique, "batch")
-    first, last = batch.agg(F.min("ts_date"), F.max("ts_date")).first()
-    if first is None:
-        return
-    identity = F.col(keys[-1])
-    table = read_access_logs(spark, path).filter(F.col("ts_date").between(F.lit(first), F.lit(last)))
-    present = table.filter(identity.isNotNull()).select(*keys)
-    keyed = batch.filter(identity.isNotNull())
-    wanted = keyed.select(*keys)
-    if fits_broadcast(wanted, max_rows):
-        present = present.join(F.broadcast(wanted), list(keys), "left_semi")
-    fresh = absent_rows(keyed, present, keys).unionByName(batch.filter(identity.isNull()))
+    dates = [r[0] for r in new.select("ts_date").distinct().collect()]
+    missing = F.lit(False)
+    for k in full:
+        missing = missing | F.col(k).isNull()
+    present = read_access_logs(spark, path).filter(F.col("ts_date").isin([d for d in dates if d is not None])).select(*full)
+    fresh = absent_rows(dedupe_keep_first(new.filter(~missing), full, order), present, full)
+    if None in dates or new.schema[keys[-1]].nullable:
+        fresh = fresh.unionByName(new.filter(missing))
     write_access_logs(fresh.select(*new.columns), path)
 
 
+def split_unreadable(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Records with a time, and those without: the latter belong to no day and no bucket."""
+    return records.filter(F.col("ts").isNotNull()), records.filter(F.col("ts").isNull())
+
+
 def page(df: DataFrame, offset: int, limit: int, time: str = "timestamp", tie: str = "span_id") -> DataFrame:
     """One page, newest first. For looking at data; ingestion reads everything at once."""
     return df.orderBy(F.desc_nulls_first(time), F.asc_nulls_last(tie)).offset(offset).limit(limit)

@@ -10,30 +10,27 @@ from pyspark.sql import functions as F
 from mapmeter.functions.agents import AGENT_RULES, OS_RULES, AgentRule, user_agent_fields
 from mapmeter.functions.base import literal_map
 from mapmeter.functions.values import trim_slashes
-from mapmeter.session import BROADCAST_ROWS, checked_broadcast, persist_table
 from mapmeter.settings import Settings
 
-# A mapping given as a Python dict is small by nature; beyond this it belongs in a table.
-MAX_LITERAL = 1_000
-
 
 def app_name(app_id: Column, mapping: Mapping[str, str], multi_domain: bool = False) -> Column:
-    """Software behind ``app_id``: the mapped name, or else the id without its slashes."""
-    if len(mapping) > MAX_LITERAL:
-        raise ValueError("a mapping of this size belongs in a DataFrame: use lookup_app")
+    """Software behind ``app_id``: the mapped name, or else the id without its slashes.
+
+    The mapping becomes part of the expression; one that has grown large belongs in a table (:func:`lookup_app`).
+    """
     bare = trim_slashes(app_id)
     if multi_domain:
         return F.coalesce(literal_map(mapping)[app_id], bare)
     return F.coalesce(literal_map({k.strip("/"): v for k, v in mapping.items()})[bare], bare)
 
 
-def lookup_app(df: DataFrame, mapping: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Left join on ``mapping(app_id, app_name)``, one row per id; unmapped ids keep their bare form."""
-    names = mapping.select("app_id", F.col("app_name").alias("_mapped"))
-    joined = df.drop("app_name").join(checked_broadcast(names, max_rows), "app_id", "left")
-    return joined.withColumn(
-        "app_name", F.coalesce("_mapped", trim_slashes(F.col("app_id")))
-    ).drop("_mapped")
+def lookup_app(df: DataFrame, mapping: DataFrame, multi_domain: bool = False) -> DataFrame:
+    """As :func:`app_name`, from a table ``(app_id, app_name)``. Of repeated ids the smallest name counts, so no row
+    of ``df`` is multiplied."""
+    key = (lambda c: c) if multi_domain else trim_slashes
+    names = mapping.select(key(F.col("app_id")).alias("_key"), F.col("app_name").alias("_name")).groupBy("_key").agg(F.min("_name").alias("_mapped"))
+    joined = df.drop("app_name").withColumn("_own", key(F.col("app_id"))).join(names, F.col("_own") == F.col("_key"), "left")
+    return joined.withColumn("app_name", F.coalesce("_mapped", trim_slashes(F.col("app_id")))).drop("_mapped", "_own", "_key")
 
 
 def formats_table(df: DataFrame, settings: Settings) -> DataFrame:
@@ -50,9 +47,9 @@ def formats_table(df: DataFrame, settings: Settings) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "app_name string, kind string, format string, label string")
 
 
-def lookup_format(df: DataFrame, formats: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def lookup_format(df: DataFrame, formats: DataFrame) -> DataFrame:
     """Left join on ``(app_name, kind, format)``: adds ``label`` and ``known_format``."""
-    joined = df.join(checked_broadcast(formats, max_rows), ["app_name", "kind", "format"], "left")
+    joined = df.join(formats, ["app_name", "kind", "format"], "left")
     return joined.withColumn("known_format", F.col("label").isNotNull())
 
 
@@ -61,20 +58,6 @@ def lookup_user_agent(
     agent: str,
     agents: Sequence[AgentRule] = AGENT_RULES,
     systems: Sequence[AgentRule] = OS_RULES,
-    max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Classify each distinct agent once and join the result back.
-
-    The distinct runs map-side first, so a hot agent costs one row per task. The dimension is written
-    once, and broadcast when a count shows it small; otherwise Spark joins by shuffle, where adaptive
-    execution splits hot agents.
-    """
-    dimension = persist_table(
-        df.select(F.col(agent).alias("_ua"))
-        .filter(F.col("_ua").isNotNull())
-        .distinct()
-        .withColumn("_fields", user_agent_fields(F.col("_ua"), agents, systems))
-        .select("_ua", "_fields.*"),
-        "agents",
-    )
-    return df.join(checked_broadcast(dimension, max_rows), df[agent] == F.col("_ua"), "left").drop("_ua")
+    """Add the details of each row's user agent, in one pass: the rules are a few constants."""
+    return df.withColumn("_fields", user_agent_fields(F.col(agent), agents, systems)).select(*df.columns, "_fields.*")

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from mapmeter.functions import urls, values
 from mapmeter.functions.base import last_wins, settle
 from mapmeter.operators.apps import BUILT_IN, Processor, with_details
-from mapmeter.operators.lookups import app_name
+from mapmeter.operators.lookups import app_name, lookup_app
+from mapmeter.operators.reconcile import has_span
 from mapmeter.operators.records import as_access_records, prefer
 from mapmeter.operators.text import parse_line
 from mapmeter.settings import ACCESS_SCOPE_REGEX, Settings
@@ -21,7 +22,10 @@ PARAMETER_PREFIX = "http.request.parameter."
 def filter_scope(
     df: DataFrame, names: Iterable[str] | None = None, regex: str = ACCESS_SCOPE_REGEX
 ) -> DataFrame:
-    """Keep the records of access loggers, by exact names or by regex."""
+    """Keep the records of access loggers, by exact names or by regex.
+
+    For records of one source. Merged records carry the names of both loggers: filter each side before the merge.
+    """
     scope = F.col("scope.name")
     return df.filter(scope.isin(*names) if names else scope.rlike(regex))
 
@@ -45,11 +49,18 @@ def with_params_fallback(params: Column, parsed: Column) -> Column:
 
 
 def otel_generics(df: DataFrame) -> DataFrame:
-    """Add time, id, message and context of each record; message and span stay as they are."""
+    """Add time, id, message and context of each record; message and span stay as they are.
+
+    The id is the span's; a record without one gets a digest of its content, so that reading it again adds nothing.
+    """
+    content = F.concat_ws(
+        "\x1f", F.col("timestamp").cast("string"), "trace_id", "message", "scope.name",
+        F.array_join(F.array_sort(F.transform(F.map_entries("attributes"), lambda e: F.concat_ws("=", e["key"], e["value"]))), "\x1e"),
+    )
     return df.withColumns(
         {
             "ts": F.col("timestamp"),
-            "id": F.col("span_id"),
+            "id": F.when(has_span(F.col("span_id")), F.col("span_id")).otherwise(values.request_id(content)),
             "context_data": F.struct(
                 F.col("source_type").alias("source_type"),
                 F.col("span_id").alias("span_id"),
@@ -111,37 +122,48 @@ def otel_mdc(df: DataFrame, settings: Settings) -> DataFrame:
     ).drop("_url", "_sent")
 
 
+# groups of a message pattern, and the attributes they stand in for
+MESSAGE_ATTRIBUTES = {
+    "method": ("http.request.method",),
+    "status_code": ("http.status_code",),
+    "response_size": ("http.response.body.size_bytes",),
+    "client_ip": ("client.address",),
+    "server_address": ("server.address",),
+    "user_agent": ("http.request.header.User-Agent",),
+    "referrer": ("http.request.header.Referer",),
+}
+
+
 def merge_message(df: DataFrame, settings: Settings) -> DataFrame:
-    """Fill what the attributes leave blank from the text message, where the pattern matches it.
+    """Fill the attributes that are missing or blank from the text message, where its pattern matches.
 
-    Attributes win; a message that does not match leaves the record as it is.
+    Path and query string are only taken where no attribute tells where the request went. Attributes win; a message
+    that does not match leaves the record as it is.
     """
-    names = [
-        ("method", "request_method"), ("status_code", "status_code"), ("response_size", "response_size"),
-        ("response_time", "response_time"), ("client_ip", "client_ip"), ("user", "user_name"),
-        ("user_agent", "_agent"),
-    ]
-    parsed = parse_line(df.select(F.col("message").alias("_text"), F.struct("*").alias("_record")), settings.text_pattern, "_text")
-    fills: dict[str, Column] = {}
-    for group, target in names:
-        if group not in parsed.columns:
-            continue
-        text, kept = F.col(group), F.col(f"_record.{target}")
-        if target in ("status_code", "response_size"):
-            fills[target] = F.coalesce(kept, values.int_or_none(text))
-        elif target == "response_time":
-            fills[target] = F.coalesce(kept, values.response_time_ms(text, settings.response_time_unit))
-        elif target == "user_name":
-            user = values.split_user(text)
-            fills["user_id"] = F.coalesce(prefer(F.col("_record.user_id"), user["name"]), F.lit(""))
-            fills["user_name"] = F.coalesce(prefer(kept, user["name"]), F.lit(""))
-            fills["org_id"] = F.coalesce(prefer(F.col("_record.org_id"), user["org"]), F.lit(""))
-            fills["org_name"] = F.coalesce(prefer(F.col("_record.org_name"), user["org"]), F.lit(""))
-        else:
-            fills[target] = F.coalesce(prefer(kept, text), F.lit(""))
-    return parsed.select(
-        *[fills.get(c, F.col(f"_record.{c}")).alias(c) for c in df.columns]
+    pattern = settings.message_pattern or settings.text_pattern
+    parsed = parse_line(df.select(F.col("message").alias("_text"), F.struct("*").alias("_record")), pattern, "_text")
+    have = parsed.columns
+    told: list[tuple[str, Column]] = [(key, F.col(group)) for group, keys in MESSAGE_ATTRIBUTES.items() if group in have for key in keys]
+    sent = F.coalesce(F.col("_record.attributes"), F.create_map().cast("map<string,string>"))
+    if "path" in have:
+        there = prefer(sent["http.request.url"], sent["http.request.path"]).isNotNull()
+        told.append(("http.request.url", F.when(~there, F.col("path"))))
+    if "response_time" in have:
+        told.append(("http.response.duration_ms", values.response_time_ms(F.col("response_time"), settings.response_time_unit).cast("string")))
+    if "user" in have:
+        user = values.split_user(F.col("user"))
+        told += [("enduser.uuid", user["name"]), ("enduser.id", user["name"]), ("enduser.org.uuid", user["org"]), ("enduser.org.id", user["org"])]
+        told.append(("enduser.roles", F.array_join(user["roles"], ",")))
+    if not told:
+        return df
+    fills = F.filter(
+        F.array(*[F.struct(F.lit(k).alias("key"), v.cast("string").alias("value")) for k, v in told]),
+        lambda e: e["value"].isNotNull() & (e["value"] != "") & (F.coalesce(sent[e["key"]], F.lit("")) == ""),
     )
+    names = F.transform(fills, lambda e: e["key"])
+    kept = F.map_filter(sent, lambda k, _: ~F.array_contains(names, k))
+    attributes = F.when(F.size(fills) > 0, F.map_concat(kept, F.map_from_entries(fills))).otherwise(F.col("_record.attributes"))
+    return parsed.select(*[(attributes if c == "attributes" else F.col(f"_record.{c}")).alias(c) for c in df.columns])
 
 
 def parse_telemetry(
@@ -149,9 +171,16 @@ def parse_telemetry(
     settings: Settings,
     registry: tuple[Processor, ...] = BUILT_IN,
     unsupported: str = "drop",
+    mapping: DataFrame | None = None,
 ) -> DataFrame:
-    """Telemetry records to access records; requests without processor are dropped by default."""
-    df = otel_mdc(otel_generics(df), settings)
+    """Telemetry records to access records; requests without processor are dropped by default.
+
+    ``mapping(app_id, app_name)`` stands in for ``settings.apps_mapping`` where that is a table.
+    """
+    df = otel_generics(df)
     if settings.parse_message:
         df = merge_message(df, settings)
+    df = otel_mdc(df, settings)
+    if mapping is not None:
+        df = lookup_app(df, mapping, settings.multi_domain)
     return as_access_records(with_details(df, settings, registry, unsupported), settings)

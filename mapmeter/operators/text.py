@@ -5,13 +5,13 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from mapmeter.functions import urls, values
 from mapmeter.functions.base import settle, settle_groups
 from mapmeter.operators.apps import BUILT_IN, Processor, with_details
-from mapmeter.operators.lookups import app_name
+from mapmeter.operators.lookups import app_name, lookup_app
 from mapmeter.operators.records import as_access_records
 from mapmeter.settings import Settings
 
@@ -42,11 +42,27 @@ def with_constants(df: DataFrame, extra_info: Mapping[str, str]) -> DataFrame:
 
 def drop_unparsed(df: DataFrame) -> DataFrame:
     """Keep lines that matched and name an application by path or id."""
+    return df.filter(readable(df)).drop("_parsed")
+
+
+def readable(df: DataFrame) -> Column:
+    """Whether a line matched the pattern and names an application."""
     known = F.lit(False)
     for name in ("app_path", "app_id"):
         if name in df.columns:
             known = known | (F.coalesce(F.col(name), F.lit("")) != "")
-    return df.filter(F.col("_parsed") & known).drop("_parsed")
+    return F.coalesce(F.col("_parsed") & known, F.lit(False))
+
+
+def number_repeats(df: DataFrame) -> DataFrame:
+    """Equal lines of one file counted once, with map-side combining, and laid out again with ``repeat`` from 0.
+
+    Times in logs are whole seconds, so equal lines are different accesses; with its number each gets an id of its
+    own, and the same one when the file is read again. Lines of different files stay equal: a copied file adds nothing.
+    """
+    keys = [c for c in ("value", "source") if c in df.columns]
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias("_many"))
+    return counted.select(*keys, F.explode(F.sequence(F.lit(0), F.col("_many") - 1)).alias("repeat"))
 
 
 def _or_null(df: DataFrame, name: str):
@@ -58,12 +74,19 @@ def parse_text_logs(
     settings: Settings,
     registry: tuple[Processor, ...] = BUILT_IN,
     unsupported: str = "keep",
+    mapping: DataFrame | None = None,
+    observation: Observation | None = None,
 ) -> DataFrame:
-    """Lines (``value``, optionally ``source``) to access records.
+    """Lines (``value``, optionally ``source`` and ``repeat``) to access records.
 
-    Requests without processor are kept with raw parameters unless ``unsupported`` is ``drop``.
+    Requests without processor are kept with raw parameters unless ``unsupported`` is ``drop``. ``mapping`` stands in
+    for ``settings.apps_mapping`` where that is a table. ``observation`` counts the lines, and those that do not
+    match the pattern or name no application.
     """
-    df = drop_unparsed(with_constants(parse_line(df, settings.text_pattern), settings.extra_info))
+    df = with_constants(parse_line(df, settings.text_pattern), settings.extra_info)
+    if observation is not None:
+        df = df.observe(observation, F.count(F.lit(1)).alias("lines"), F.count_if(~readable(df)).alias("rejected"))
+    df = drop_unparsed(df)
     df = settle(
         df,
         {
@@ -80,8 +103,12 @@ def parse_text_logs(
     )
     df = df.withColumns({"app_path": path, "app_id": identity})
     user = values.split_user(_or_null(df, "user"))
+    # the first of equal lines keeps the plain digest
+    numbered = F.col("value")
+    if "repeat" in df.columns:
+        numbered = F.when(F.col("repeat") > 0, F.concat("value", F.lit("\n"), F.col("repeat").cast("string"))).otherwise(F.col("value"))
     records = df.select(
-        values.request_id(F.col("value")).alias("id"),
+        values.request_id(numbered).alias("id"),
         F.col("_ts").alias("ts"),
         F.col("value").alias("message"),
         "app_id",
@@ -113,6 +140,8 @@ def parse_text_logs(
             _or_null(df, "source").alias("source"),
         ).alias("context_data"),
     )
+    if mapping is not None:
+        records = lookup_app(records, mapping, settings.multi_domain)
     return as_access_records(with_details(records, settings, registry, unsupported), settings)
 
 

@@ -1,18 +1,20 @@
-"""The two batch intakes: buffered telemetry and text files."""
+"""The batch intakes: buffered telemetry, the two sides of a reconciled set-up, and text files."""
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from mapmeter.operators.apps import BUILT_IN, Processor
-from mapmeter.operators.ingest import append_if_absent
+from mapmeter.operators.ingest import append_if_absent, split_unreadable
+from mapmeter.operators.reconcile import reconcile
 from mapmeter.operators.telemetry import filter_scope, parse_telemetry
-from mapmeter.operators.text import parse_text_logs
+from mapmeter.operators.text import number_repeats, parse_line, parse_text_logs, readable, with_constants
 from mapmeter.session import spread, use_utc
-from mapmeter.settings import Settings
-from mapmeter.sources.logs import read_otel_buffer, read_text_logs
+from mapmeter.settings import ACCESS_SCOPE_REGEX, NETTY_SCOPE, Settings
+from mapmeter.sources.logs import before, read_otel_buffer, read_text_logs
 
 
 def ingest_text(
@@ -21,9 +23,34 @@ def ingest_text(
     table: str,
     settings: Settings,
     registry: tuple[Processor, ...] = BUILT_IN,
-) -> None:
-    lines = spread(read_text_logs(use_utc(spark), source))
-    append_if_absent(spark, parse_text_logs(lines, settings, registry), table)
+    mapping: DataFrame | None = None,
+    rejects: str | None = None,
+) -> dict[str, int]:
+    """Append text files; returns how many ``lines`` there were and how many were ``rejected``.
+
+    Rejected are lines that do not match, name no application, or have no readable time. With ``rejects`` given they
+    are also written there, as they came.
+    """
+    lines = spread(number_repeats(read_text_logs(use_utc(spark), source)))
+    seen = Observation()
+    good, bad = split_unreadable(parse_text_logs(lines, settings, registry, mapping=mapping, observation=seen))
+    late = Observation()
+    append_if_absent(spark, good, table)
+    parsed = with_constants(parse_line(lines, settings.text_pattern), settings.extra_info)
+    untimed = bad.select(F.col("message").alias("value"), F.col("context_data.source").alias("source")).observe(late, F.count(F.lit(1)).alias("n"))
+    if rejects is None:
+        untimed.write.format("noop").mode("overwrite").save()
+    else:
+        parsed.filter(~readable(parsed)).select("value", "source").unionByName(untimed).write.mode("append").parquet(rejects)
+    counts = seen.get
+    return {"lines": counts["lines"], "rejected": counts["rejected"] + late.get["n"]}
+
+
+def _append_records(spark: SparkSession, records: DataFrame, table: str, rejects: str | None) -> None:
+    good, bad = split_unreadable(records)
+    append_if_absent(spark, good, table)
+    if rejects is not None:
+        bad.drop("ts_date").write.mode("append").parquet(rejects)
 
 
 def ingest_telemetry(
@@ -34,6 +61,36 @@ def ingest_telemetry(
     cutoff: datetime | str,
     registry: tuple[Processor, ...] = BUILT_IN,
     fmt: str = "parquet",
+    scope: str | None = ACCESS_SCOPE_REGEX,
+    mapping: DataFrame | None = None,
+    rejects: str | None = None,
+) -> None:
+    """Append buffered telemetry. A buffer of already merged records is read with ``scope=None``."""
+    records = read_otel_buffer(use_utc(spark), source, cutoff, fmt)
+    if scope is not None:
+        records = filter_scope(records, regex=scope)
+    _append_records(spark, parse_telemetry(spread(records), settings, registry, mapping=mapping), table, rejects)
+
+
+def ingest_reconciled(
+    spark: SparkSession,
+    netty: str,
+    gateway: str,
+    table: str,
+    settings: Settings,
+    cutoff: datetime | str,
+    registry: tuple[Processor, ...] = BUILT_IN,
+    fmt: str = "parquet",
+    scope: str = ACCESS_SCOPE_REGEX,
+    mapping: DataFrame | None = None,
+    rejects: str | None = None,
+    unsupported: str = "drop",
 ) -> None:
-    records = spread(filter_scope(read_otel_buffer(use_utc(spark), source, cutoff, fmt)))
-    append_if_absent(spark, parse_telemetry(records, settings, registry), table)
+    """Append the accesses of a Netty and a gateway buffer: each is filtered by its scope, then they are merged.
+
+    The cutoff holds for merged records, so that it never parts the two of one access.
+    """
+    use_utc(spark)
+    sides = filter_scope(read_otel_buffer(spark, netty, None, fmt), [NETTY_SCOPE]), filter_scope(read_otel_buffer(spark, gateway, None, fmt), regex=scope)
+    merged = before(reconcile(*sides), cutoff)
+    _append_records(spark, parse_telemetry(merged, settings, registry, unsupported, mapping), table, rejects)

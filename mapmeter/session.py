@@ -1,4 +1,4 @@
-"""Session needs of the library: UTC instants, a shared folder, broadcasts of a checked size."""
+"""Session needs of the library: UTC instants and a shared folder."""
 
 from __future__ import annotations
 
@@ -6,10 +6,9 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-# A lookup table is broadcast only when a count shows that it stays below this.
-BROADCAST_ROWS = 100_000
+# where a local session keeps its intermediate tables if no shared folder is named
+OWN_DIR = "mapmeter.local.dir"
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -22,15 +21,16 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting (tests) gets a temporary folder, and only once.
+    Only a local session without that setting (tests) gets a temporary folder, and only once; the setting itself is
+    left alone.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(OWN_DIR, None)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     folder = tempfile.mkdtemp(prefix="mapmeter-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    spark.conf.set(OWN_DIR, folder)
     return folder
 
 
@@ -52,13 +52,3 @@ def spread(df: DataFrame) -> DataFrame:
     shuffle. An input with enough splits, the normal case, is left as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a bounded count proves that ``df`` has at most ``max_rows`` rows."""
-    return df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
-
-
-def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``small`` for broadcast if it is proved small; else leave the choice to Spark."""
-    return F.broadcast(small) if fits_broadcast(small, max_rows) else small

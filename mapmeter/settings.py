@@ -79,6 +79,7 @@ class Settings:
     apps_mapping: Mapping[str, str] = field(default_factory=dict)
     keys_blacklist: tuple[str, ...] = DEFAULT_KEYS_BLACKLIST
     text_pattern: str = CLF_PATTERN
+    message_pattern: str | None = None  # of the text in telemetry messages; as text_pattern if not set
     response_time_unit: str = "ms"
     extra_info: Mapping[str, str] = field(default_factory=dict)
     fallback_on_generic: bool = False

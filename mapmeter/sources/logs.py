@@ -36,7 +36,8 @@ def stream_otel_buffer(spark: SparkSession, path: str, fmt: str = "parquet", **o
 
 
 def before(df: DataFrame, cutoff: datetime | str) -> DataFrame:
-    return df.filter(F.col("timestamp") < F.lit(cutoff).cast("timestamp"))
+    """Records older than ``cutoff``, and those without time, which no later run would read otherwise."""
+    return df.filter(F.col("timestamp").isNull() | (F.col("timestamp") < F.lit(cutoff).cast("timestamp")))
 
 
 def rows_to_process(df: DataFrame, cutoff: datetime | str) -> DataFrame:

@@ -2,26 +2,31 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from mapmeter.operators.apps import BUILT_IN, Processor
-from mapmeter.operators.ingest import append_if_absent
-from mapmeter.operators.reconcile import has_span, prune_fields
+from mapmeter.operators.ingest import append_if_absent, split_unreadable
+from mapmeter.operators.reconcile import EXPIRE_MS, both_sides, merged, pair_in_order
 from mapmeter.operators.telemetry import filter_scope, parse_telemetry
-from mapmeter.operators.text import parse_text_logs
+from mapmeter.operators.text import number_repeats, parse_text_logs
 from mapmeter.plans.rollups import LOOKBACK
-from mapmeter.settings import Settings
+from mapmeter.settings import ACCESS_SCOPE_REGEX, Settings
 
 
 def records_stream(
-    lines: DataFrame, kind: str, settings: Settings, registry: tuple[Processor, ...] = BUILT_IN
+    lines: DataFrame, kind: str, settings: Settings, registry: tuple[Processor, ...] = BUILT_IN, scope: str | None = ACCESS_SCOPE_REGEX
 ) -> DataFrame:
-    """Access records of a stream of ``text`` lines or ``telemetry`` records."""
+    """Access records of ``text`` lines or ``telemetry`` records; of merged records with ``scope=None``."""
     if kind == "text":
         return parse_text_logs(lines, settings, registry)
-    return parse_telemetry(filter_scope(lines), settings, registry)
+    return parse_telemetry(lines if scope is None else filter_scope(lines, regex=scope), settings, registry)
 
 
 def bounded_late(df: DataFrame, time: str = "ts", lateness: str = LOOKBACK["hour"]) -> DataFrame:
@@ -46,61 +51,89 @@ def ingest_stream(
     checkpoint: str,
     settings: Settings,
     registry: tuple[Processor, ...] = BUILT_IN,
+    scope: str | None = ACCESS_SCOPE_REGEX,
+    rejects: str | None = None,
     **trigger: object,
 ) -> StreamingQuery:
     """Append a stream to the fact table; each micro-batch is appended only where absent, so a batch that
-    is replayed after a failure changes nothing. By default everything available is taken, then it ends."""
-    records = records_stream(lines, kind, settings, registry)
+    is replayed after a failure changes nothing. By default everything available is taken, then it ends.
+
+    A file is read in one micro-batch, so equal lines get the same numbers as in batch. Records without readable time
+    go to ``rejects``, a folder per micro-batch, if that is given.
+    """
 
-    def write(batch: DataFrame, _epoch: int) -> None:
-        append_if_absent(batch.sparkSession, batch, table)
+    def write(batch: DataFrame, epoch: int) -> None:
+        lines_ = number_repeats(batch) if kind == "text" else batch
+        good, bad = split_unreadable(records_stream(lines_, kind, settings, registry, scope))
+        append_if_absent(batch.sparkSession, good, table)
+        if rejects is not None:
+            bad.drop("ts_date").write.mode("overwrite").parquet(f"{rejects}/epoch={epoch}")
 
     return (
-        records.writeStream.foreachBatch(write)
+        lines.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
 
-def reconcile_stream(
-    netty: DataFrame, gateway: DataFrame, expire: str = "5 seconds", lateness: str = "10 seconds"
-) -> DataFrame:
-    """Full outer stream join of the two records of one access; a lone record is emitted once the
-    watermark passes. Records without span cannot have a partner and join nothing."""
-    left = netty.withWatermark("timestamp", lateness).select(
-        F.when(has_span(F.col("span_id")), F.col("span_id")).alias("_n_span"),
-        F.col("span_id").alias("_n_span_id"),
-        F.col("timestamp").alias("_n_time"),
-        F.col("message").alias("_n_message"),
-        F.col("scope.name").alias("_n_scope"),
+def reconcile_stream(netty: DataFrame, gateway: DataFrame, expire_ms: int = EXPIRE_MS, lateness: str = "10 seconds") -> DataFrame:
+    """The merge of :func:`mapmeter.operators.reconcile.reconcile`, as a stream.
+
+    A cell of time is settled once the watermark has passed it; until then its records wait in the state of their
+    span, so state holds a few cells and nothing else. Records without span or time go around it.
+    """
+    names, expire_us = gateway.columns, expire_ms * 1000
+    width = 2 * expire_us
+    both = both_sides(netty, gateway)
+    kind = both.schema["_record"].dataType
+    # records travel as text; times keep their microseconds
+    options = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"}
+    waiting = (
+        both.where("_span IS NOT NULL")
+        .select("_span", "_time", "_side", F.to_json("_record", options).alias("_text"), F.hash(F.col("_record.message"), F.col("_record.scope.name"), F.col("_record.trace_id")).alias("_tie"))
+        .withWatermark("_time", lateness)
+        .withColumn("_us", F.unix_micros("_time"))
     )
-    right = prune_fields(gateway.withWatermark("timestamp", lateness), "gateway").withColumn(
-        "_g_span", F.when(has_span(F.col("span_id")), F.col("span_id"))
-    )
-    bound = F.expr(f"INTERVAL {expire}")
-    joined = left.join(
-        right,
-        (F.col("_n_span") == F.col("_g_span"))
-        & (F.col("timestamp") >= F.col("_n_time") - bound)
-        & (F.col("timestamp") <= F.col("_n_time") + bound),
-        "full_outer",
-    )
-    return joined.select(
-        F.coalesce("span_id", "_n_span_id").alias("span_id"),
-        "timestamp",
-        "trace_id",
-        F.col("_n_message").alias("message"),
-        "attributes",
-        "resources",
-        F.struct(F.concat_ws("", "_n_scope", "scope.name").alias("name")).alias("scope"),
-        "source_type",
-        "severity_text",
-        "severity_number",
-        "observed_timestamp",
-        "flags",
-        "dropped_attributes_count",
+
+    def settle(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = [tuple(r) for r in json.loads(state.get[0])] if state.exists else []
+        for frame in frames:
+            held += [(int(t), int(s), int(x), text, False) for t, s, x, text in zip(frame["_us"], frame["_side"], frame["_tie"], frame["_text"], strict=True)]
+        passed = state.getCurrentWatermarkMs() * 1000
+        out: list[tuple] = []
+        for shift, tried in ((0, False), (expire_us, True)):
+            cells: dict[int, list[tuple]] = {}
+            for row in held:
+                if row[4] == tried:
+                    cells.setdefault((row[0] + shift) // width, []).append(row)
+            held = [row for row in held if row[4] != tried]
+            for cell, rows in cells.items():
+                if (cell + 1) * width > passed:
+                    held += rows
+                    continue
+                pairs, left = pair_in_order(sorted(rows, key=lambda r: r[:3]), expire_us)
+                out += [(a[3], b[3]) if a[1] == 0 else (b[3], a[3]) for a, b in pairs]
+                if tried:
+                    out += [(r[3], None) if r[1] == 0 else (None, r[3]) for r in left]
+                else:
+                    held += [(*r[:4], True) for r in left]
+        if held:
+            state.update((json.dumps(held),))
+            due = min(((r[0] + expire_us * r[4]) // width + 1) * width for r in held)
+            state.setTimeoutTimestamp(-(-due // 1000))
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame(out, columns=["n", "g"], dtype=object)
+
+    paired = waiting.groupBy("_span").applyInPandasWithState(settle, "n string, g string", "held string", "append", GroupStateTimeout.EventTimeTimeout)
+    pairs = paired.select(*[F.from_json(c, kind, options).alias(f"_{c}") for c in ("n", "g")])
+    nobody = F.lit(None).cast(kind)
+    netty_side = F.col("_side") == 0
+    alone = both.where("_span IS NULL").select(
+        F.when(netty_side, F.col("_record")).otherwise(nobody).alias("_n"), F.when(~netty_side, F.col("_record")).otherwise(nobody).alias("_g")
     )
+    return merged(pairs.unionByName(alone), names)
 
 
 def hourly_stream(df: DataFrame, *dims: str, lateness: str = LOOKBACK["hour"]) -> DataFrame:

@@ -1,13 +1,14 @@
 """Ingestion, rollups and streams: idempotence, equality with full recomputes, skew."""
 
 import statistics
+import random
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from mapmeter.operators.ingest import append_if_absent, dedupe_keep_first, find_duplicates
-from mapmeter.operators.lookups import lookup_app
+from mapmeter.operators.lookups import app_name, lookup_app
 from mapmeter.operators.maintenance import expire, purge
 from mapmeter.operators.reconcile import reconcile
 from mapmeter.plans import rollups
@@ -43,12 +44,11 @@ def _facts(spark, n=2000, hot=0):
     )
 
 
-@pytest.mark.parametrize("max_rows", [0, 100_000])
-def test_append_twice_changes_nothing(spark, max_rows):
+def test_append_twice_changes_nothing(spark):
     path, df = fresh_path(spark, "t"), _facts(spark, 500)
-    append_if_absent(spark, df.limit(200), path, max_rows=max_rows)
-    append_if_absent(spark, df, path, max_rows=max_rows)
-    append_if_absent(spark, df.unionByName(df), path, max_rows=max_rows)
+    append_if_absent(spark, df.limit(200), path)
+    append_if_absent(spark, df, path)
+    append_if_absent(spark, df.unionByName(df), path)
     table = read_access_logs(spark, path)
     assert table.count() == 500
     assert table.select("id").distinct().count() == 500
@@ -150,12 +150,13 @@ def test_state_rollups_keep_the_weighted_mean(spark):
     assert tuple(got) == (float(want[0]), want[1], want[2])
 
 
-def test_lookup_without_broadcast_gives_the_same(spark):
-    df = spark.createDataFrame([("/a/",), ("/b/",), ("host/x/",)], "app_id string").withColumn("app_name", F.lit(""))
-    mapping = spark.createDataFrame([("/a/", "one")], "app_id string, app_name string")
-    for limit in (10, 0):
-        rows = lookup_app(df, mapping, max_rows=limit).collect()
-        assert sorted(r.app_name for r in rows) == ["b", "host/x", "one"]
+def test_lookup_by_table_is_lookup_by_option(spark):
+    df = spark.createDataFrame([("/a/",), ("/b/",), ("host/x/",), ("c",)], "app_id string").withColumn("app_name", F.lit(""))
+    mapping = spark.createDataFrame([("a", "one"), ("/a/", "two"), ("/c", "three")], "app_id string, app_name string")
+    rows = lookup_app(df, mapping).collect()
+    assert sorted(r.app_name for r in rows) == ["b", "host/x", "one", "three"]
+    by_option = df.select(app_name(F.col("app_id"), {"a": "one", "/c": "three"})).collect()
+    assert sorted(r[0] for r in by_option) == sorted(r.app_name for r in rows)
 
 
 def test_purge_and_expire(spark):
@@ -182,14 +183,53 @@ def test_reconcile(spark):
     got = sorted((r.span_id or "", r.message or "", r.scope.name, r.timestamp is not None) for r in out.collect())
     assert got == sorted(
         [
-            ("s1", "n1", NETTY_SCOPE + "gw.accesslog", True), ("s1", "late", NETTY_SCOPE, False),
-            ("s2", "n2", NETTY_SCOPE, False), ("s3", "", "gw.accesslog", True),
-            ("", "x", NETTY_SCOPE, False), ("", "y", NETTY_SCOPE, False), ("0000", "z", NETTY_SCOPE, False),
+            ("s1", "n1", NETTY_SCOPE + "gw.accesslog", True), ("s1", "late", NETTY_SCOPE, True),
+            ("s2", "n2", NETTY_SCOPE, True), ("s3", "", "gw.accesslog", True),
+            ("", "x", NETTY_SCOPE, True), ("", "y", NETTY_SCOPE, True), ("0000", "z", NETTY_SCOPE, True),
             ("", "", "gw.accesslog", True),
         ]
     )
 
 
+def _pairs(rows):
+    return sorted((r.span_id or "", r.message or "", (r.attributes or {}).get("a", ""), r.scope.name) for r in rows)
+
+
+def _reconciled_stream(spark, netty, gateway):
+    """All records of a stream whose watermark is moved past them by a last, far record of each side."""
+    paths = []
+    for rows, scope in ((netty, NETTY_SCOPE), (gateway, "gw.accesslog")):
+        path = fresh_path(spark, "in")
+        rows.unionByName(_otel(spark, [(3_600_000, f"end-{scope}", "end")], scope)).coalesce(1).write.parquet(path)
+        paths.append(path)
+    streams = [spark.readStream.schema(OTEL_SCHEMA).parquet(p) for p in paths]
+    out, merged = fresh_path(spark, "out"), jobs.reconcile_stream(*streams)
+    merged.writeStream.format("parquet").option("path", out).option("checkpointLocation", fresh_path(spark, "c")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(merged.schema).parquet(out).filter("span_id IS NULL OR span_id NOT LIKE 'end-%'")
+
+
+def test_reconcile_loses_nothing_and_streams_alike(spark):
+    r = random.Random(5)
+    sides = []
+    for side in "ng":  # one hot span, some with repeats, some alone; times close to and far from one another
+        rows = [(r.randrange(40_000), r.choice(["hot", "hot", f"s{r.randrange(20)}", None, "000"]), f"{side}{i}") for i in range(150)]
+        sides.append(rows + [(200 * i, "chain", f"{side}c{i}") for i in range(40)])
+    netty = _otel(spark, sides[0], NETTY_SCOPE)
+    gateway = _otel(spark, sides[1], "gw.accesslog")
+    for name, df in (("n", netty), ("g", gateway)):  # records without time
+        timeless = df.limit(3).withColumn("timestamp", F.lit(None).cast("timestamp"))
+        netty, gateway = (netty.unionByName(timeless), gateway) if name == "n" else (netty, gateway.unionByName(timeless))
+    batch = reconcile(netty, gateway).collect()
+    both = sum(x.scope.name == NETTY_SCOPE + "gw.accesslog" for x in batch)
+    assert both > 50 and len(batch) + both == netty.count() + gateway.count()
+    assert all(max((x.message or "").count("n"), 0) <= 1 for x in batch)
+    by_time = {(d, s[2]): s[0] for d, rows in enumerate(sides) for s in rows}
+    for x in batch:
+        if x.scope.name == NETTY_SCOPE + "gw.accesslog":
+            assert abs(by_time[0, x.message] - by_time[1, x.attributes["a"]]) <= 500
+    assert _pairs(_reconciled_stream(spark, netty, gateway).collect()) == _pairs(batch)
+
+
 def test_stream_equals_batch_and_replays_safely(spark):
     line = '10.0.0.{i} - u{i}|o|R [18/Oct/2023:17:{m:02d}:10 +0000] "GET /geoserver/sf/wms?service=WMS&layers=l{i} HTTP/1.1" 200 {i}'
     source = fresh_path(spark, "in")
