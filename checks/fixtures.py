@@ -72,7 +72,7 @@ FACTS = {
         f" WHEN NOT ({OGC}) AND k % 8 = 0 THEN 'Excel' WHEN NOT ({OGC}) AND k % 4 = 0 THEN 'GeoJSON' END"
     ),
     "full_download": f"CASE WHEN NOT ({OGC}) AND k % 4 = 0 THEN k % 16 = 0 END",
-    "user_agent_family": "CASE k % 4 WHEN 0 THEN 'Firefox' WHEN 1 THEN 'QGIS' WHEN 2 THEN 'Chrome' END",
+    "user_agent_family": "CASE k % 4 WHEN 0 THEN 'Firefox' WHEN 1 THEN 'QGIS' WHEN 2 THEN 'Chrome' ELSE 'MapProxy' END",
     "referrer": "CASE WHEN k % 6 = 0 THEN concat('https://ref', k % 4, '.example.org/') END",
 }
 

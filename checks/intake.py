@@ -21,6 +21,61 @@ from mapmeter.sources import csvs, logs, tables
 CUTOFF = "2024-01-20 12:00:00"
 NETTY_MESSAGE = r"^netty (?P<path>/\S*)$"
 
+# agent text, and by hand: family, version, system
+_MOZ, _KIT = "Mozilla/5.0 ", "AppleWebKit/537.36 (KHTML, like Gecko) "
+_WIN, _MAC, _LIN = "(Windows NT 10.0; Win64; x64) ", "(Macintosh; Intel Mac OS X 10_15_7) ", "(X11; Linux x86_64) "
+_PHONE, _DROID = "(iPhone; CPU iPhone OS 17_2 like Mac OS X) ", "(Linux; Android 13; SM-G991B) "
+AGENTS = (
+    (f"{_MOZ}{_WIN}{_KIT}Chrome/120.0.0.0 Safari/537.36", "Chrome", "120.0", "Windows"),
+    (f"{_MOZ}{_WIN}{_KIT}Chrome/120.0.0.0 Safari/537.36 Edg/120.0.2210.91", "Edge", "120.0", "Windows"),
+    (f"{_MOZ}{_WIN}{_KIT}Chrome/52.0.2743.116 Safari/537.36 Edge/15.15063", "Edge", "15.15063", "Windows"),
+    (f"{_MOZ}{_WIN}{_KIT}Chrome/119.0.0.0 Safari/537.36 OPR/105.0.0.0", "Opera", "105.0", "Windows"),
+    (f"{_MOZ}{_WIN}{_KIT}Chrome/119.0.0.0 Safari/537.36 Vivaldi/6.5", "Vivaldi", "6.5", "Windows"),
+    (f"{_MOZ}{_WIN}{_KIT}Chrome/116.0.0.0 YaBrowser/23.9.0 Safari/537.36", "Yandex Browser", "23.9", "Windows"),
+    (f"{_MOZ}(Windows NT 10.0; WOW64; Trident/7.0; rv:11.0) like Gecko", "IE", "11.0", "Windows"),
+    ("Mozilla/4.0 (compatible; MSIE 8.0; Windows NT 6.1)", "IE", "8.0", "Windows"),
+    (f"{_MOZ}(Windows NT 10.0; rv:121.0) Gecko/20100101 Firefox/121.0", "Firefox", "121.0", "Windows"),
+    (f"{_MOZ}(X11; Ubuntu; Linux x86_64; rv:109.0) Gecko/20100101 Firefox/118.0", "Firefox", "118.0", "Linux"),
+    (f"{_MOZ}(X11; Linux x86_64; rv:91.0) Gecko/20100101 Firefox/91.0 SeaMonkey/2.53.18", "SeaMonkey", "2.53", "Linux"),
+    (f"{_MOZ}{_MAC}AppleWebKit/605.1.15 (KHTML, like Gecko) Version/17.2 Safari/605.1.15", "Safari", "17.2", "Mac OS X"),
+    (f"{_MOZ}{_MAC}{_KIT}Chrome/120.0.0.0 Safari/537.36", "Chrome", "120.0", "Mac OS X"),
+    (f"{_MOZ}{_PHONE}AppleWebKit/605.1.15 (KHTML, like Gecko) Version/17.2 Mobile/15E148 Safari/604.1", "Safari", "17.2", "iOS"),
+    (f"{_MOZ}{_PHONE}AppleWebKit/605.1.15 (KHTML, like Gecko) CriOS/120.0.6099.119 Mobile/15E148 Safari/604.1", "Chrome", "120.0", "iOS"),
+    (f"{_MOZ}{_PHONE}AppleWebKit/605.1.15 (KHTML, like Gecko) FxiOS/121.0 Mobile/15E148 Safari/605.1.15", "Firefox", "121.0", "iOS"),
+    (f"{_MOZ}{_PHONE}AppleWebKit/605.1.15 (KHTML, like Gecko) EdgiOS/120.0.2210.116 Version/17.0 Mobile/15E148 Safari/604.1", "Edge", "120.0", "iOS"),
+    (f"{_MOZ}{_DROID}{_KIT}Chrome/120.0.0.0 Mobile Safari/537.36", "Chrome", "120.0", "Android"),
+    (f"{_MOZ}{_DROID}{_KIT}SamsungBrowser/23.0 Chrome/115.0.0.0 Mobile Safari/537.36", "Samsung Internet", "23.0", "Android"),
+    (f"{_MOZ}{_DROID}{_KIT}Chrome/120.0.0.0 Mobile Safari/537.36 EdgA/120.0.2210.84", "Edge", "120.0", "Android"),
+    (f"{_MOZ}(Android 13; Mobile; rv:121.0) Gecko/121.0 Firefox/121.0", "Firefox", "121.0", "Android"),
+    (f"{_MOZ}{_LIN}{_KIT}HeadlessChrome/119.0.6045.9 Safari/537.36", "HeadlessChrome", "119.0", "Linux"),
+    (f"{_MOZ}{_LIN}{_KIT}Ubuntu Chromium/65.0.3325.181 Chrome/65.0.3325.181 Safari/537.36", "Chromium", "65.0", "Linux"),
+    (f"{_MOZ}{_WIN}{_KIT}app/1.0 Chrome/118.0.0.0 Electron/27.1.2 Safari/537.36", "Electron", "27.1", "Windows"),
+    (f"{_MOZ}(compatible; Googlebot/2.1; +http://www.google.com/bot.html)", "Googlebot", "2.1", None),
+    (f"{_MOZ}(compatible; bingbot/2.0; +http://www.bing.com/bingbot.htm) Chrome/116.0.1938.76 Safari/537.36", "bingbot", "2.0", None),
+    (f"{_MOZ}(compatible; YandexBot/3.0; +http://yandex.com/bots)", "YandexBot", "3.0", None),
+    (f"{_MOZ}(compatible; AhrefsBot/7.0; +http://ahrefs.com/robot/)", "AhrefsBot", "7.0", None),
+    (f"{_MOZ}(compatible; SemrushBot/7~bl; +http://www.semrush.com/bot.html)", "SemrushBot", "7", None),
+    (f"{_MOZ}QGIS/32815/Windows 10 Version 2009", "QGIS", "32815", "Windows"),
+    (f"{_MOZ}QGIS/3.28 Windows NT 10.0", "QGIS", "3.28", "Windows"),
+    ("ArcGIS Pro 3.1.0 (00000000000) - ArcGISPro", "ArcGIS Pro", "3.1", None),
+    ("MapProxy-1.15.1", "MapProxy", "1.15", None),
+    ("GDAL/3.6.2", "GDAL", "3.6", None),
+    ("JOSM/1.5 (18822 fr) Linux Debian GNU/Linux 12 Java/17", "JOSM", "1.5", "Linux"),
+    ("FME/2023.7.43 libcurl/7.79.1 (OpenSSL/1.1.1s)", "FME", "2023.7", None),
+    ("Apache-HttpClient/4.5.13 (Java/11.0.20)", "Apache-HttpClient", "4.5", None),
+    ("Java/17.0.9", "Java", "17.0", None),
+    ("okhttp/4.12.0", "okhttp", "4.12", None),
+    ("Go-http-client/1.1", "Go-http-client", "1.1", None),
+    ("curl/7.88.1", "curl", "7.88", None),
+    ("Wget/1.21.3", "Wget", "1.21", None),
+    ("python-requests/2.31.0", "Python Requests", "2.31", None),
+    ("Python/3.11 aiohttp/3.9.1", "Python aiohttp", "3.9", None),
+    ("PostmanRuntime/7.36.0", "PostmanRuntime", "7.36", None),
+    ("MyOwnTool 1.0", "Other", None, None),
+    ("", None, None, None),
+)
+AGENTS_SQL = ", ".join("(" + ", ".join("NULL" if v is None else f"'{v}'" for v in row) + ")" for row in AGENTS)
+
 # the two sides of each access, and what becomes of them; see _two_sides
 RECONCILED_SQL = with_lines(
     ", placed AS (SELECT *, CASE WHEN k % 13 <> 7 THEN TIMESTAMP '2024-01-01 00:00:00' + to_seconds(event_id * 3) END AS at0,"
@@ -109,13 +164,20 @@ def csv_round_trip(spark, sf):
     return back.select("id", F.get_json_object("request_details", "$.layers").alias("layers"), "message", "response_time")
 
 
-@check("load_csv_s6", with_facts("SELECT event_id, response_time FROM facts"))
+@check(
+    "load_csv_s6",
+    with_lines("SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') AS timestamptz, url AS request_path, agent AS user_agent, CAST(status_code AS VARCHAR) AS status_code, CAST(response_size AS VARCHAR) AS response_size"
+               " FROM lines WHERE app_name = 'geoserver'"),
+)
 def load_csv(spark, sf):
-    df = flat(spark, sf).select("event_id", "response_time")
-    first, second = fresh_path(spark, "csv"), fresh_path(spark, "csv")
-    csvs.write_csv(df.filter("event_id % 2 = 0"), first)
-    csvs.write_csv(df.filter("event_id % 2 = 1"), second)
-    return csvs.load_csv(spark, [first, second], "event_id bigint, response_time int")
+    """Old records as files of two runs, appended to one stored table."""
+    df = archive.legacy_line_record(lines(spark, sf).select(F.col("line").alias("value")))
+    table, even = fresh_path(spark, "legacy"), F.hash("request_path") % 2 == 0
+    for part in (df.filter(even), df.filter(~even)):
+        path = fresh_path(spark, "csv")
+        csvs.write_csv(part, path)
+        csvs.append_csv(spark, [path], table)
+    return spark.read.schema(LEGACY_SCHEMA).parquet(table).select("timestamptz", "request_path", "user_agent", "status_code", "response_size")
 
 
 @check(
@@ -138,9 +200,21 @@ def read_pipe_logs(spark, sf):
     )
 
 
-@check("drain_buffer_s8", with_facts(f"SELECT id AS span_id FROM facts WHERE ts >= TIMESTAMP '{CUTOFF}'"))
+@check(
+    "drain_buffer_s8",
+    with_facts(
+        f"SELECT id AS span_id, CAST(ts AS DATE) AS buffer_date, (SELECT count(DISTINCT CAST(ts AS DATE)) FROM facts WHERE ts >= TIMESTAMP '{CUTOFF}') AS days"
+        f" FROM facts WHERE ts >= TIMESTAMP '{CUTOFF}' AND k % 9 > 0"
+    ),
+)
 def drain_buffer(spark, sf):
-    return logs.drain_buffer(otel(spark, sf), CUTOFF).select("span_id")
+    """A stored buffer after it was drained: what is left of it, and how many of its days."""
+    df, path = otel(spark, sf), fresh_path(spark, "buffer")
+    timeless = df.filter("k % 9 = 0").withColumn("timestamp", F.lit(None).cast("timestamp"))
+    logs.write_otel_buffer(df.filter("k % 9 > 0").unionByName(timeless), path)
+    logs.drain_stored(spark, path, CUTOFF)
+    days = len(tables.date_folders(spark, path, "buffer_date"))
+    return spark.read.parquet(path).select("span_id", "buffer_date", F.lit(days).cast("bigint").alias("days"))
 
 
 @check(
@@ -403,14 +477,17 @@ def classify_line(spark, sf):
     return base(spark, sf).select("event_id", maintenance.classify_line(F.expr(_RAW)).alias("app"))
 
 
-@check("prune_fields_p26", with_base("SELECT event_id, concat('e', event_id) AS span_id, 3 + 13 - 10 - 1 AS n_left, 13 + 1 AS n_gateway FROM base"))
+@check("prune_fields_p26", with_base("SELECT event_id, 'event_id,k,message,scope,span_id' AS netty, 'attributes,dropped_attributes_count,event_id,flags,k,observed_timestamp,resources,scope,severity_number,severity_text,source_type,span_id,timestamp,trace_id' AS gateway FROM base"))
 def prune_fields(spark, sf):
+    """The names of the fields that each record still has, read off the records themselves."""
     df = otel(spark, sf)
-    netty = reconcile.prune_fields(df, "netty")
-    gateway = reconcile.prune_fields(df, "gateway")
-    return netty.select(
-        "event_id", "span_id", F.lit(len(netty.columns)).alias("n_left"), F.lit(len(gateway.columns)).alias("n_gateway")
-    )
+
+    def names(side):
+        pruned = reconcile.prune_fields(df, side)
+        record = F.from_json(F.to_json(F.struct(*pruned.columns), {"ignoreNullFields": "false"}), "map<string,string>")
+        return pruned.select("event_id", F.array_join(F.array_sort(F.map_keys(record)), ",").alias(side))
+
+    return names("netty").join(names("gateway"), "event_id")
 
 
 @check(
@@ -471,15 +548,17 @@ def custom_processor(spark, sf):
     "legacy_line_record_f35",
     with_lines(
         "SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') AS timestamptz, CASE WHEN k % 13 > 0 THEN user_name END AS username, url AS request_path, request_method AS request_type, app_name,"
-        " coalesce(response_time, 0) AS response_time, response_size, lower(service) AS service, CASE WHEN k % 3 = 0 THEN layers END AS layers FROM lines WHERE app_name = 'geoserver'"
+        " CAST(coalesce(response_time, 0) AS VARCHAR) AS response_time, CAST(response_size AS VARCHAR) AS response_size, lower(service) AS service, CASE WHEN k % 3 = 0 THEN layers END AS layers,"
+        " user_agent_family IS NOT NULL AS has_agent, CASE WHEN k % 13 > 0 THEN org_name END AS org FROM lines WHERE app_name = 'geoserver'"
     ),
 )
 def legacy_line_record(spark, sf):
     df = archive.legacy_line_record(lines(spark, sf).select(F.col("line").alias("value")))
-    d = F.col("app_details")
+    assert df.schema.names == LEGACY_SCHEMA.names
     return df.select(
         "timestamptz", "username", "request_path", "request_type", "app_name", "response_time", "response_size",
-        d["service"].alias("service"), d["layers"].alias("layers"),
+        F.get_json_object("app_details", "$.service").alias("service"), F.get_json_object("app_details", "$.layers").alias("layers"),
+        (F.col("user_agent") != "").alias("has_agent"), "org",
     )
 
 
@@ -505,8 +584,11 @@ def dedupe_keep_first(spark, sf):
                " CASE app_id WHEN '/mapproxy/' THEN 'cache' WHEN '/dataapi/' THEN 'api' ELSE app_name END AS by_option FROM facts"),
 )
 def lookup_app(spark, sf):
+    """A table of over 5,000 ids, one of them twice, against the few ids that matter as an option."""
     mapping = {"/mapproxy/": "cache", "/dataapi/": "api"}
-    table = spark.createDataFrame(list(mapping.items()), "app_id string, app_name string")
+    more = spark.range(5_000).selectExpr("concat('/unused', id, '/') AS app_id", "concat('u', id) AS app_name")
+    again = [("dataapi", "api"), ("/dataapi", "zzz")]
+    table = spark.createDataFrame([*mapping.items(), *again], "app_id string, app_name string").unionByName(more)
     df = lookups.lookup_app(flat(spark, sf).select("event_id", "app_id", "app_name"), table)
     return df.select(
         "event_id", F.col("app_name").alias("by_table"), lookups.app_name(F.col("app_id"), mapping).alias("by_option")
@@ -608,11 +690,15 @@ def reconciled_to_facts(spark, sf):
 
 @check(
     "lookup_user_agent_j7",
-    with_facts("SELECT event_id, user_agent_family, CASE k % 4 WHEN 0 THEN '102.0' WHEN 1 THEN '3.28' WHEN 2 THEN '115.0' END AS user_agent_version FROM facts"),
+    with_base(
+        f", a(text, user_agent_family, user_agent_version, os_family) AS (VALUES {AGENTS_SQL})"
+        f" SELECT event_id, user_agent_family, user_agent_version, os_family FROM base JOIN (SELECT *, row_number() OVER () - 1 AS n FROM a) ON n = event_id % {len(AGENTS)}"
+    ),
 )
 def lookup_user_agent(spark, sf):
-    df = lines(spark, sf).select("event_id", "agent")
-    return lookups.lookup_user_agent(df, "agent").select("event_id", "user_agent_family", "user_agent_version")
+    texts = F.array(*[F.lit(a[0]) for a in AGENTS])
+    df = base(spark, sf).select("event_id", F.get(texts, (F.col("event_id") % len(AGENTS)).cast("int")).alias("agent"))
+    return lookups.lookup_user_agent(df, "agent").select("event_id", "user_agent_family", "user_agent_version", "os_family")
 
 
 # --- orders ------------------------------------------------------------------------------------

@@ -197,25 +197,24 @@ def lines_per_app(spark, sf):
     return maintenance.lines_per_app(base(spark, sf).select(F.expr(_RAW).alias("value")))
 
 
+# two days whose facts are purged in between
+_PURGED = "NOT (ts >= TIMESTAMP '2024-01-23 23:00:00' AND ts < TIMESTAMP '2024-01-25 23:00:00')"
+
+
 @check(
     "refresh_rollup_a15",
-    with_facts(ogc_ctes() + " SELECT 'hour' AS level, bucket, app_name, CAST(sum(nb_req) AS BIGINT) AS nb_req, count(*) AS nb_rows FROM hour GROUP BY ALL"
-               " UNION ALL SELECT 'day', bucket, app_name, CAST(sum(nb_req) AS BIGINT), count(*) FROM day GROUP BY ALL"
-               " UNION ALL SELECT 'month', bucket, app_name, CAST(sum(nb_req) AS BIGINT), count(*) FROM month GROUP BY ALL"),
+    with_facts(ogc_ctes().replace("FROM facts", f"FROM (SELECT * FROM facts WHERE {_PURGED})", 1)
+               + " SELECT 'hour' AS level, * FROM hour UNION ALL SELECT 'day', * FROM day UNION ALL SELECT 'month', * FROM month"),
 )
 def refresh_rollup(spark, sf):
-    """Backfill without the late rows, then an incremental refresh that must equal a full recompute."""
+    """Backfill without the late rows and with days purged since, then an incremental refresh, which must equal a
+    full recompute in all keys and measures."""
     spec, folder = rollups.ogc_spec(TZ), fresh_path(spark, "rollups")
     df = facts(spark, sf)
     late = (F.col("ts") >= F.lit("2024-01-20 07:00:00").cast("timestamp")) & F.col("id").endswith("3")
     rollups.refresh_levels(spark, df.filter(~late), folder, spec, "2023-12-01 00:00:00", "2024-03-01 00:00:00")
-    levels = rollups.refresh_levels(spark, df, folder, spec, "2024-01-20 07:00:00", "2024-02-03 11:00:00")
-    parts = [
-        level.groupBy("bucket", "app_name")
-        .agg(F.sum("nb_req").alias("nb_req"), F.count(F.lit(1)).alias("nb_rows"))
-        .select(F.lit(grain).alias("level"), "bucket", "app_name", "nb_req", "nb_rows")
-        for grain, level in levels.items()
-    ]
+    rollups.refresh_levels(spark, df.filter(_PURGED), folder, spec, "2024-01-20 07:00:00", "2024-02-03 11:00:00")
+    parts = [level.select(F.lit(grain).alias("level"), "*") for grain, level in rollups.stored_levels(spark, folder, spec).items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -231,7 +230,7 @@ def refresh_rollup(spark, sf):
     ),
 )
 def global_views(spark, sf):
-    levels = _ogc(spark, sf)
+    levels = _stored(spark, sf)
     views = rollups.global_views(levels["hour"], levels["day"], facts(spark, sf), TZ)
     out = None
     for name, df in views.items():
@@ -249,8 +248,14 @@ def global_views(spark, sf):
     with_facts(ogc_ctes() + " SELECT 'hour' AS period, * FROM hour UNION SELECT 'day', * FROM day UNION SELECT 'month', * FROM month"),
 )
 def ogc_summary(spark, sf):
-    levels = _ogc(spark, sf)
-    return rollups.summary(levels["hour"], levels["day"], levels["month"])
+    return rollups.summary(**_stored(spark, sf))
+
+
+def _stored(spark, sf):
+    """The three levels as a full refresh leaves them on storage."""
+    spec, folder = rollups.ogc_spec(TZ), fresh_path(spark, "rollups")
+    rollups.refresh_levels(spark, facts(spark, sf), folder, spec, "2023-12-01 00:00:00", "2024-04-01 00:00:00")
+    return rollups.stored_levels(spark, folder, spec)
 
 
 @check(
@@ -362,7 +367,7 @@ def inactive_users(spark, sf):
 
 @check("agents_and_referrers_q8", with_facts("SELECT user_agent_family, referrer, count(id) AS nb_req FROM facts WHERE app_name <> 'dataapi' GROUP BY ALL"))
 def agents_and_referrers(spark, sf):
-    return reports.agents_and_referrers(_ogc(spark, sf)["hour"])
+    return reports.agents_and_referrers(_stored(spark, sf)["hour"])
 
 
 # --- streams -----------------------------------------------------------------------------------
@@ -440,7 +445,17 @@ def hourly_stream(spark, sf):
     return _collected(jobs.hourly_stream(stream, "app_name"), spark).drop("sketch")
 
 
-@check("expire_st6", with_facts("SELECT id FROM facts WHERE ts >= TIMESTAMP '2024-02-01 06:00:00' - INTERVAL 21 DAY"))
+@check(
+    "expire_st6",
+    with_facts("SELECT id, (SELECT count(DISTINCT CAST(ts AS DATE)) FROM facts WHERE ts >= TIMESTAMP '2024-02-01 06:00:00' - INTERVAL 21 DAY) AS days"
+               " FROM facts WHERE ts >= TIMESTAMP '2024-02-01 06:00:00' - INTERVAL 21 DAY"),
+)
 def expire(spark, sf):
-    df = maintenance.expire(facts(spark, sf), "ts", maintenance.RETENTION["hour"], "2024-02-01 06:00:00", "ts_date")
-    return df.select("id")
+    """A stored table after retention: whole days are gone, the border day is cut; the same rows as by filter."""
+    path = fresh_path(spark, "access_logs")
+    tables.write_access_logs(facts(spark, sf), path)
+    maintenance.expire_stored(spark, path, "ts", maintenance.RETENTION["hour"], "2024-02-01 06:00:00", "ts_date")
+    days = len(tables.date_folders(spark, path, "ts_date"))
+    kept = tables.read_access_logs(spark, path)
+    filtered = maintenance.expire(kept, "ts", maintenance.RETENTION["hour"], "2024-02-01 06:00:00", "ts_date")
+    return filtered.select("id", F.lit(days).cast("bigint").alias("days"))

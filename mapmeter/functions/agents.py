@@ -20,33 +20,91 @@ class AgentRule:
     version: str = ""
 
 
-# --- fixed values: families by token, first match wins ------------------------------------------
+# --- fixed values: families by token, first match wins; the more specific token stands first ----
 AGENT_RULES: tuple[AgentRule, ...] = (
-    AgentRule("Googlebot", "Googlebot/", "Googlebot/"),
-    AgentRule("bingbot", "bingbot/", "bingbot/"),
+    # crawlers, which name a browser as well
+    AgentRule("Googlebot", "Googlebot", "Googlebot/"),
+    AgentRule("bingbot", "bingbot", "bingbot/"),
+    AgentRule("YandexBot", "YandexBot", "YandexBot/"),
+    AgentRule("Baiduspider", "Baiduspider", "Baiduspider/"),
+    AgentRule("DuckDuckBot", "DuckDuckBot", "DuckDuckBot/"),
+    AgentRule("Applebot", "Applebot", "Applebot/"),
+    AgentRule("AhrefsBot", "AhrefsBot", "AhrefsBot/"),
+    AgentRule("SemrushBot", "SemrushBot", "SemrushBot/"),
+    AgentRule("MJ12bot", "MJ12bot", "MJ12bot/v"),
+    AgentRule("FacebookBot", "facebookexternalhit", "facebookexternalhit/"),
+    AgentRule("Twitterbot", "Twitterbot", "Twitterbot/"),
+    # map software
     AgentRule("QGIS", "QGIS/", "QGIS/"),
+    AgentRule("ArcGIS Pro", "ArcGIS Pro", "ArcGIS Pro "),
+    AgentRule("ArcGIS Pro", "ArcGISPro", "ArcGISPro/"),
+    AgentRule("ArcMap", "ArcMap", "ArcMap "),
+    AgentRule("ArcGIS", "ArcGIS", "ArcGIS/"),
+    AgentRule("MapProxy", "MapProxy-", "MapProxy-"),
+    AgentRule("MapProxy", "MapProxy", "MapProxy/"),
+    AgentRule("MapServer", "MapServer", "MapServer/"),
+    AgentRule("GeoServer", "GeoServer", "GeoServer/"),
+    AgentRule("GeoWebCache", "GeoWebCache", "GeoWebCache "),
+    AgentRule("GDAL", "GDAL/", "GDAL/"),
+    AgentRule("GDAL", "GDAL", "GDAL "),
+    AgentRule("JOSM", "JOSM/", "JOSM/"),
+    AgentRule("FME", "FME/", "FME/"),
+    AgentRule("OWSLib", "OWSLib", "OWSLib/"),
+    AgentRule("MapInfo", "MapInfo", "MapInfo "),
+    # browsers, which name those that they descend from
+    AgentRule("Electron", "Electron/", "Electron/"),
+    AgentRule("Edge", "EdgiOS/", "EdgiOS/"),
+    AgentRule("Edge", "EdgA/", "EdgA/"),
     AgentRule("Edge", "Edg/", "Edg/"),
+    AgentRule("Edge", "Edge/", "Edge/"),
     AgentRule("Opera", "OPR/", "OPR/"),
+    AgentRule("Opera", "OPiOS/", "OPiOS/"),
+    AgentRule("Opera", "Opera", "Version/"),
+    AgentRule("Vivaldi", "Vivaldi/", "Vivaldi/"),
+    AgentRule("Yandex Browser", "YaBrowser/", "YaBrowser/"),
+    AgentRule("Samsung Internet", "SamsungBrowser/", "SamsungBrowser/"),
+    AgentRule("Chrome", "CriOS/", "CriOS/"),
+    AgentRule("Firefox", "FxiOS/", "FxiOS/"),
+    AgentRule("SeaMonkey", "SeaMonkey/", "SeaMonkey/"),
     AgentRule("Firefox", "Firefox/", "Firefox/"),
+    AgentRule("HeadlessChrome", "HeadlessChrome/", "HeadlessChrome/"),
+    AgentRule("Chromium", "Chromium/", "Chromium/"),
     AgentRule("Chrome", "Chrome/", "Chrome/"),
-    AgentRule("Safari", "Safari/", "Version/"),
+    AgentRule("IE", "Trident/", "rv:"),
     AgentRule("IE", "MSIE ", "MSIE "),
+    AgentRule("Android", "Android", "Version/"),
+    AgentRule("Safari", "Safari/", "Version/"),
+    # programs and libraries
     AgentRule("curl", "curl/", "curl/"),
     AgentRule("Wget", "Wget/", "Wget/"),
     AgentRule("Python Requests", "python-requests/", "python-requests/"),
+    AgentRule("Python aiohttp", "aiohttp/", "aiohttp/"),
+    AgentRule("Python-urllib", "Python-urllib/", "Python-urllib/"),
+    AgentRule("python-httpx", "python-httpx/", "python-httpx/"),
+    AgentRule("Apache-HttpClient", "Apache-HttpClient/", "Apache-HttpClient/"),
+    AgentRule("okhttp", "okhttp/", "okhttp/"),
+    AgentRule("Go-http-client", "Go-http-client/", "Go-http-client/"),
+    AgentRule("axios", "axios/", "axios/"),
+    AgentRule("node-fetch", "node-fetch", "node-fetch/"),
+    AgentRule("PostmanRuntime", "PostmanRuntime/", "PostmanRuntime/"),
     AgentRule("Java", "Java/", "Java/"),
 )
+OTHER = "Other"  # the family of agents that no rule knows
 OS_RULES: tuple[AgentRule, ...] = (
     AgentRule("Windows", "Windows NT", "Windows NT "),
+    AgentRule("Windows", "Windows"),
     AgentRule("Android", "Android", "Android "),
     AgentRule("iOS", "like Mac OS X", "OS "),
     AgentRule("Mac OS X", "Mac OS X", "Mac OS X "),
+    AgentRule("Chrome OS", "CrOS", "CrOS x86_64 "),
     AgentRule("Linux", "Linux"),
+    AgentRule("Linux", "linux"),
 )
 # token, family, brand, model
 DEVICE_RULES: tuple[tuple[str, str, str, str], ...] = (
     ("Googlebot", "Spider", "Spider", "Desktop"),
     ("bingbot", "Spider", "Spider", "Desktop"),
+    ("YandexBot", "Spider", "Spider", "Desktop"),
     ("iPhone", "iPhone", "Apple", "iPhone"),
     ("iPad", "iPad", "Apple", "iPad"),
     ("Macintosh", "Mac", "Apple", "Mac"),
@@ -72,7 +130,7 @@ def user_agent_fields(
     agents: Sequence[AgentRule] = AGENT_RULES,
     systems: Sequence[AgentRule] = OS_RULES,
 ) -> Column:
-    """The eight user-agent details; an unknown agent keeps only its text."""
+    """The eight user-agent details; an agent that no rule knows has the family ``OTHER`` and its text."""
     named = ("family", "token", "version")
     found = F.struct(
         agent.alias("text"),
@@ -84,7 +142,7 @@ def user_agent_fields(
         found,
         lambda f: F.struct(
             F.nullif(f["text"], F.lit("")).alias("user_agent_string"),
-            f["agent"]["family"].alias("user_agent_family"),
+            F.when(f["text"] != "", F.coalesce(f["agent"]["family"], F.lit(OTHER))).alias("user_agent_family"),
             _version(f["text"], f["agent"]["version"], r"\d+(?:\.\d+)?").alias("user_agent_version"),
             f["system"]["family"].alias("os_family"),
             _version(f["text"], f["system"]["version"], r"\d+").alias("os_version"),

@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 from mapmeter.functions import legacy, ogc, urls, values
 from mapmeter.functions.base import settle
 from mapmeter.operators.text import parse_line
+from mapmeter.schemas import LEGACY_SCHEMA
 from mapmeter.settings import LEGACY_COMBINED_PATTERN
 
 
 def legacy_line_record(
     df: DataFrame, pattern: str = LEGACY_COMBINED_PATTERN, use_generic: bool = False
 ) -> DataFrame:
-    """Lines to the twelve-column record, with details as JSON; irrelevant lines are dropped.
+    """Lines to the twelve-column record of ``LEGACY_SCHEMA``, all text, with details as JSON; irrelevant lines are
+    dropped.
 
     Applications without rules are dropped too, or kept with all their parameters if ``use_generic``.
     """
@@ -62,8 +64,9 @@ def legacy_line_record(
         F.col("method").alias("request_type"),
         group("user_agent").alias("user_agent"),
         F.col("app").alias("app_name"),
-        details.alias("app_details"),
-        values.int_or_none(group("response_time")).alias("response_time"),
-        values.int_or_none(F.col("response_size")).alias("response_size"),
-        values.int_or_none(F.col("status_code")).alias("status_code"),
-    )
+        F.to_json(details).alias("app_details"),
+        # a number or nothing, as text
+        values.int_or_none(group("response_time")).cast("string").alias("response_time"),
+        values.int_or_none(F.col("response_size")).cast("string").alias("response_size"),
+        values.int_or_none(F.col("status_code")).cast("string").alias("status_code"),
+    ).select(*[F.col(f.name).cast(f.dataType) for f in LEGACY_SCHEMA])

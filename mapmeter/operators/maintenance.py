@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mapmeter.session import persist_table
+from mapmeter.sources.tables import date_folders, delete, table_exists
+
 # Retention of each table; monthly rollups are kept.
 RETENTION = {"facts": "3 years", "hour": "21 days", "day": "2 years"}
 
@@ -43,6 +46,35 @@ def expire(df: DataFrame, time: str, age: str, now: datetime | str, partition: s
     return kept.filter(F.col(partition) >= F.to_date(limit)) if partition else kept
 
 
+def drop_before(spark: SparkSession, path: str, time: str, limit: datetime | str, partition: str) -> None:
+    """Remove the rows of a stored table that are older than ``limit``.
+
+    ``partition`` is the date of ``time`` by which the table is laid out. Folders of earlier dates go as a whole,
+    unread; only the border date is rewritten, by way of the shared folder. Rows without time stay. One writer at a
+    time is assumed.
+    """
+    if not table_exists(spark, path):
+        return
+    instant = F.lit(limit).cast("timestamp")
+    border = spark.range(1).select(F.to_date(instant)).first()[0]
+    for date, folder in date_folders(spark, path, partition).items():
+        if date < border:
+            delete(spark, folder)
+        elif date == border:
+            day = spark.read.parquet(folder)
+            kept = persist_table(day.filter(F.col(time).isNull() | (F.col(time) >= instant)), "border")
+            if kept.limit(1).count():
+                kept.write.mode("overwrite").parquet(folder)
+            else:
+                delete(spark, folder)
+
+
+def expire_stored(spark: SparkSession, path: str, time: str, age: str, now: datetime | str, partition: str) -> None:
+    """Retention on storage: :func:`drop_before` at ``now`` less ``age``."""
+    limit = spark.range(1).select(F.lit(now).cast("timestamp") - F.expr(f"INTERVAL {age}")).first()[0]
+    drop_before(spark, path, time, limit, partition)
+
+
 def classify_line(line: Column) -> Column:
     """First of three URL shapes a raw line shows, NULL for other lines."""
     return (

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from mapmeter.functions import times
 from mapmeter.functions.jsons import has_tag
 from mapmeter.functions.quantiles import STATE, build_state, merge_state, state_mean
-from mapmeter.sources.tables import table_exists
+from mapmeter.sources.tables import date_folders, delete, table_exists
 
 OGC_COLUMNS = ("app_id", "app_name", "user_name", "org_name", "request_method", "status_code", "server_address")
 OGC_DETAILS = (
@@ -159,7 +159,7 @@ def summary(hour: DataFrame, day: DataFrame, month: DataFrame) -> DataFrame:
 
 
 def global_views(hour: DataFrame, day: DataFrame, facts: DataFrame, timezone: str = "Europe/Paris") -> dict[str, DataFrame]:
-    """Small views for overview pages."""
+    """Small views for overview pages; the facts are counted by day, and months from the days."""
 
     def ogc_count(df: DataFrame, *keys: str) -> DataFrame:
         return df.groupBy("bucket", *keys).agg(F.sum("nb_req").alias("nb_req"))
@@ -167,18 +167,15 @@ def global_views(hour: DataFrame, day: DataFrame, facts: DataFrame, timezone: st
     layers = day.filter(F.col("layers").isNotNull()).withColumn("layer", F.explode(F.split("layers", ",")))
     months = day.withColumn("bucket", times.bucket_month(F.col("bucket"), timezone))
 
-    def all_apps(grain: str) -> DataFrame:
-        return (
-            facts.groupBy(times.bucket(grain, F.col("ts"), timezone).alias("bucket"), "app_name")
-            .agg(F.count("id").alias("nb_req"))
-        )
+    every_day = facts.groupBy(times.bucket("day", F.col("ts"), timezone).alias("bucket"), "app_name").agg(F.count("id").alias("nb_req"))
+    every_month = every_day.groupBy(times.bucket_month(F.col("bucket"), timezone).alias("bucket"), "app_name").agg(F.sum("nb_req").alias("nb_req"))
 
     return {
         "ogc_daily_global": ogc_count(day),
         "ogc_daily_per_layer": ogc_count(layers, "layer"),
         "ogc_monthly": ogc_count(months),
-        "all_daily": all_apps("day"),
-        "all_monthly": all_apps("month"),
+        "all_daily": every_day,
+        "all_monthly": every_month,
     }
 
 
@@ -210,7 +207,7 @@ def refresh_rollup(
     end: datetime | str,
     source_since: datetime | str | None = None,
 ) -> None:
-    """Recompute the buckets of ``[start, end)`` and replace their partitions.
+    """Recompute the buckets of ``[start, end)`` and replace their partitions; those left without rows are removed.
 
     ``source`` is the fact table for hours and the next finer rollup above. ``source_since`` tells from
     when on the source is complete (its own retention); partitions that begin earlier are left alone, so
@@ -234,6 +231,15 @@ def refresh_rollup(
             & (F.col("bucket_date") <= times.local_date(high, tz))
         ).drop("bucket_date")
     rolled = facts_rollup(window, spec) if grain == "hour" else next_rollup(window, spec, grain)
+    # dynamic overwrite only replaces partitions that still have rows; which ones, one narrow read tells
+    if table_exists(spark, path):
+        rows = window.filter(spec.where) if grain == "hour" and spec.where is not None else window
+        dated = rows.select(times.bucket(grain, F.col(time), tz).alias("bucket")).select(_partition(grain, tz).alias("d"))
+        filled = {r[0] for r in dated.distinct().collect()}
+        first, last = spark.range(1).select(*[times.local_date(x, tz).alias(n) for n, x in (("a", low), ("b", high))]).first()
+        for day, stored in date_folders(spark, path, "bucket_date").items():
+            if first <= day < last and day not in filled:
+                delete(spark, stored)
     (
         rolled.withColumn("bucket_date", _partition(grain, tz))
         .hint("rebalance", "bucket_date")
@@ -248,6 +254,11 @@ def read_rollup(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def stored_levels(spark: SparkSession, folder: str, spec: RollupSpec) -> dict[str, DataFrame]:
+    """The refreshed levels, for :func:`summary`, :func:`global_views` and reports: no fact is read."""
+    return {g: read_rollup(spark, f"{folder.rstrip('/')}/{spec.name}_{g}").drop("bucket_date") for g in GRAINS}
+
+
 def refresh_levels(
     spark: SparkSession,
     facts: DataFrame,

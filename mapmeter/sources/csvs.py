@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mapmeter.functions.jsons import details_to_json
+from mapmeter.schemas import LEGACY_SCHEMA
 
 # quotes inside a field are doubled
 _OPTIONS = {"sep": ";", "header": "true", "quote": '"', "escape": '"'}
@@ -32,3 +33,8 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 def load_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | str) -> DataFrame:
     """Read files written by :func:`write_csv`; ``path`` may be a glob or a list."""
     return spark.read.schema(schema).options(**_OPTIONS).csv(path)
+
+
+def append_csv(spark: SparkSession, path: str | list[str], table: str, schema: T.StructType = LEGACY_SCHEMA) -> None:
+    """Load files and append their rows to a stored table of the same columns."""
+    load_csv(spark, path, schema).write.mode("append").parquet(table)

@@ -7,7 +7,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mapmeter.operators.maintenance import drop_before
 from mapmeter.schemas import OTEL_SCHEMA
+from mapmeter.sources.tables import delete
 
 
 def _with_source(df: DataFrame) -> DataFrame:
@@ -45,6 +47,19 @@ def rows_to_process(df: DataFrame, cutoff: datetime | str) -> DataFrame:
     return before(df, cutoff).agg(F.count("span_id").alias("nb_rows"))
 
 
+def write_otel_buffer(df: DataFrame, path: str) -> None:
+    """Add records to a buffer laid out by date, from which :func:`drain_stored` can drop whole days."""
+    dated = df.select(*OTEL_SCHEMA.names, F.to_date("timestamp").alias("buffer_date"))
+    dated.hint("rebalance", "buffer_date").write.mode("append").partitionBy("buffer_date").parquet(path)
+
+
+def drain_stored(spark: SparkSession, path: str, cutoff: datetime | str) -> None:
+    """Remove what a run with this ``cutoff`` has read from a buffer laid out by date: older records, and those
+    without time, which the run has put among its rejects."""
+    drop_before(spark, path, "timestamp", cutoff, "buffer_date")
+    delete(spark, f"{path.rstrip('/')}/buffer_date=__HIVE_DEFAULT_PARTITION__")
+
+
 def drain_buffer(df: DataFrame, cutoff: datetime | str) -> DataFrame:
     """What stays in the buffer after everything older than ``cutoff`` was processed."""
     return df.filter(F.col("timestamp") >= F.lit(cutoff).cast("timestamp"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +40,28 @@ def read_access_logs(
     return df
 
 
+def _at(spark: SparkSession, path: str):
+    """The file system of a path, and the path there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    files, target = _at(spark, path)
+    return files.exists(target)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    files, target = _at(spark, path)
+    files.delete(target, True)
+
+
+def date_folders(spark: SparkSession, path: str, partition: str) -> dict[date, str]:
+    """The date partitions of a stored table, by date; rows without date are in none of them."""
+    files, target = _at(spark, path)
+    found = {}
+    for status in files.listStatus(target):
+        name = status.getPath().getName()
+        if name.startswith(f"{partition}=") and not name.endswith("__HIVE_DEFAULT_PARTITION__"):
+            found[date.fromisoformat(name.split("=", 1)[1])] = status.getPath().toString()
+    return dict(sorted(found.items()))

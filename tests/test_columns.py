@@ -166,4 +166,4 @@ def test_user_agents(spark):
     got = [r.a for r in df.select(agents.user_agent_fields(F.col("t")).alias("a")).collect()]
     assert (got[0].user_agent_family, got[0].user_agent_version, got[0].os_family, got[0].os_version) == ("Firefox", "140.0", "Linux", None)
     assert (got[1].user_agent_family, got[1].user_agent_version, got[1].os_family, got[1].os_version, got[1].device_model) == ("Safari", "17.2", "iOS", "17", "iPhone")
-    assert (got[2].user_agent_string, got[2].user_agent_family, got[2].os_family) == ("SomeTool-1.15.1", None, None)
+    assert (got[2].user_agent_string, got[2].user_agent_family, got[2].os_family) == ("SomeTool-1.15.1", "Other", None)

@@ -1,7 +1,7 @@
 """Ingestion, rollups and streams: idempotence, equality with full recomputes, skew."""
 
-import statistics
 import random
+import statistics
 from datetime import datetime, timedelta
 
 import pytest
@@ -9,15 +9,16 @@ from pyspark.sql import functions as F
 
 from mapmeter.operators.ingest import append_if_absent, dedupe_keep_first, find_duplicates
 from mapmeter.operators.lookups import app_name, lookup_app
-from mapmeter.operators.maintenance import expire, purge
+from mapmeter.operators.maintenance import drop_before, expire, purge
 from mapmeter.operators.reconcile import reconcile
+from mapmeter.operators.telemetry import parse_telemetry
 from mapmeter.plans import rollups
 from mapmeter.plans.ingestion import ingest_text
 from mapmeter.schemas import ACCESS_LOG_SCHEMA, OTEL_SCHEMA
 from mapmeter.session import fresh_path, shared_dir
 from mapmeter.settings import CLF_PATTERN, NETTY_SCOPE, Settings
 from mapmeter.sources.logs import stream_text_logs
-from mapmeter.sources.tables import read_access_logs
+from mapmeter.sources.tables import date_folders, read_access_logs, write_access_logs
 from mapmeter.streaming import jobs
 
 
@@ -275,3 +276,70 @@ def test_append_of_nothing(spark, size):
     append_if_absent(spark, _facts(spark, 10), path)
     append_if_absent(spark, _facts(spark, 10).limit(size), path)
     assert read_access_logs(spark, path).count() == 10
+
+
+LINE = '10.0.0.1 - u1|o|R [18/Oct/2023:17:36:10 +0000] "GET /geoserver/sf/wms?service=WMS&layers=l HTTP/1.1" 200 5'
+
+
+def test_equal_lines_stay_apart_and_replays_add_nothing(spark):
+    source, more, table, rejects = (fresh_path(spark, n) for n in ("in", "more", "t", "r"))
+    lines = [LINE] * 3 + ["no log line", LINE.replace("18/Oct", "99/Xyz"), LINE.replace("u1", "u2")]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(source)
+    settings = Settings(text_pattern=CLF_PATTERN, keys_blacklist=())
+    for _ in range(2):
+        assert ingest_text(spark, source, table, settings, rejects=rejects) == {"lines": 6, "rejected": 2}
+        rows = read_access_logs(spark, table).collect()
+        assert len(rows) == 4 == len({r.id for r in rows})
+    assert spark.read.parquet(rejects).count() == 4
+    # another file with one of the same lines: the same access, told again
+    spark.createDataFrame([(LINE,)], "value string").write.text(more)
+    ingest_text(spark, [source, more], table, settings)
+    assert read_access_logs(spark, table).count() == 4
+
+
+def test_append_keeps_rows_without_time_or_id_whatever_their_neighbours(spark):
+    df = _facts(spark, 40)
+    timeless = df.limit(5).withColumns({"ts": F.lit(None).cast("timestamp"), "ts_date": F.lit(None).cast("date")})
+    for batches in ([df, timeless], [timeless, df], [df.unionByName(timeless)]):
+        path = fresh_path(spark, "t")
+        for batch in batches:
+            append_if_absent(spark, batch, path)
+        assert read_access_logs(spark, path).count() == 45
+
+
+def test_stray_date_opens_one_more_partition(spark):
+    path = fresh_path(spark, "t")
+    append_if_absent(spark, _facts(spark, 400), path)
+    days = sorted(r[0] for r in read_access_logs(spark, path).select("ts_date").distinct().collect())
+    assert len(days) > 4
+    batch = read_access_logs(spark, path).filter(F.col("ts_date").isin([days[0], days[-1]]))
+    dates = [r[0] for r in batch.select("ts_date").distinct().collect()]
+    files = read_access_logs(spark, path).filter(F.col("ts_date").isin(dates)).inputFiles()
+    assert {f.split("ts_date=")[1][:10] for f in files} >= {str(days[0]), str(days[-1])} and len(dates) == 2
+    append_if_absent(spark, batch, path)
+    assert read_access_logs(spark, path).count() == 400
+
+
+def test_telemetry_messages_fill_what_attributes_leave_blank(spark):
+    row = _otel(spark, [(0, None, "10.1.1.1 GET /geoserver/ows?service=WFS&request=GetFeature&typeName=a:b 200 u1|o1|R1,R2")], "x")
+    pattern = r"^(?P<client_ip>\S+) (?P<method>[A-Z]+) (?P<path>\S+) (?P<status_code>\d+) (?P<user>\S+)$"
+    settings = Settings(text_pattern=CLF_PATTERN, message_pattern=pattern, parse_message=True, keys_blacklist=())
+    blank = row.withColumn("attributes", F.create_map(F.lit("http.status_code"), F.lit("404"), F.lit("enduser.id"), F.lit("")))
+    (r,) = parse_telemetry(blank, settings).collect()
+    assert (r.request_path, r.app_name, r.request_method, r.status_code, r.user_name, r.org_name, r.roles, r.client_ip) == (
+        "/geoserver/ows", "geoserver", "GET", 404, "u1", "o1", ["R1", "R2"], "10.1.1.1",
+    )
+    assert (r.request_details.service, r.request_details.layers) == ("WFS", "b") or r.request_details.layers == "a:b"
+    assert r.id and r.id == parse_telemetry(blank, settings).first().id  # without span: a digest of the content
+
+
+def test_drop_before_leaves_other_days_unread(spark):
+    path = fresh_path(spark, "t")
+    write_access_logs(_facts(spark, 400), path)
+    folders = date_folders(spark, path, "ts_date")
+    border = list(folders)[2]
+    drop_before(spark, path, "ts", f"{border} 12:00:00", "ts_date")
+    left = date_folders(spark, path, "ts_date")
+    assert set(left) <= set(list(folders)[2:]) and len(left) >= len(folders) - 3
+    want = _facts(spark, 400).filter(F.col("ts") >= F.lit(f"{border} 12:00:00").cast("timestamp"))
+    assert sorted(r.id for r in read_access_logs(spark, path).collect()) == sorted(r.id for r in want.collect())

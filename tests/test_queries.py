@@ -15,7 +15,8 @@ TABLES = (
 SAMPLE = (
     "query_map_f3", "bucket_tz_f1", "ogc_details_f25", "append_if_absent_s4", "csv_round_trip_s5_s6", "parse_line_p1",
     "text_logs_to_records_x2", "telemetry_to_records_x2", "reconcile_j6", "ogc_summary_u1", "dataapi_monthly_a6",
-    "refresh_rollup_a15", "top_layers_q1", "usage_by_nation_q2", "dedupe_stream_st3",
+    "refresh_rollup_a15", "top_layers_q1", "usage_by_nation_q2", "dedupe_stream_st3", "reconciled_to_facts", "reconcile_stream_st4",
+    "lookup_app_j3", "lookup_user_agent_j7", "drain_buffer_s8", "expire_st6", "load_csv_s6", "legacy_line_record_f35", "global_views_a16",
 )
 
 needs_data = pytest.mark.skipif(not os.path.isdir(SF), reason="given tables not here")
