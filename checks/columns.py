@@ -229,7 +229,8 @@ def infer_tiled(spark, sf):
     ),
 )
 def infer_download(spark, sf):
-    from mapmeter.settings import OGC_RASTER_FORMATS, OGC_VECTOR_FORMATS, AppOptions, Settings
+    from checks.fixtures import OGC_RASTER_FORMATS
+    from mapmeter.settings import OGC_VECTOR_FORMATS, AppOptions, Settings
 
     settings = Settings(apps={"ogcserver": AppOptions(True, True, OGC_VECTOR_FORMATS, OGC_RASTER_FORMATS)})
     df = base(spark, sf).selectExpr(
@@ -338,20 +339,21 @@ def ogc_details(spark, sf):
 
 @check(
     "details_from_url_f26",
-    with_facts("SELECT event_id, service, layers, workspaces, download_format FROM facts WHERE app_name = 'geoserver'"),
+    with_facts("SELECT event_id, service, layers, workspaces, download_format FROM facts"),
 )
 def details_from_url(spark, sf):
-    df = lines(spark, sf).filter("app_name = 'geoserver'").select(
-        "event_id", F.concat(F.lit("https://Maps.example.org:8443"), F.col("url")).alias("full")
-    )
-    out = apps.details_from_url(df, "full", "geoserver", SETTINGS)
-    d = F.col("request_details")
-    return out.select("event_id", *[d[n].alias(n) for n in ("service", "layers", "workspaces", "download_format")])
+    df = lines(spark, sf).select("event_id", "app_name", F.concat(F.lit("https://Maps.example.org:8443"), F.col("url")).alias("full"))
+    d, out = F.col("request_details"), None
+    for app in ("geoserver", "mapproxy", "mapserver", "dataapi"):
+        found = apps.details_from_url(df.filter(F.col("app_name") == app), "full", app, SETTINGS)
+        part = found.select("event_id", *[d[n].alias(n) for n in ("service", "layers", "workspaces", "download_format")])
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @check(
     "header_info_f27",
-    with_facts("SELECT event_id, user_agent_family, referrer, CASE k % 4 WHEN 0 THEN '102.0' WHEN 1 THEN '3.28' WHEN 2 THEN '115.0' END AS user_agent_version,"
+    with_facts("SELECT event_id, user_agent_family, referrer, CASE k % 4 WHEN 0 THEN '102.0' WHEN 1 THEN '3.28' WHEN 2 THEN '115.0' ELSE '1.15' END AS user_agent_version,"
                " CASE k % 4 WHEN 0 THEN 'Linux' WHEN 1 THEN 'Windows' WHEN 2 THEN 'Windows' END AS os_family, CASE WHEN k % 4 IN (1, 2) THEN '10' END AS os_version FROM facts"),
 )
 def header_info(spark, sf):
@@ -450,10 +452,10 @@ def json_array_elements(spark, sf):
 
 @check(
     "details_json_egress",
-    with_facts("SELECT event_id, layers, json_extract_string(concat('{\"service\":\"', service, '\"}'), '$.service') AS service FROM facts WHERE app_name <> 'dataapi'"),
+    with_facts("SELECT event_id, layers, json_extract_string(concat('{\"service\":\"', service, '\"}'), '$.service') AS service FROM facts"),
 )
 def details_json(spark, sf):
-    df = _details(spark, sf, "geoserver", "mapproxy", "mapserver").withColumn(
+    df = _details(spark, sf, "geoserver", "mapproxy", "mapserver", "dataapi").withColumn(
         "js", details_to_json(F.col("request_details"))
     )
     return df.select(

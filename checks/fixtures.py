@@ -12,6 +12,19 @@ from mapmeter.schemas import ACCESS_LOG_SCHEMA, DETAIL_TYPES
 from mapmeter.session import spread
 from mapmeter.settings import COMBINED_PATTERN, NETTY_SCOPE, Settings
 
+# --- fixed values: options of a set-up with several domains and with coverages ---
+MULTI_DOMAIN_PATTERN = r'^(?P<client_ip>[0-9\.]+) (?P<local_ip>[0-9\.]+) (?P<server_address>[-_\w\./:]+) (?P<user_identifier>[-_\w]+) \[(?P<timestamp>.*)\] \"(?P<method>GET|POST|HEAD|OPTION|PUT|PATCH|DELETE|TRACE|CONNECT) (https?:\/\/[_:a-zA-Z0-9\.-]+)?(?P<path>(\/.*)) HTTP\/[\.0-9]{3}\" (?P<status_code>[0-9]{3}) (?P<response_size>[-0-9]*) \"-\" \"(?P<user_agent>[-0-9a-zA-Z\/\.: ();_]*)\" (?P<response_time>[0-9\.]+)$'
+OGC_RASTER_FORMATS = {
+    "jpeg": "JPEG",
+    "gif": "GIF",
+    "png": "PNG",
+    "tif": "Tiff",
+    "geotiff": "GeoTiff",
+    "application/gml+xml": "GML Coverage",
+    "application/x-netcdf": "NetCDF",
+}
+# --- end of fixed values ---
+
 SETTINGS = Settings(text_pattern=COMBINED_PATTERN, keys_blacklist=())
 
 OGC = "event_type <> 'purchase'"

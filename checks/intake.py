@@ -315,20 +315,23 @@ def otel_mdc(spark, sf):
 
 @check(
     "params_from_attributes_p8",
-    with_lines("SELECT event_id, upper(service) AS service, CASE WHEN k % 3 = 0 THEN '1.3.0' END AS version_of_maps FROM lines WHERE k % 2 = 0 AND app_name <> 'dataapi'"),
+    with_lines("SELECT event_id, CASE WHEN k % 2 = 0 AND app_name <> 'dataapi' THEN upper(service) END AS service, CASE WHEN k % 6 = 0 AND app_name <> 'dataapi' THEN '1.3.0' END AS version_of_maps,"
+               " CASE WHEN app_name = 'dataapi' AND k % 16 = 0 THEN '-1' WHEN app_name = 'dataapi' AND k % 4 = 0 THEN '50' END AS items FROM lines"),
 )
 def params_from_attributes(spark, sf):
     m = F.col("m")
     df = otel(spark, sf).select("event_id", "k", telemetry.params_from_attributes(F.col("attributes")).alias("m"))
-    return df.filter(m["service"].isNotNull()).select(
-        "event_id", m["service"].alias("service"), F.when(F.col("k") % 3 == 0, m["version"]).alias("version_of_maps")
+    return df.select(
+        "event_id", m["service"].alias("service"), F.when(F.col("k") % 3 == 0, m["version"]).alias("version_of_maps"), m["limit"].alias("items")
     )
 
 
-@check("params_fallback_p9", with_lines("SELECT event_id, lower(service) AS service FROM lines WHERE app_name <> 'dataapi'"))
+@check("params_fallback_p9", with_lines("SELECT event_id, CASE WHEN app_name <> 'dataapi' THEN lower(service) END AS service, layers IS NOT NULL AND app_name <> 'dataapi' AS has_layers FROM lines"))
 def params_fallback(spark, sf):
-    df = telemetry.otel_mdc(telemetry.otel_generics(otel(spark, sf)), SETTINGS).filter("app_name <> 'dataapi'")
-    return df.select("event_id", F.lower(F.col("_params")["service"]).alias("service"))
+    df = telemetry.otel_mdc(telemetry.otel_generics(otel(spark, sf)), SETTINGS)
+    p = F.col("_params")
+    named = F.coalesce(p["layers"], p["typename"], p["layer"]).isNotNull()
+    return df.select("event_id", F.lower(p["service"]).alias("service"), named.alias("has_layers"))
 
 
 @check(

@@ -15,7 +15,20 @@ OGC_API = "OGC API Features"
 LAYER_KEYS = ("layer", "layers", "typename", "typenames")
 CRS_KEYS = ("srs", "crs")
 
+# --- fixed values: shapes of the requests that are metered, as the services define them ---------
 _UUID = "[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"
+_OGC_REQUEST = r"(?i)^.*\?.*service=|^.*/collections/.+"
+_DATAAPI_COLLECTION = r"^.*/ogcapi/collections/(.*)"
+_RECORD = rf"^.*(?:#/metadata|/api/records)/{_UUID}"
+_DATASET = rf"^.*/dataset/{_UUID}"
+_FEATURES = r"(?i)^.*/ogc/features/.*/collections/([^/]+)/?(items)?"
+_WORKSPACES = (
+    r".*/(.*)/gwc/service/(?:ows|wms|wfs|wcs|wmts)",
+    r".*/(.*)/(?:ows|wms|wfs|wcs|wmts)",
+    r".*collections/([^/]*)",
+)
+_PROXY_ENDPOINT = r"(.*)/(?:service|ows|wms|wmts)"
+# --- end of fixed values --------------------------------------------------------------------------
 
 
 def strip_app_path(path: Column, app: Column) -> Column:
@@ -27,19 +40,19 @@ def strip_app_path(path: Column, app: Column) -> Column:
 
 def is_relevant_ogc(path: Column, query: Column, app: Column) -> Column:
     full = F.concat_ws("?", strip_app_path(path, app), F.coalesce(query, F.lit("")))
-    return full.rlike(r"(?i)^.*\?.*service=|^.*/collections/.+")
+    return full.rlike(_OGC_REQUEST)
 
 
 def is_relevant_dataapi(path: Column) -> Column:
-    return path.rlike(r"^.*/ogcapi/collections/")
+    return path.rlike(_DATAAPI_COLLECTION)
 
 
 def is_relevant_geonetwork(path: Column) -> Column:
-    return path.rlike(rf"^.*(?:#/metadata|/api/records)/{_UUID}")
+    return path.rlike(_RECORD)
 
 
 def is_relevant_datahub(path: Column) -> Column:
-    return path.rlike(rf"^.*/dataset/{_UUID}")
+    return path.rlike(_DATASET)
 
 
 def is_relevant_mviewer(path: Column) -> Column:
@@ -90,9 +103,8 @@ def is_ogc_api(path: Column) -> Column:
 
 def ogc_api_features(path: Column) -> Column:
     """``struct<service,layers,request>`` of an OGC API Features path, NULL for other paths."""
-    pattern = r"(?i)^.*/ogc/features/.*/collections/([^/]+)/?(items)?"
-    layer = F.nullif(F.regexp_extract(path, pattern, 1), F.lit(""))
-    what = F.when(F.regexp_extract(path, pattern, 2) != "", F.lit("items")).otherwise(F.lit("layer"))
+    layer = F.nullif(F.regexp_extract(path, _FEATURES, 1), F.lit(""))
+    what = F.when(F.regexp_extract(path, _FEATURES, 2) != "", F.lit("items")).otherwise(F.lit("layer"))
     return F.when(
         is_ogc_api(path),
         F.struct(
@@ -105,13 +117,8 @@ def ogc_api_features(path: Column) -> Column:
 
 def workspace_from_path(path: Column) -> Column:
     """Workspace named in a (prefix-free) service path, or an empty string."""
-    rules = (
-        r".*/(.*)/gwc/service/(?:ows|wms|wfs|wcs|wmts)",
-        r".*/(.*)/(?:ows|wms|wfs|wcs|wmts)",
-        r".*collections/([^/]*)",
-    )
     found = F.lit("")
-    for rule in reversed(rules):
+    for rule in reversed(_WORKSPACES):
         found = F.when(path.rlike(rule), F.regexp_extract(path, rule, 1)).otherwise(found)
     return found
 
@@ -152,7 +159,7 @@ def normalise_layers(path_workspace: Column, layers: Column) -> Column:
 
 
 def mapproxy_endpoint(path: Column) -> Column:
-    return F.regexp_extract(path, r"(.*)/(?:service|ows|wms|wmts)", 1)
+    return F.regexp_extract(path, _PROXY_ENDPOINT, 1)
 
 
 def mapserver_endpoint(path: Column, app: Column) -> Column:
@@ -202,7 +209,7 @@ def infer_download(
 
 def dataapi_request(settings: Settings, path: Column, params: Column) -> Column:
     """``struct<layers,items,download_format,full_download>`` of a data-API path, NULL for other paths."""
-    rest = F.regexp_extract(path, r"^.*/ogcapi/collections/(.*)", 1)
+    rest = F.regexp_extract(path, _DATAAPI_COLLECTION, 1)
     steps = F.split(rest, "/")
     items = F.coalesce(F.get(steps, F.lit(1)) == "items", F.lit(False))
     label = format_labels(settings)[

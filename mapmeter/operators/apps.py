@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
-from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -141,7 +140,6 @@ def route(
     return settle(df, {"_kind": F.when(relevant, F.col("_routed"))}).drop("_routed")
 
 
-@cache
 def _routes(settings: Settings, registry: tuple[Processor, ...]) -> tuple[Column, Column]:
     app = F.lower("app_name")
     names = [p.name for p in registry]
@@ -165,7 +163,6 @@ def _request() -> Request:
     )
 
 
-@cache
 def _stages(
     settings: Settings, registry: tuple[Processor, ...]
 ) -> tuple[list[dict[str, Column]], list[Column]]:

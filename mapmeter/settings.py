@@ -12,8 +12,6 @@ CLF_PATTERN = r'^(?P<ip>[0-9a-fA-F:\.]+) (?P<user_identifier>[-_\w]+) (?P<user>[
 
 COMBINED_PATTERN = r'^(?P<ip>[0-9a-fA-F:\.]+) (?P<user_identifier>[-_\w]+) (?P<user>[-_\|, \w]+) \[(?P<timestamp>.*)\] \"(?P<method>GET|POST|HEAD|OPTION|PUT|PATCH|DELETE|TRACE|CONNECT) (https?:\/\/[_:a-zA-Z0-9\.-]+)?(?P<path>\/(?P<app_path>[_a-zA-Z0-9-]+)(\/.*)) HTTP\/[\.0-9]{3}\" (?P<status_code>[0-9]{3}) (?P<response_size>[-0-9]*) \"-\" \"(?P<user_agent>[-0-9a-zA-Z\/\.: ();_]*)\" (?P<misc>.*) (?P<response_time>[0-9]+)ms$'
 
-MULTI_DOMAIN_PATTERN = r'^(?P<client_ip>[0-9\.]+) (?P<local_ip>[0-9\.]+) (?P<server_address>[-_\w\./:]+) (?P<user_identifier>[-_\w]+) \[(?P<timestamp>.*)\] \"(?P<method>GET|POST|HEAD|OPTION|PUT|PATCH|DELETE|TRACE|CONNECT) (https?:\/\/[_:a-zA-Z0-9\.-]+)?(?P<path>(\/.*)) HTTP\/[\.0-9]{3}\" (?P<status_code>[0-9]{3}) (?P<response_size>[-0-9]*) \"-\" \"(?P<user_agent>[-0-9a-zA-Z\/\.: ();_]*)\" (?P<response_time>[0-9\.]+)$'
-
 LEGACY_COMMON_PATTERN = r'^(?P<ip>[0-9a-fA-F:\.]+) (?P<user_identifier>[-_\w]+) (?P<user>[-_\|, \w]+) \[(?P<timestamp>.*)\] \"(?P<method>GET|POST|HEAD|OPTION|PUT|PATCH|DELETE|TRACE|CONNECT) (https?:\/\/[_:a-zA-Z0-9\.-]+)?(?P<path>\/(?P<app>[_a-zA-Z0-9-]+)(\/.*)) HTTP\/[\.0-9]{3}\" (?P<status_code>[0-9]{3}) (?P<response_size>[-0-9]*)'
 
 LEGACY_COMBINED_PATTERN = LEGACY_COMMON_PATTERN + r' "-" "(?P<user_agent>[-0-9a-zA-Z\/\.: ();_]*)" (?P<misc>.*) (?P<response_time>[0-9]+)ms$'
@@ -33,15 +31,6 @@ OGC_VECTOR_FORMATS = {
     "excel": "Excel",
     "excel2007": "Excel",
 }
-OGC_RASTER_FORMATS = {
-    "jpeg": "JPEG",
-    "gif": "GIF",
-    "png": "PNG",
-    "tif": "Tiff",
-    "geotiff": "GeoTiff",
-    "application/gml+xml": "GML Coverage",
-    "application/x-netcdf": "NetCDF",
-}
 DATAAPI_FORMATS = {
     "shapefile": "Shapefile",
     "json": "JSON",

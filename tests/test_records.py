@@ -5,13 +5,14 @@ import json
 
 from pyspark.sql import functions as F
 
+from checks.fixtures import MULTI_DOMAIN_PATTERN, OGC_RASTER_FORMATS
 from mapmeter.functions.jsons import details_to_json
 from mapmeter.operators.apps import details_from_url, with_details
 from mapmeter.operators.telemetry import parse_telemetry
 from mapmeter.operators.text import parse_pipe_lines, parse_text_logs
 from mapmeter.schemas import ACCESS_LOG_SCHEMA, OTEL_SCHEMA
 from mapmeter.settings import (
-    COMBINED_PATTERN, MULTI_DOMAIN_PATTERN, OGC_RASTER_FORMATS, OGC_VECTOR_FORMATS, AppOptions, Settings,
+    COMBINED_PATTERN, OGC_VECTOR_FORMATS, AppOptions, Settings,
 )
 
 ALL = AppOptions(True, True, OGC_VECTOR_FORMATS, OGC_RASTER_FORMATS)
