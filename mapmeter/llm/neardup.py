@@ -6,8 +6,9 @@ falls below ``MISS`` is dropped, and survivors are confirmed on the full sets.
 
 Candidates of a band's bucket are not expanded into all pairs. First each node meets the bucket's smallest node; that
 joins most of a large group. Then, only in buckets that still hold several components, blocks of bounded size are
-compared in memory: first the most similar pair of each two components is emitted, at last every remaining pair across
-components. Pairs within one component need no link, so none is lost.
+compared in memory: signatures tell which nodes have a possible partner in another component, and the full sets of
+these are compared in place, pair by pair, until a block's components are joined or have no link. Only links that
+join two components are emitted, so a block of n nodes gives n - 1 at most; pairs within one component need none.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ BANDS, ROWS = 32, 5  # a pair at similarity 0.85 shares no band once in 10^8, at
 HASHES = BANDS * ROWS
 BATCH = 32  # signature places compared at a time
 MISS = 1e-6  # posterior chance of a link below which a pair is dropped
-BLOCK = 256  # nodes of one bucket that meet in memory, on each side
+BLOCK, BLOCK_BYTES = 1_024, 8 << 20  # nodes of one bucket that meet in memory, on each side, and their sets
 BROADCAST_NODES = 500_000  # rows of ids that a broadcast may hold
 
 # --- shingle sets and signatures --------------------------------------------------------------
@@ -97,9 +98,9 @@ def _signed(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
                 if not len(found):
                     rows.append((0, None, None, None))
                     continue
-                minima = signature(found)
+                minima = (signature(found) & 0xFFFF).astype("<u2")
                 bands = [xxhash.xxh3_64_intdigest(part.tobytes(), i) - (1 << 63) for i, part in enumerate(minima.reshape(BANDS, ROWS))]
-                rows.append((len(found), hashlib.blake2b(found.tobytes(), digest_size=16).digest(), (minima & 0xFFFF).astype("<u2").tobytes(), bands))
+                rows.append((len(found), hashlib.blake2b(found.tobytes(), digest_size=16).digest(), minima.tobytes(), bands))
             kinds = (pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
             made = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], ["id", "key", "n", "digest", "signature", "bands"])
@@ -161,71 +162,106 @@ def _tested(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     return signed.mapInPandas(test, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, size: int, num: int, den: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold; sets are made again from the texts of these nodes alone."""
-    spark = docs.sparkSession
-    wanted = settle(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "id", "key"), "node"), "wanted")
-    named = wanted.select("node", F.col("id").alias("_id"), F.col("key").alias("_key"))
+def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
+    """``node, hashes`` of the wanted nodes, made again from one text of each."""
+    named = settle(wanted.distinct().join(nodes.select("node", F.col("id").alias("_id"), F.col("key").alias("_key")), "node"), "wanted")
     if fits(named, BROADCAST_NODES):
         named = F.broadcast(named)
     texts = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")).withColumn("key", text_key(F.col("text")))
     found = texts.join(named, F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))).select("node", "text")
-    text_batches(spark)
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"node": batch["node"], "hashes": [shingles(t, size).tobytes() for t in batch["text"]]})
 
     # repeated rows of one document give its set more than once
-    sets = settle(found.mapInPandas(make, "node long, hashes binary").dropDuplicates(["node"]), "sets")
+    return settle(found.mapInPandas(make, "node long, hashes binary").dropDuplicates(["node"]), "sets")
+
+
+def linked(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
+    """Whether two sorted sets reach the threshold."""
+    if len(x) < len(y):
+        x, y = y, x
+    both = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
+    return den * both >= num * (len(x) + len(y) - both)
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs whose full sets reach the threshold."""
 
     def confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keep = []
-            for left, right in zip(batch["ha"], batch["hb"], strict=True):
-                x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-                at = np.searchsorted(x, y)
-                both = int((x[np.minimum(at, len(x) - 1)] == y).sum())
-                keep.append(den * both >= num * (len(x) + len(y) - both))
+            keep = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), num, den) for x, y in zip(batch["ha"], batch["hb"], strict=True)]
             yield batch[np.asarray(keep, bool)][["a", "b"]]
 
     full = pairs.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb")), "b").join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), "a")
     return full.mapInPandas(confirm, "a long, b long")
 
 
-def _block_pairs(mixed: DataFrame, threshold: float, num: int, den: int, best_only: bool) -> DataFrame:
-    """Pairs across components that pass the test, from buckets of (bucket, node, component, n, signature, many)."""
-    chunks = F.ceil(F.col("many") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
-    dealt = mixed.withColumn("chunks", chunks).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    groups = (
-        dealt.groupBy("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-        .agg(F.collect_list(F.struct("node", "component", "n", "signature")).alias("g"), F.min("component").alias("low"), F.max("component").alias("high"))
+def _near(table: np.ndarray, comp: np.ndarray, n: np.ndarray, i: int, band: int, threshold: float, num: int, den: int) -> np.ndarray:
+    """Later rows of a block that may link with row ``i``: of another component, of fitting size, passing the
+    sequential test, and sharing no band before this bucket's (else they meet there)."""
+    rest = np.arange(i + 1, len(comp))
+    rest = rest[(comp[rest] != comp[i]) & (np.minimum(n[rest], n[i]) * den >= np.maximum(n[rest], n[i]) * num)]
+    if not len(rest):
+        return rest
+    rest = rest[survivors(np.broadcast_to(table[i], (len(rest), HASHES)), table[rest], threshold)[0]]
+    shared = (table[rest] == table[i]).reshape(len(rest), BANDS, ROWS).all(2)
+    return rest[shared.argmax(1) == band]
+
+
+def _blocks(rows: DataFrame, *fields: str) -> DataFrame:
+    """Nodes of each block (bucket, i, j) as parallel arrays; a block of one component has nothing to compare."""
+    return (
+        rows.groupBy("bucket", "i", "j")
+        .agg(F.first("band").alias("band"), F.collect_list(F.struct("node", "component", "n", "signature", *fields)).alias("g"), F.min("component").alias("low"), F.max("component").alias("high"))
         .where("low <> high")
-        .select("g.node", "g.component", "g.n", "g.signature")
+        .select("bucket", "i", "j", "band", "g.node", "g.component", "g.n", "g.signature", *[f"g.{f}" for f in fields])
     )
 
+
+def _close_nodes(mixed: DataFrame, threshold: float, num: int, den: int) -> DataFrame:
+    """``bucket, i, j, band, node``: the nodes of each block that may link across components."""
+    chunks = F.greatest(F.ceil(F.col("many") / BLOCK), F.ceil(F.col("shingles") * 8 / BLOCK_BYTES)).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
+    dealt = mixed.withColumn("chunks", chunks).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    groups = _blocks(dealt.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}))
+
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for node, comp, n, signed in zip(batch["node"], batch["component"], batch["n"], batch["signature"], strict=True):
-                node, comp, n = np.asarray(node), np.asarray(comp), np.asarray(n)
-                table = np.frombuffer(b"".join(signed), "<u2").reshape(-1, HASHES)
-                for i in range(len(node) - 1):
-                    rest = np.arange(i + 1, len(node))
-                    near = (comp[rest] != comp[i]) & (np.minimum(n[rest], n[i]) * den >= np.maximum(n[rest], n[i]) * num)
-                    rest = rest[near]
-                    if not len(rest):
-                        continue
-                    alive, matches = survivors(np.broadcast_to(table[i], (len(rest), HASHES)), table[rest], threshold)
-                    out += [(node[i], node[rest[k]], comp[i], comp[rest[k]], m) for k, m in zip(alive, matches, strict=True)]
-            frame = pd.DataFrame(out, columns=["x", "y", "cx", "cy", "m"])
-            if best_only and len(frame):
-                frame["lo"], frame["hi"] = np.minimum(frame.cx, frame.cy), np.maximum(frame.cx, frame.cy)
-                frame = frame.sort_values(["m", "x", "y"], ascending=[False, True, True]).drop_duplicates(["lo", "hi"])
-            yield pd.DataFrame({"a": np.minimum(frame.x, frame.y), "b": np.maximum(frame.x, frame.y)}).astype("int64")
-
-    return groups.mapInPandas(compare, "a long, b long").distinct()
+            for row in batch.itertuples(index=False):
+                table = np.frombuffer(b"".join(row.signature), "<u2").reshape(-1, HASHES)
+                hit = np.zeros(len(table), bool)
+                for i in range(len(table) - 1):
+                    rest = _near(table, row.component, row.n, i, row.band, threshold, num, den)
+                    if len(rest):
+                        hit[i] = True
+                        hit[rest] = True
+                out += [(row.bucket, row.i, row.j, row.band, node) for node in row.node[hit]]
+            yield pd.DataFrame(out, columns=["bucket", "i", "j", "band", "node"])
+
+    return groups.mapInPandas(compare, "bucket long, i int, j int, band int, node long")
+
+
+def _block_links(close: DataFrame, threshold: float, num: int, den: int) -> DataFrame:
+    """Links (a, b) that join the components of each block, confirmed on full sets."""
+
+    def confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for row in batch.itertuples(index=False):
+                table = np.frombuffer(b"".join(row.signature), "<u2").reshape(-1, HASHES)
+                sets = [np.frombuffer(h, np.uint64) for h in row.hashes]
+                comp = np.asarray(row.component).copy()  # as this block's links join them
+                for i in range(len(table) - 1):
+                    for k in _near(table, comp, row.n, i, row.band, threshold, num, den):
+                        if comp[k] != comp[i] and linked(sets[i], sets[k], num, den):
+                            out.append((min(row.node[i], row.node[k]), max(row.node[i], row.node[k])))
+                            comp[comp == comp[k]] = comp[i]
+            yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return _blocks(close, "hashes").mapInPandas(confirm, "a long, b long")
 
 
 # --- components -------------------------------------------------------------------------------
@@ -267,30 +303,27 @@ def near_duplicates(docs: DataFrame, doc_id: str, text: str, size: int = 5, num:
     first = rows.where("n > 0").groupBy("digest").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key")).alias("r"), F.first("n").alias("n"), F.first("signature").alias("signature"), F.first("bands").alias("bands"))
     nodes = settle(first.select(F.monotonically_increasing_id().alias("node"), "digest", "r.id", "r.key", "n", "signature", "bands"), "nodes")
 
-    entries = nodes.select(F.explode("bands").alias("bucket"), "node", "n")
-    heads = entries.groupBy("bucket").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("many")).where("many > 1")
+    entries = nodes.select(F.posexplode("bands").alias("band", "bucket"), "node", "n")
+    heads = entries.groupBy("bucket").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("many"), F.sum("n").alias("shingles")).where("many > 1")
     shared = settle(entries.join(heads, "bucket"), "shared")
 
+    # each node with its bucket's smallest
     sized = nodes.select(F.col("node").alias("head"), F.col("n").alias("nh"))
     pairs = shared.where("node <> head").select("head", "node", "n").distinct().join(sized, "head").where(_sizes_fit(F.col("n"), F.col("nh"), num, den))
-    tested = settle(pairs.select(F.col("head").alias("a"), F.col("node").alias("b")), "pairs")
-    edges, labels = None, None
-    for step in ("heads", "best", "all"):
-        if step != "heads":
-            labelled = shared.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            split = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
-            mixed = labelled.join(split, "bucket").join(nodes.select("node", "signature"), "node")
-            fresh = _block_pairs(mixed, threshold, num, den, step == "best").join(tested, ["a", "b"], "left_anti")
-            candidates = settle(fresh, "pairs")
-            tested = tested.unionByName(candidates)
-        else:
-            candidates = settle(_tested(tested, nodes, threshold), "survivors")
-        if candidates.limit(1).count():
-            confirmed = settle(_confirmed(candidates, nodes, docs, doc_id, text, size, num, den), "links")
-            edges = confirmed if edges is None else edges.unionByName(confirmed)
-            labels = components(edges)
-        elif labels is None:
-            labels = candidates.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    tested = settle(_tested(pairs.select(F.col("head").alias("a"), F.col("node").alias("b")), nodes, threshold), "survivors")
+    wanted = tested.select(F.col("a").alias("node")).union(tested.select(F.col("b").alias("node")))
+    links = settle(_confirmed(tested, _sets(wanted, nodes, docs, doc_id, text, size), num, den), "links")
+    labels = components(links)
+
+    # then what is left between components
+    labelled = shared.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    split = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
+    mixed = labelled.join(split, "bucket").join(nodes.select("node", "signature"), "node")
+    close = settle(_close_nodes(mixed, threshold, num, den), "close")
+    if close.limit(1).count():
+        sets = _sets(close.select("node"), nodes, docs, doc_id, text, size)
+        whole = close.join(nodes.select("node", "n", "signature"), "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")).join(sets, "node")
+        labels = components(links.unionByName(settle(_block_links(whole, threshold, num, den), "links")))
 
     grouped = nodes.select("node", "digest", "id", "key").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lowest = grouped.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key")).alias("r"))
