@@ -452,7 +452,7 @@ def json_array_elements(spark, sf):
 
 @check(
     "details_json_egress",
-    with_facts("SELECT event_id, layers, json_extract_string(concat('{\"service\":\"', service, '\"}'), '$.service') AS service FROM facts"),
+    with_facts("SELECT event_id, layers, service FROM facts"),
 )
 def details_json(spark, sf):
     df = _details(spark, sf, "geoserver", "mapproxy", "mapserver", "dataapi").withColumn(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from mapmeter.functions.ogc import _UUID
 from mapmeter.functions.urls import query_map, split_url
 
+# --- fixed value: where a service path names its workspace
 _SERVICE_PATH = r"/[a-zA-Z0-9-_]*/(.*)/(?:ows|wms|wfs|wcs|wmts)"
 
 
