@@ -42,32 +42,41 @@ def _shape(piece: str) -> str:
     return _RUN.sub(r"\1\1", kinds)
 
 
-class _Buckets(dict):
-    """Piece of text -> its buckets; forgets when it has grown large."""
+class _Codes(dict):
+    """Piece of text -> word bucket, shape bucket (0: none) and a hash of the piece, in one number; forgets when it
+    has grown large."""
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
+    def __missing__(self, piece: str) -> int:
         if len(self) > 200_000:
             self.clear()
-        core = re.sub(r"[\W_]+", "", piece[:256]).lower()
-        word = (SHAPES + zlib.crc32(core.encode()) % (BUCKETS - SHAPES),) if core else ()
-        shape = () if _PLAIN.match(piece) and not (len(piece) > 2 and piece.isupper()) else (1 + zlib.crc32(_shape(piece).encode()) % (SHAPES - 1),)
-        self[piece] = out = word + shape
+        raw = piece.encode()
+        stem = piece[:-1] if piece[-1] in ".," else piece
+        if len(piece) < 256 and stem.isalpha() and stem[1:].islower():  # what most pieces are
+            word, shape = SHAPES + zlib.crc32(stem.lower().encode()) % (BUCKETS - SHAPES), 0
+        else:
+            core = re.sub(r"[\W_]+", "", piece[:256]).lower()
+            word = SHAPES + zlib.crc32(core.encode()) % (BUCKETS - SHAPES) if core else 0
+            plain = _PLAIN.match(piece) and not (len(piece) > 2 and piece.isupper())
+            shape = 0 if plain else 1 + zlib.crc32(_shape(piece).encode()) % (SHAPES - 1)
+        self[piece] = out = word | shape << 16 | (zlib.crc32(raw) & 0x3FFFFFFF) << 32
         return out
 
 
-_buckets = _Buckets()
+_codes = _Codes()
 
 
 def tokens(text: str | None) -> np.ndarray:
     """Buckets of a text in order; words, then what is unusual in their shape, and ``REPEAT`` for a repeated piece."""
-    out: list[int] = []
-    last = None
-    for piece in (text or "").split():
-        out += _buckets[piece]
-        if piece == last:
-            out.append(REPEAT)
-        last = piece
-    return np.asarray(out, dtype=np.int64)
+    pieces = (text or "").split()
+    code = np.fromiter(map(_codes.__getitem__, pieces), np.int64, len(pieces))
+    word, shape = code & 0xFFFF, code >> 16 & 0xFFFF
+    table = np.empty((len(code), 3), np.int64)
+    table[:, 0] = np.where(word > 0, word, -1)
+    table[:, 1] = np.where(shape > 0, shape, -1)
+    table[:, 2] = -1
+    table[1:, 2][code[1:] == code[:-1]] = REPEAT
+    flat = table.ravel()
+    return flat[flat >= 0]
 
 
 def index_vectors(dims: int = DIMS) -> tuple[np.ndarray, np.ndarray]:
