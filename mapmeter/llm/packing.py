@@ -8,6 +8,7 @@ is left fits one window or merging no longer helps. No task holds more than a wi
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
@@ -32,7 +33,8 @@ class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit numbers, by a byte-level BPE file of ``tokenizers``.
 
     The file's vocabulary (ids in order of merging) and its pattern are run by ``tiktoken``, which gives the same ids
-    several times faster; ``exact`` is the file's own tokenizer, against which the tests hold them.
+    several times faster, on what stands between the file's added tokens; these have ids of their own. ``exact`` is the
+    file's own tokenizer as it is.
     """
 
     # --- fixed value: the pattern by which byte-level BPE of this family cuts texts before merging
@@ -44,23 +46,34 @@ class Encoder:
         self.path = path
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        special = {t["content"] for t in spec["added_tokens"]}
+        added = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        # the longest first, as the file's tokenizer takes them
+        self.added = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
+        # tokens that take white space with them, or stand as words only, are left to the file's tokenizer
+        self.simple = not any(t[k] for t in spec["added_tokens"] for k in ("lstrip", "rstrip", "single_word"))
         # printable bytes stand for themselves in such files, the others for what follows code point 255
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         letters = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(sorted({*range(256)} - {*plain}))}
-        ranks = {bytes(letters[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
-        self.fast = tiktoken.Encoding("file", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        ranks = {bytes(letters[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in added}
+        self.ids = {token: [i] for token, i in added.items()}
+        self.fast = tiktoken.Encoding("file", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
     @cached_property
     def exact(self):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(self.path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         return lambda text: np.asarray(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
-        return np.asarray(self.fast.encode_ordinary(text), dtype="<u4").tobytes()
+        if self.added is None or not self.added.search(text):
+            return np.asarray(self.fast.encode_ordinary(text), dtype="<u4").tobytes()
+        if not self.simple:
+            return self.exact(text)
+        ids: list[int] = []
+        for i, part in enumerate(self.added.split(text)):
+            ids += self.ids[part] if i % 2 else self.fast.encode_ordinary(part)
+        return np.asarray(ids, dtype="<u4").tobytes()
 
     def decode(self, ids) -> str:
         """The text of ``ids``, which end at a character's end."""

@@ -22,6 +22,22 @@ def test_ids_are_the_tokenizers():
     assert encode.PATTERN and encode(" " * 50_000 + "x" * 50_000) == encode.exact(" " * 50_000 + "x" * 50_000)
 
 
+def test_added_tokens_are_those_of_the_unmodified_tokenizer(frame):
+    from tokenizers import Tokenizer
+
+    plain, encode, r = Tokenizer.from_file(FILE), packing.encoder(FILE), random.Random(4)
+    want = lambda text: plain.encode(text, add_special_tokens=False).ids
+    end = "<|endoftext|>"
+    assert np.frombuffer(encode(f"a {end} b"), "<u4").tolist() == [64, 220, 50256, 275]
+    parts = [end, end, "<|", "|>", "endoftext", " ", "  ", "\n", "a", " b", "'s", "é", "日本", "12", "<|endoftext|"]
+    for _ in range(2_000):
+        text = "".join(r.choice(parts) for _ in range(r.randint(0, 10)))
+        assert np.frombuffer(encode(text), "<u4").tolist() == want(text), repr(text)
+    text = f"one {end}{end} two {end}"
+    rows = packing.token_pieces(frame([(1, text)], "doc_id long, text string"), "doc_id", "text", FILE, ids=True).collect()
+    assert [np.frombuffer(x.ids, "<u4").tolist() for x in rows] == [[*want(text), 2]]
+
+
 def test_pieces(spark, frame):
     exact = packing.encoder(FILE).exact
     big = (1 << 60) + 1
