@@ -28,17 +28,22 @@ REACH = 2  # neighbours on each side
 CHUNK = 1 << 16  # tokens worked on at a time
 TRAIN_ROWS = 20_000  # labelled rows a model is fitted on, at most
 HIDDEN = 16
+LONG_PIECE = 64  # pieces of more characters are cut into chunks
 REPEAT = 0  # the bucket of "the same piece again"
 
 # --- tokens -----------------------------------------------------------------------------------
 
+# scripts without spaces between words: Thai to Myanmar, Khmer, Japanese, Chinese
+_UNSPACED = r"\u0e00-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+# a chunk of a long piece: what is of one kind, of bounded length; each character belongs to one
+_CHUNK = re.compile(rf"[{_UNSPACED}]{{1,2}}|(?:(?![{_UNSPACED}])[^\W\d_]){{1,32}}|(?:(?![{_UNSPACED}])\d){{1,32}}|(?:(?![{_UNSPACED}])[\W_]){{1,32}}")
 _PLAIN = re.compile(r"^[^\W\d_]?[^\W\d_A-Z]*[.,]?$")
 _RUN = re.compile(r"(.)\1+")
 
 
 def _shape(piece: str) -> str:
     """Kind of each character, runs shortened: ``A`` capital, ``a`` other letter, ``0`` digit, else the character."""
-    kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in piece[:64])
+    kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in piece)
     return _RUN.sub(r"\1\1", kinds)
 
 
@@ -51,10 +56,10 @@ class _Codes(dict):
             self.clear()
         raw = piece.encode()
         stem = piece[:-1] if piece[-1] in ".," else piece
-        if len(piece) < 256 and stem.isalpha() and stem[1:].islower():  # what most pieces are
+        if stem.isalpha() and stem[1:].islower():  # what most pieces are
             word, shape = SHAPES + zlib.crc32(stem.lower().encode()) % (BUCKETS - SHAPES), 0
         else:
-            core = re.sub(r"[\W_]+", "", piece[:256]).lower()
+            core = re.sub(r"[\W_]+", "", piece).lower()
             word = SHAPES + zlib.crc32(core.encode()) % (BUCKETS - SHAPES) if core else 0
             plain = _PLAIN.match(piece) and not (len(piece) > 2 and piece.isupper())
             shape = 0 if plain else 1 + zlib.crc32(_shape(piece).encode()) % (SHAPES - 1)
@@ -66,8 +71,14 @@ _codes = _Codes()
 
 
 def tokens(text: str | None) -> np.ndarray:
-    """Buckets of a text in order; words, then what is unusual in their shape, and ``REPEAT`` for a repeated piece."""
+    """Buckets of a text in order; words, then what is unusual in their shape, and ``REPEAT`` for a repeated piece.
+
+    A piece is what stands between white space; longer ones than ``LONG_PIECE`` (prose without spaces, encoded data)
+    are cut into chunks that count as pieces, so that every character of a text does.
+    """
     pieces = (text or "").split()
+    if max(map(len, pieces), default=0) > LONG_PIECE:
+        pieces = [c for p in pieces for c in (_CHUNK.findall(p) if len(p) > LONG_PIECE else (p,))]
     code = np.fromiter(map(_codes.__getitem__, pieces), np.int64, len(pieces))
     word, shape = code & 0xFFFF, code >> 16 & 0xFFFF
     table = np.empty((len(code), 3), np.int64)

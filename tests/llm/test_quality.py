@@ -65,6 +65,18 @@ def test_word_vectors_against_a_plain_count(frame, monkeypatch):
     assert np.allclose(got, want, atol=1e-6)
 
 
+@pytest.mark.parametrize("start", ["天地玄黃宇宙洪荒" * 40, "QUJDREVGRw0K+/" * 30, "ภาษาไทยไม่มีวรรค" * 30, "f(a){b+=c_1;}" * 40, "x" * 400])
+def test_texts_without_spaces_count_to_their_end(start):
+    tokens = [quality.tokens(start + end).tolist() for end in ("", "海鹹河淡", "0123", "%%$$", "junkjunk")]
+    assert len({*map(tuple, tokens)}) == len(tokens)
+    more = quality.tokens(start + "海鹹河淡鱗潛羽翔" * 5_000)
+    assert len(more) > 15_000 > 3 * len(tokens[0])
+    assert "".join(quality._CHUNK.findall(start + "é_²٣ก्\u0301")) == start + "é_²٣ก्\u0301"
+    vectors = np.random.default_rng(1).normal(size=(quality.BUCKETS, 3))
+    one, other = quality.pool([start + "海" * 2_000, start + "鹹" * 2_000], vectors)
+    assert not np.allclose(one, other)
+
+
 def test_nothing_to_learn_from(frame):
     docs = frame([(1, "some words")], "doc_id long, text string")
     none = frame([], "doc_id long, quality int")
