@@ -2,14 +2,15 @@
 
 All rolling word k-grams of the texts meet the k-grams of the templates by hash. A hit at word ``i`` of a text and
 word ``j`` of a template votes for the diagonal ``i - j``; votes are summed per text, template and diagonal before
-any shuffle. Neighbouring diagonals (words added or left out) are merged into spans, whose words are verified.
+any shuffle. Neighbouring diagonals (words added or left out) are merged into spans. Votes only propose a span: its
+template positions, each once and in the order of the text, within a text span of bounded length, confirm it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +18,8 @@ from mapmeter.llm.common import count_words, settle, text_key, words
 
 K = 2  # words of a gram; the shortest phrase has two
 DRIFT = 3  # diagonals this close belong to one span
+REACH = 1.5  # words of a text that a span may take, as a multiple of its template's: windows of this length, by twos
+BITS = 62  # template positions to a number
 COVER = 0.6  # part of a template's words that a span must hold to give its label
 
 # --- fixed values: phrases that name a license, by contract
@@ -52,10 +55,11 @@ def _grams(array):
 
 
 def _votes(docs: DataFrame, doc_id: str, text: str, known: DataFrame) -> DataFrame:
-    """Verified hits, summed per text, template and diagonal: ``votes`` and the first and last matched word.
+    """Hits, summed per text, template and diagonal: ``votes`` and ``met``, the template positions hit as bits.
 
     Phrases and notices are few and fixed by the caller, so their grams are broadcast.
     """
+    longest = known.agg(F.max(F.size("words"))).first()[0] or K
     grams = known.select("template", "phrase", F.size("words").alias("length"), F.posexplode(_grams(F.col("words"))).alias("at", "gram_hash"), "words")
     grams = grams.select("template", "phrase", "length", "at", "gram_hash", F.slice("words", F.col("at") + 1, K).alias("gram"))
     rows = docs.select(F.col(f"`{doc_id}`").alias("_id"), text_key(F.col(f"`{text}`")).alias("_key"), words(F.col(f"`{text}`")).alias("w"))
@@ -63,34 +67,78 @@ def _votes(docs: DataFrame, doc_id: str, text: str, known: DataFrame) -> DataFra
     rows = rows.withColumn("_no", F.monotonically_increasing_id()).where(F.size("w") >= K)
     scanned = rows.select("_id", "_key", "_no", "w", F.posexplode(_grams(F.col("w"))).alias("pos", "hash"))
     hits = scanned.join(F.broadcast(grams), F.col("hash") == F.col("gram_hash")).where(F.slice("w", F.col("pos") + 1, K) == F.col("gram"))
-    return hits.groupBy("_id", "_key", "_no", "template", "phrase", "length", (F.col("pos") - F.col("at")).alias("diagonal")).agg(
-        F.count(F.lit(1)).alias("votes"), F.min("pos").alias("first"), (F.max("pos") + K - 1).alias("last")
+    bit = F.expr(f"shiftleft(1L, at % {BITS})")
+    met = [F.bit_or(F.when(F.floor(F.col("at") / BITS) == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"m{i}") for i in range(-(-longest // BITS))]
+    summed = hits.groupBy("_id", "_key", "_no", "template", "phrase", "length", (F.col("pos") - F.col("at")).alias("diagonal")).agg(F.count(F.lit(1)).alias("votes"), *met)
+    return summed.select("_id", "_key", "_no", "template", "phrase", "length", "diagonal", "votes", F.array(*[f"m{i}" for i in range(len(met))]).alias("met"))
+
+
+def _chain(hits: Column) -> Column:
+    """The longest run of hits with ascending template and text positions, as ``at, start, end`` of its beginnings.
+
+    ``hits`` come by text position, of one position the later template position first. The k-th entry is the chain of
+    k hits that ends at the earliest template position; of those that end alike, the one on fewest words of the text.
+    """
+
+    def meet(chains: Column, hit: Column) -> Column:
+        at, pos = -hit["back"], hit["pos"]
+
+        def put(k: Column) -> Column:  # behind the k chains that end before
+            old, start = F.get(chains, k), F.coalesce(F.get(chains, k - 1)["start"], pos)
+            keep = F.coalesce((old["at"] == at) & (pos - start > old["end"] - old["start"]), F.lit(False))
+            new = F.struct(at.alias("at"), start.alias("start"), pos.alias("end"))
+            return F.concat(F.slice(chains, F.lit(1), k), F.array(F.when(keep, old).otherwise(new)), F.slice(chains, k + 2, F.size(chains)))
+
+        return F.get(F.transform(F.array(F.size(F.filter(chains, lambda c: c["at"] < at))), put), F.lit(0))
+
+    return F.aggregate(hits, F.array().cast("array<struct<at:int,start:int,end:int>>"), meet)
+
+
+def _confirmed(runs: DataFrame) -> DataFrame:
+    """Spans of runs of diagonals that hold at least ``COVER`` of their template's grams, each once and in order.
+
+    A window of the text takes up two steps of ``REACH`` times the template, so any span of one step lies in one.
+    """
+    grams = F.col("length") - K + 1
+    keys = ["_id", "_key", "_no", "template", "phrase", "length", "run"]
+    hit = F.filter(F.sequence(F.lit(0), F.col("length") - K), lambda j: F.getbit(F.get("met", F.floor(j / BITS).cast("int")), j % BITS) == 1)
+    step = F.floor(F.col("pos") / F.ceil(F.col("length") * REACH))
+    hits = runs.select(*keys, "diagonal", F.explode(hit).alias("at")).withColumn("pos", F.col("diagonal") + F.col("at"))
+    windows = hits.withColumn("window", F.explode(F.array(step - 1, step))).groupBy(*keys, "window").agg(
+        F.array_sort(F.collect_set(F.struct("pos", (-F.col("at")).alias("back")))).alias("hits")
     )
+    chains = windows.where(F.size(F.array_distinct("hits.back")) >= COVER * grams).withColumn("chain", _chain(F.col("hits")))
+    spans = chains.where(F.size("chain") >= COVER * grams).select(
+        *keys, "window", F.element_at("chain", -1)["start"].alias("start"), (F.element_at("chain", -1)["end"] + K - 1).alias("end"),
+        F.size("chain").cast("long").alias("matched"),
+    )
+    # of windows that share words of a span the better one tells it
+    w = Window.partitionBy("_no", "template", "run").orderBy("window")
+    before, after = F.lag(F.struct("window", "end", "matched")).over(w), F.lead(F.struct("window", "start", "matched")).over(w)
+    spans = spans.withColumns({"before": before, "after": after})
+    worse = F.coalesce((F.col("before.window") == F.col("window") - 1) & (F.col("before.end") >= F.col("start")) & (F.col("before.matched") >= F.col("matched")), F.lit(False))
+    worse = worse | F.coalesce((F.col("after.window") == F.col("window") + 1) & (F.col("after.start") <= F.col("end")) & (F.col("after.matched") > F.col("matched")), F.lit(False))
+    return spans.where(~worse).drop("window", "run", "before", "after")
 
 
 def scan_licenses(docs: DataFrame, doc_id: str, text: str, known: DataFrame) -> DataFrame:
     """Per text with matches: ``_id, _key, spans``; a span is ``(label, phrase, start, end, matched, length)``.
 
-    A phrase's span is a diagonal with all its grams: its words stand there one after the other. A notice's span is a
-    run of diagonals at most ``DRIFT`` apart (overlapping or following one another in the text), holding at least
-    ``COVER`` of its grams.
+    A phrase's span is a diagonal with all its grams: its words stand there one after the other. A notice's span lies in
+    a run of diagonals at most ``DRIFT`` apart and holds at least ``COVER`` of its grams, each counted once, in the
+    notice's order, within a bounded stretch of the text (``REACH``).
     """
     votes = settle(_votes(docs, doc_id, text, known), "votes")
     exact = votes.where(F.col("phrase") & (F.col("votes") == F.col("length") - K + 1)).select(
         "_id", "_key", "_no", "template", "phrase", "length", F.col("diagonal").alias("start"), (F.col("diagonal") + F.col("length") - 1).alias("end"), F.col("votes").alias("matched")
     )
     # a diagonal with next to no votes is chance; it neither starts nor carries a span
-    w = Window.partitionBy("_no", "template").orderBy("diagonal", "first")
+    w = Window.partitionBy("_no", "template").orderBy("diagonal")
     loose = votes.where(~F.col("phrase") & (F.col("votes") >= 2)).withColumn(
         "cut", F.coalesce((F.col("diagonal") - F.lag("diagonal").over(w) > DRIFT).cast("int"), F.lit(1))
     )
-    merged = (
-        loose.withColumn("run", F.sum("cut").over(w))
-        .groupBy("_id", "_key", "_no", "template", "phrase", "length", "run")
-        .agg(F.min("first").alias("start"), F.max("last").alias("end"), F.sum("votes").alias("matched"))
-        .where(F.col("matched") >= COVER * (F.col("length") - K + 1))
-        .drop("run")
-    )
+    runs = loose.withColumn("run", F.sum("cut").over(w)).withColumn("all", F.sum("votes").over(Window.partitionBy("_no", "template", "run")))
+    merged = _confirmed(runs.where(F.col("all") >= COVER * (F.col("length") - K + 1)))
     labels = F.broadcast(known.select("template", "label"))
     return (
         exact.unionByName(merged)

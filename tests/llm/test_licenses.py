@@ -42,6 +42,24 @@ def test_notices_with_changes(spark, frame):
     assert got[3].labels == [] == got[4].labels
 
 
+def test_votes_are_confirmed_in_order_and_once(spark, frame):
+    mit = licenses.NOTICES["mit"]
+    w = mit.split()
+    docs = [
+        (1, "the software " * 40), (2, "to the software and to permit persons to whom the " * 300), (3, " ".join(w[33:] + w[:33])),
+        (4, "the software " * 40 + mit + " the software" * 40), (5, f"{mit} " * 3), (6, " ".join(x + (" oh" if i % 5 == 4 else "") for i, x in enumerate(w))),
+        (7, "x " * 143 + mit),
+    ]
+    got = {x.doc_id: x.license for x in run(spark, frame, docs)}
+    for junk in (1, 2, 3):
+        assert got[junk].labels == [] and got[junk].score == 0, junk
+    for doc, start, count in ((4, 80, 1), (5, 0, 3), (7, 143, 1)):
+        spans, n = got[doc].spans, len(brute(mit)[1]) + len(WORD.findall(mit))
+        assert got[doc].labels == ["mit"] and got[doc].score == 1.0 and len(spans) == count
+        assert [(s.start, s.end, s.matched) for s in spans] == [(start + i * n, start + (i + 1) * n - 1, n - 1) for i in range(count)]
+    assert all(s.matched <= s.length - 1 for x in got.values() for s in x.spans)
+
+
 def test_empty(spark, frame):
     assert run(spark, frame, []) == []
     known = licenses.templates(spark, {}, {})
