@@ -1,7 +1,8 @@
 """Main text of web pages by two passes of block rules.
 
 A page is cut into blocks at block-level elements. The first pass decides on what a block shows: where it stands,
-its length, the density of stop words and of links. Short blocks that show too little stay open; in the second pass
+its length, the density of stop words and of links. Names of elements, and forms, are evidence only: what holds most of
+the page's long text is not set apart by them. Short blocks that show too little stay open; in the second pass
 they take the label of the nearest decided neighbours.
 """
 
@@ -26,7 +27,7 @@ BLOCK = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea iframe noembed noframes xmp template".split())  # their content is no markup of the page
-APART = frozenset("head nav footer aside form menu noscript button select dialog svg math object canvas audio video label".split())
+APART = frozenset("head nav footer aside menu noscript button select dialog svg math object canvas audio video label".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # names of classes, ids and roles that mark what is not the article
 APART_NAMES = frozenset(
@@ -37,6 +38,16 @@ APART_NAMES = frozenset(
     "login signin search share sharing social related recommended recommendations teaser outbrain taboola "
     "comment comments commentlist respond reply replies discussion disqus form skip hidden tags".split()
 )
+# of these, what marks text of another kind, which may outgrow the article; the others are also found on its layout
+OTHER_TEXT = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored sponsors promo promos promotion promoted related recommended "
+    "recommendations teaser outbrain taboola cookie cookies consent gdpr footer foot colophon copyright legal disclaimer contentinfo "
+    "newsletter comment comments commentlist respond reply replies discussion disqus".split()
+)
+ARTICLE_NAMES = frozenset("ad ads advert adverts advertisement comment comments promo promos promotion reply replies teaser teasers".split())
+# parts of names that tell of a page's layout or an element's state instead
+LAYOUT = frozenset("no not non without has have with is overflow".split())
+STATES = frozenset("fixed sticky static enabled disabled open closed on off visible active collapsed expanded".split())
 STOP_WORDS = frozenset(
     "the of and to in is that for it as was with be by on not he his but at are this have from or had an they which one you were all "
     "der die und den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an werden aus er hat dass sie nach wird bei "
@@ -68,7 +79,7 @@ class Block:
     good: bool | None = None
 
 
-def _is_apart(tag: str, attributes: str, inside: bool) -> bool:
+def _is_apart(tag: str, attributes: str, inside: int) -> bool:
     if tag in APART or (tag == "header" and not inside):
         return True
     if not attributes.strip():
@@ -77,21 +88,76 @@ def _is_apart(tag: str, attributes: str, inside: bool) -> bool:
         name, value = name.lower(), html.unescape(value.strip("\"'"))
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and _HIDDEN_STYLE.search(value)):
             return True
-        if name in ("class", "id", "role") and tag not in ("html", "body", "article", "main"):
-            if not APART_NAMES.isdisjoint(_NAME.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value).lower())):
-                return True
-        if name in ("class", "id") and tag == "article" and re.search(r"\b(comment|reply|teaser|ad|advert|promo)", value.lower()):
-            return True
     return False
 
 
+def _names(tag: str, attributes: str) -> set[str]:
+    """Names in class, id and role that speak for setting the element apart: a whole name, or its first or last word."""
+    out: set[str] = set()
+    if tag in ("html", "body", "main") or not attributes.strip():
+        return out
+    known = ARTICLE_NAMES if tag == "article" else APART_NAMES
+    for name, value in _ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id", "role"):
+            for part in html.unescape(value.strip("\"'")).split():
+                words = _NAME.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", part).lower())
+                if words and LAYOUT.isdisjoint(words) and words[-1] not in STATES:
+                    out |= known & {words[0], words[-1]}
+    return out
+
+
+@dataclass
+class Named:
+    """An element that its name, or being a form, speaks for setting apart."""
+
+    above: int  # the next such element around it, or -1
+    form: bool
+    main: bool = False  # whether a main element is in it
+    weights: tuple[int, ...] = (0, 0, 0, 0)
+
+
+def _set_apart(found: list[Block], places: list[tuple[int, bool, bool]], named: list[Named]) -> None:
+    """Sets ``apart`` of the blocks in named elements, but for those that hold a main element or most of the long text.
+
+    Text in elements of ``OTHER_TEXT`` counts only if no other long text is there, or in an article within. Without long
+    text what stands in articles counts; without any that, of forms, blocks of ``SHORT`` words do.
+    """
+    if not named:
+        return
+    totals = [0, 0, 0, 0]
+    for b, (at, other, article) in zip(found, places, strict=True):
+        if b.apart or b.links >= LINK_HIGH:
+            continue
+        n, long = len(b.text), b.words >= LONG
+        weights = (n * (long and not other), n * (article and not other), n * long, n * (b.words >= SHORT))
+        totals = [t + w for t, w in zip(totals, weights, strict=True)]
+        if at >= 0:
+            named[at].weights = tuple(x + w for x, w in zip(named[at].weights, weights, strict=True))
+    for e in reversed(named):  # what is inside comes later
+        if e.above >= 0:
+            above = named[e.above]
+            above.main |= e.main
+            above.weights = tuple(x + w for x, w in zip(above.weights, e.weights, strict=True))
+    level = next((i for i, t in enumerate(totals) if t), 3)
+    apart: list[bool] = []
+    for e in named:
+        holds = e.main or (2 * e.weights[level] > totals[level] and (level < 3 or e.form))
+        apart.append(not holds or (e.above >= 0 and apart[e.above]))
+    for b, (at, _, _) in zip(found, places, strict=True):
+        b.apart = b.apart or (at >= 0 and apart[at])
+
+
 def blocks(page: str) -> list[Block]:
     """Blocks with text, in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # tag, apart, inside, heading: each with what stands above
+    places: list[tuple[int, bool, bool]] = []  # of each block: named element, whether of other text, whether in an unnamed article
+    named: list[Named] = []
+    # tag, apart, inside, heading, named element, other text, in an unnamed article: each with what stands above
+    stack: list[tuple[str, bool, int, bool, int, bool, bool]] = []
     text: list[str] = []
-    linked = links = 0
-    apart = inside = heading = False
+    linked = links = articles = 0
+    top = (False, 0, False, -1, False, False)
+    apart, inside, heading, place, other, article = top
 
     def close() -> None:
         nonlocal linked
@@ -100,14 +166,15 @@ def blocks(page: str) -> list[Block]:
             found = _WORD.findall(joined.lower())
             stops = sum(w in STOP_WORDS for w in found) / len(found) if found else 0.0
             out.append(Block(joined, len(joined.split(" ")), stops, min(1.0, linked / len(joined)), apart, inside, heading))
+            places.append((place, other, article))
         text.clear()
         linked = 0
 
     def pop(at: int) -> None:
-        nonlocal apart, inside, heading, links
+        nonlocal apart, inside, heading, place, other, article, links
         links -= sum(s[0] == "a" for s in stack[at:])
         del stack[at:]
-        apart, inside, heading = stack[-1][1:] if stack else (False, False, False)
+        apart, inside, heading, place, other, article = stack[-1][1:] if stack else top
 
     at, size = 0, len(page)
     while at < size:
@@ -146,10 +213,26 @@ def blocks(page: str) -> list[Block]:
                     break
                 if stack[i][0] in BLOCK:
                     break
-        stack.append((tag, apart or _is_apart(tag, hit[3], inside), inside or tag in ("article", "main"), heading or tag in HEADINGS))
+        names = set() if apart else _names(tag, hit[3])
+        apart = apart or _is_apart(tag, hit[3], inside)
+        if tag in ("article", "main"):
+            if not inside:
+                articles += 1
+                inside = articles
+            if tag == "main" and place >= 0 and not apart:
+                named[place].main = True
+            if not names:
+                other, article = False, True
+        if names or tag == "form":
+            named.append(Named(place, tag == "form"))
+            place = len(named) - 1
+            if not OTHER_TEXT.isdisjoint(names):
+                other, article = True, False
+        heading = heading or tag in HEADINGS
+        stack.append((tag, apart, inside, heading, place, other, article))
         links += tag == "a"
-        apart, inside, heading = stack[-1][1:]
     close()
+    _set_apart(out, places, named)
     return out
 
 

@@ -22,6 +22,35 @@ def test_rules_without_article_element():
     assert html.main_text(page).split("\n") == ["A heading", good, "So it is.", good]
 
 
+LINES = [
+    "This is the first paragraph of the text, and it is as long as it has to be for the rules to see that it is one of them.",
+    "It was the second one that told the reader what the page is for, and who had been there when all of this came to be in the news.",
+]
+TEXT = "".join(f"<p>{x}</p>" for x in LINES)
+MENU = "<nav><a href=1>Home</a></nav><div class='main-menu'><a href=2>About us and more</a></div>"
+
+
+@pytest.mark.parametrize("name", ["no-sidebar", "has-sidebar content-area", "page header-fixed", "with-comments", "sidebar", "widget search", "layout_sidebar"])
+@pytest.mark.parametrize("body", [f"<article>{TEXT}</article>", f"<main>{TEXT}</main>", f"<div>{TEXT}</div>"])
+def test_names_of_wrappers_are_evidence_only(name, body):
+    side = "<div class='sidebar'><p>The sidebar of the page is not in the text at all.</p></div><div id=footer>All of this is for the readers of it.</div>"
+    page = f"<body><div class='{name}'>{MENU}{body}{side}</div></body>"
+    assert html.main_text(page).split("\n") == LINES
+
+
+@pytest.mark.parametrize("body", [TEXT, f"<div id='content'>{TEXT}</div>", f"<article>{TEXT}</article>"])
+def test_body_wide_form(body):
+    page = f"<body><form method=post action=x.aspx><input type=hidden name=v>{MENU}{body}<form class=search><label>Find</label></form></form></body>"
+    assert html.main_text(page).split("\n") == LINES
+
+
+def test_small_named_elements_and_long_comments_stay_apart():
+    comments = "<section id='comments'>" + "".join(f"<article class='comment-body'>{TEXT}</article>" for _ in range(5)) + "</section>"
+    for body in (f"<article>{TEXT}</article>", f"<div>{TEXT}</div>"):
+        page = f"<body>{body}{comments}<div class='cookie-notice'>{TEXT * 3}</div><div class='sidebar'><p>{LINES[0]}</p></div></body>"
+        assert html.main_text(page).split("\n") == LINES
+
+
 @pytest.mark.parametrize("cut", ["<p", "<!-- never closed", "<script>x = 1", "<div class=\"a", "</p"])
 def test_cut_pages(cut):
     assert html.main_text(f"<article><p>Some words of the text{cut}") == "Some words of the text"
