@@ -58,12 +58,17 @@ STOP_WORDS = frozenset(
 LONG = 25  # words from which a block speaks for itself
 SHORT = 8  # words below which it does not
 STOP_HIGH, STOP_LOW = 0.2, 0.06
+STOP_USUAL = 0.15  # what long blocks of a language with listed stop words reach
+LISTED = 0.25  # part of a page's long text that reaches it, from which stop words decide
 LINK_HIGH = 0.4  # part of a block's characters that are link text
 
 _TOKEN = re.compile(r"<!--(?:.*?-->|.*\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|<[a-zA-Z/!?][^<>]*\Z", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _WORD = re.compile(r"[^\W\d_]+")
 _NAME = re.compile(r"[a-z]+")
+# scripts without spaces between words: Thai to Myanmar, Khmer, Japanese, Chinese; two characters count as a word
+_UNSPACED = re.compile(r"[\u0e00-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+_SENTENCE = re.compile(r"[.!?…。！？।؟]\W*\Z")
 _HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -74,8 +79,9 @@ class Block:
     stops: float
     links: float
     apart: bool  # inside a menu, footer, advert, form or the like
-    inside: bool  # inside an article or main element
+    inside: int  # number of the outermost article or main element it is in, or 0
     heading: bool
+    other: bool = False  # most of its words are in a script of none of the listed stop words
     good: bool | None = None
 
 
@@ -165,7 +171,11 @@ def blocks(page: str) -> list[Block]:
         if joined:
             found = _WORD.findall(joined.lower())
             stops = sum(w in STOP_WORDS for w in found) / len(found) if found else 0.0
-            out.append(Block(joined, len(joined.split(" ")), stops, min(1.0, linked / len(joined)), apart, inside, heading))
+            size, foreign = len(joined.split(" ")), False
+            if not joined.isascii():
+                size += len(_UNSPACED.findall(joined)) // 2
+                foreign = 2 * sum(w[0] > "\u024f" and not "\u1e00" <= w[0] <= "\u1eff" for w in found) > len(found)
+            out.append(Block(joined, size, stops, min(1.0, linked / len(joined)), apart, inside, heading, foreign))
             places.append((place, other, article))
         text.clear()
         linked = 0
@@ -236,17 +246,47 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
+def _is_marked(found: list[Block]) -> bool:
+    """Whether article or main elements tell where the text is: they hold most of the page's long text.
+
+    An element's text is long if its blocks are together; cards of few words are not.
+    """
+    words: dict[int, int] = {}
+    weights: dict[int, int] = {}
+    for b in found:
+        if not b.apart and (b.inside or b.words >= LONG) and b.links < LINK_HIGH:
+            words[b.inside] = words.get(b.inside, 0) + b.words
+            weights[b.inside] = weights.get(b.inside, 0) + len(b.text)
+    outside = weights.pop(0, 0)
+    if not outside:
+        return any(b.inside and not b.apart for b in found)
+    return sum(n for i, n in weights.items() if words[i] >= LONG) > outside
+
+
+def _is_listed(found: list[Block]) -> bool:
+    """Whether the page's long text is, in good part, in a language whose stop words are listed.
+
+    Without long blocks the shorter ones, from ``SHORT`` words on, tell it.
+    """
+    for least in (LONG, SHORT):
+        rows = [(b.words, b.stops) for b in found if not b.apart and b.links < LINK_HIGH and b.words >= least]
+        if rows:
+            return sum(n for n, stops in rows if stops >= STOP_USUAL) >= LISTED * sum(n for n, _ in rows)
+    return True
+
+
 def classify(found: list[Block]) -> None:
     """Sets ``good`` of each block."""
-    marked = any(b.inside and not b.apart for b in found)
+    marked, listed = _is_marked(found), _is_listed(found)
     for b in found:
+        by_stops = listed and not b.other
         if b.apart or (marked and not b.inside):
             b.good = False
         elif b.links >= LINK_HIGH:
             b.good = None if marked and b.words < LONG else False
         elif b.words >= LONG:
-            b.good = True if marked else b.stops >= STOP_LOW
-        elif b.words >= SHORT and b.stops >= STOP_HIGH and b.links < LINK_HIGH / 2:
+            b.good = True if marked or not by_stops else b.stops >= STOP_LOW
+        elif b.words >= SHORT and b.links < LINK_HIGH / 2 and (b.stops >= STOP_HIGH if by_stops else bool(_SENTENCE.search(b.text))):
             b.good = True
     # second pass: the nearest decided block on each side; a heading looks ahead, the others to the nearer side
     labels = [b.good for b in found]

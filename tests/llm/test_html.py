@@ -51,6 +51,35 @@ def test_small_named_elements_and_long_comments_stay_apart():
         assert html.main_text(page).split("\n") == LINES
 
 
+@pytest.mark.parametrize("sentence", [
+    "Городские власти сообщили в среду вечером, что новый мост через реку откроют для движения раньше срока.",
+    "Η κυβέρνηση ανακοίνωσε χθες το βράδυ νέα μέτρα στήριξης για όλους τους κατοίκους της μικρής πόλης.",
+    "أعلنت الحكومة مساء أمس عن خطة جديدة لدعم السكان في المدينة الصغيرة خلال الأشهر القليلة القادمة.",
+    "सरकार ने कल शाम छोटे शहर के सभी निवासियों के लिए नई सहायता योजना की घोषणा की है।",
+    "政府昨日晚上宣布了針對小城全體居民的新支援計劃並表示將於下月開始實施相關措施。",
+    "รัฐบาลประกาศมาตรการใหม่เพื่อช่วยเหลือประชาชนในเมืองเล็กทั้งหมดเมื่อคืนนี้",
+    "Hallitus ilmoitti eilen illalla uusista toimista, joilla tuetaan kaikkia pienen kaupungin asukkaita tulevina kuukausina.",
+])
+@pytest.mark.parametrize("times", [1, 3])
+def test_other_languages(sentence, times):
+    text = " ".join([sentence] * times)
+    page = f"<body><ul><li><a href=1>{sentence[:9]}</a></ul><div><p>{text}</p><p>{text}</p></div><div><a href=2>{sentence[-9:]}</a></div></body>"
+    if sentence[-1] not in ".।。" and times == 1 and len(sentence) < 50:
+        pytest.skip("shorter than a long block")
+    assert html.main_text(page).split("\n") == [text, text]
+
+
+def test_lists_of_words_stay_out_beside_prose():
+    words = " ".join(f"keyword{i % 7} offer" for i in range(30))
+    assert html.main_text(f"<body><div>{TEXT}</div><div><p>{words}</p></div></body>").split("\n") == LINES
+
+
+def test_a_teaser_card_is_not_the_article():
+    card = "<article><h3>Read more</h3><p>A card with a few words of the next text.</p></article>"
+    assert set(LINES) <= set(html.main_text(f"<body><div>{TEXT}</div>{card}</body>").split("\n"))
+    assert html.main_text(f"<body><article>{TEXT}</article><div><p>{LINES[0]}</p></div></body>").split("\n") == LINES
+
+
 @pytest.mark.parametrize("cut", ["<p", "<!-- never closed", "<script>x = 1", "<div class=\"a", "</p"])
 def test_cut_pages(cut):
     assert html.main_text(f"<article><p>Some words of the text{cut}") == "Some words of the text"
