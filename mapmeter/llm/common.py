@@ -38,6 +38,12 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")), F.length(F.coalesce(text, F.lit(""))))
 
 
+def one_each(rows: DataFrame) -> DataFrame:
+    """``id, y, text`` with one row for each id, that of the smallest text key, kept before the shuffle."""
+    best = F.min_by(F.struct("text"), F.struct(text_key(F.col("text")), "text"))
+    return rows.groupBy("id").agg(F.first("y").alias("y"), best.alias("best")).select("id", "y", "best.text")
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Cut the plan: write to the shared folder and read back, so that lost executors cost no recomputation."""
     return persist_table(df, f"llm-{label}")

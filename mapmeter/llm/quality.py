@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mapmeter.llm.common import text_batches
+from mapmeter.llm.common import one_each, text_batches
 
 BUCKETS = 8_192  # tokens fall into these; the first SHAPES of them belong to what words look like
 SHAPES = 512
@@ -230,7 +230,8 @@ def calibrate(net: Network, x: np.ndarray, y: np.ndarray) -> Network:
 def train(docs: DataFrame, doc_id: str, text: str, labels: DataFrame, label_id: str, label: str, vectors: np.ndarray, max_rows: int = TRAIN_ROWS) -> Network:
     """Fits on at most ``max_rows`` labelled rows (by hash of the id): nine tenths train, a tenth sets the temperature.
 
-    Null ids and labels other than 0 and 1 are left out. Repeated labels of an id count once, the larger one.
+    Null ids and labels other than 0 and 1 are left out. Repeated labels of an id count once, the larger one,
+    and so do its rows: the one whose text has the smallest key.
     """
     known = (
         labels.select(F.col(f"`{label_id}`").alias("id"), F.col(f"`{label}`").cast("int").alias("y"))
@@ -244,6 +245,7 @@ def train(docs: DataFrame, doc_id: str, text: str, labels: DataFrame, label_id:
             yield pd.DataFrame({"id": batch["id"], "y": batch["y"], "x": [row.tobytes() for row in x]})
 
     rows = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text")).join(F.broadcast(known), "id")
+    rows = one_each(rows)
     got = sorted(rows.mapInPandas(pooled, "id long, y int, x binary").collect(), key=lambda r: (r.id, r.x))
     x = np.stack([np.frombuffer(r.x, np.float32) for r in got]).astype(np.float64) if got else np.zeros((0, vectors.shape[1]))
     y = np.asarray([r.y for r in got], dtype=np.float64)

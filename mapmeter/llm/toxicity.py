@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mapmeter.llm.common import settle, text_batches, words
+from mapmeter.llm.common import one_each, settle, text_batches, words
 
 TRAIN_ROWS = 20_000  # labelled rows a chain is fitted on, at most
 FEATURES = 2_048
@@ -35,14 +35,16 @@ CATEGORIES = ("toxic", "severe", "pervasive")
 def sample(docs: DataFrame, doc_id: str, text: str, labels: DataFrame, label_id: str, label: str, max_rows: int = TRAIN_ROWS) -> DataFrame:
     """``id, y, text`` of at most ``max_rows`` labelled ids (by hash).
 
-    Null ids and labels other than 0 and 1 are left out; repeated labels of an id count once, the larger one.
+    Null ids and labels other than 0 and 1 are left out; repeated labels of an id count once, the larger one,
+    and so do its rows: the one whose text has the smallest key.
     """
     known = (
         labels.select(F.col(f"`{label_id}`").alias("id"), F.col(f"`{label}`").cast("int").alias("y"))
         .where("id IS NOT NULL AND y IN (0, 1)").groupBy("id").agg(F.max("y").alias("y"))
         .orderBy(F.xxhash64("id"), "id").limit(max_rows)
     )
-    return settle(docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text")).join(F.broadcast(known), "id"), "labelled")
+    rows = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text")).join(F.broadcast(known), "id")
+    return settle(one_each(rows), "labelled")
 
 
 def telling_features(labelled: DataFrame, limit: int = FEATURES) -> dict[str, float]:

@@ -77,6 +77,16 @@ def test_texts_without_spaces_count_to_their_end(start):
     assert not np.allclose(one, other)
 
 
+def test_an_id_is_fitted_once(frame, monkeypatch):
+    docs = frame([(i % 3, f"text {i}") for i in range(30)], "doc_id long, text string")
+    labels = frame([(i, i % 2) for i in range(3)], "doc_id long, quality int")
+    sizes, fit, tune = [], quality.fit_network, quality.calibrate
+    monkeypatch.setattr(quality, "fit_network", lambda x, y: sizes.append(len(x)) or fit(x, y))
+    monkeypatch.setattr(quality, "calibrate", lambda net, x, y: sizes.append(len(x)) or tune(net, x, y))
+    quality.train(docs, "doc_id", "text", labels, "doc_id", "quality", np.ones((quality.BUCKETS, 2), np.float32))
+    assert sum(sizes) == 3
+
+
 def test_nothing_to_learn_from(frame):
     docs = frame([(1, "some words")], "doc_id long, text string")
     none = frame([], "doc_id long, quality int")

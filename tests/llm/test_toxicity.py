@@ -91,3 +91,12 @@ def test_nothing_to_learn_from(frame):
         assert chain.features == {} and chain.thresholds[0] == 0.5
         assert toxicity.score(docs, "text", chain).where(F.col("toxicity.toxic") <= 0.5).count() == 2
     assert toxicity.score(frame([], docs.schema), "text", chain).count() == 0
+
+
+def test_an_id_is_sampled_once(frame):
+    docs = frame([(1, "b text"), (1, "a text"), (1, "b text"), (2, None), (2, None), (3, "c")], "doc_id long, text string")
+    labels = frame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    rows = toxicity.sample(docs, "doc_id", "text", labels, "doc_id", "toxic").collect()
+    assert sorted((r.id, r.y) for r in rows) == [(1, 1), (2, 0)]
+    again = toxicity.sample(docs.repartition(5), "doc_id", "text", labels, "doc_id", "toxic").collect()
+    assert sorted(rows) == sorted(again)
