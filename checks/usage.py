@@ -429,7 +429,7 @@ def reconcile_stream(spark, sf):
     sides = []
     for side in _two_sides(spark, sf):
         last = side.limit(1).withColumns({"timestamp": F.lit("2030-01-01").cast("timestamp"), "span_id": F.lit("end")})
-        files = _fact_files(spark, side.unionByName(last).coalesce(1))
+        files = _fact_files(spark, side.unionByName(last))
         sides.append(spark.readStream.schema(OTEL_SCHEMA).parquet(files))
     out = _collected(jobs.reconcile_stream(*sides), spark)
     return _reconciled(out.filter("span_id IS NULL OR span_id <> 'end'"))
