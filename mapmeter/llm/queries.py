@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapmeter.llm import chat, decontam, html, knn, licenses, neardup, packing, quality, toxicity, urls
+from mapmeter.llm import chat, decontam, html, knn, licenses, neardup, negatives, packing, quality, toxicity, urls
 from mapmeter.llm.common import settle, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -240,3 +240,29 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality_scored(docs, table(spark, sf_dir, "labels"))
     return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= ACCEPT).cast("int").alias("predicted"))
+
+
+# --- 11 ---------------------------------------------------------------------------------------
+
+
+@query(
+    "op11_hard_negatives",
+    """
+    WITH v AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                      list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+               WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (SELECT a.vec_id AS anchor_id, d.vec_id, a.label = d.label AS same, list_inner_product(a.v, d.v)::BIGINT AS score
+               FROM v a JOIN v d ON a.vec_id % 50 = 0 AND d.vec_id <> a.vec_id),
+    positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+                  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN scored USING (anchor_id)
+    WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+    QUALIFY rank <= 3""",
+)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return negatives.mine(moved, "vec_id", "embedding", "label", F.col("vec_id") % 50 == 0, factor=256.0)
