@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapmeter.llm import chat, decontam, html, knn, licenses, neardup, negatives, packing, quality, toxicity, urls
+from mapmeter.llm import chat, decontam, html, knn, licenses, neardup, negatives, packing, quality, rules, toxicity, urls
 from mapmeter.llm.common import settle, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -266,3 +266,15 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     moved = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
     return negatives.mine(moved, "vec_id", "embedding", "label", F.col("vec_id") % 50 == 0, factor=256.0)
+
+
+# --- 13 ---------------------------------------------------------------------------------------
+
+
+@query("op13_quality_rules")
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    learned = rules.train(docs, "doc_id", "text", table(spark, sf_dir, "labels"), "doc_id", "quality")
+    return rules.judge(docs, "text", learned).select(
+        "doc_id", *[f"rules.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")]
+    )
