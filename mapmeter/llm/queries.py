@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapmeter.llm import chat, decontam, html, knn, licenses, neardup, negatives, packing, quality, rules, toxicity, urls
+from mapmeter.llm import chat, decontam, html, knn, licenses, neardup, negatives, packing, quality, repair, rules, toxicity, urls
 from mapmeter.llm.common import settle, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -268,6 +268,17 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(moved, "vec_id", "embedding", "label", F.col("vec_id") % 50 == 0, factor=256.0)
 
 
+# --- 12 ---------------------------------------------------------------------------------------
+
+
+@query("op12_conversation_repair")
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    columns = ("conv_id", "turn", "role", "text")
+    found = repair.repair(repair.damage(rows, *columns), *columns)
+    return repair.with_every(found, repair.originals(rows, "conv_id")).withColumnsRenamed({"conv": "conv_id", "sha256": "repaired_sha256"})
+
+
 # --- 13 ---------------------------------------------------------------------------------------
 
 
