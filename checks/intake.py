@@ -16,7 +16,7 @@ from mapmeter.plans import ingestion
 from mapmeter.schemas import LEGACY_SCHEMA, OTEL_SCHEMA
 from mapmeter.session import fresh_path
 from mapmeter.settings import COMBINED_PATTERN, NETTY_SCOPE, Settings
-from mapmeter.sources import csvs, logs, tables
+from mapmeter.sources import changes, csvs, logs, tables
 
 CUTOFF = "2024-01-20 12:00:00"
 NETTY_MESSAGE = r"^netty (?P<path>/\S*)$"
@@ -149,6 +149,82 @@ def append_if_absent(spark, sf):
     return tables.read_access_logs(spark, path).groupBy("id").agg(F.count(F.lit(1)).alias("nb"))
 
 
+class _Killed(BaseException):
+    """Stands for a process that ends."""
+
+
+@check(
+    "append_after_crash_s4",
+    with_facts("SELECT id, ts, CAST(ts AS DATE) AS ts_date, (SELECT count(DISTINCT date_trunc('hour', ts)) FROM facts) AS hours_noted FROM facts"),
+)
+def append_after_crash(spark, sf):
+    """Two batches appended by writers that are killed, one before its change is decided and one amid it, and called
+    again: every row once, and every hour noted."""
+    df, path = facts(spark, sf, "event_id"), fresh_path(spark, "access_logs")
+    step = changes._step
+    for rows, stop in ((df.filter("event_id % 3 = 0"), "write the journal"), (df, "move ")):
+        seen = []
+
+        def stopping(name, seen=seen, stop=stop):
+            seen.append(name)
+            if name.startswith(stop) and (stop != "move " or sum(s.startswith(stop) for s in seen) > 3):
+                raise _Killed
+
+        changes._step = stopping
+        try:
+            ingest.append_if_absent(spark, rows.drop("event_id"), path)
+        except _Killed:
+            pass
+        finally:
+            changes._step = step
+        ingest.append_if_absent(spark, rows.drop("event_id"), path)
+    hours, _ = changes.notes_since(spark, path, 0)
+    return tables.read_access_logs(spark, path).select("id", "ts", "ts_date", F.lit(len(hours)).cast("bigint").alias("hours_noted"))
+
+
+@check(
+    "text_intake_x2",
+    with_lines(
+        ", many AS (SELECT *, unnest(range(CASE WHEN k % 11 = 0 THEN 3 ELSE 1 END)) AS repeat FROM lines)"
+        " SELECT substr(md5(CASE WHEN repeat > 0 THEN concat(line, chr(10), repeat) ELSE line END), 1, 12) AS id, sec AS ts, app_name, layers, response_size,"
+        " (SELECT count(*) FROM many) + (SELECT count(*) FROM lines WHERE k % 7 = 0) AS n_lines, (SELECT count(*) FROM lines WHERE k % 7 = 0) AS n_rejected FROM many"
+    ),
+)
+def text_intake(spark, sf):
+    """From text files to facts, done twice: lines that stand three times in their file are three accesses, broken ones
+    are counted and kept, and nothing comes twice."""
+    source, table, rejects = (fresh_path(spark, n) for n in ("in", "access_logs", "rejects"))
+    rows = lines(spark, sf)
+    thrice = rows.withColumn("n", F.when(F.col("k") % 11 == 0, 3).otherwise(1)).select("line", F.explode(F.sequence(F.lit(1), "n")))
+    broken = rows.filter("k % 7 = 0").select(F.concat(F.lit("?"), "line").alias("line"))
+    thrice.select("line").coalesce(1).write.text(source)  # equal lines of one file
+    broken.write.mode("append").text(source)
+    for _ in range(2):
+        counts = ingestion.ingest_text(spark, source, table, SETTINGS, rejects=rejects)
+    if spark.read.parquet(rejects).filter(F.col("value").startswith("?")).count() != 2 * counts["rejected"]:
+        raise AssertionError("rejected lines are lost")
+    return tables.read_access_logs(spark, table).select(
+        "id", "ts", "app_name", F.col("request_details.layers").alias("layers"), "response_size",
+        F.lit(counts["lines"]).cast("bigint").alias("n_lines"), F.lit(counts["rejected"]).cast("bigint").alias("n_rejected"),
+    )
+
+
+@check(
+    "compact_s9",
+    with_facts("SELECT id, CAST(ts AS DATE) AS ts_date, CASE WHEN ts < TIMESTAMP '2024-01-20 00:00:00' THEN 1 ELSE 2 END AS files FROM facts"),
+)
+def compact(spark, sf):
+    """Two appends leave two files a day; the days before the 20th are written anew as one."""
+    df, path = facts(spark, sf, "event_id").drop("event_id"), fresh_path(spark, "access_logs")
+    half = F.xxhash64("id") % 2 == 0
+    for part in (df.filter(half), df.filter(~half)):
+        ingest.append_if_absent(spark, part, path)
+    maintenance.compact(spark, path, "ts_date", "2024-01-20 00:00:00")
+    stored = tables.read_access_logs(spark, path).withColumn("file", F.col("_metadata.file_path"))
+    files = stored.groupBy("ts_date").agg(F.count_distinct("file").cast("int").alias("files"))
+    return stored.join(files, "ts_date").select("id", "ts_date", "files")
+
+
 @check(
     "csv_round_trip_s5_s6",
     with_facts("SELECT id, layers, CASE WHEN k % 2 = 0 THEN concat('a;\"', k, '\"') ELSE 'plain' END AS message, response_time FROM facts"),
@@ -205,16 +281,23 @@ def read_pipe_logs(spark, sf):
     with_facts(
         f"SELECT id AS span_id, CAST(ts AS DATE) AS buffer_date, (SELECT count(DISTINCT CAST(ts AS DATE)) FROM facts WHERE ts >= TIMESTAMP '{CUTOFF}') AS days"
         f" FROM facts WHERE ts >= TIMESTAMP '{CUTOFF}' AND k % 9 > 0"
+        f" UNION ALL SELECT concat('landed-', id), CASE WHEN k % 9 = 1 THEN CAST(ts AS DATE) END, (SELECT count(DISTINCT CAST(ts AS DATE)) FROM facts WHERE ts >= TIMESTAMP '{CUTOFF}')"
+        f" FROM facts WHERE k % 9 = 0 OR (k % 9 = 1 AND ts < TIMESTAMP '{CUTOFF}')"
     ),
 )
 def drain_buffer(spark, sf):
-    """A stored buffer after it was drained: what is left of it, and how many of its days."""
+    """A stored buffer after it was drained: what is left of it, and how many of its days. Records that land while the
+    run reads, old ones and some without time, are left."""
     df, path = otel(spark, sf), fresh_path(spark, "buffer")
     timeless = df.filter("k % 9 = 0").withColumn("timestamp", F.lit(None).cast("timestamp"))
     logs.write_otel_buffer(df.filter("k % 9 > 0").unionByName(timeless), path)
-    logs.drain_stored(spark, path, CUTOFF)
-    days = len(tables.date_folders(spark, path, "buffer_date"))
-    return spark.read.parquet(path).select("span_id", "buffer_date", F.lit(days).cast("bigint").alias("days"))
+    files = logs.pending_files(spark, path, CUTOFF)
+    landed = timeless.unionByName(df.filter(f"k % 9 = 1 AND timestamp < '{CUTOFF}'")).withColumn("span_id", F.concat(F.lit("landed-"), "span_id"))
+    logs.write_otel_buffer(landed, path)
+    logs.drain_stored(spark, path, CUTOFF, files)
+    left = spark.read.parquet(path)
+    days = left.filter(~F.col("span_id").startswith("landed-")).select("buffer_date").distinct().count()
+    return left.select("span_id", "buffer_date", F.lit(days).cast("bigint").alias("days"))
 
 
 @check(

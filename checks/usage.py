@@ -218,6 +218,31 @@ def refresh_rollup(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@check(
+    "refresh_changed_a15",
+    with_facts(ogc_ctes()
+               + ", late AS (SELECT DISTINCT ts + INTERVAL 1 HOUR AS local FROM facts WHERE id LIKE '%77'),"
+               " n AS (SELECT count(DISTINCT CAST(local AS DATE)) AS days, count(DISTINCT date_trunc('month', local)) AS months FROM late)"
+               " SELECT 'hour' AS level, *, (SELECT days FROM n) AS rewritten FROM hour UNION ALL SELECT 'day', *, (SELECT days FROM n) FROM day"
+               " UNION ALL SELECT 'month', *, (SELECT months FROM n) FROM month"),
+)
+def refresh_changed(spark, sf):
+    """All but a few records are appended and rolled up, then those few, of any age: only the partitions they lie in
+    are rewritten, and all three levels equal a full recompute."""
+    spec, table, folder = rollups.ogc_spec(TZ), fresh_path(spark, "access_logs"), fresh_path(spark, "rollups")
+    df = facts(spark, sf)
+    late = F.col("id").endswith("77")
+    ingest.append_if_absent(spark, df.filter(~late), table)
+    rollups.refresh_changed_levels(spark, table, folder, spec)
+    ingest.append_if_absent(spark, df.filter(late), table)
+    touched = rollups.refresh_changed_levels(spark, table, folder, spec)
+    out = None
+    for grain, level in rollups.stored_levels(spark, folder, spec).items():
+        part = level.select(F.lit(grain).alias("level"), "*", F.lit(len(touched[grain])).cast("bigint").alias("rewritten"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @check(
     "global_views_a16",
     with_facts(
@@ -414,6 +439,31 @@ def late_bound(spark, sf):
     return out.select("bucket", "nb_req")
 
 
+@check(
+    "late_rows_st2",
+    with_facts(ogc_ctes()
+               + ", n AS (SELECT count(*) AS late FROM facts WHERE k % 5 = 0 AND ts <= (SELECT max(ts) FROM facts WHERE k % 5 > 0) - INTERVAL 2 DAY)"
+               " SELECT 'hour' AS level, *, (SELECT late FROM n) AS late_rows FROM hour UNION ALL SELECT 'day', *, (SELECT late FROM n) FROM day"
+               " UNION ALL SELECT 'month', *, (SELECT late FROM n) FROM month"),
+)
+def late_rows(spark, sf):
+    """A stream of two files, of which the second one's rows are mostly behind the watermark: those are kept apart, and
+    the rollups of all levels hold them too, as a full recompute does."""
+    source, table, folder, late = (fresh_path(spark, n) for n in ("stream-in", "access_logs", "rollups", "late"))
+    df = facts(spark, sf, "k")
+    for part in ("k % 5 > 0", "k % 5 = 0"):
+        df.filter(part).select(*ACCESS_LOG_SCHEMA.names).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(ACCESS_LOG_SCHEMA).option("maxFilesPerTrigger", 1).parquet(source)
+    spec = rollups.ogc_spec(TZ)
+    jobs.metered_stream(stream, table, folder, late, fresh_path(spark, "stream-state"), [spec], "2 days").awaitTermination()
+    n = spark.read.schema(ACCESS_LOG_SCHEMA).parquet(late).count()
+    out = None
+    for grain, level in rollups.stored_levels(spark, folder, spec).items():
+        part = level.select(F.lit(grain).alias("level"), "*", F.lit(n).cast("bigint").alias("late_rows"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @check("dedupe_stream_st3", with_facts("SELECT CASE WHEN k % 9 = 0 THEN NULL ELSE id END AS id, count(*) AS nb FROM (SELECT id, k FROM facts UNION ALL SELECT id, k FROM facts WHERE event_id % 10 = 0 AND k % 9 = 0) GROUP BY 1"))
 def dedupe_stream(spark, sf):
     df = facts(spark, sf, "event_id", "k").withColumn("id", F.expr("CASE WHEN k % 9 = 0 THEN NULL ELSE id END"))

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from mapmeter.sources.tables import read_access_logs, table_exists, write_access_logs
+from mapmeter.session import fresh_path
+from mapmeter.sources.changes import change
+from mapmeter.sources.tables import delete, read_access_logs
 
 KEYS = ("ts", "id")
 
@@ -54,27 +56,46 @@ def append_if_absent(
     path: str,
     keys: Sequence[str] = KEYS,
     order: Sequence[str | Column] = ("message",),
+    wait: float = 0.0,
 ) -> None:
     """Append the rows whose key is not yet in the table; running it twice changes nothing for rows with a key.
 
     A row with a NULL key part conflicts with nothing, in the table or in the batch, and is appended each time. Of
-    equal keys in the batch the first by ``order`` is kept. The batch's dates (one column, a few values) prune the
-    table to its own partitions, so a stray old row opens one more day and not all between. De-duplication and
-    anti-join share one shuffle by date and key. One writer at a time is assumed.
+    equal keys in the batch the first by ``order`` is kept. The batch is computed once, to a table in the shared
+    folder; its dates (one column, a few values) prune the stored table to its own partitions, so a stray old row opens
+    one more day and not all between. De-duplication and anti-join share one shuffle by date and key.
+
+    The rows show all at once or not at all, and only one writer appends at a time: another one waits up to ``wait``
+    seconds for it and fails with ``TableBusy`` then. The hours with new rows are noted for the rollups, as seconds of
+    their start.
     """
+    landed = fresh_path(spark, "batch")
+    new.write.parquet(landed)
+    append_stored(spark, spark.read.schema(new.schema).parquet(landed), path, keys, order, wait)
+    delete(spark, landed)
+
+
+def append_stored(
+    spark: SparkSession,
+    batch: DataFrame,
+    path: str,
+    keys: Sequence[str] = KEYS,
+    order: Sequence[str | Column] = ("message",),
+    wait: float = 0.0,
+) -> None:
+    """:func:`append_if_absent` for a batch that is a table already and may be read more than once."""
     full = ["ts_date", *keys]
-    if not table_exists(spark, path):
-        write_access_logs(dedupe_keep_first(new, full, order), path)
-        return
-    dates = [r[0] for r in new.select("ts_date").distinct().collect()]
     missing = F.lit(False)
     for k in full:
         missing = missing | F.col(k).isNull()
-    present = read_access_logs(spark, path).filter(F.col("ts_date").isin([d for d in dates if d is not None])).select(*full)
-    fresh = absent_rows(dedupe_keep_first(new.filter(~missing), full, order), present, full)
-    if None in dates or new.schema[keys[-1]].nullable:
-        fresh = fresh.unionByName(new.filter(missing))
-    write_access_logs(fresh.select(*new.columns), path)
+    with change(spark, path, wait=wait) as asked:
+        dates = [r[0] for r in batch.select("ts_date").where("ts_date IS NOT NULL").distinct().collect()]
+        present = read_access_logs(spark, path).filter(F.col("ts_date").isin(dates)).select(*full)
+        fresh = absent_rows(dedupe_keep_first(batch.filter(~missing), full, order), present, full)
+        fresh = fresh.unionByName(batch.filter(missing)).select(*batch.columns)
+        added = asked.add(fresh, "ts_date", ("app_name", "ts"), compression="zstd")
+        hours = added.select((F.floor(F.unix_seconds("ts") / 3600) * 3600).alias("h")).where("h IS NOT NULL").distinct()
+        asked.note(r.h for r in hours.collect())
 
 
 def split_unreadable(records: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections import Counter
+from collections.abc import Iterable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapmeter.session import persist_table
-from mapmeter.sources.tables import date_folders, delete, table_exists
+from mapmeter.sources.changes import change, data_files
+from mapmeter.sources.tables import date_folders, table_exists
 
 # Retention of each table; monthly rollups are kept.
 RETENTION = {"facts": "3 years", "hour": "21 days", "day": "2 years"}
@@ -46,27 +47,24 @@ def expire(df: DataFrame, time: str, age: str, now: datetime | str, partition: s
     return kept.filter(F.col(partition) >= F.to_date(limit)) if partition else kept
 
 
-def drop_before(spark: SparkSession, path: str, time: str, limit: datetime | str, partition: str) -> None:
-    """Remove the rows of a stored table that are older than ``limit``.
+def drop_before(spark: SparkSession, path: str, time: str, limit: datetime | str, partition: str, wait: float = 0.0) -> None:
+    """Remove the rows of a stored table that are older than ``limit``, all at once or not at all.
 
-    ``partition`` is the date of ``time`` by which the table is laid out. Folders of earlier dates go as a whole,
-    unread; only the border date is rewritten, by way of the shared folder. Rows without time stay. One writer at a
-    time is assumed.
+    ``partition`` is the date of ``time`` by which the table is laid out. Files of earlier dates go as a whole, unread;
+    only the border date is written anew, beside the table. Rows without time stay. Rollups are not told: they outlive
+    the facts.
     """
     if not table_exists(spark, path):
         return
     instant = F.lit(limit).cast("timestamp")
     border = spark.range(1).select(F.to_date(instant)).first()[0]
-    for date, folder in date_folders(spark, path, partition).items():
-        if date < border:
-            delete(spark, folder)
-        elif date == border:
-            day = spark.read.parquet(folder)
-            kept = persist_table(day.filter(F.col(time).isNull() | (F.col(time) >= instant)), "border")
-            if kept.limit(1).count():
-                kept.write.mode("overwrite").parquet(folder)
-            else:
-                delete(spark, folder)
+    with change(spark, path, wait=wait) as asked:
+        folders = date_folders(spark, path, partition)
+        files = data_files(spark, path)
+        asked.replace([f"{partition}={d}" for d in folders if d <= border], files)
+        if border in folders:
+            day = spark.read.parquet(folders[border]).withColumn(partition, F.lit(border))
+            asked.add(day.filter(F.col(time).isNull() | (F.col(time) >= instant)), partition, compression="zstd")
 
 
 def expire_stored(spark: SparkSession, path: str, time: str, age: str, now: datetime | str, partition: str) -> None:
@@ -75,6 +73,25 @@ def expire_stored(spark: SparkSession, path: str, time: str, age: str, now: date
     drop_before(spark, path, time, limit, partition)
 
 
+def compact(spark: SparkSession, path: str, partition: str, before: datetime | str, sort: Sequence[str] = ("app_name", "ts"), most_files: int = 1, wait: float = 0.0) -> list[str]:
+    """Write the days before ``before`` anew that have come to more than ``most_files`` files; returns their names.
+
+    Hourly appends leave many small files a day. The rows stay the same; they are sorted and compressed as a whole, and
+    a large day is still split by size. Readers and rollups see no change.
+    """
+    limit = spark.range(1).select(F.to_date(F.lit(before).cast("timestamp"))).first()[0]
+    with change(spark, path, wait=wait) as asked:
+        files = data_files(spark, path)
+        count = Counter(f.split("/")[0] for f in files)
+        old = [f"{partition}={d}" for d in date_folders(spark, path, partition) if d < limit]
+        loose = [name for name in old if count[name] > most_files]
+        if loose:
+            asked.replace(loose, files)
+            rows = spark.read.option("basePath", path).parquet(*[f"{path.rstrip('/')}/{name}" for name in loose])
+            asked.add(rows, partition, [c for c in sort if c in rows.columns], compression="zstd")
+    return loose
+
+
 def classify_line(line: Column) -> Column:
     """First of three URL shapes a raw line shows, NULL for other lines."""
     return (

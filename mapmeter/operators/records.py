@@ -19,8 +19,8 @@ def apply_privacy(df: DataFrame, keys_blacklist: Iterable[str]) -> DataFrame:
     return df.withColumns(gone) if gone else df
 
 
-def as_access_records(df: DataFrame, settings: Settings) -> DataFrame:
-    """Apply the privacy list and bring columns to fact-table order, with the partition date."""
+def as_access_records(df: DataFrame, settings: Settings, more: Iterable[str] = ()) -> DataFrame:
+    """Apply the privacy list and bring columns to fact-table order, with the partition date; ``more`` follow as they are."""
     df = apply_privacy(df.withColumn("ts_date", F.to_date("ts")), settings.keys_blacklist)
     # a cast copies nested values, so only what really differs is cast
     have = {f.name: f.dataType.simpleString() for f in df.schema}
@@ -31,7 +31,7 @@ def as_access_records(df: DataFrame, settings: Settings) -> DataFrame:
         value = F.col(field.name) if field.name in have else F.lit(None)
         return value.cast(field.dataType).alias(field.name)
 
-    return df.select(*[fit(f) for f in ACCESS_LOG_SCHEMA])
+    return df.select(*[fit(f) for f in ACCESS_LOG_SCHEMA], *more)
 
 
 def prefer(*choices: Column) -> Column:

@@ -55,14 +55,22 @@ def readable(df: DataFrame) -> Column:
 
 
 def number_repeats(df: DataFrame) -> DataFrame:
-    """Equal lines of one file counted once, with map-side combining, and laid out again with ``repeat`` from 0.
+    """Lines with ``repeat``, the number (from 0) of each among the equal lines of its file.
 
     Times in logs are whole seconds, so equal lines are different accesses; with its number each gets an id of its
     own, and the same one when the file is read again. Lines of different files stay equal: a copied file adds nothing.
+
+    Only 16 bytes of each line are shuffled, counted map-side; the lines found twice or more, normally few, are looked
+    up among all and laid out again from their count, however often they stand there.
     """
     keys = [c for c in ("value", "source") if c in df.columns]
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias("_many"))
-    return counted.select(*keys, F.explode(F.sequence(F.lit(0), F.col("_many") - 1)).alias("repeat"))
+    digest = F.unhex(F.md5(F.concat_ws("\n", *reversed(keys)).cast("binary")))
+    lines = df.select(*keys, digest.alias("_digest"))
+    again = lines.groupBy("_digest").agg(F.count(F.lit(1)).cast("int").alias("_many")).where("_many > 1")
+    marked = lines.join(again, "_digest", "left")
+    once = marked.where("_many IS NULL").select(*keys, F.lit(0).alias("repeat"))
+    counted = marked.where("_many IS NOT NULL").groupBy(*keys).agg(F.max("_many").alias("_many"))
+    return once.unionByName(counted.select(*keys, F.explode(F.sequence(F.lit(0), F.col("_many") - 1)).alias("repeat")))
 
 
 def _or_null(df: DataFrame, name: str):
@@ -76,21 +84,27 @@ def parse_text_logs(
     unsupported: str = "keep",
     mapping: DataFrame | None = None,
     observation: Observation | None = None,
+    rejects: bool = False,
 ) -> DataFrame:
     """Lines (``value``, optionally ``source`` and ``repeat``) to access records.
 
     Requests without processor are kept with raw parameters unless ``unsupported`` is ``drop``. ``mapping`` stands in
     for ``settings.apps_mapping`` where that is a table. ``observation`` counts the lines, and those that do not
-    match the pattern or name no application.
+    match the pattern or name no application. With ``rejects`` such lines stay, as records without time, and the line
+    of each record without time is in ``rejected_line``, whatever the privacy list says of messages.
     """
     df = with_constants(parse_line(df, settings.text_pattern), settings.extra_info)
     if observation is not None:
         df = df.observe(observation, F.count(F.lit(1)).alias("lines"), F.count_if(~readable(df)).alias("rejected"))
-    df = drop_unparsed(df)
+    time = values.clf_timestamp(F.col("timestamp"))
+    if rejects:
+        time = F.when(readable(df), time)
+    else:
+        df = drop_unparsed(df)
     df = settle(
         df,
         {
-            "_ts": values.clf_timestamp(F.col("timestamp")),
+            "_ts": time,
             "_url": urls.url_parts(F.col("path")),
         },
     )
@@ -139,10 +153,11 @@ def parse_text_logs(
             F.lit(None).cast("string").alias("logger"),
             _or_null(df, "source").alias("source"),
         ).alias("context_data"),
+        *([F.when(F.col("_ts").isNull(), F.col("value")).alias("rejected_line")] if rejects else []),
     )
     if mapping is not None:
         records = lookup_app(records, mapping, settings.multi_domain)
-    return as_access_records(with_details(records, settings, registry, unsupported), settings)
+    return as_access_records(with_details(records, settings, registry, unsupported), settings, ("rejected_line",) if rejects else ())
 
 
 def parse_pipe_lines(df: DataFrame, line: str = "value") -> DataFrame:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -12,7 +13,8 @@ from pyspark.sql import functions as F
 from mapmeter.functions import times
 from mapmeter.functions.jsons import has_tag
 from mapmeter.functions.quantiles import STATE, build_state, merge_state, state_mean
-from mapmeter.sources.tables import date_folders, delete, table_exists
+from mapmeter.sources.changes import Change, change, cursor, data_files, notes_since
+from mapmeter.sources.tables import date_folders, read_access_logs, table_exists
 
 OGC_COLUMNS = ("app_id", "app_name", "user_name", "org_name", "request_method", "status_code", "server_address")
 OGC_DETAILS = (
@@ -197,6 +199,18 @@ def whole_partitions(grain: str, start: Column, end: Column, tz: str) -> tuple[C
     return low, high
 
 
+def _replace_partitions(asked: Change, rolled: DataFrame | None, dates: Iterable[date], spec: RollupSpec, grain: str) -> list[str]:
+    """The partitions of these dates become ``rolled``; those without rows go. Noted are those that had or have rows."""
+    names = {f"bucket_date={d.isoformat()}" for d in dates}
+    files = data_files(asked.spark, asked.path)
+    asked.replace(names, files)
+    if rolled is not None:
+        asked.add(rolled.withColumn("bucket_date", _partition(grain, spec.timezone)), "bucket_date")
+    touched = {f.split("/")[0] for f in asked.goes} | {target.split("/")[0] for _, target in asked.comes}
+    asked.note(name.split("=")[1] for name in touched)
+    return sorted(touched)
+
+
 def refresh_rollup(
     spark: SparkSession,
     source: DataFrame,
@@ -206,8 +220,9 @@ def refresh_rollup(
     start: datetime | str,
     end: datetime | str,
     source_since: datetime | str | None = None,
+    wait: float = 0.0,
 ) -> None:
-    """Recompute the buckets of ``[start, end)`` and replace their partitions; those left without rows are removed.
+    """Recompute the buckets of ``[start, end)`` and replace their partitions, all at once; those left without rows go.
 
     ``source`` is the fact table for hours and the next finer rollup above. ``source_since`` tells from
     when on the source is complete (its own retention); partitions that begin earlier are left alone, so
@@ -231,23 +246,77 @@ def refresh_rollup(
             & (F.col("bucket_date") <= times.local_date(high, tz))
         ).drop("bucket_date")
     rolled = facts_rollup(window, spec) if grain == "hour" else next_rollup(window, spec, grain)
-    # dynamic overwrite only replaces partitions that still have rows; which ones, one narrow read tells
-    if table_exists(spark, path):
-        rows = window.filter(spec.where) if grain == "hour" and spec.where is not None else window
-        dated = rows.select(times.bucket(grain, F.col(time), tz).alias("bucket")).select(_partition(grain, tz).alias("d"))
-        filled = {r[0] for r in dated.distinct().collect()}
-        first, last = spark.range(1).select(*[times.local_date(x, tz).alias(n) for n, x in (("a", low), ("b", high))]).first()
-        for day, stored in date_folders(spark, path, "bucket_date").items():
-            if first <= day < last and day not in filled:
-                delete(spark, stored)
-    (
-        rolled.withColumn("bucket_date", _partition(grain, tz))
-        .hint("rebalance", "bucket_date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("bucket_date")
-        .parquet(path)
-    )
+    first, last = spark.range(1).select(*[times.local_date(x, tz).alias(n) for n, x in (("a", low), ("b", high))]).first()
+    with change(spark, path, wait=wait) as asked:
+        stored = date_folders(spark, path, "bucket_date")
+        _replace_partitions(asked, rolled, [d for d in stored if first <= d < last], spec, grain)
+
+
+def _dates_of(notes: set[str], spec: RollupSpec, grain: str, spark: SparkSession) -> set[date]:
+    """Partitions of a level that notes of its source speak of: hours as seconds for the facts, dates for rollups."""
+    if grain == "hour":
+        if not notes:
+            return set()
+        # an hour may lie in two local days where the zone's offset is no whole hour
+        ends = spark.createDataFrame([(int(n) + more,) for n in notes for more in (0, 3599)], "s long")
+        local = times.local_date(F.timestamp_seconds("s"), spec.timezone)
+        return {r[0] for r in ends.select(local).distinct().collect()}
+    dates = {date.fromisoformat(n) for n in notes}
+    return dates if grain == "day" else {d.replace(day=1) for d in dates}
+
+
+def refresh_changed(
+    spark: SparkSession, source_path: str, path: str, spec: RollupSpec, grain: str, source_since: datetime | str | None = None, wait: float = 0.0
+) -> list[str]:
+    """Recompute exactly the partitions whose source rows have changed since the last call; returns their names.
+
+    The source's notes tell which (the fact table notes the hours of what is appended, rollups the partitions they
+    rewrite), so a late record of any age costs one day of hours, one day and one month. How far the notes were read is
+    part of the same change as the rows: a call that was killed is as if it had not been, or is finished by the next.
+    Rows are read after the notes, so what lands in between is at worst counted again.
+    """
+    tz = spec.timezone
+    with change(spark, path, wait=wait) as asked:
+        number = cursor(spark, path, spec.name)
+        notes, last = notes_since(spark, source_path, number)
+        if last == number:
+            return []
+        dates = _dates_of(notes, spec, grain, spark)
+        if source_since is not None:
+            since = F.lit(source_since).cast("timestamp")
+            _, whole_since = whole_partitions(grain, since, since, tz)
+            first = spark.range(1).select(times.local_date(whole_since, tz)).first()[0]
+            dates = {d for d in dates if d >= first}
+        asked.come_to(spec.name, last)
+        if not dates:
+            return []
+        if grain == "hour":
+            near = sorted({d + timedelta(days=n) for d in dates for n in (-1, 0, 1)})
+            window = read_access_logs(spark, source_path).filter(F.col("ts_date").isin(near) & times.local_date(F.col("ts"), tz).isin(sorted(dates)))
+            rolled = facts_rollup(window, spec)
+        elif not table_exists(spark, source_path):  # all of it has gone
+            return _replace_partitions(asked, None, dates, spec, grain)
+        else:
+            source = read_rollup(spark, source_path)
+            in_date = F.col("bucket_date") if grain == "day" else F.trunc("bucket_date", "month")
+            rolled = next_rollup(source.filter(in_date.isin(sorted(dates))).drop("bucket_date"), spec, grain)
+        return _replace_partitions(asked, rolled, dates, spec, grain)
+
+
+def refresh_changed_levels(
+    spark: SparkSession, facts_path: str, folder: str, spec: RollupSpec, source_since: datetime | str | None = None, wait: float = 0.0
+) -> dict[str, list[str]]:
+    """:func:`refresh_changed` for hour, day and month, each fed by the one before; the partitions rewritten at each.
+
+    A level that another one was killed before reading keeps its notes, so nothing is missed. Notes that all rollups of
+    a table have read can be dropped with ``changes.forget_notes``.
+    """
+    source, out = facts_path, {}
+    for grain in GRAINS:
+        path = f"{folder.rstrip('/')}/{spec.name}_{grain}"
+        out[grain] = refresh_changed(spark, source, path, spec, grain, source_since, wait)
+        source = path
+    return out
 
 
 def read_rollup(spark: SparkSession, path: str) -> DataFrame:

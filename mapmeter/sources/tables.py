@@ -47,8 +47,9 @@ def _at(spark: SparkSession, path: str):
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything but locks, notes and the like."""
     files, target = _at(spark, path)
-    return files.exists(target)
+    return files.exists(target) and any(s.getPath().getName()[0] not in "_." for s in files.listStatus(target))
 
 
 def delete(spark: SparkSession, path: str) -> None:

@@ -3,21 +3,24 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from mapmeter.operators.apps import BUILT_IN, Processor
-from mapmeter.operators.ingest import append_if_absent, split_unreadable
+from mapmeter.operators.ingest import append_if_absent, append_stored, split_unreadable
 from mapmeter.operators.reconcile import EXPIRE_MS, both_sides, merged, pair_in_order
 from mapmeter.operators.telemetry import filter_scope, parse_telemetry
 from mapmeter.operators.text import number_repeats, parse_text_logs
-from mapmeter.plans.rollups import LOOKBACK
+from mapmeter.plans.rollups import LOOKBACK, RollupSpec, refresh_changed_levels
+from mapmeter.session import fresh_path
 from mapmeter.settings import ACCESS_SCOPE_REGEX, Settings
+from mapmeter.sources import changes
+from mapmeter.sources.tables import delete
 
 
 def records_stream(
@@ -136,6 +139,78 @@ def reconcile_stream(netty: DataFrame, gateway: DataFrame, expire_ms: int = EXPI
     return merged(pairs.unionByName(alone), names)
 
 
+def _watermark(spark: SparkSession, path: str, epoch: int) -> int | None:
+    """Microseconds up to which rows count as late in a micro-batch, from the batches before it."""
+    held = changes.read_json(spark, f"{path}/{epoch - 1}") if epoch else None
+    return held["passed"] if held else None
+
+
+def split_late(
+    df: DataFrame,
+    on_time: str,
+    late: str,
+    checkpoint: str,
+    time: str = "ts",
+    lateness: str = LOOKBACK["hour"],
+    then: Callable[[DataFrame, DataFrame, int], None] | None = None,
+    **trigger: object,
+) -> StreamingQuery:
+    """Write a stream's rows to two tables: those that come in time, and those the watermark had already passed.
+
+    Windowed counts of a stream leave late rows out without a trace. Here each micro-batch is compared with the
+    watermark that holds in it, the latest time of all batches before less ``lateness``, as windows do; it is kept by
+    micro-batch beside the checkpoint, so a batch that is replayed is split in the same way. Each batch writes a folder
+    of its own (``epoch=N``) in both tables, over what a failed attempt has left. Rows without time are in time.
+    ``then(on_time, late, epoch)`` is called with the batch's two parts as stored.
+    """
+    marks = f"{checkpoint.rstrip('/')}-watermarks"
+    schema = df.schema
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        passed = _watermark(spark, marks, epoch)
+        staged = fresh_path(spark, "micro-batch")
+        batch.write.parquet(staged)
+        rows = spark.read.schema(schema).parquet(staged)
+        behind = F.lit(False) if passed is None else F.coalesce(F.unix_micros(time) <= F.lit(passed), F.lit(False))
+        parts = []
+        for path, part in ((on_time, rows.filter(~behind)), (late, rows.filter(behind))):
+            folder = f"{path.rstrip('/')}/epoch={epoch}"
+            part.write.mode("overwrite").parquet(folder)
+            parts.append(spark.read.schema(schema).parquet(folder))
+        if then is not None:
+            then(*parts, epoch)
+        latest = rows.agg(F.max(F.unix_micros(F.col(time) - F.expr(f"INTERVAL {lateness}")))).first()[0]
+        known = [x for x in (passed, latest) if x is not None]
+        changes.write_json(spark, f"{marks}/{epoch}", {"passed": max(known) if known else None})
+        delete(spark, staged)
+
+    return (
+        df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True})).start()
+    )
+
+
+def metered_stream(
+    records: DataFrame, table: str, folder: str, late: str, checkpoint: str, specs: Sequence[RollupSpec], lateness: str = LOOKBACK["hour"], **trigger: object
+) -> StreamingQuery:
+    """Append a stream of access records to the fact table and keep its rollups up to date, late rows included.
+
+    Rows in time and late ones are both appended, where absent; the appends note the hours they change, and the rollups
+    recompute exactly the partitions of these. What comes late is kept in ``late`` besides, a folder per micro-batch.
+    The stored rollups equal a full recompute after each batch.
+    """
+
+    def then(in_time: DataFrame, behind: DataFrame, _: int) -> None:
+        spark = in_time.sparkSession
+        for part in (in_time, behind):
+            append_stored(spark, part, table)
+        for spec in specs:
+            refresh_changed_levels(spark, table, folder, spec)
+
+    return split_late(records, f"{checkpoint.rstrip('/')}-on-time", late, checkpoint, "ts", lateness, then, **trigger)
+
+
 def hourly_stream(df: DataFrame, *dims: str, lateness: str = LOOKBACK["hour"]) -> DataFrame:
     """Counts, min, max and a quantile sketch by hour. An exact median is not incremental: for that,
     refresh the hourly rollup after each micro-batch."""
