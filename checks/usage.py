@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks.fixtures import SCOPES, SETTINGS, base, facts, flat, lines, with_base, with_facts, with_lines
 from checks.intake import RECONCILED_SQL, _line_files, _reconciled, _two_sides
 from checks.registry import check
-from mapmeter.functions import times
+from mapmeter.functions import relative, times
 from mapmeter.operators import ingest, layers, maintenance
 from mapmeter.operators.text import parse_text_logs
 from mapmeter.plans import reports, rollups
@@ -201,6 +201,84 @@ def lines_per_app(spark, sf):
 _PURGED = "NOT (ts >= TIMESTAMP '2024-01-23 23:00:00' AND ts < TIMESTAMP '2024-01-25 23:00:00')"
 
 
+_GAMMA = "(1.005 / 0.995)"
+
+
+def _quantiles_sql(grain):
+    """The quantiles of the facts' own bucket middles, and the exact ones, which they must be close to."""
+    middle = f"2 * pow({_GAMMA}, ceil(ln(rt) / ln({_GAMMA}))) / ({_GAMMA} + 1)"
+    parts = ", ".join(
+        f"round(quantile_cont(e, {q}), 6) AS p{name}, abs(quantile_cont(e, {q}) - quantile_cont(rt, {q})) <= 0.01 * quantile_cont(rt, {q}) AS p{name}_close" for name, q in _QUANTILES.items()
+    )
+    return with_facts(
+        f", f AS (SELECT {PARIS[grain].format('ts')} AS bucket, {_API_DIMS}, id, CAST(response_time AS DOUBLE) AS rt FROM facts WHERE app_name = 'dataapi'),"
+        f" g AS (SELECT *, CASE WHEN rt > 0 THEN {middle} WHEN rt <= 0 THEN 0 END AS e FROM f)"
+        f" SELECT bucket, {_API_KEYS}, count(id) AS nb_req, sum(rt) AS rt_sum, {parts} FROM g GROUP BY bucket, {_API_KEYS}"
+    )
+
+
+_QUANTILES = {"50": 0.5, "95": 0.95, "99": 0.99}
+
+
+def _quantiles(spark, sf, grain):
+    """A level made of the finer ones, with its quantiles, held against the exact ones of the facts."""
+    spec, df = rollups.dataapi_quantiles_spec(TZ), facts(spark, sf)
+    level = rollups.all_levels(df, spec)[grain]
+    keys = ["bucket", *spec.dims]
+    rows = df.filter(spec.where).select(
+        times.bucket(grain, F.col("ts"), TZ).alias("bucket"), *spec.columns, *[F.col(f"request_details.{d}").cast("string").alias(d) for d in spec.details], "response_time"
+    )
+    exact = rows.groupBy(*keys).agg(*[F.percentile("response_time", F.lit(q)).alias(f"exact{n}") for n, q in _QUANTILES.items()])
+    near = level.join(exact, [level[k].eqNullSafe(exact[k]) for k in keys]).select(level["*"], *[f"exact{n}" for n in _QUANTILES])
+    found = near.select(*keys, "nb_req", "rt_sum", *[relative.quantile(q).alias(f"q{n}") for n, q in _QUANTILES.items()], *[f"exact{n}" for n in _QUANTILES])
+    return found.select(
+        *keys, "nb_req", "rt_sum", *[F.round(f"q{n}", 6).alias(f"p{n}") for n in _QUANTILES],
+        *[(F.abs(F.col(f"q{n}") - F.col(f"exact{n}")) <= 0.01 * F.col(f"exact{n}")).alias(f"p{n}_close") for n in _QUANTILES],
+    )
+
+
+@check("dataapi_hourly_quantiles_a4", _quantiles_sql("hour"))
+def dataapi_hourly_quantiles(spark, sf):
+    return _quantiles(spark, sf, "hour")
+
+
+@check("dataapi_daily_quantiles_a5", _quantiles_sql("day"))
+def dataapi_daily_quantiles(spark, sf):
+    return _quantiles(spark, sf, "day")
+
+
+@check("dataapi_monthly_quantiles_a6", _quantiles_sql("month"))
+def dataapi_monthly_quantiles(spark, sf):
+    return _quantiles(spark, sf, "month")
+
+
+def _true_median_sql(grain):
+    return with_facts(
+        f", f AS (SELECT {PARIS[grain].format('ts')} AS bucket, {_OGC_DIMS}, id, CAST(response_time AS DOUBLE) AS rt FROM facts WHERE app_name <> 'dataapi')"
+        f" SELECT bucket, {_OGC_KEYS}, count(id) AS nb_req, quantile_cont(rt, 0.5) AS response_time_median, min(rt) AS response_time_min, max(rt) AS response_time_max FROM f GROUP BY bucket, {_OGC_KEYS}"
+    )
+
+
+def _true_medians(spark, sf, grain):
+    """From stored hourly counts of response times up to the level; the facts are read for the hours only."""
+    spec, path = rollups.ogc_spec(TZ), fresh_path(spark, "times")
+    rollups.distinct_times(facts(spark, sf), spec).write.parquet(path)
+    level = spark.read.parquet(path)
+    for finer in rollups.GRAINS[1 : rollups.GRAINS.index(grain) + 1]:
+        level = rollups.merge_times(level, spec, finer)
+    return rollups.true_medians(level, spec)
+
+
+@check("true_median_daily_a2", _true_median_sql("day"))
+def true_median_daily(spark, sf):
+    return _true_medians(spark, sf, "day")
+
+
+@check("true_median_monthly_a3", _true_median_sql("month"))
+def true_median_monthly(spark, sf):
+    return _true_medians(spark, sf, "month")
+
+
 @check(
     "refresh_rollup_a15",
     with_facts(ogc_ctes().replace("FROM facts", f"FROM (SELECT * FROM facts WHERE {_PURGED})", 1)

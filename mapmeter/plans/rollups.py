@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from mapmeter.functions import times
+from mapmeter.functions import relative, times
 from mapmeter.functions.jsons import has_tag
 from mapmeter.functions.quantiles import STATE, build_state, merge_state, state_mean
 from mapmeter.sources.changes import Change, change, cursor, data_files, notes_since
@@ -33,7 +33,8 @@ LOOKBACK = {"hour": "7 days", "day": "21 days", "month": "6 months"}
 class RollupSpec:
     """One family of rollups: which facts, which dimensions, which measures, in which zone.
 
-    ``measures`` is ``median`` (exact medians, min, max) or ``state`` (mean and mergeable quantiles).
+    ``measures`` is ``median`` (exact medians, min, max), ``state`` (mean and mergeable quantiles, bounded in rank) or
+    ``relative`` (mean and mergeable quantiles, bounded in value).
     """
 
     name: str
@@ -60,6 +61,12 @@ def dataapi_spec(timezone: str = "Europe/Paris") -> RollupSpec:
     )
 
 
+def dataapi_quantiles_spec(timezone: str = "Europe/Paris") -> RollupSpec:
+    return RollupSpec(
+        "dataapi_quantiles", DATAAPI_COLUMNS, DATAAPI_DETAILS, "relative", timezone, F.col("app_name") == "dataapi"
+    )
+
+
 def _median_rows(rows: DataFrame, keys: list[str], value: str, weight: Column) -> tuple[DataFrame, Column]:
     """Rank ``value`` within each group and say how its median reads off the ranked rows.
 
@@ -94,6 +101,14 @@ def exact_medians(df: DataFrame, keys: list[str], value: str, name: str = "media
     return ranked.groupBy(*keys).agg(median.alias(name))
 
 
+_RELATIVE_SUMS = ("nb_req", "rt_sum", "rt_cnt")
+
+
+def _relative_measures(buckets: DataFrame, keys: list[str]) -> DataFrame:
+    closed = relative.close_states(buckets, keys, sums=_RELATIVE_SUMS)
+    return closed.withColumn("avg_time", state_mean()).select(*keys, "nb_req", "avg_time", "quantiles", "rt_sum", "rt_cnt")
+
+
 def facts_rollup(facts: DataFrame, spec: RollupSpec, grain: str = "hour") -> DataFrame:
     """Rollup straight from the facts, normally by hour."""
     if spec.where is not None:
@@ -113,6 +128,9 @@ def facts_rollup(facts: DataFrame, spec: RollupSpec, grain: str = "hour") -> Dat
             .withColumn("avg_time", state_mean())
             .select(*keys, "nb_req", "avg_time", *STATE)
         )
+    if spec.measures == "relative":
+        counted = relative.count_buckets(rows, keys, F.col("_rt"), {"nb_req": F.col("id").isNotNull().cast("long"), "rt_sum": F.col("_rt").cast("double"), "rt_cnt": F.col("_rt").isNotNull().cast("long")})
+        return _relative_measures(counted, keys)
     # first by value, so that a hot group is combined map-side and spread over the shuffle
     counted = rows.groupBy(*keys, "_rt").agg(F.count("id").alias("_ids"), F.count("_rt").alias("_n"))
     ranked, median = _median_rows(counted, keys, "_rt", F.col("_n"))
@@ -136,6 +154,10 @@ def next_rollup(finer: DataFrame, spec: RollupSpec, grain: str) -> DataFrame:
             .withColumn("avg_time", state_mean())
             .select(*keys, "nb_req", "avg_time", *STATE)
         )
+    if spec.measures == "relative":
+        opened = relative.open_states(rows)
+        once = {c: F.when(F.col("_at") == 0, F.col(c)) for c in _RELATIVE_SUMS}
+        return _relative_measures(opened.withColumns(once), keys)
     # at most one row per finer bucket reaches a group, which bounds it
     counts = F.when(F.col("response_time_median").isNotNull(), F.lit(1)).otherwise(F.lit(0))
     ranked, median = _median_rows(rows, keys, "response_time_median", counts)
@@ -147,6 +169,39 @@ def next_rollup(finer: DataFrame, spec: RollupSpec, grain: str) -> DataFrame:
     )
 
 
+def distinct_times(facts: DataFrame, spec: RollupSpec, grain: str = "hour") -> DataFrame:
+    """``bucket, dims, response_time, n``: how often a group has each response time, as rows.
+
+    Unlike medians, such counts can be added up: :func:`merge_times` makes days and months of them, and
+    :func:`true_medians` reads the exact median of all accesses off any level. A group is as many rows as it has
+    distinct times, so none has to fit into one value.
+    """
+    if spec.where is not None:
+        facts = facts.filter(spec.where)
+    rows = facts.select(
+        times.bucket(grain, F.col("ts"), spec.timezone).alias("bucket"), *spec.columns,
+        *[F.col(f"request_details.{d}").cast("string").alias(d) for d in spec.details], "response_time", "id",
+    )
+    return rows.groupBy("bucket", *spec.dims, "response_time").agg(F.count(F.lit(1)).alias("n"), F.count("id").alias("nb_req"))
+
+
+def merge_times(finer: DataFrame, spec: RollupSpec, grain: str) -> DataFrame:
+    """The counts of a coarser level from those of a finer one."""
+    rows = finer.withColumn("bucket", times.bucket(grain, F.col("bucket"), spec.timezone))
+    return rows.groupBy("bucket", *spec.dims, "response_time").agg(F.sum("n").alias("n"), F.sum("nb_req").alias("nb_req"))
+
+
+def true_medians(counted: DataFrame, spec: RollupSpec) -> DataFrame:
+    """Exact median, minimum and maximum of all accesses of each group, from a level of counts."""
+    keys = ["bucket", *spec.dims]
+    weight = F.when(F.col("response_time").isNotNull(), F.col("n")).otherwise(F.lit(0))
+    ranked, median = _median_rows(counted, keys, "response_time", weight)
+    number = F.col("response_time").cast("double")
+    return ranked.groupBy(*keys).agg(
+        F.sum("nb_req").alias("nb_req"), median.alias("response_time_median"), F.min(number).alias("response_time_min"), F.max(number).alias("response_time_max")
+    )
+
+
 def all_levels(facts: DataFrame, spec: RollupSpec) -> dict[str, DataFrame]:
     hour = facts_rollup(facts, spec, "hour")
     day = next_rollup(hour, spec, "day")
