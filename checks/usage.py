@@ -10,7 +10,7 @@ from checks.registry import check
 from mapmeter.functions import relative, times
 from mapmeter.operators import ingest, layers, maintenance
 from mapmeter.operators.text import parse_text_logs
-from mapmeter.plans import reports, rollups
+from mapmeter.plans import reports, rollups, summaries
 from mapmeter.schemas import ACCESS_LOG_SCHEMA, OTEL_SCHEMA
 from mapmeter.session import fresh_path
 from mapmeter.sources import logs, tables
@@ -396,6 +396,44 @@ def top_layers_all(spark, sf):
     return reports.top_layers(facts(spark, sf), 10, START, END, without_tiles=False)
 
 
+_LOCAL_DAY = "CAST(ts + INTERVAL 1 HOUR AS DATE)"
+
+
+@check(
+    "top_layers_any_window_o3",
+    with_facts(f", l AS (SELECT *, unnest(string_split(layers, ',')) AS layer FROM facts WHERE {_LOCAL_DAY} >= DATE '2024-01-03' AND {_LOCAL_DAY} < DATE '2024-01-29')"
+               " SELECT workspaces, layer, count(id) AS nb_req FROM l GROUP BY ALL ORDER BY nb_req DESC, workspaces NULLS LAST, layer LIMIT 10"),
+)
+def top_layers_any_window(spark, sf):
+    """From stored summaries of each day's thirty most requested layers; only layers that can be among the first are
+    counted on the facts."""
+    path = fresh_path(spark, "layer-days")
+    df = facts(spark, sf)
+    summaries.daily_layers(df, keep=30, tz=TZ).write.parquet(path)
+    return summaries.top_layers(spark, spark.read.parquet(path), df, 10, "2024-01-03", "2024-01-29", TZ)
+
+
+def _users_sql():
+    def users(first, last):
+        return f"(SELECT DISTINCT app_name, user_name FROM facts WHERE user_name IS NOT NULL AND {_LOCAL_DAY} >= DATE '{first}' AND {_LOCAL_DAY} < DATE '{last}')"
+
+    return with_facts(
+        f", a AS {users('2024-01-01', '2024-01-04')}, b AS {users('2024-01-04', '2024-01-08')},"
+        " u AS (SELECT app_name, user_name, a.user_name IS NOT NULL AS in_a, b.user_name IS NOT NULL AS in_b FROM a FULL JOIN b USING (app_name, user_name))"
+        " SELECT app_name, count_if(in_a AND NOT in_b) AS lapsed, count_if(in_a AND in_b) AS retained, count_if(in_b AND NOT in_a) AS gained, count_if(in_a) AS active FROM u GROUP BY 1"
+    )
+
+
+@check("lapsed_users_q7", _users_sql())
+def lapsed_users(spark, sf):
+    """From stored sketches of each day's users; exact as long as an application has no more than some 4,000."""
+    path = fresh_path(spark, "user-days")
+    summaries.daily_users(facts(spark, sf), tz=TZ).write.parquet(path)
+    days = spark.read.parquet(path)
+    changed = summaries.compare_users(days, ("2024-01-01", "2024-01-04"), ("2024-01-04", "2024-01-08"))
+    return changed.join(summaries.active_users(days, "2024-01-01", "2024-01-04").withColumnRenamed("users", "active"), "app_name")
+
+
 @check(
     "usage_over_time_q2",
     with_facts(f"SELECT {PARIS['day'].format('ts')} AS bucket, org_name, count(id) AS nb_req FROM facts WHERE request = 'getfeature' GROUP BY ALL"
