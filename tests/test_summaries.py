@@ -64,7 +64,8 @@ def test_only_candidates_are_counted(spark, tmp_path):
     path = str(tmp_path / "facts")
     _table(spark, rows).write.parquet(path)
     facts = spark.read.schema(ACCESS_LOG_SCHEMA).parquet(path)
-    days = summaries.daily_layers(facts, 8, "UTC").cache()
+    summaries.daily_layers(facts, 8, "UTC").write.parquet(str(tmp_path / "days"))
+    days = spark.read.parquet(str(tmp_path / "days"))
     got = summaries.top_layers(spark, days, facts, 5, _day(0), _day(6), "UTC")
     assert [tuple(r) for r in got.collect()] == _brute(rows, 0, 6, 5)
     # every day names the leaders, so their counts are whole and the facts are not read at all
