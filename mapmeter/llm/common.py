@@ -33,6 +33,16 @@ def count_words(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD_ANY_CASE))
 
 
+def stretches(array: Column, step: int, more: int) -> Column:
+    """``(base, c)``: an array cut every ``step`` elements, each piece with the ``more`` elements that follow it.
+
+    Windows are exploded piece by piece: a row that is exploded is copied into each of the rows it becomes, so what it
+    holds must not grow with the text.
+    """
+    base = F.transform(F.sequence(F.lit(0), F.floor((F.greatest(F.size(array), F.lit(1)) - 1) / step).cast("int")), lambda i: i * step)
+    return F.transform(base, lambda i: F.struct(i.alias("base"), F.slice(array, i + 1, step + more).alias("c")))
+
+
 def text_key(text: Column) -> Column:
     """Tells rows of one id with different texts apart."""
     return F.xxhash64(F.coalesce(text, F.lit("")), F.length(F.coalesce(text, F.lit(""))))

@@ -2,88 +2,76 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mapmeter.llm.common import count_words, fits, settle, text_key, words
+from mapmeter.llm.common import count_words, settle, stretches, text_key, words
 
-# A set of test n-grams is broadcast up to this many rows (about 200 bytes each); longer ones are joined by shuffle.
-BROADCAST_GRAMS = 1_000_000
+# The set is broadcast while its words take no more than this; beyond, windows meet it by shuffle.
+BROADCAST_BYTES = 64 << 20
+STRETCH = 256  # words of a text whose windows are made at a time
 
 
-def _windows(array: Column, size: int) -> Column:
-    """(start, length, hash) of each run of ``size`` elements."""
-    count = F.size(array) - size + 1
-    return F.when(
-        count > 0,
-        F.transform(
-            F.sequence(F.lit(0), count - 1),
-            lambda i: F.struct(i.alias("start"), F.lit(size).alias("length"), F.xxhash64(F.slice(array, i + 1, size)).alias("hash")),
-        ),
-    ).otherwise(F.array().cast("array<struct<start:int,length:int,hash:bigint>>"))
-
-
-def test_grams(items: DataFrame, item_id: str, text: str, n: int) -> DataFrame:
-    """Distinct windows of the items: ``length, hash, gram`` (words) and ``items`` (ids, nulls left out).
-
-    An item of fewer than ``n`` words, but not none, is one window. Repeated items and windows fall together.
-    """
+def item_windows(items: DataFrame, item_id: str, text: str, n: int) -> DataFrame:
+    """``item, gram``: each window of ``n`` consecutive words of each item; one of fewer words, but not none, is one."""
     rows = items.select(F.col(f"`{item_id}`").alias("item"), words(F.col(f"`{text}`")).alias("w")).where(F.size("w") > 0)
-    size = F.least(F.size("w"), F.lit(n))
-    grams = F.transform(F.sequence(F.lit(1), F.size("w") - size + 1), lambda i: F.slice(F.col("w"), i, size))
-    return (
-        rows.select("item", F.explode(grams).alias("gram"))
-        .groupBy("gram")
-        .agg(F.collect_set("item").alias("items"))
-        .select(
-            F.size("gram").alias("length"),
-            F.xxhash64(F.transform("gram", lambda w: F.xxhash64(w))).alias("hash"), "gram", "items",
-        )
-    )
+    rows = rows.select("item", F.least(F.size("w"), F.lit(n)).alias("size"), F.explode(stretches(F.col("w"), STRETCH, n - 1)).alias("s"), F.size("w").alias("words"))
+    last = F.least(F.size("s.c") - F.col("size"), F.lit(STRETCH - 1))
+    grams = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(F.col("s.c"), i + 1, F.col("size")))
+    return rows.where(F.size("s.c") >= F.col("size")).select("item", F.explode(grams).alias("gram"))
 
 
-test_grams.__test__ = False  # not a test, whatever its name says to pytest
+def _windows(size: int) -> Column:
+    """(start, length, hash, gram) of each run of ``size`` words that begins in the stretch."""
+    last = F.least(F.size("c") - size, F.lit(STRETCH - 1))
+    return F.when(
+        last >= 0,
+        F.transform(
+            F.sequence(F.lit(0), last),
+            lambda i: F.struct((F.col("base") + i).alias("start"), F.lit(size).alias("length"), F.xxhash64(F.slice("hashes", i + 1, size)).alias("hash"), F.slice("c", i + 1, size).alias("gram")),
+        ),
+    ).otherwise(F.array().cast("array<struct<start:int,length:int,hash:bigint,gram:array<string>>>"))
 
 
-def _covered(spans: Column) -> Column:
-    """Merged (start, end) intervals of (start, length) pairs."""
-    start = F.array().cast("array<struct<start:int,end:int>>")
-    return F.aggregate(
-        F.array_sort(spans),
-        start,
-        lambda acc, s: F.when(
-            (F.size(acc) > 0) & (F.element_at(acc, -1)["end"] >= s["start"]),
-            F.concat(
-                F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))),
-                F.array(F.struct(F.element_at(acc, -1)["start"].alias("start"), F.greatest(F.element_at(acc, -1)["end"], s["start"] + s["length"]).alias("end"))),
-            ),
-        ).otherwise(F.concat(acc, F.array(F.struct(s["start"].alias("start"), (s["start"] + s["length"]).alias("end"))))),
-    )
+def _merged(spans: DataFrame) -> DataFrame:
+    """Overlapping and touching intervals of each text put together, in order: ``_id, _key, spans``."""
+    text = Window.partitionBy("_id", "_key").orderBy("start", "end")
+    before = F.max("end").over(text.rowsBetween(Window.unboundedPreceding, -1))
+    rows = spans.withColumn("_new", F.when(before >= F.col("start"), 0).otherwise(1))
+    rows = rows.withColumn("_part", F.sum("_new").over(text.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    parts = rows.groupBy("_id", "_key", "_part").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return parts.groupBy("_id", "_key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
 
 def find_contamination(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str, n: int = 10) -> DataFrame:
     """Documents with hits: ``_id, _key`` (of the text), ``spans`` (merged word intervals) and ``items`` (ids).
 
-    Words are compared after A-Z became lower case. The hash set of windows is broadcast if it is proved to have at
-    most ``BROADCAST_GRAMS`` rows, else joined by shuffle; each hit is verified word by word.
+    Words are compared after A-Z became lower case. The set holds each distinct window once, without its items, which
+    hits get by the window's number; it is broadcast as long as its size is proved to be at most ``BROADCAST_BYTES``.
+    Windows carry their own words, by which hits are verified, so the cost of a word does not grow with its text.
     """
-    grams = settle(test_grams(items, item_id, item_text, n), "grams")
-    sizes = sorted(r[0] for r in grams.select("length").distinct().collect())  # at most n values
-    w = F.col("w")
+    found = settle(item_windows(items, item_id, item_text, n), "item-windows")
+    grams = found.select("gram").distinct().select(
+        F.monotonically_increasing_id().alias("gid"), F.size("gram").alias("_length"), F.xxhash64(F.transform("gram", lambda w: F.xxhash64(w))).alias("_hash"), F.col("gram").alias("_gram")
+    )
+    grams = settle(grams, "grams")
+    links = settle(found.where("item IS NOT NULL").join(grams, F.col("gram") == F.col("_gram")).select("gid", "item").distinct(), "links")
+    sizes = sorted(r[0] for r in grams.select("_length").distinct().collect())  # at most n values
+    word_bytes = F.aggregate("_gram", F.lit(0).cast("long"), lambda a, w: a + F.octet_length(w) + 16)
+    held = grams.agg(F.sum(word_bytes + 64)).first()[0] or 0
+
     rows = docs.select(F.col(f"`{doc_id}`").alias("_id"), text_key(F.col(f"`{text}`")).alias("_key"), words(F.col(f"`{text}`")).alias("w"))
-    rows = rows.withColumn("hashes", F.transform(w, lambda x: F.xxhash64(x)))
-    every = [_windows(F.col("hashes"), s) for s in sizes] or [_windows(F.col("hashes"), n)]
-    scanned = rows.select("_id", "_key", "w", F.explode(F.concat(*every)).alias("x"))
-    known = grams.select("length", F.col("hash").alias("_hash"), "gram", "items")
-    if fits(grams, BROADCAST_GRAMS):
-        known = F.broadcast(known)
-    hits = scanned.join(known, (F.col("x.hash") == F.col("_hash")) & (F.col("x.length") == known["length"]))
-    hits = hits.where(F.slice("w", F.col("x.start") + 1, F.col("x.length")) == F.col("gram"))
-    return (
-        hits.groupBy("_id", "_key")
-        .agg(F.collect_set(F.struct(F.col("x.start").alias("start"), F.col("x.length").alias("length"))).alias("s"), F.collect_set("items").alias("i"))
-        .select("_id", "_key", _covered(F.col("s")).alias("spans"), F.array_distinct(F.flatten("i")).alias("items"))
-    )
+    pieces = rows.select("_id", "_key", F.inline(stretches(F.col("w"), STRETCH, (sizes or [1])[-1] - 1)))
+    pieces = pieces.withColumn("hashes", F.transform("c", lambda x: F.xxhash64(x)))
+    scanned = pieces.select("_id", "_key", F.inline(F.concat(*[_windows(s) for s in sizes or [n]])))
+    known = F.broadcast(grams) if held <= BROADCAST_BYTES else grams
+    hits = scanned.join(known, (F.col("hash") == F.col("_hash")) & (F.col("length") == F.col("_length")) & (F.col("gram") == F.col("_gram")))
+    hits = settle(hits.select("_id", "_key", "start", (F.col("start") + F.col("length")).alias("end"), "gid").distinct(), "hits")
+    spans = _merged(hits.select("_id", "_key", "start", "end").distinct())
+    named = hits.select("_id", "_key", "gid").distinct().join(links, "gid").groupBy("_id", "_key").agg(F.collect_set("item").alias("items"))
+    same = [F.col("s._id").eqNullSafe(F.col("i._id")), F.col("s._key") == F.col("i._key")]
+    none = F.array().cast(named.schema["items"].dataType)
+    return spans.alias("s").join(named.alias("i"), same, "left").select("s._id", "s._key", "s.spans", F.coalesce("i.items", none).alias("items"))
 
 
 def decontaminate(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str, n: int = 10) -> DataFrame:

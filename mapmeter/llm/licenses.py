@@ -14,11 +14,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mapmeter.llm.common import count_words, settle, text_key, words
+from mapmeter.llm.common import count_words, settle, stretches, text_key, words
 
 K = 2  # words of a gram; the shortest phrase has two
 DRIFT = 3  # diagonals this close belong to one span
 REACH = 1.5  # words of a text that a span may take, as a multiple of its template's: windows of this length, by twos
+STRETCH = 256  # words of a text whose grams are made at a time
 BITS = 62  # template positions to a number
 COVER = 0.6  # part of a template's words that a span must hold to give its label
 
@@ -47,10 +48,11 @@ def templates(spark: SparkSession, phrases: Mapping[str, str] = PHRASES, notices
     return df.select("template", "label", "phrase", words(F.col("text")).alias("words")).where(F.size("words") >= K)
 
 
-def _grams(array):
-    """Hash of each ``K`` consecutive words."""
+def _grams(array: Column, base: Column, count: Column) -> Column:
+    """(pos, hash, gram) of the first ``count`` runs of ``K`` words of a stretch; ``pos`` is the place in the text."""
     return F.transform(
-        F.sequence(F.lit(1), F.size(array) - K + 1), lambda i: F.xxhash64(*[F.element_at(array, i + j) for j in range(K)])
+        F.sequence(F.lit(0), count - 1),
+        lambda i: F.struct((base + i).alias("pos"), F.xxhash64(*[F.element_at(array, i + j + 1) for j in range(K)]).alias("hash"), F.slice(array, i + 1, K).alias("gram")),
     )
 
 
@@ -60,13 +62,14 @@ def _votes(docs: DataFrame, doc_id: str, text: str, known: DataFrame) -> DataFra
     Phrases and notices are few and fixed by the caller, so their grams are broadcast.
     """
     longest = known.agg(F.max(F.size("words"))).first()[0] or K
-    grams = known.select("template", "phrase", F.size("words").alias("length"), F.posexplode(_grams(F.col("words"))).alias("at", "gram_hash"), "words")
-    grams = grams.select("template", "phrase", "length", "at", "gram_hash", F.slice("words", F.col("at") + 1, K).alias("gram"))
+    parts = F.inline(_grams(F.col("words"), F.lit(0), F.size("words") - K + 1)).alias("at", "gram_hash", "known_gram")
+    grams = known.select("template", "phrase", F.size("words").alias("length"), parts)
     rows = docs.select(F.col(f"`{doc_id}`").alias("_id"), text_key(F.col(f"`{text}`")).alias("_key"), words(F.col(f"`{text}`")).alias("w"))
     # repeated rows must not add up their votes
     rows = rows.withColumn("_no", F.monotonically_increasing_id()).where(F.size("w") >= K)
-    scanned = rows.select("_id", "_key", "_no", "w", F.posexplode(_grams(F.col("w"))).alias("pos", "hash"))
-    hits = scanned.join(F.broadcast(grams), F.col("hash") == F.col("gram_hash")).where(F.slice("w", F.col("pos") + 1, K) == F.col("gram"))
+    pieces = rows.select("_id", "_key", "_no", F.inline(stretches(F.col("w"), STRETCH, K - 1))).where(F.size("c") >= K)
+    scanned = pieces.select("_id", "_key", "_no", F.inline(_grams(F.col("c"), F.col("base"), F.least(F.size("c") - K + 1, F.lit(STRETCH)))))
+    hits = scanned.join(F.broadcast(grams), (F.col("hash") == F.col("gram_hash")) & (F.col("gram") == F.col("known_gram")))
     bit = F.expr(f"shiftleft(1L, at % {BITS})")
     met = [F.bit_or(F.when(F.floor(F.col("at") / BITS) == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"m{i}") for i in range(-(-longest // BITS))]
     summed = hits.groupBy("_id", "_key", "_no", "template", "phrase", "length", (F.col("pos") - F.col("at")).alias("diagonal")).agg(F.count(F.lit(1)).alias("votes"), *met)

@@ -1,9 +1,11 @@
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
 from mapmeter.llm import decontam
+from mapmeter.session import shared_dir
 from tests.llm.conftest import LONG
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -56,10 +58,40 @@ def test_empty_tables(frame):
 
 
 def test_shuffled_beyond_the_broadcast_bound(frame, monkeypatch):
-    monkeypatch.setattr(decontam, "BROADCAST_GRAMS", 0)
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", 0)
     assert run(frame, [(1, "x a b c y")], [(5, "A b, c")], 3) == [(1, 5, 3, (5,))]
 
 
+def test_stretches_of_a_text_meet(frame, monkeypatch):
+    r = random.Random(9)
+    text = lambda n: " ".join(r.choice("abc") for _ in range(n))
+    docs, items = [(i, text(r.randint(0, 70))) for i in range(40)], [(i, text(r.choice([1, 2, 5, 5, 9, 30]))) for i in range(10)]
+    for step in (1, 4, 7):
+        monkeypatch.setattr(decontam, "STRETCH", step)
+        assert run(frame, docs, items, 5) == brute(docs, items, 5)
+
+
+def test_cost_of_a_word_does_not_grow_with_its_text(spark):
+    items = spark.createDataFrame([(i, " ".join(f"w{i + j}" for j in range(12))) for i in range(50)], "item_id long, text string")
+
+    def took(texts, words):
+        word = F.transform(F.sequence(F.lit(1), F.lit(words)), lambda i: F.concat(F.lit("w"), ((i.cast("long") * 7919 + F.col("doc_id") * 31) % 5003).cast("string")))
+        path = f"{shared_dir(spark)}/words-{texts}-{words}-{time.time_ns()}"
+        spark.range(texts).select(F.col("id").alias("doc_id")).select("doc_id", F.array_join(word, " ").alias("text")).repartition(1).write.parquet(path)
+        docs = spark.read.parquet(path)
+        start = time.perf_counter()
+        decontam.decontaminate(docs, "doc_id", "text", items, "item_id", "text", 10).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
+
+    took(10, 1_000)
+    assert took(1, 1_000_000) < 3 * took(1_000, 1_000) + 3
+
+
+def test_a_window_of_many_items(frame):
+    items = [(i, "one two three") for i in range(3_000)]
+    assert run(frame, [(1, "x one two three y"), (2, "one two")], items, 3) == [(1, 5, 3, tuple(range(3_000))), (2, 2, 0, ())]
+
+
 def test_spans_are_cut_out(frame):
     docs = frame([("One two. Three, four five!",), ("all stays",), (None,)], "t string")
     spans = F.when(F.col("t").startswith("One"), F.array(F.struct(F.lit(1).alias("start"), F.lit(3).alias("end")))).otherwise(F.array().cast("array<struct<start:int,end:int>>"))

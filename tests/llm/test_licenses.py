@@ -1,9 +1,11 @@
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
 from mapmeter.llm import licenses
+from mapmeter.session import shared_dir
 from tests.llm.conftest import LONG
 from tests.llm.test_decontam import WORD, low
 
@@ -65,3 +67,27 @@ def test_empty(spark, frame):
     known = licenses.templates(spark, {}, {})
     out = licenses.with_licenses(frame([(1, "mit license")], "doc_id long, text string"), "doc_id", "text", known)
     assert out.select(F.size("license.labels")).first()[0] == 0
+
+
+def test_stretches_of_a_text_meet(spark, frame, monkeypatch):
+    r = random.Random(6)
+    text = lambda n: " ".join(r.choice(["MIT", "license", "general", "public", "x"]) for _ in range(n))
+    docs = [(i, text(r.randint(0, 40))) for i in range(30)] + [(90, f"so {licenses.NOTICES['mit']} it is")]
+    for step in (1, 2, 5):
+        monkeypatch.setattr(licenses, "STRETCH", step)
+        got = {x.doc_id: x.license for x in run(spark, frame, docs)}
+        assert {d: tuple((s.start, s.label) for s in v.spans if s.phrase) for d, v in got.items() if d < 90} == {d: tuple(brute(t)[1]) for d, t in docs if d < 90}
+        assert got[90].labels == ["mit"] and got[90].score == 1.0
+
+
+def test_cost_of_a_word_does_not_grow_with_its_text(spark):
+    def took(texts, words):
+        word = F.transform(F.sequence(F.lit(1), F.lit(words)), lambda i: F.concat(F.lit("w"), ((i.cast("long") * 7919 + F.col("doc_id") * 31) % 5003).cast("string")))
+        path = f"{shared_dir(spark)}/words-{texts}-{words}-{time.time_ns()}"
+        spark.range(texts).select(F.col("id").alias("doc_id")).select("doc_id", F.array_join(word, " ").alias("text")).repartition(1).write.parquet(path)
+        start = time.perf_counter()
+        licenses.with_licenses(spark.read.parquet(path), "doc_id", "text", licenses.templates(spark)).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
+
+    took(10, 1_000)
+    assert took(1, 1_000_000) < 3 * took(1_000, 1_000) + 3
