@@ -2,7 +2,7 @@
 
 Linear models predict the categories one after the other; each sees the text's features and the probabilities of the
 categories before it. In training those probabilities are out-of-fold predictions, so a model learns from what its
-predecessors will tell about texts they have not seen.
+predecessors will tell about texts they have not seen: the features, too, are chosen anew without each fold.
 
 Features are words and beginnings of words that labelled rows show to tell the first category apart, found by counting
 them over the labelled sample in Spark.
@@ -10,13 +10,12 @@ them over the labelled sample in Spark.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mapmeter.llm.common import one_each, settle, text_batches, words
@@ -47,21 +46,38 @@ def sample(docs: DataFrame, doc_id: str, text: str, labels: DataFrame, label_id:
     return settle(one_each(rows), "labelled")
 
 
-def telling_features(labelled: DataFrame, limit: int = FEATURES) -> dict[str, float]:
-    """The ``limit`` features whose log-odds stand out most from chance, with those log-odds.
+def fold_of(row_id: Column) -> Column:
+    """In which fold a row's prediction is made: by the CRC-32 of its id, so all rows of an id are in one."""
+    return (F.crc32(F.concat(F.lit("fold"), row_id.cast("string")).cast("binary")) % FOLDS).cast("int")
 
-    Features are ``=word`` and ``^beginning``. Without rows of both labels there are none.
+
+def telling_features(labelled: DataFrame, limit: int = FEATURES) -> list[dict[str, float]]:
+    """The ``limit`` features whose log-odds stand out most from chance, with those log-odds: of all rows first, then of
+    all rows but those of each fold, so that a fold's predictions know nothing of its labels.
+
+    Features are ``=word`` and ``^beginning``. Without rows of both labels there are none. Each feature's documents are
+    counted once, by label and fold.
     """
-    totals = {r.y: r.n for r in labelled.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(totals) < 2:
-        return {}
+    labelled = labelled.withColumn("fold", fold_of(F.col("id")))
+    totals = {(r.y, r.fold): r.n for r in labelled.groupBy("y", "fold").agg(F.count(F.lit(1)).alias("n")).collect()}
     w = F.array_distinct(words(F.col("text")))
     marks = F.concat(F.transform(w, lambda x: F.concat(F.lit("="), x)), *[F.transform(F.filter(w, lambda x, n=n: F.length(x) > n), lambda x, n=n: F.concat(F.lit("^"), F.substring(x, 1, n))) for n in PREFIXES])
-    counted = labelled.select("y", F.explode(F.array_distinct(marks)).alias("mark")).groupBy("mark").agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("n"))
-    odds = F.log((F.col("t") + 0.5) / (totals[1] + 1)) - F.log((F.col("n") + 0.5) / (totals[0] + 1))
-    z = odds / F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("n") + 0.5))
-    kept = counted.where(F.col("t") + F.col("n") >= LEAST).select("mark", odds.alias("odds"), z.alias("z"))
-    return {r.mark: r.odds for r in kept.orderBy(F.desc(F.abs("z")), "mark").limit(limit).collect()}
+    counts = [F.count_if((F.col("y") == y) & (F.col("fold") == f)).alias(f"c{y}{f}") for y in (0, 1) for f in range(FOLDS)]
+    counted = labelled.select("y", "fold", F.explode(F.array_distinct(marks)).alias("mark")).groupBy("mark").agg(*counts)
+    counted = settle(counted.where(sum((F.col(f"c{y}{f}") for y in (0, 1) for f in range(FOLDS)), F.lit(0)) >= LEAST), "features")
+    out = []
+    for left_out in (None, *range(FOLDS)):
+        used = [f for f in range(FOLDS) if f != left_out]
+        rows = [sum(totals.get((y, f), 0) for f in used) for y in (0, 1)]
+        if not all(rows):
+            out.append({})
+            continue
+        n, t = (sum((F.col(f"c{y}{f}") for f in used), F.lit(0)) for y in (0, 1))
+        odds = F.log((t + 0.5) / (rows[1] + 1)) - F.log((n + 0.5) / (rows[0] + 1))
+        z = odds / F.sqrt(1 / (t + 0.5) + 1 / (n + 0.5))
+        kept = counted.where(t + n >= LEAST).select("mark", odds.alias("odds"), z.alias("z"))
+        out.append({r.mark: r.odds for r in kept.orderBy(F.desc(F.abs("z")), "mark").limit(limit).collect()})
+    return out
 
 
 # --- features of a text -----------------------------------------------------------------------
@@ -197,8 +213,11 @@ class Chain:
         return out
 
 
-def fit_chain(rows: Rows, targets: np.ndarray, folds: np.ndarray, features: dict[str, float], categories: Sequence[str]) -> Chain:
-    """``targets`` has a column per category; ``folds`` says in which fold each row's prediction is made."""
+def fit_chain(
+    rows: Rows, targets: np.ndarray, folds: np.ndarray, features: dict[str, float], categories: Sequence[str], without: Sequence[Rows] | None = None
+) -> Chain:
+    """``targets`` has a column per category; ``folds`` says in which fold each row's prediction is made. ``without``
+    holds all rows as the features see them that were chosen without each fold (else they are the same for all)."""
     chain = Chain(features, tuple(categories))
     earlier = np.zeros((len(targets), 0))
     for c in range(targets.shape[1]):
@@ -208,8 +227,9 @@ def fit_chain(rows: Rows, targets: np.ndarray, folds: np.ndarray, features: dict
         for fold in range(FOLDS):
             other, own = np.flatnonzero(folds != fold), np.flatnonzero(folds == fold)
             if len(own):
-                model = fit_linear(rows.take(other), earlier[other], y[other]) if len(other) else chain.models[-1]
-                unseen[own] = model.probabilities(rows.take(own), earlier[own])
+                blind = without[fold] if without is not None else rows
+                model = fit_linear(blind.take(other), earlier[other], y[other]) if len(other) else Linear(np.zeros(blind.dims), np.zeros(earlier.shape[1]), 0.0)
+                unseen[own] = model.probabilities(blind.take(own), earlier[own])
         earlier = np.column_stack([earlier, unseen])
         chain.thresholds.append(best_threshold(unseen, y))
     return chain
@@ -237,33 +257,47 @@ def train(docs: DataFrame, doc_id: str, text: str, labels: DataFrame, label_id:
     """A chain for :data:`CATEGORIES`, from a binary label.
 
     ``toxic`` is the label; ``severe`` marks toxic rows whose rate of strongly toxic words is above the toxic rows'
-    median, ``pervasive`` those with such words in at least three quarters of the text. Without labelled rows of both
-    kinds the chain tells the smoothed rates.
+    median, ``pervasive`` those with such words in at least three quarters of the text. These two are made of the label
+    and the text, as the tables hold one label only: they tell how a text is toxic, not a second opinion on it. Without
+    labelled rows of both kinds the chain tells the smoothed rates. Ids may be of any type; null ones are left out.
+
+    Out-of-fold predictions, which later models and the thresholds are fitted on, are made with features that were
+    chosen and weighed without the fold.
     """
     text_batches(docs.sparkSession)
     labelled = sample(docs, doc_id, text, labels, label_id, label, max_rows)
-    features = telling_features(labelled)
+    choices = telling_features(labelled)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = Reader(features)
+        readers = [Reader(features) for features in choices]
         for batch in batches:
             rows = []
-            for key, y, value in zip(batch["id"], batch["y"], batch["text"], strict=True):
-                index, value, places = reader(value)
-                rate, quarters = _derived(y, places)
-                rows.append((key, y, index.astype(np.int32).tobytes(), value.astype(np.float32).tobytes(), rate, quarters))
-            yield pd.DataFrame(rows, columns=["id", "y", "marks", "weights", "rate", "quarters"])
-
-    got = labelled.mapInPandas(read, "id long, y int, marks binary, weights binary, rate double, quarters int").collect()
-    got.sort(key=lambda r: (r.id, r.marks, r.weights))
-    parts = [(np.frombuffer(r.marks, np.int32).astype(np.int64), np.frombuffer(r.weights, np.float32).astype(float)) for r in got]
+            for key, fold, y, value in zip(batch["id"], batch["fold"], batch["y"], batch["text"], strict=True):
+                seen = [reader(value) for reader in readers]
+                rate, quarters = _derived(y, seen[0][2])
+                packed = [np.asarray([len(i) for i, _, _ in seen], np.int32)]
+                packed += [part for index, weights, _ in seen for part in (index.astype(np.int32), weights.astype(np.float32))]
+                rows.append((key, fold, y, b"".join(p.tobytes() for p in packed), rate, quarters))
+            yield pd.DataFrame(rows, columns=["id", "fold", "y", "seen", "rate", "quarters"])
+
+    rows = labelled.select(F.col("id").cast("string").alias("id"), fold_of(F.col("id")).alias("fold"), "y", "text")
+    got = rows.mapInPandas(read, "id string, fold int, y int, seen binary, rate double, quarters int").collect()
+    got.sort(key=lambda r: (r.id, r.seen))
+    views: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in choices]
+    for r in got:
+        sizes, at = np.frombuffer(r.seen, np.int32, len(choices)).tolist(), 4 * len(choices)
+        for view, n in zip(views, sizes, strict=True):
+            index = np.frombuffer(r.seen, np.int32, n, at).astype(np.int64)
+            view.append((index, np.frombuffer(r.seen, np.float32, n, at + 4 * n).astype(float)))
+            at += 8 * n
+    whole, *without = [_rows(view, max(1, len(features))) for view, features in zip(views, choices, strict=True)]
     y = np.asarray([r.y for r in got], float)
     rates = np.asarray([r.rate for r in got], float)
     middle = float(np.median(rates[y == 1])) if (y == 1).any() else 0.0
     severe = ((y == 1) & (rates > middle)).astype(float)
     pervasive = ((y == 1) & (np.asarray([r.quarters for r in got], float) >= 3)).astype(float)
-    folds = np.asarray([zlib.crc32(b"fold%d" % r.id) % FOLDS for r in got], dtype=np.int64)
-    return fit_chain(_rows(parts, max(1, len(features))), np.column_stack([y, severe, pervasive]), folds, features, CATEGORIES)
+    folds = np.asarray([r.fold for r in got], dtype=np.int64)
+    return fit_chain(whole, np.column_stack([y, severe, pervasive]), folds, choices[0], CATEGORIES, without)
 
 
 def score(docs: DataFrame, text: str, chain: Chain, into: str = "toxicity") -> DataFrame:

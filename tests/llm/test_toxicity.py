@@ -100,3 +100,35 @@ def test_an_id_is_sampled_once(frame):
     assert sorted((r.id, r.y) for r in rows) == [(1, 1), (2, 0)]
     again = toxicity.sample(docs.repartition(5), "doc_id", "text", labels, "doc_id", "toxic").collect()
     assert sorted(rows) == sorted(again)
+
+
+def test_words_of_one_fold_do_not_reach_its_predictions(frame):
+    rows = [(i, f"common words here mark{i % 2}x " + ("secret" if i % 2 else "other")) for i in range(120)]
+    docs = frame(rows, "id long, text string")
+    fold = {r.id: r.f for r in docs.select("id", toxicity.fold_of(F.col("id")).alias("f")).collect()}
+    assert set(fold.values()) == set(range(toxicity.FOLDS))
+    only = [(i, t + (" blargh" if fold[i] == 1 and i % 2 else ""), i % 2) for i, t in rows]
+    whole, *without = toxicity.telling_features(frame(only, "id long, text string, y int"))
+    assert "=blargh" in whole and "=blargh" in without[0] and "=blargh" not in without[1] and "=blargh" in without[2]
+    # counted by hand, without fold 0
+    kept = [(t, y) for i, t, y in only if fold[i] != 0]
+    toxic = sum(y for _, y in kept)
+    t, n = sum(y for x, y in kept if "secret" in x), sum(1 - y for x, y in kept if "secret" in x)
+    assert without[0]["=secret"] == pytest.approx(np.log((t + 0.5) / (toxic + 1)) - np.log((n + 0.5) / (len(kept) - toxic + 1)))
+
+
+def test_out_of_fold_accuracy_tells_the_truth(frame):
+    """Random words with coin-toss labels: nothing to learn, and the predictions that thresholds are chosen on say so."""
+    rng = random.Random(1)
+    rows = [(i, " ".join(rng.choice("abcdefgh") + rng.choice("abcdefgh") + rng.choice("abcd") for _ in range(30)), rng.randrange(2)) for i in range(900)]
+    docs = frame([(str(i), t) for i, t, _ in rows], "id string, text string")
+    labels = frame([(str(i), y) for i, _, y in rows], "id string, toxic int")
+    seen = []
+    real = toxicity.best_threshold
+    toxicity.best_threshold = lambda p, y: seen.append((p, y)) or real(p, y)
+    try:
+        toxicity.train(docs, "id", "text", labels, "id", "toxic")
+    finally:
+        toxicity.best_threshold = real
+    p, y = seen[0]
+    assert len(p) == 900 and abs(np.mean((p > 0.5) == (y == 1)) - 0.5) < 0.08
