@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,6 +45,9 @@ OTHER_TEXT = frozenset(
     "recommendations teaser outbrain taboola cookie cookies consent gdpr footer foot colophon copyright legal disclaimer contentinfo "
     "newsletter comment comments commentlist respond reply replies discussion disqus".split()
 )
+# of names on elements within a line, only these set their text apart
+ADVERTS = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored sponsors promo promos promotion promoted outbrain taboola".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var".split())
 ARTICLE_NAMES = frozenset("ad ads advert adverts advertisement comment comments promo promos promotion reply replies teaser teasers".split())
 # parts of names that tell of a page's layout or an element's state instead
 LAYOUT = frozenset("no not non without has have with is overflow".split())
@@ -62,7 +66,8 @@ STOP_USUAL = 0.15  # what long blocks of a language with listed stop words reach
 LISTED = 0.25  # part of a page's long text that reaches it, from which stop words decide
 LINK_HIGH = 0.4  # part of a block's characters that are link text
 
-_TOKEN = re.compile(r"<!--(?:.*?-->|.*\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|<[a-zA-Z/!?][^<>]*\Z", re.S)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_BETWEEN_QUOTES = re.compile(r"[^>\"']*")
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _WORD = re.compile(r"[^\W\d_]+")
 _NAME = re.compile(r"[a-z]+")
@@ -153,78 +158,149 @@ def _set_apart(found: list[Block], places: list[tuple[int, bool, bool]], named:
         b.apart = b.apart or (at >= 0 and apart[at])
 
 
+class _Scanner:
+    """Finds the markup of a page, each character looked at a bounded number of times, however broken it is."""
+
+    def __init__(self, page: str):
+        self.page, self.size = page, len(page)
+        self.last_end, self.last_start = page.rfind(">"), page.rfind("<")
+        self.quotes = True  # whether quotes still hide the end of a tag: until one runs to the page's end
+
+    def _end(self, at: int) -> int:
+        """Behind the end of the tag whose name ends here."""
+        start = at
+        while self.quotes:
+            at = _BETWEEN_QUOTES.match(self.page, at).end()
+            if at >= self.size:
+                self.quotes = False
+            elif self.page[at] == ">":
+                return at + 1
+            else:
+                at = self.page.find(self.page[at], at + 1) + 1
+                if not at:
+                    self.quotes = False
+        return self.page.find(">", start) + 1
+
+    def next(self, at: int) -> tuple[int, int, str, bool, str]:
+        """Begin and end of the next piece of markup, its tag (empty for comments and the like), whether it is a closing
+        one, and its attributes. What the page's end cuts off counts as markup; a ``<`` that begins none is text."""
+        page = self.page
+        while True:
+            at = page.find("<", at)
+            if at < 0:
+                return self.size, self.size, "", False, ""
+            if page.startswith("<!--", at):
+                end = page.find("-->", at + 4)
+                return at, end + 3 if end >= 0 else self.size, "", False, ""
+            after = page[at + 1 : at + 2]
+            if at > self.last_end:
+                if at == self.last_start and (after in "/!?" or (after.isascii() and after.isalpha())) and after:
+                    return at, self.size, "", False, ""
+            elif hit := _TAG.match(page, at):
+                end = self._end(hit.end())
+                if end:
+                    return at, end, hit[2].lower(), bool(hit[1]), page[hit.end() : end - 1]
+            elif after and after in "/!?":
+                return at, page.find(">", at) + 1, "", False, ""
+            at += 1
+
+    def behind_raw(self, tag: str, at: int) -> int:
+        """Behind the end of an element whose content is no markup."""
+        end = re.compile(rf"</{re.escape(tag)}\b", re.I).search(self.page, at)
+        at = self.page.find(">", end.end()) + 1 if end else 0
+        return at or self.size
+
+
 def blocks(page: str) -> list[Block]:
-    """Blocks with text, in page order."""
-    out: list[Block] = []
-    places: list[tuple[int, bool, bool]] = []  # of each block: named element, whether of other text, whether in an unnamed article
+    """Blocks with text, in page order.
+
+    A text belongs to the element it stands in: where an element within a line is set apart (a button, an advert, a
+    hidden span), its text is a block of its own and that of the line goes on behind it.
+    """
+    found: list[tuple[int, Block, tuple[int, bool, bool]]] = []
     named: list[Named] = []
-    # tag, apart, inside, heading, named element, other text, in an unnamed article: each with what stands above
-    stack: list[tuple[str, bool, int, bool, int, bool, bool]] = []
+    # tag, then apart, inside, heading, named element, other text, in an unnamed article (each with what stands above),
+    # then the text of the line around it, if that is set aside
+    stack: list[tuple[str, tuple, tuple | None]] = []
+    open_tags: Counter[str] = Counter()
+    open_blocks: list[int] = []  # places of block elements in the stack
     text: list[str] = []
-    linked = links = articles = 0
+    begin = linked = links = articles = 0
     top = (False, 0, False, -1, False, False)
-    apart, inside, heading, place, other, article = top
+    state = top
 
     def close() -> None:
         nonlocal linked
         joined = " ".join("".join(text).split())
         if joined:
-            found = _WORD.findall(joined.lower())
-            stops = sum(w in STOP_WORDS for w in found) / len(found) if found else 0.0
+            apart, inside, heading, place, other, article = state
+            words = _WORD.findall(joined.lower())
+            stops = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
             size, foreign = len(joined.split(" ")), False
             if not joined.isascii():
                 size += len(_UNSPACED.findall(joined)) // 2
-                foreign = 2 * sum(w[0] > "\u024f" and not "\u1e00" <= w[0] <= "\u1eff" for w in found) > len(found)
-            out.append(Block(joined, size, stops, min(1.0, linked / len(joined)), apart, inside, heading, foreign))
-            places.append((place, other, article))
+                foreign = 2 * sum(w[0] > "\u024f" and not "\u1e00" <= w[0] <= "\u1eff" for w in words) > len(words)
+            block = Block(joined, size, stops, min(1.0, linked / len(joined)), apart, inside, heading, foreign)
+            found.append((begin, block, (place, other, article)))
         text.clear()
         linked = 0
 
     def pop(at: int) -> None:
-        nonlocal apart, inside, heading, place, other, article, links
-        links -= sum(s[0] == "a" for s in stack[at:])
-        del stack[at:]
-        apart, inside, heading, place, other, article = stack[-1][1:] if stack else top
-
-    at, size = 0, len(page)
+        nonlocal state, links, linked, begin
+        while len(stack) > at:
+            tag, _, around = stack[-1]
+            if around is not None or tag in BLOCK:
+                close()
+            stack.pop()
+            open_tags[tag] -= 1
+            links -= tag == "a"
+            if open_blocks and open_blocks[-1] == len(stack):
+                open_blocks.pop()
+            state = stack[-1][1] if stack else top
+            if around is not None:
+                text[:], linked, begin = around
+                if text:
+                    text.append(" ")
+
+    scanner, at, size = _Scanner(page), 0, len(page)
     while at < size:
-        hit = _TOKEN.search(page, at)
-        data = html.unescape(page[at : hit.start() if hit else size])
+        start, end, tag, closing, attributes = scanner.next(at)
+        data = html.unescape(page[at:start])
         if data:
+            if not text:
+                begin = at
             text.append(data)
             if links:
                 linked += len(data.strip())
-        if not hit:
-            break
-        at = hit.end()
-        if not hit[2]:
+        at = end
+        if not tag:
             continue
-        tag, closing = hit[2].lower(), bool(hit[1])
         if tag in BLOCK:
             close()
         elif tag == "br":
             text.append(" ")
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    pop(i)
-                    break
+            if open_tags[tag] > 0:
+                for i in range(len(stack) - 1, -1, -1):
+                    if stack[i][0] == tag:
+                        pop(i)
+                        break
             continue
-        if tag in VOID or hit[3].endswith("/") and tag not in BLOCK:
+        if tag in VOID or attributes.endswith("/") and tag not in BLOCK:
             continue
         if tag in RAW:
-            end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else size
+            at = scanner.behind_raw(tag, at)
             continue
-        if tag in BLOCK:  # a paragraph, and what is open within it, ends where the next block starts
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == "p" or (tag == "li" and stack[i][0] == "li"):
-                    pop(i)
-                    break
-                if stack[i][0] in BLOCK:
-                    break
-        names = set() if apart else _names(tag, hit[3])
-        apart = apart or _is_apart(tag, hit[3], inside)
+        if tag in BLOCK and open_blocks:  # a paragraph, and what is open within it, ends where the next block starts
+            last = stack[open_blocks[-1]][0]
+            if last == "p" or (tag == "li" and last == "li"):
+                pop(open_blocks[-1])
+        apart, inside, heading, place, other, article = state
+        names = set() if apart else _names(tag, attributes)
+        if tag in INLINE:
+            names &= ADVERTS
+        was_apart = apart
+        apart = apart or _is_apart(tag, attributes, inside)
         if tag in ("article", "main"):
             if not inside:
                 articles += 1
@@ -238,11 +314,23 @@ def blocks(page: str) -> list[Block]:
             place = len(named) - 1
             if not OTHER_TEXT.isdisjoint(names):
                 other, article = True, False
-        heading = heading or tag in HEADINGS
-        stack.append((tag, apart, inside, heading, place, other, article))
+        around = None
+        if tag not in BLOCK and (apart != was_apart or (names and tag in INLINE)):
+            around = (text[:], linked, begin)
+            text.clear()
+            linked = 0
+        state = (apart, inside, heading or tag in HEADINGS, place, other, article)
+        if tag in BLOCK:
+            open_blocks.append(len(stack))
+        stack.append((tag, state, around))
+        open_tags[tag] += 1
         links += tag == "a"
     close()
-    _set_apart(out, places, named)
+    pop(0)
+    close()
+    found.sort(key=lambda f: f[0])
+    out = [block for _, block, _ in found]
+    _set_apart(out, [place for _, _, place in found], named)
     return out
 
 
@@ -275,19 +363,43 @@ def _is_listed(found: list[Block]) -> bool:
     return True
 
 
+def _has_own_words(b: Block) -> bool:
+    """Whether a block with many links says something beside them: some words, and fewer if they make a sentence."""
+    own = (1 - b.links) * b.words
+    return own >= 3 or (own >= 1.5 and bool(_SENTENCE.search(b.text)))
+
+
+def _is_sentence(b: Block) -> bool:
+    return b.words >= 3 and b.links < LINK_HIGH / 2 and bool(_SENTENCE.search(b.text))
+
+
 def classify(found: list[Block]) -> None:
     """Sets ``good`` of each block."""
     marked, listed = _is_marked(found), _is_listed(found)
-    for b in found:
+    doubted = set()  # failed one test of density, but may be part of an article: its neighbours tell
+    for i, b in enumerate(found):
         by_stops = listed and not b.other
         if b.apart or (marked and not b.inside):
             b.good = False
         elif b.links >= LINK_HIGH:
             b.good = None if marked and b.words < LONG else False
+            if _has_own_words(b):
+                doubted.add(i)
         elif b.words >= LONG:
             b.good = True if marked or not by_stops else b.stops >= STOP_LOW
+            if not b.good:
+                doubted.add(i)
         elif b.words >= SHORT and b.links < LINK_HIGH / 2 and (b.stops >= STOP_HIGH if by_stops else bool(_SENTENCE.search(b.text))):
             b.good = True
+    if not any(b.good for b in found):  # short paragraphs only: sentences speak for themselves
+        for b in found:
+            if b.good is None and _is_sentence(b) and not b.heading:
+                b.good = True
+    at = [i for i, b in enumerate(found) if not b.apart]  # a doubted block between two good ones belongs to them
+    sure = {i for i in at if found[i].good}
+    for left, i, right in zip(at, at[1:], at[2:]):
+        if i in doubted and left in sure and right in sure and found[left].inside == found[right].inside:
+            found[i].good = True
     # second pass: the nearest decided block on each side; a heading looks ahead, the others to the nearer side
     labels = [b.good for b in found]
     before: list[tuple[int, bool] | None] = []

@@ -91,6 +91,61 @@ def test_odd_markup():
     assert html.main_text("<ARTICLE><P CLASS='x' hidden>no</P><P>yes, it is</ARTICLE>") == "yes, it is"
 
 
+@pytest.mark.parametrize("inner", [
+    "<button><div>Share</div></button>", "<button>Share</button>", "<label>Name <input></label>", "<select><option>One<option>Two</select>",
+    "<svg><text>picture</text></svg>", "<span class='ad'>Buy it now for you</span>", "<span style='display: none'>hidden words</span>",
+    "<a class='sponsored' href=x><b>Buy</b></a>", "<em hidden>no</em>", "<object><div><p>no film</p></div></object>", "<span class=ad><div>Buy<p>now",
+])
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<div>{}</div>", "{}"])
+def test_text_around_what_is_set_apart(inner, wrap):
+    """The line goes on behind the element, and nothing of the element is in it."""
+    closed = inner if inner.endswith(">") else inner + "</p></div></span>"
+    page = "<body>" + wrap.format(f"<p>{LINES[0]}</p><div>{LINES[1]}{closed} It goes on, and that is all of it.</div>") + "</body>"
+    assert html.main_text(page).split("\n") == [LINES[0], LINES[1] + " It goes on, and that is all of it."]
+    before = "<body>" + wrap.format(f"<div>{closed}{LINES[0]}</div><p>{LINES[1]}</p>") + "</body>"
+    assert html.main_text(before).split("\n") == LINES
+
+
+def test_words_of_a_line_are_not_taken_for_names():
+    page = f"<body><article><p>{LINES[0]}</p><p>The <span class='share'>share</span> of <b id='legal'>all</b> <i class='alert'>votes</i> was the same as it was before.</p></article></body>"
+    assert html.main_text(page).split("\n")[1] == "The share of all votes was the same as it was before."
+
+
+@pytest.mark.parametrize("doubted", [
+    "See <a href=x>the full report of the committee on the state of the roads</a> now.",
+    "Tables chairs lamps beds carpets mirrors shelves curtains pillows blankets towels plates cups glasses forks knives spoons pots pans kettles clocks vases candles baskets boxes.",
+])
+def test_one_failed_density_between_good_neighbours(doubted):
+    text = html.main_text(f"<body><div><p>{LINES[0]}</p><p>{doubted}</p><p>{LINES[1]}</p></div></body>").split("\n")
+    assert len(text) == 3 and text[0] == LINES[0] and text[2] == LINES[1]
+    lone = html.main_text(f"<body><div><p>{LINES[0]}</p></div><div><p><a href=1>Home</a> <a href=2>Top</a></p></div><div><p>{LINES[1]}</p></div></body>")
+    assert lone.split("\n") == LINES  # nothing but links stays out
+
+
+def test_pages_of_short_paragraphs():
+    page = "<body><ul><li><a href=1>Home</a><li><a href=2>News</a></ul><div><h2>Diary</h2><p>Rain again.</p><p>We stayed in.</p><p>Nobody came by.</p></div><div><a href=3>Next</a></div></body>"
+    assert html.main_text(page).split("\n") == ["Diary", "Rain again.", "We stayed in.", "Nobody came by."]
+
+
+@pytest.mark.parametrize("unit", ['<a "', "<a '", '<a b="', "</a ", "<!", "</script", "<b>", "</i>", "<b><div></div>", "<!--", "<", "<p ", "<li>", '<a "x>', "&", "&#", "<div><p>", "<script", "<a href='\">", "<button>"])
+def test_broken_markup_in_linear_time(unit):
+    import time
+
+    def took(n):
+        start = time.perf_counter()
+        html.main_text(f"<p>{LINES[0]}</p>" + unit * (n // len(unit)))
+        return time.perf_counter() - start
+
+    took(1_000)
+    assert took(1_000_000) < 12 * took(100_000) + 1.0
+
+
+def test_a_lone_quote_costs_no_text():
+    page = f"<body><article><p class=\"x>{LINES[0]}</p><p>{LINES[1]}</p></article></body>"
+    assert html.main_text(page).split("\n") == LINES
+    assert html.main_text(f"<article><p title='a > b' class=\"c > d\">{LINES[0]}</p></article>") == LINES[0]
+
+
 def test_column(frame):
     long = "<article>" + "<p>word of the text</p>" * 20_000 + "</article>"
     rows = [(1, "u", ARTICLE), (1, "u", ARTICLE), (2, None, None), (None, "u", ""), (3, "u", long), (4, "u", "plain")]
