@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +27,7 @@ DIMS = 48
 NONZERO = 4  # components of an index vector that are not 0
 REACH = 2  # neighbours on each side
 CHUNK = 1 << 16  # tokens worked on at a time
+TASKS = 64  # whose sums are added first
 TRAIN_ROWS = 20_000  # labelled rows a model is fitted on, at most
 HIDDEN = 16
 LONG_PIECE = 64  # pieces of more characters are cut into chunks
@@ -129,15 +131,19 @@ def word_vectors(docs: DataFrame, text: str) -> np.ndarray:
             if held:
                 add(np.concatenate(held), np.repeat(np.arange(len(held)), [len(h) for h in held]))
         table = sums.reshape(-1, block * DIMS)
-        yield pd.DataFrame({"block": np.arange(len(table)), "sums": [row.tobytes() for row in table]})
+        part = TaskContext.get().partitionId() // TASKS
+        yield pd.DataFrame({"block": np.arange(len(table)), "part": part, "sums": [row.tobytes() for row in table]})
 
-    def total(parts: pd.DataFrame) -> pd.DataFrame:
-        out = sum((np.frombuffer(b, np.int64) for b in parts["sums"]), np.zeros(block * DIMS, np.int64))
-        return pd.DataFrame({"block": [parts["block"].iloc[0]], "sums": [out.tobytes()]})
+    def total(rows: pd.DataFrame) -> pd.DataFrame:
+        out = sum((np.frombuffer(b, np.int64) for b in rows["sums"]), np.zeros(block * DIMS, np.int64))
+        return pd.DataFrame({"block": [rows["block"].iloc[0]], "part": [rows["part"].iloc[0]], "sums": [out.tobytes()]})
 
-    counted = docs.select(F.col(f"`{text}`").alias("text")).mapInPandas(count, "block int, sums binary")
+    # tasks' sums are added in two steps, so that no group holds a row of every task
+    schema = "block int, part int, sums binary"
+    counted = docs.select(F.col(f"`{text}`").alias("text")).mapInPandas(count, schema)
+    counted = counted.groupBy("block", "part").applyInPandas(total, schema)
     context = np.zeros((BUCKETS // block, block * DIMS))
-    for row in counted.groupBy("block").applyInPandas(total, "block int, sums binary").collect():
+    for row in counted.groupBy("block").applyInPandas(total, schema).collect():
         context[row.block] = np.frombuffer(row.sums, np.int64)
     context = context.reshape(BUCKETS, DIMS)
     places, signs = index_vectors()
