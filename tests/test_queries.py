@@ -17,6 +17,8 @@ SAMPLE = (
     "text_logs_to_records_x2", "telemetry_to_records_x2", "reconcile_j6", "ogc_summary_u1", "dataapi_monthly_a6",
     "refresh_rollup_a15", "top_layers_q1", "usage_by_nation_q2", "dedupe_stream_st3", "reconciled_to_facts", "reconcile_stream_st4",
     "lookup_app_j3", "lookup_user_agent_j7", "drain_buffer_s8", "expire_st6", "load_csv_s6", "legacy_line_record_f35", "global_views_a16",
+    "append_after_crash_s4", "text_intake_x2", "compact_s9", "refresh_changed_a15", "late_rows_st2", "lapsed_users_q7",
+    "dataapi_daily_quantiles_a5", "true_median_monthly_a3", "top_layers_any_window_o3",
 )
 
 needs_data = pytest.mark.skipif(not os.path.isdir(SF), reason="given tables not here")
