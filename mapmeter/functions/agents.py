@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import zlib
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -112,12 +115,52 @@ DEVICE_RULES: tuple[tuple[str, str, str, str], ...] = (
 # --- end of fixed values --------------------------------------------------------------------------
 
 
-def _first(agent: Column, rules: Sequence[tuple[str, ...]], names: Sequence[str]) -> Column:
-    """The first rule whose token the agent contains, from a constant array of rules."""
-    table = F.array(
-        *[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, rule)]) for rule in rules]
-    )
-    return F.get(F.filter(table, lambda r: agent.contains(r["token"])), F.lit(0))
+_GRAM = "(?=([A-Za-z]{3}))"  # three letters in a row, at every place of a text
+
+
+def _anchors(tokens: Sequence[str]) -> dict[str, list[int]]:
+    """Numbers of tokens by one of their grams: one that starts with a capital if there is any, shared by few."""
+    grams = [set(re.findall(_GRAM, t)) for t in tokens]
+    shared = Counter(g for own in grams for g in own)
+    anchors: dict[str, list[int]] = {}
+    for number, own in enumerate(grams):
+        if own:
+            anchors.setdefault(min(own, key=lambda g: (g[0].islower(), shared[g], g)), []).append(number)
+    return anchors
+
+
+def _contained(agent: Column, tokens: Sequence[str]) -> Column:
+    """The numbers of the tokens an agent contains, in any order.
+
+    The agent's grams are looked up in a constant table; only tokens found there, and the few without a gram, are
+    compared with the agent. So the work hangs on the agent's length and hardly on the number of tokens.
+    """
+    anchors = _anchors(tokens)
+    slots: list[list[int]] = [[] for _ in range(max(64, 16 * len(tokens)))]
+    for gram, numbers in anchors.items():
+        slots[zlib.crc32(gram.encode()) % len(slots)] += numbers
+    loose = sorted(set(range(len(tokens))) - {n for numbers in anchors.values() for n in numbers})
+    candidates = F.array(*map(F.lit, loose)).cast("array<int>")
+    if anchors:
+        known = "".join(f"[{''.join(sorted({g[i] for g in anchors}))}]" for i in range(3))  # letters that anchors have there
+        rows = ", ".join(f"array({', '.join(map(str, own))})" if own else "NULL" for own in slots)
+        table = F.expr(f"CAST(array({rows}) AS array<array<int>>)")
+        found = F.transform(
+            F.regexp_extract_all(agent, F.lit(f"(?=({known}))"), F.lit(1)),
+            lambda g: F.get(table, F.pmod(F.crc32(g), F.lit(len(slots))).cast("int")),
+        )
+        candidates = F.array_distinct(F.concat(candidates, F.flatten(F.filter(found, lambda own: own.isNotNull()))))
+    texts = F.array(*map(F.lit, tokens))
+    return F.filter(candidates, lambda number: agent.contains(F.get(texts, number)))
+
+
+def _rule(found: Column, rules: Sequence[tuple[str, ...]], names: Sequence[str], before: int) -> Column:
+    """The first of ``rules`` among the numbers found, where ``before`` other rules are numbered ahead of them."""
+    if not rules:
+        return F.struct(*[F.lit(None).cast("string").alias(n) for n in names])
+    table = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, rule, strict=True)]) for rule in rules])
+    own = F.filter(found, lambda number: (number >= before) & (number < before + len(rules)))
+    return F.get(table, F.array_min(own) - before)
 
 
 def _version(agent: Column, token: Column, digits: str) -> Column:
@@ -132,14 +175,21 @@ def user_agent_fields(
 ) -> Column:
     """The eight user-agent details; an agent that no rule knows has the family ``OTHER`` and its text."""
     named = ("family", "token", "version")
-    found = F.struct(
-        agent.alias("text"),
-        _first(agent, [(r.family, r.token, r.version) for r in agents], named).alias("agent"),
-        _first(agent, [(r.family, r.token, r.version) for r in systems], named).alias("system"),
-        _first(agent, DEVICE_RULES, ("token", "family", "brand", "model")).alias("device"),
-    )
+    browsers = [(r.family, r.token, r.version) for r in agents]
+    hosts = [(r.family, r.token, r.version) for r in systems]
+    tokens = [*(r[1] for r in browsers), *(r[1] for r in hosts), *(r[0] for r in DEVICE_RULES)]
+
+    def rules(matched: Column) -> Column:
+        return F.struct(
+            matched["text"].alias("text"),
+            _rule(matched["found"], browsers, named, 0).alias("agent"),
+            _rule(matched["found"], hosts, named, len(browsers)).alias("system"),
+            _rule(matched["found"], DEVICE_RULES, ("token", "family", "brand", "model"), len(browsers) + len(hosts)).alias("device"),
+        )
+
+    matched = let(agent, lambda a: F.struct(a.alias("text"), _contained(a, tokens).alias("found")))
     return let(
-        found,
+        let(matched, rules),
         lambda f: F.struct(
             F.nullif(f["text"], F.lit("")).alias("user_agent_string"),
             F.when(f["text"] != "", F.coalesce(f["agent"]["family"], F.lit(OTHER))).alias("user_agent_family"),
