@@ -83,8 +83,10 @@ def ingest_stream(
 def reconcile_stream(netty: DataFrame, gateway: DataFrame, expire_ms: int = EXPIRE_MS, lateness: str = "10 seconds") -> DataFrame:
     """The merge of :func:`mapmeter.operators.reconcile.reconcile`, as a stream.
 
-    A cell of time is settled once the watermark has passed it; until then its records wait in the state of their
-    span, so state holds a few cells and nothing else. Records without span or time go around it.
+    What a moved cell comes to hangs on the records of the two cells it lies across and on nothing else. So each record
+    goes to the two moved cells that touch its own, state and timer are those of a span *and* a cell, and a constant span
+    spreads over all tasks. A moved cell is settled, and its state gone, once the watermark has passed both cells: it
+    emits the pairs of the later one, and what is left of both and lies in itself. Records without span or time go around.
     """
     names, expire_us = gateway.columns, expire_ms * 1000
     width = 2 * expire_us
@@ -97,39 +99,31 @@ def reconcile_stream(netty: DataFrame, gateway: DataFrame, expire_ms: int = EXPI
         .select("_span", "_time", "_side", F.to_json("_record", options).alias("_text"), F.hash(F.col("_record.message"), F.col("_record.scope.name"), F.col("_record.trace_id")).alias("_tie"))
         .withWatermark("_time", lateness)
         .withColumn("_us", F.unix_micros("_time"))
+        .withColumn("_cell", F.floor(F.col("_us") / width))
+        .withColumn("_moved", F.explode(F.array(F.col("_cell"), F.col("_cell") + 1)))
     )
 
     def settle(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        moved = int(key[1])
         held = [tuple(r) for r in json.loads(state.get[0])] if state.exists else []
         for frame in frames:
-            held += [(int(t), int(s), int(x), text, False) for t, s, x, text in zip(frame["_us"], frame["_side"], frame["_tie"], frame["_text"], strict=True)]
-        passed = state.getCurrentWatermarkMs() * 1000
-        out: list[tuple] = []
-        for shift, tried in ((0, False), (expire_us, True)):
-            cells: dict[int, list[tuple]] = {}
-            for row in held:
-                if row[4] == tried:
-                    cells.setdefault((row[0] + shift) // width, []).append(row)
-            held = [row for row in held if row[4] != tried]
-            for cell, rows in cells.items():
-                if (cell + 1) * width > passed:
-                    held += rows
-                    continue
-                pairs, left = pair_in_order(sorted(rows, key=lambda r: r[:3]), expire_us)
-                out += [(a[3], b[3]) if a[1] == 0 else (b[3], a[3]) for a, b in pairs]
-                if tried:
-                    out += [(r[3], None) if r[1] == 0 else (None, r[3]) for r in left]
-                else:
-                    held += [(*r[:4], True) for r in left]
-        if held:
+            held += [(int(t), int(s), int(x), text) for t, s, x, text in zip(frame["_us"], frame["_side"], frame["_tie"], frame["_text"], strict=True)]
+        end = (moved + 1) * width
+        if end > state.getCurrentWatermarkMs() * 1000:
             state.update((json.dumps(held),))
-            due = min(((r[0] + expire_us * r[4]) // width + 1) * width for r in held)
-            state.setTimeoutTimestamp(-(-due // 1000))
-        elif state.exists:
+            state.setTimeoutTimestamp(-(-end // 1000))
+            return
+        if state.exists:
             state.remove()
+        held.sort()  # by text at last: both moved cells that hold a record must see the same order
+        _, before = pair_in_order([r for r in held if r[0] // width < moved], expire_us)
+        pairs, after = pair_in_order([r for r in held if r[0] // width == moved], expire_us)
+        across, alone = pair_in_order([r for r in before + after if (r[0] + expire_us) // width == moved], expire_us)
+        out = [(a[3], b[3]) if a[1] == 0 else (b[3], a[3]) for a, b in pairs + across]
+        out += [(r[3], None) if r[1] == 0 else (None, r[3]) for r in alone]
         yield pd.DataFrame(out, columns=["n", "g"], dtype=object)
 
-    paired = waiting.groupBy("_span").applyInPandasWithState(settle, "n string, g string", "held string", "append", GroupStateTimeout.EventTimeTimeout)
+    paired = waiting.groupBy("_span", "_moved").applyInPandasWithState(settle, "n string, g string", "held string", "append", GroupStateTimeout.EventTimeTimeout)
     pairs = paired.select(*[F.from_json(c, kind, options).alias(f"_{c}") for c in ("n", "g")])
     nobody = F.lit(None).cast(kind)
     netty_side = F.col("_side") == 0

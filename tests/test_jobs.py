@@ -2,6 +2,7 @@
 
 import random
 import statistics
+from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
@@ -201,10 +202,10 @@ def _reconciled_stream(spark, netty, gateway):
     paths = []
     for rows, scope in ((netty, NETTY_SCOPE), (gateway, "gw.accesslog")):
         path = fresh_path(spark, "in")
-        rows.unionByName(_otel(spark, [(3_600_000, f"end-{scope}", "end")], scope)).coalesce(1).write.parquet(path)
+        rows.unionByName(_otel(spark, [(7_200_000, f"end-{scope}", "end")], scope)).coalesce(1).write.parquet(path)
         paths.append(path)
     streams = [spark.readStream.schema(OTEL_SCHEMA).parquet(p) for p in paths]
-    out, merged = fresh_path(spark, "out"), jobs.reconcile_stream(*streams)
+    out, merged = fresh_path(spark, "out"), jobs.reconcile_stream(*streams).withColumn("task", F.spark_partition_id())
     merged.writeStream.format("parquet").option("path", out).option("checkpointLocation", fresh_path(spark, "c")).trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(merged.schema).parquet(out).filter("span_id IS NULL OR span_id NOT LIKE 'end-%'")
 
@@ -231,6 +232,20 @@ def test_reconcile_loses_nothing_and_streams_alike(spark):
     assert _pairs(_reconciled_stream(spark, netty, gateway).collect()) == _pairs(batch)
 
 
+def test_a_constant_span_spreads_over_all_tasks(spark):
+    """An hour of one span, records on the borders of cells among them, and records that differ in their text only."""
+    r = random.Random(8)
+    netty = [(2_500 * i + 500 * r.randrange(3), "hot", f"n{i}") for i in range(1_440)]
+    gateway = [(t + r.choice([0, 200, 500, 501]), "hot", f"g{i}") for i, (t, _, _) in enumerate(netty)]
+    sides = [_otel(spark, netty, NETTY_SCOPE), _otel(spark, gateway + gateway[:40] + [(t, s, m + "b") for t, s, m in gateway[:40]], "gw.accesslog")]
+    rows = _reconciled_stream(spark, *sides).collect()
+    times = lambda found: sorted((x.timestamp, x.message or "") for x in found)
+    assert times(rows) == times(reconcile(*sides).collect())
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    share = Counter(x.task for x in rows)
+    assert len(share) == tasks and max(share.values()) < 1.5 * len(rows) / tasks
+
+
 def test_stream_equals_batch_and_replays_safely(spark):
     line = '10.0.0.{i} - u{i}|o|R [18/Oct/2023:17:{m:02d}:10 +0000] "GET /geoserver/sf/wms?service=WMS&layers=l{i} HTTP/1.1" 200 {i}'
     source = fresh_path(spark, "in")
