@@ -7,6 +7,7 @@ start, and with the intervals of the emitted stream that the node may attend to
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -14,6 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mapmeter.llm.common import settle, text_batches
 from mapmeter.llm.packing import encoder
@@ -22,6 +24,8 @@ from mapmeter.llm.packing import encoder
 OPEN, MIDDLE, CLOSE = "<|turn|>", "<|text|>", "<|end|>"
 CONTROLS = (OPEN, MIDDLE, CLOSE, "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|endoftext|>", "<|im_start|>", "<|im_end|>")
 
+RANGE_TURNS = 64  # turns of a conversation by which ranges of sorted conversations are drawn
+
 _CONTROL = re.compile("(?=" + "|".join(map(re.escape, CONTROLS)) + ")(.)", re.S)
 _ESCAPED = re.compile(r"\\(.)", re.S)
 _TURN = re.compile(f"{re.escape(OPEN)}(.*?){re.escape(MIDDLE)}(.*?){re.escape(CLOSE)}", re.S)
@@ -61,13 +65,22 @@ def conversations(rows: DataFrame, conv_id: str, turn: str, role: str, text: str
         F.struct(F.col(f"`{turn}`").alias("turn"), F.coalesce(F.col(f"`{role}`"), empty).alias("role"), F.coalesce(F.col(f"`{text}`"), empty).alias("text")).alias("t"),
     ).withColumn("alone", F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id()))
     grouped = turns.groupBy("conv_id", "alone").agg(F.array_sort(F.collect_list("t")).alias("turns")).drop("alone")
-    start = F.array().cast("array<string>")
-    path = F.aggregate(
-        "turns",
-        start,
-        lambda acc, t: F.array_append(acc, F.sha2(F.concat_ws("|", F.coalesce(F.get(acc, F.size(acc) - 1), empty), F.length(t["role"]), t["role"], t["text"]), 256)),
-    )
-    return grouped.select("conv_id", path.alias("path"), "turns")
+    own = F.transform("turns", lambda t: F.sha2(F.concat_ws("|", F.length(t["role"]), t["role"], t["text"]), 256))
+    return grouped.select("conv_id", _histories(own).alias("path"), "turns")
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _histories(turns: pd.Series) -> pd.Series:
+    """Digests of turns to digests of what was said up to and with each of them."""
+
+    def chain(digests: np.ndarray) -> list[str]:
+        path, before = [], ""
+        for digest in digests:
+            before = hashlib.sha256((before + digest).encode()).hexdigest()
+            path.append(before)
+        return path
+
+    return turns.map(chain)
 
 
 def _tokens(nodes: DataFrame, tokenizer: str, loss_role: str) -> DataFrame:
@@ -84,11 +97,11 @@ def _tokens(nodes: DataFrame, tokenizer: str, loss_role: str) -> DataFrame:
                 end = at + len(body) if role == loss_role else at
                 rows.append((np.concatenate([head, body, tail]).astype(np.int32), at, end))
             yield pd.DataFrame({
-                "node": batch["node"], "parent": batch["parent"], "depth": batch["depth"], "order": batch["order"], "ids": [r[0] for r in rows],
+                "node": batch["node"], "parent": batch["parent"], "depth": batch["depth"], "ids": [r[0] for r in rows],
                 "length": [len(r[0]) for r in rows], "loss_start": [r[1] for r in rows], "loss_end": [r[2] for r in rows],
             })
 
-    return nodes.mapInPandas(encode, "node string, parent string, depth int, order string, ids array<int>, length long, loss_start int, loss_end int")
+    return nodes.mapInPandas(encode, "node string, parent string, depth int, ids array<int>, length long, loss_start int, loss_end int")
 
 
 def prefix_tree(convs: DataFrame, tokenizer: str, loss_role: str = "assistant") -> DataFrame:
@@ -97,32 +110,41 @@ def prefix_tree(convs: DataFrame, tokenizer: str, loss_role: str = "assistant")
     ``start`` is the node's place in the emitted stream, ``position`` the position id of its first token,
     ``intervals`` the (start, end) parts of the stream it may attend to before itself, in order, neighbours merged.
     Conversations as :func:`conversations` gives them; without any there are no nodes.
+
+    Distinct conversations are sorted by their paths, which puts those with a common beginning side by side. A node
+    comes in with the first of them that has it, so conversation and depth are its place depth-first, and neither work
+    nor keys grow with the square of a conversation's length.
     """
-    # digests of the history, one behind the other, sort depth-first
+    leaves = convs.where(F.size("path") > 0).groupBy(F.element_at("path", -1).alias("leaf")).agg(F.first("path").alias("path"))
+    # ranges are drawn by a beginning of bounded length, of which the driver sees a sample; inside a range paths decide
+    beginning = F.array_join(F.transform(F.slice("path", 1, RANGE_TURNS), lambda p: F.substring(p, 1, 16)), "")
+    ranged = leaves.withColumn("beginning", beginning).repartitionByRange("beginning").sortWithinPartitions("beginning", "path")
+    leaves = settle(ranged.select("leaf", "path", F.monotonically_increasing_id().alias("rank")), "leaves")
+    ranks = leaves.select("rank", F.explode("path").alias("node")).groupBy("node").agg(F.min("rank").alias("rank"))
+
     turn = lambda t, i: F.struct(
         F.get("path", i).alias("node"), F.get("path", i - 1).alias("parent"), i.alias("depth"),
-        F.array_join(F.transform(F.slice("path", 1, i + 1), lambda p: F.substring(p, 1, 16)), "").alias("order"), t["role"].alias("role"), t["text"].alias("text"),
+        t["role"].alias("role"), t["text"].alias("text"),
     )
     places = convs.select(F.explode(F.transform("turns", turn)).alias("n")).select("n.*")
-    nodes = places.groupBy("node").agg(*[F.first(c).alias(c) for c in ("parent", "depth", "order", "role", "text")])
+    nodes = places.groupBy("node").agg(*[F.first(c).alias(c) for c in ("parent", "depth", "role", "text")])
     tokens = settle(_tokens(nodes, tokenizer, loss_role), "tokens")
 
     # a running sum over the stream: within parts of the sorted nodes, and over the parts' sums (one row each)
-    ordered = tokens.select("node", "order", "length").repartitionByRange(F.col("order"), F.col("node"))
+    ordered = tokens.select("node", "depth", "length").join(ranks, "node").repartitionByRange("rank", "depth")
     ordered = settle(ordered.withColumn("part", F.spark_partition_id()), "ordered")
     sums = ordered.groupBy("part").agg(F.sum("length").alias("total"))
     before = sums.select("part", F.coalesce(F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    inner = Window.partitionBy("part").orderBy("order", "node").rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy("part").orderBy("rank", "depth").rowsBetween(Window.unboundedPreceding, -1)
     placed = ordered.join(F.broadcast(before), "part").withColumn("start", F.col("before") + F.coalesce(F.sum("length").over(inner), F.lit(0)))
     placed = settle(placed.select("node", "start", "length"), "placed")
 
     # each distinct conversation looks once at its own turns, whose ancestors are the turns before
-    leaves = convs.where(F.size("path") > 0).groupBy(F.element_at("path", -1).alias("leaf")).agg(F.first("path").alias("path"))
     along = leaves.select("leaf", F.posexplode("path").alias("at", "node")).join(placed.select("node", "start", "length"), "node")
     lines = along.groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("at", "node", "start", "length"))).alias("line"))
     seen = lines.select("line.node", "line.start", "line.length").mapInPandas(_ancestors, "node string, position long, intervals array<struct<start:bigint,end:bigint>>")
     around = placed.select("node", "start").join(seen.dropDuplicates(["node"]), "node")
-    return tokens.drop("order").join(around, "node")
+    return tokens.join(around, "node")
 
 
 def _ancestors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

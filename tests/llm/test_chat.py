@@ -1,7 +1,9 @@
 import random
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from mapmeter.llm import chat
 from mapmeter.llm.packing import encoder
@@ -78,6 +80,35 @@ def test_empty(frame):
     assert tree.count() == 0 == chat.read_back(tree, c, FILE).count()
 
 
+def test_long_conversations_cost_what_their_turns_cost(spark, frame):
+    """One conversation of very many turns against as many turns in conversations of ten; a common beginning beyond
+    what ranges are drawn by."""
+    n = 12_000
+
+    def seconds(rows):
+        c = chat.settle(convs(frame, rows), "convs")
+        begin = time.perf_counter()
+        got = chat.prefix_tree(c, FILE).agg(F.count("*"), F.sum("length"), F.max(F.col("start") + F.col("length"))).first()
+        assert got[0] == n and got[1] == got[2]
+        return time.perf_counter() - begin
+
+    turn = lambda c, t: (c, t, "user" if t % 2 == 0 else "assistant", f"{c} {t}")
+    short = [turn(i // 10, i % 10) for i in range(n)]
+    seconds(short)
+    few, one = seconds(short), seconds([turn(0, t) for t in range(n)])
+    assert one < 2 * few + 2
+
+    shared = [(c, t, "user", f"{t}" if t < chat.RANGE_TURNS + 20 else f"{c} {t}") for c in range(30) for t in range(chat.RANGE_TURNS + 25)]
+    c = convs(frame, shared)
+    nodes = sorted(chat.prefix_tree(c, FILE).collect(), key=lambda x: x.start)
+    assert len(nodes) == chat.RANGE_TURNS + 20 + 30 * 5
+    above = []
+    for x in nodes:  # depth-first
+        above = above[: x.depth]
+        assert (above[-1] if above else None) == x.parent
+        above.append(x.node)
+
+
 def test_ids_of_a_turn():
     head, text, tail = chat.format_turn("user", "hi")
     ids = [np.frombuffer(encoder(FILE)(s), "<u4") for s in (head, text, tail)]
