@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections import defaultdict
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -80,13 +81,18 @@ def ingest_stream(
     )
 
 
+LOTS, STRETCH = 32, 2048  # a state holds one of so many lots of the moved cells in so many cells' time
+
+
 def reconcile_stream(netty: DataFrame, gateway: DataFrame, expire_ms: int = EXPIRE_MS, lateness: str = "10 seconds") -> DataFrame:
     """The merge of :func:`mapmeter.operators.reconcile.reconcile`, as a stream.
 
     What a moved cell comes to hangs on the records of the two cells it lies across and on nothing else. So each record
-    goes to the two moved cells that touch its own, state and timer are those of a span *and* a cell, and a constant span
-    spreads over all tasks. A moved cell is settled, and its state gone, once the watermark has passed both cells: it
-    emits the pairs of the later one, and what is left of both and lies in itself. Records without span or time go around.
+    goes to the two moved cells that touch its own. Moved cells of spans are dealt to lots by span *and* cell, so a
+    constant span spreads over all tasks; a state with its timer is a lot's stretch of time, as a call of Python for each
+    span would cost far more than its records. A moved cell is settled, and leaves the state, once the watermark has
+    passed both cells: it emits the pairs of the later one, and what is left of both and lies in itself. Records without
+    span or time go around.
     """
     names, expire_us = gateway.columns, expire_ms * 1000
     width = 2 * expire_us
@@ -101,29 +107,36 @@ def reconcile_stream(netty: DataFrame, gateway: DataFrame, expire_ms: int = EXPI
         .withColumn("_us", F.unix_micros("_time"))
         .withColumn("_cell", F.floor(F.col("_us") / width))
         .withColumn("_moved", F.explode(F.array(F.col("_cell"), F.col("_cell") + 1)))
+        .withColumns({"_lot": F.pmod(F.hash("_span", "_moved"), F.lit(LOTS)), "_stretch": F.floor(F.col("_moved") / STRETCH)})
     )
 
-    def settle(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        moved = int(key[1])
-        held = [tuple(r) for r in json.loads(state.get[0])] if state.exists else []
+    def settle(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = json.loads(state.get[0]) if state.exists else []
         for frame in frames:
-            held += [(int(t), int(s), int(x), text) for t, s, x, text in zip(frame["_us"], frame["_side"], frame["_tie"], frame["_text"], strict=True)]
-        end = (moved + 1) * width
-        if end > state.getCurrentWatermarkMs() * 1000:
-            state.update((json.dumps(held),))
-            state.setTimeoutTimestamp(-(-end // 1000))
-            return
-        if state.exists:
+            held += zip(*(frame[c].tolist() for c in ("_span", "_moved", "_us", "_side", "_tie", "_text")), strict=True)
+        passed = state.getCurrentWatermarkMs() * 1000
+        waits = [r for r in held if (r[1] + 1) * width > passed]
+        if waits:
+            state.update((json.dumps(waits),))
+            state.setTimeoutTimestamp(-(-(min(r[1] for r in waits) + 1) * width // 1000))
+        elif state.exists:
             state.remove()
-        held.sort()  # by text at last: both moved cells that hold a record must see the same order
-        _, before = pair_in_order([r for r in held if r[0] // width < moved], expire_us)
-        pairs, after = pair_in_order([r for r in held if r[0] // width == moved], expire_us)
-        across, alone = pair_in_order([r for r in before + after if (r[0] + expire_us) // width == moved], expire_us)
-        out = [(a[3], b[3]) if a[1] == 0 else (b[3], a[3]) for a, b in pairs + across]
-        out += [(r[3], None) if r[1] == 0 else (None, r[3]) for r in alone]
-        yield pd.DataFrame(out, columns=["n", "g"], dtype=object)
-
-    paired = waiting.groupBy("_span", "_moved").applyInPandasWithState(settle, "n string, g string", "held string", "append", GroupStateTimeout.EventTimeTimeout)
+        ripe = defaultdict(list)
+        for span, moved, *record in held:
+            if (moved + 1) * width <= passed:
+                ripe[span, moved].append(tuple(record))
+        out = []
+        for (_, moved), rows in ripe.items():
+            rows.sort()  # by text at last: both moved cells that hold a record must see the same order
+            _, before = pair_in_order([r for r in rows if r[0] // width < moved], expire_us)
+            pairs, after = pair_in_order([r for r in rows if r[0] // width == moved], expire_us)
+            across, alone = pair_in_order([r for r in before + after if (r[0] + expire_us) // width == moved], expire_us)
+            out += [(a[3], b[3]) if a[1] == 0 else (b[3], a[3]) for a, b in pairs + across]
+            out += [(r[3], None) if r[1] == 0 else (None, r[3]) for r in alone]
+        if out:
+            yield pd.DataFrame(out, columns=["n", "g"], dtype=object)
+
+    paired = waiting.groupBy("_lot", "_stretch").applyInPandasWithState(settle, "n string, g string", "held string", "append", GroupStateTimeout.EventTimeTimeout)
     pairs = paired.select(*[F.from_json(c, kind, options).alias(f"_{c}") for c in ("n", "g")])
     nobody = F.lit(None).cast(kind)
     netty_side = F.col("_side") == 0

@@ -246,6 +246,19 @@ def test_a_constant_span_spreads_over_all_tasks(spark):
     assert len(share) == tasks and max(share.values()) < 1.5 * len(rows) / tasks
 
 
+def test_sparse_spans_share_their_state(spark):
+    """Two hours of a span every three seconds: far fewer states, and calls of Python, than spans."""
+    netty = _otel(spark, [(3_000 * i, f"s{i}", f"n{i}") for i in range(2_400)], NETTY_SCOPE)
+    gateway = _otel(spark, [(3_000 * i + 200, f"s{i}", f"g{i}") for i in range(2_400)], "gw.accesslog")
+    paths = [fresh_path(spark, "in") for _ in range(2)]
+    for df, path in zip((netty, gateway), paths):
+        df.write.parquet(path)
+    merged = jobs.reconcile_stream(*[spark.readStream.schema(OTEL_SCHEMA).parquet(p) for p in paths])
+    query = merged.writeStream.format("noop").option("checkpointLocation", fresh_path(spark, "c")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert 0 < max(s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]) < 300
+
+
 def test_stream_equals_batch_and_replays_safely(spark):
     line = '10.0.0.{i} - u{i}|o|R [18/Oct/2023:17:{m:02d}:10 +0000] "GET /geoserver/sf/wms?service=WMS&layers=l{i} HTTP/1.1" 200 {i}'
     source = fresh_path(spark, "in")
