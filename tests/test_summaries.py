@@ -95,3 +95,12 @@ def test_many_users_are_within_the_bound(spark):
     days = summaries.daily_users(df.where("ts < '2024-01-02' OR substr(user_name, -1) IN ('1', '2', '3')"), tz="UTC")
     (r,) = summaries.compare_users(days, (_day(0), _day(1)), (_day(1), _day(2))).collect()
     assert abs(r.lapsed - 21_000) < 21_000 * 0.06 and abs(r.retained - 9_000) < 9_000 * 0.1 and r.gained < 400
+
+
+def test_users_of_periods_are_exact_at_any_number(spark):
+    ids = spark.range(60_000).select(F.concat(F.lit("u"), F.col("id") % 30_000).alias("user_name"), (F.col("id") >= 30_000).alias("second"))
+    df = ids.select("user_name", F.lit("a").alias("app_name"), (F.lit(START) + F.make_interval(days=F.col("second").cast("int"))).alias("ts"))
+    nobody = spark.createDataFrame([(None, "a", START), ("u1", "b", START + timedelta(days=1))], "user_name string, app_name string, ts timestamp")
+    days = summaries.user_days(df.where("ts < '2024-01-02' OR substr(user_name, -1) IN ('1', '2', '3')").unionByName(nobody), tz="UTC")
+    got = {r.app_name: tuple(r)[1:] for r in summaries.changed_users(days, (_day(0), _day(1)), (_day(1), _day(2))).collect()}
+    assert got == {"a": (21_000, 9_000, 0, 30_000), "b": (0, 0, 1, 0)}
