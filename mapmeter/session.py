@@ -49,6 +49,10 @@ def persist_table(df: DataFrame, label: str) -> DataFrame:
 
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores on an input of few splits (one small file, a gzip), as parsing costs more than the
-    shuffle. An input with enough splits, the normal case, is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    shuffle. An input with many more splits than cores, the normal case, is left as it is.
+
+    Splits of about the number of cores say little: Spark cuts any file into so many, but a row group of Parquet is
+    read by one task as a whole, and the others get nothing.
+    """
+    wanted = 4 * df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df

@@ -16,7 +16,7 @@ from mapmeter.operators.telemetry import parse_telemetry
 from mapmeter.plans import rollups
 from mapmeter.plans.ingestion import ingest_text
 from mapmeter.schemas import ACCESS_LOG_SCHEMA, OTEL_SCHEMA
-from mapmeter.session import fresh_path, shared_dir
+from mapmeter.session import fresh_path, shared_dir, spread
 from mapmeter.settings import CLF_PATTERN, NETTY_SCOPE, Settings
 from mapmeter.sources.logs import stream_text_logs
 from mapmeter.sources.tables import date_folders, read_access_logs, write_access_logs
@@ -298,6 +298,22 @@ def test_shared_dir_comes_from_the_session(spark):
     assert fresh_path(spark, "x").startswith(shared_dir(spark))
 
 
+def test_one_row_group_is_spread_though_cut_into_splits(spark):
+    path, key = fresh_path(spark, "one"), "spark.sql.files.maxPartitionBytes"
+    spark.range(400_000).select(F.sha1(F.col("id").cast("string")).alias("x")).coalesce(1).write.parquet(path)
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "3m")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        df = spark.read.parquet(path)
+        assert df.rdd.getNumPartitions() >= 4
+        shares = [r[1] for r in spread(df).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set(key, old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sum(shares) == 400_000 and max(shares) < 200_000
+
+
 @pytest.mark.parametrize("size", [0, 1])
 def test_append_of_nothing(spark, size):
     path = fresh_path(spark, "t")
