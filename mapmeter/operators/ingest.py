@@ -13,6 +13,7 @@ from mapmeter.sources.changes import change
 from mapmeter.sources.tables import delete, read_access_logs
 
 KEYS = ("ts", "id")
+FEW_KEYS = 100_000  # repeated keys, some 10 MB, that go to every executor
 
 
 def dedupe_keep_first(
@@ -35,6 +36,21 @@ def dedupe_keep_first(
     )
 
 
+def keep_first_of_repeated(df: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[str | Column] = ("oid",)) -> DataFrame:
+    """:func:`dedupe_keep_first` of a table without null keys that may be read more than once.
+
+    Keys are counted on their own, and only the rows of those found twice or more, normally few, are sorted: a task
+    never sorts all rows of the files it reads.
+    """
+    again = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*keys)
+    many = again.limit(FEW_KEYS + 1).count()
+    if not many:
+        return df
+    again = F.broadcast(again) if many <= FEW_KEYS else again
+    once, repeated = (df.join(again, list(keys), how) for how in ("left_anti", "left_semi"))
+    return once.unionByName(dedupe_keep_first(repeated, keys, order))
+
+
 def find_duplicates(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Keys that occur more than once, in order."""
     return (
@@ -63,7 +79,7 @@ def append_if_absent(
     A row with a NULL key part conflicts with nothing, in the table or in the batch, and is appended each time. Of
     equal keys in the batch the first by ``order`` is kept. The batch is computed once, to a table in the shared
     folder; its dates (one column, a few values) prune the stored table to its own partitions, so a stray old row opens
-    one more day and not all between. De-duplication and anti-join share one shuffle by date and key.
+    one more day and not all between. Keys of the batch are counted first, so only rows with repeated keys are sorted.
 
     The rows show all at once or not at all, and only one writer appends at a time: another one waits up to ``wait``
     seconds for it and fails with ``TableBusy`` then. The hours with new rows are noted for the rollups, as seconds of
@@ -91,7 +107,7 @@ def append_stored(
     with change(spark, path, wait=wait) as asked:
         dates = [r[0] for r in batch.select("ts_date").where("ts_date IS NOT NULL").distinct().collect()]
         present = read_access_logs(spark, path).filter(F.col("ts_date").isin(dates)).select(*full)
-        fresh = absent_rows(dedupe_keep_first(batch.filter(~missing), full, order), present, full)
+        fresh = absent_rows(keep_first_of_repeated(batch.filter(~missing), full, order), present, full)
         fresh = fresh.unionByName(batch.filter(missing)).select(*batch.columns)
         added = asked.add(fresh, "ts_date", ("app_name", "ts"), compression="zstd")
         hours = added.select((F.floor(F.unix_seconds("ts") / 3600) * 3600).alias("h")).where("h IS NOT NULL").distinct()

@@ -8,6 +8,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from mapmeter.operators import ingest
 from mapmeter.operators.ingest import append_if_absent, dedupe_keep_first, find_duplicates
 from mapmeter.operators.lookups import app_name, lookup_app
 from mapmeter.operators.maintenance import drop_before, expire, purge
@@ -314,6 +315,17 @@ def test_one_row_group_is_spread_though_cut_into_splits(spark):
     assert sum(shares) == 400_000 and max(shares) < 200_000
 
 
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_only_rows_of_repeated_keys_are_sorted(spark, monkeypatch, few):
+    monkeypatch.setattr(ingest, "FEW_KEYS", few)
+    rows = [(i, f"i{i}", f"m{n}") for i in range(50) for n in range(3 if i % 10 == 0 else 1)]
+    df = spark.createDataFrame(rows, "ts int, id string, message string")
+    got = ingest.keep_first_of_repeated(df, ("ts", "id"), ("message",)).select("ts", "id", "message")
+    assert sorted(map(tuple, got.collect())) == [(i, f"i{i}", "m0") for i in range(50)]
+    once = ingest.keep_first_of_repeated(df.where("ts % 10 > 0"), ("ts", "id"), ("message",))
+    assert "Window" not in once._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("size", [0, 1])
 def test_append_of_nothing(spark, size):
     path = fresh_path(spark, "t")
