@@ -34,14 +34,18 @@ def has_span(span: Column) -> Column:
 
 
 def both_sides(netty: DataFrame, gateway: DataFrame) -> DataFrame:
-    """All records: ``_span`` and ``_time`` (null where there can be no partner), ``_side`` and the whole ``_record``."""
+    """All records: ``_span`` and ``_time`` (null where there can be no partner), ``_side``, ``_tie`` (an order of equal
+    times) and the ``_record``, without what its side gives up, so that this is neither read nor moved."""
     names = gateway.columns
     types = {f.name: f.dataType for f in gateway.schema}
 
     def side(df: DataFrame, number: int) -> DataFrame:
-        record = F.struct(*[(F.col(c) if c in df.columns else F.lit(None)).cast(types[c]).alias(c) for c in names])
+        all_ = {c: (F.col(c) if c in df.columns else F.lit(None)).cast(types[c]) for c in names}
+        given_up = set((NETTY_DROPS, GATEWAY_DROPS)[number]) - {"timestamp"}  # a lone Netty record keeps its time
+        record = F.struct(*[(F.lit(None).cast(types[c]) if c in given_up else value).alias(c) for c, value in all_.items()])
+        tie = F.hash(all_["message"], all_["scope"]["name"], *[all_[c] for c in ("trace_id",) if c in all_])
         usable = has_span(F.col("span_id")) & F.col("timestamp").isNotNull()
-        return df.select(F.when(usable, F.col("span_id")).alias("_span"), F.col("timestamp").alias("_time"), F.lit(number).alias("_side"), record.alias("_record"))
+        return df.select(F.when(usable, F.col("span_id")).alias("_span"), F.col("timestamp").alias("_time"), F.lit(number).alias("_side"), tie.alias("_tie"), record.alias("_record"))
 
     return side(netty, 0).unionByName(side(gateway, 1))
 
@@ -97,9 +101,7 @@ def reconcile(netty: DataFrame, gateway: DataFrame, expire_ms: int = EXPIRE_MS)
     """One record per access; whatever has no partner is passed on alone, none is lost."""
     both = both_sides(netty, gateway)
     nobody = F.lit(None).cast(both.schema["_record"].dataType)
-    record = F.col("_record")
-    tie = F.hash(record["message"], record["scope"]["name"], *[record[c] for c in ("trace_id",) if c in gateway.columns])
-    timed = both.where("_span IS NOT NULL").withColumn("_tie", tie)
+    timed = both.where("_span IS NOT NULL")
     kept = ["_span", "_time", "_side", "_record", "_tie"]
 
     first = _pair_up(timed, expire_ms * 1000, 0)

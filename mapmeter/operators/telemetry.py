@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mapmeter.functions import urls, values
-from mapmeter.functions.base import last_wins, settle
+from mapmeter.functions.base import last_wins, let, settle
 from mapmeter.operators.apps import BUILT_IN, Processor, with_details
 from mapmeter.operators.lookups import app_name, lookup_app
 from mapmeter.operators.reconcile import has_span
@@ -160,9 +160,13 @@ def merge_message(df: DataFrame, settings: Settings) -> DataFrame:
         F.array(*[F.struct(F.lit(k).alias("key"), v.cast("string").alias("value")) for k, v in told]),
         lambda e: e["value"].isNotNull() & (e["value"] != "") & (F.coalesce(sent[e["key"]], F.lit("")) == ""),
     )
-    names = F.transform(fills, lambda e: e["key"])
-    kept = F.map_filter(sent, lambda k, _: ~F.array_contains(names, k))
-    attributes = F.when(F.size(fills) > 0, F.map_concat(kept, F.map_from_entries(fills))).otherwise(F.col("_record.attributes"))
+
+    def filled(fills: Column) -> Column:
+        kept = F.map_filter(sent, lambda k, _: ~F.exists(fills, lambda e: e["key"] == k))
+        return F.when(F.size(fills) > 0, F.map_concat(kept, F.map_from_entries(fills))).otherwise(F.col("_record.attributes"))
+
+    # bound, as it would otherwise be made again for each attribute of the record
+    attributes = let(fills, filled)
     return parsed.select(*[(attributes if c == "attributes" else F.col(f"_record.{c}")).alias(c) for c in df.columns])
 
 

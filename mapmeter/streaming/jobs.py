@@ -102,7 +102,7 @@ def reconcile_stream(netty: DataFrame, gateway: DataFrame, expire_ms: int = EXPI
     options = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"}
     waiting = (
         both.where("_span IS NOT NULL")
-        .select("_span", "_time", "_side", F.to_json("_record", options).alias("_text"), F.hash(F.col("_record.message"), F.col("_record.scope.name"), F.col("_record.trace_id")).alias("_tie"))
+        .select("_span", "_time", "_side", F.to_json("_record", options).alias("_text"), "_tie")
         .withWatermark("_time", lateness)
         .withColumn("_us", F.unix_micros("_time"))
         .withColumn("_cell", F.floor(F.col("_us") / width))

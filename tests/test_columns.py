@@ -108,6 +108,15 @@ def test_numbers(spark):
     assert [r.f for r in rows] == [1.0, None, 1.9, 99999999999.0, 7.0, None, None, None, None, 1000.0]
 
 
+def test_only_integers_reach_the_cast(spark):
+    """A failing cast costs an error in each row; what it would have read is still read."""
+    texts = ["\x00 5\x1f", "5\x7f", "-2147483648", "2147483648", "+7", "007", "5\n", "--1", "+", "\u0665", "\u00a05", "5 5", "1_0"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.col("t").try_cast("int").alias("cast"), values.int_or_none(F.col("t")).alias("i"))
+    assert all(r.i == r.cast for r in df.collect())
+    plan = df.select("i")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("RLIKE") < plan.index("cast(")
+
+
 def test_response_time(spark):
     df = spark.createDataFrame([("1.32",), ("0.626",), ("0",), ("18",), (None,), ("x",)], "t string")
     rows = df.select(values.response_time_ms(F.col("t"), "s").alias("s"), values.response_time_ms(F.col("t")).alias("ms")).collect()

@@ -13,7 +13,7 @@ from mapmeter.operators.ingest import append_if_absent, dedupe_keep_first, find_
 from mapmeter.operators.lookups import app_name, lookup_app
 from mapmeter.operators.maintenance import drop_before, expire, purge
 from mapmeter.operators.reconcile import reconcile
-from mapmeter.operators.telemetry import parse_telemetry
+from mapmeter.operators.telemetry import merge_message, parse_telemetry
 from mapmeter.plans import rollups
 from mapmeter.plans.ingestion import ingest_text
 from mapmeter.schemas import ACCESS_LOG_SCHEMA, OTEL_SCHEMA
@@ -233,6 +233,15 @@ def test_reconcile_loses_nothing_and_streams_alike(spark):
     assert _pairs(_reconciled_stream(spark, netty, gateway).collect()) == _pairs(batch)
 
 
+def test_what_a_side_gives_up_is_neither_read_nor_moved(spark):
+    path = fresh_path(spark, "netty")
+    _otel(spark, [(0, "s1", "n1"), (9000, "s2", "n2")], NETTY_SCOPE).write.parquet(path)
+    plan = reconcile(spark.read.schema(OTEL_SCHEMA).parquet(path), _otel(spark, [(0, "s1", "g1")], "gw.accesslog"))
+    scans = [line for line in plan._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan parquet" in line]
+    assert scans and all("attributes" not in line and "span_id" in line for line in scans)
+    assert sorted((r.message, r.attributes is None, r.timestamp is None) for r in plan.collect()) == [("n1", False, False), ("n2", True, False)]
+
+
 def test_a_constant_span_spreads_over_all_tasks(spark):
     """An hour of one span, records on the borders of cells among them, and records that differ in their text only."""
     r = random.Random(8)
@@ -389,6 +398,14 @@ def test_telemetry_messages_fill_what_attributes_leave_blank(spark):
     assert r.id and r.id == parse_telemetry(blank, settings).first().id  # without span: a digest of the content
 
 
+def test_fills_from_a_message_are_made_once(spark):
+    """Not again for each attribute of the record, which would run the pattern's groups through as often."""
+    df = _otel(spark, [(0, None, "GET /geoserver/ows")], "x")
+    filled = merge_message(df, Settings(message_pattern=r"^(?P<method>[A-Z]+) (?P<path>\S+)$", parse_message=True))
+    assert filled._jdf.queryExecution().optimizedPlan().toString().count("key, http.request.url") == 1
+    assert filled.first().attributes == {"a": "GET /geoserver/ows", "http.request.method": "GET", "http.request.url": "/geoserver/ows"}
+
+
 def test_drop_before_leaves_other_days_unread(spark):
     path = fresh_path(spark, "t")
     write_access_logs(_facts(spark, 400), path)
