@@ -27,6 +27,8 @@ DATAAPI_DETAILS = ("layers", "request", "is_download", "download_format", "full_
 GRAINS = ("hour", "day", "month")
 # How far back a scheduled refresh of each level looks.
 LOOKBACK = {"hour": "7 days", "day": "21 days", "month": "6 months"}
+# So many tasks write a month, and so many files it has, until it is large enough to be split by size.
+PARTS_OF_MONTH = 8
 
 
 @dataclass(frozen=True)
@@ -67,27 +69,31 @@ def dataapi_quantiles_spec(timezone: str = "Europe/Paris") -> RollupSpec:
     )
 
 
-def _median_rows(rows: DataFrame, keys: list[str], value: str, weight: Column) -> tuple[DataFrame, Column]:
-    """Rank ``value`` within each group and say how its median reads off the ranked rows.
+def _group_medians(rows: DataFrame, keys: list[str], value: str, weight: Column, name: str, **measures: Column) -> DataFrame:
+    """One row per group: ``measures`` (aggregates) and the median of ``value``, NULLs left out.
 
-    ``weight`` tells how often a row's value counts. The window and the aggregation after it share one
-    shuffle, and buffers stay plain numbers, unlike those of ``percentile``, which hold a map per group.
+    ``weight`` tells how often a row's value counts. Each group is the row in which the lower of its two middle places
+    lies (its first one if nothing counts), the upper one lies there or in the next row. So rows are sorted once and not
+    aggregated after that, which costs most where nearly every row is a group of its own. A window of many rows goes to
+    disk, unlike the buffers of ``percentile``, which hold a map per group.
     """
     ordered = W.partitionBy(*keys).orderBy(value)
-    ranked = rows.withColumns(
-        {
-            "_upto": F.sum(weight).over(ordered.rowsBetween(W.unboundedPreceding, W.currentRow)),
-            "_total": F.sum(weight).over(ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)),
-        }
+    whole = ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    ranked = rows.withColumn("_weight", weight).select(
+        *keys,
+        F.col(value).cast("double").alias("_low"),
+        F.lead(value).over(ordered).cast("double").alias("_next"),
+        F.row_number().over(ordered).alias("_row"),
+        F.col("_weight"),
+        F.sum("_weight").over(ordered.rowsBetween(W.unboundedPreceding, W.currentRow)).alias("_upto"),
+        F.sum("_weight").over(whole).alias("_total"),
+        *[measure.over(whole).alias(n) for n, measure in measures.items()],
     )
-    last = F.col("_upto") - 1
-    first = F.col("_upto") - weight
-
-    def at(place: str) -> Column:
-        position = F.expr(place)
-        return F.max(F.when((first <= position) & (position <= last), F.col(value).cast("double")))
-
-    return ranked, (at("(_total - 1) div 2") + at("_total div 2")) / 2
+    first, last = F.col("_upto") - F.col("_weight"), F.col("_upto") - 1
+    low, high = F.expr("(_total - 1) div 2"), F.expr("_total div 2")
+    picked = ranked.filter(F.when(F.col("_total") == 0, F.col("_row") == 1).otherwise((first <= low) & (low <= last)))
+    median = (F.col("_low") + F.when(high <= last, F.col("_low")).otherwise(F.col("_next"))) / 2
+    return picked.select(*keys, F.when(F.col("_total") > 0, median).alias(name), *measures)
 
 
 def exact_medians(df: DataFrame, keys: list[str], value: str, name: str = "median") -> DataFrame:
@@ -97,10 +103,10 @@ def exact_medians(df: DataFrame, keys: list[str], value: str, name: str = "media
     its final task as one row per distinct value.
     """
     counted = df.groupBy(*keys, value).agg(F.count(value).alias("_n"))
-    ranked, median = _median_rows(counted, keys, value, F.col("_n"))
-    return ranked.groupBy(*keys).agg(median.alias(name))
+    return _group_medians(counted, keys, value, F.col("_n"), name)
 
 
+_MEDIAN = ("nb_req", "response_time_median", "response_time_min", "response_time_max")
 _RELATIVE_SUMS = ("nb_req", "rt_sum", "rt_cnt")
 
 
@@ -133,14 +139,11 @@ def facts_rollup(facts: DataFrame, spec: RollupSpec, grain: str = "hour") -> Dat
         return _relative_measures(counted, keys)
     # first by value, so that a hot group is combined map-side and spread over the shuffle
     counted = rows.groupBy(*keys, "_rt").agg(F.count("id").alias("_ids"), F.count("_rt").alias("_n"))
-    ranked, median = _median_rows(counted, keys, "_rt", F.col("_n"))
     number = F.col("_rt").cast("double")
-    return ranked.groupBy(*keys).agg(
-        F.sum("_ids").alias("nb_req"),
-        median.alias("response_time_median"),
-        F.min(number).alias("response_time_min"),
-        F.max(number).alias("response_time_max"),
-    )
+    return _group_medians(
+        counted, keys, "_rt", F.col("_n"), "response_time_median",
+        nb_req=F.sum("_ids"), response_time_min=F.min(number), response_time_max=F.max(number),
+    ).select(*keys, *_MEDIAN)
 
 
 def next_rollup(finer: DataFrame, spec: RollupSpec, grain: str) -> DataFrame:
@@ -160,13 +163,10 @@ def next_rollup(finer: DataFrame, spec: RollupSpec, grain: str) -> DataFrame:
         return _relative_measures(opened.withColumns(once), keys)
     # at most one row per finer bucket reaches a group, which bounds it
     counts = F.when(F.col("response_time_median").isNotNull(), F.lit(1)).otherwise(F.lit(0))
-    ranked, median = _median_rows(rows, keys, "response_time_median", counts)
-    return ranked.groupBy(*keys).agg(
-        F.sum("nb_req").alias("nb_req"),
-        median.alias("response_time_median"),
-        F.min("response_time_min").alias("response_time_min"),
-        F.max("response_time_max").alias("response_time_max"),
-    )
+    return _group_medians(
+        rows, keys, "response_time_median", counts, "response_time_median",
+        nb_req=F.sum("nb_req"), response_time_min=F.min("response_time_min"), response_time_max=F.max("response_time_max"),
+    ).select(*keys, *_MEDIAN)
 
 
 def distinct_times(facts: DataFrame, spec: RollupSpec, grain: str = "hour") -> DataFrame:
@@ -195,11 +195,11 @@ def true_medians(counted: DataFrame, spec: RollupSpec) -> DataFrame:
     """Exact median, minimum and maximum of all accesses of each group, from a level of counts."""
     keys = ["bucket", *spec.dims]
     weight = F.when(F.col("response_time").isNotNull(), F.col("n")).otherwise(F.lit(0))
-    ranked, median = _median_rows(counted, keys, "response_time", weight)
     number = F.col("response_time").cast("double")
-    return ranked.groupBy(*keys).agg(
-        F.sum("nb_req").alias("nb_req"), median.alias("response_time_median"), F.min(number).alias("response_time_min"), F.max(number).alias("response_time_max")
-    )
+    return _group_medians(
+        counted, keys, "response_time", weight, "response_time_median",
+        nb_req=F.sum("nb_req"), response_time_min=F.min(number), response_time_max=F.max(number),
+    ).select(*keys, *_MEDIAN)
 
 
 def all_levels(facts: DataFrame, spec: RollupSpec) -> dict[str, DataFrame]:
@@ -260,7 +260,9 @@ def _replace_partitions(asked: Change, rolled: DataFrame | None, dates: Iterable
     files = data_files(asked.spark, asked.path)
     asked.replace(names, files)
     if rolled is not None:
-        asked.add(rolled.withColumn("bucket_date", _partition(grain, spec.timezone)), "bucket_date")
+        # a month's rows would else meet in one task
+        deal = F.pmod(F.hash(*spec.dims), F.lit(PARTS_OF_MONTH)) if grain == "month" else None
+        asked.add(rolled.withColumn("bucket_date", _partition(grain, spec.timezone)), "bucket_date", deal=deal)
     touched = {f.split("/")[0] for f in asked.goes} | {target.split("/")[0] for _, target in asked.comes}
     asked.note(name.split("=")[1] for name in touched)
     return sorted(touched)

@@ -135,6 +135,43 @@ def test_refresh_equals_full_recompute(spark):
         assert b[grain].exceptAll(a[grain]).count() == 0
 
 
+def test_medians_of_groups_of_every_kind(spark):
+    """Groups without values, of one row, of equal values, of even and odd numbers: one row each, as in the statistics."""
+    r, rows = random.Random(11), []
+    for g in range(60):
+        rows += [(g, r.choice([None, -3, 0, 5, r.randrange(1000)]) if g % 4 else [None, 7][g % 8 // 4]) for _ in range(1 + g % 9)]
+    values = {}
+    for g, x in [*rows, *[(None, x) for x in (4, None, 9)]]:
+        values.setdefault(g, []).append(x)
+    df = spark.createDataFrame([(g, x) for g, xs in values.items() for x in xs], "g int, x int").repartition(5)
+    want = {g: statistics.median(v) if (v := [x for x in xs if x is not None]) else None for g, xs in values.items()}
+    got = rollups.exact_medians(df, ["g"], "x").collect()
+    assert len(got) == len(want) and {row.g: row["median"] for row in got} == want
+
+
+def test_ranked_rows_are_not_aggregated_again(spark):
+    """The sorted rows give a group's row; hashing all keys of every row after that took a third of a level's time."""
+    spec = rollups.ogc_spec("Europe/Paris")
+    path = fresh_path(spark, "hour")
+    rollups.facts_rollup(_facts(spark), spec).write.parquet(path)
+    plan = rollups.next_rollup(rollups.read_rollup(spark, path), spec, "day")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") == 1 and plan.count("Exchange") == 1
+    assert "Aggregate" not in plan
+
+
+def test_a_month_is_written_by_several_tasks(spark):
+    spec, folder, name = rollups.ogc_spec("UTC"), fresh_path(spark, "r"), "spark.sql.adaptive.coalescePartitions.enabled"
+    df = _facts(spark).withColumn("user_name", F.concat(F.lit("u"), "id"))
+    spark.conf.set(name, "false")  # as for months too large to be pooled
+    try:
+        levels = rollups.refresh_levels(spark, df.filter("ts < '2024-02-01'"), folder, spec, "2024-01-01", "2024-02-01")
+    finally:
+        spark.conf.unset(name)
+    counts = [r[1] for r in levels["month"].groupBy(F.input_file_name()).count().collect()]
+    assert len(counts) > 1 and max(counts) < 0.8 * sum(counts)
+    assert levels["month"].count() == sum(counts) == df.filter("ts < '2024-02-01'").count()
+
+
 def test_refresh_leaves_days_older_than_the_source(spark):
     spec, df, path = rollups.ogc_spec("UTC"), _facts(spark), fresh_path(spark, "r") + "/day"
     hour = rollups.facts_rollup(df, spec)
