@@ -12,7 +12,7 @@ from mapmeter.operators import ingest, layers, maintenance
 from mapmeter.operators.text import parse_text_logs
 from mapmeter.plans import reports, rollups, summaries
 from mapmeter.schemas import ACCESS_LOG_SCHEMA, OTEL_SCHEMA
-from mapmeter.session import fresh_path
+from mapmeter.session import fresh_path, state_on_disk
 from mapmeter.sources import logs, tables
 from mapmeter.streaming import jobs
 
@@ -595,7 +595,8 @@ def reconcile_stream(spark, sf):
         last = side.limit(1).withColumns({"timestamp": F.lit("2030-01-01").cast("timestamp"), "span_id": F.lit("end")})
         files = _fact_files(spark, side.unionByName(last))
         sides.append(spark.readStream.schema(OTEL_SCHEMA).parquet(files))
-    out = _collected(jobs.reconcile_stream(*sides), spark)
+    with state_on_disk(spark):
+        out = _collected(jobs.reconcile_stream(*sides), spark)
     return _reconciled(out.filter("span_id IS NULL OR span_id <> 'end'"))
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import json
+import pickle
 from collections import defaultdict
 from collections.abc import Callable, Iterator, Sequence
+from itertools import repeat
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -81,18 +83,62 @@ def ingest_stream(
     )
 
 
-LOTS, STRETCH = 32, 2048  # a state holds one of so many lots of the moved cells in so many cells' time
+# A state holds one of so many lots of the blocks, of so many cells each, in so many blocks' time. Of a dense one, about so
+# many bytes are unpacked at once, and so many rows given out.
+LOTS, BLOCK, STRETCH, TURN, ROWS = 32, 16, 1024, 64 << 20, 10_000
+
+
+def _packed(rows: list[tuple], expire_us: int) -> tuple[int, int, bytes]:
+    """Records of a state, after the first cell that one of them waits for."""
+    text = pickle.dumps(rows)
+    return min(r[3] + r[2] * expire_us for r in rows) // (2 * expire_us), len(text), pa.compress(text, codec="zstd", asbytes=True)
+
+
+def _unpacked(_: int, size: int, held: bytes) -> list[tuple]:
+    return pickle.loads(pa.decompress(held, size, codec="zstd", asbytes=True))
+
+
+def _settled(rows: list[tuple], passed: int, expire_us: int) -> tuple[list[tuple], list[tuple]]:
+    """What comes to an end as all cells before ``passed`` are whole, as (earlier, later or None) of (time, side, tie, text);
+    and the other records. ``rows`` are (block, span, left over of their cell, time, side, tie, text)."""
+    width = 2 * expire_us
+    cells, across, out, waits = defaultdict(list), defaultdict(list), [], []
+    for r in rows:
+        cell = r[3] // width
+        (cells[r[0], r[1], cell] if cell < passed else waits).append(r)
+    for (block, span, cell), of_cell in cells.items():
+        alone = [r[3:] for r in of_cell]
+        if not of_cell[0][2]:
+            # by text at last: both blocks that hold a record must see the same order
+            pairs, alone = pair_in_order(sorted(alone), expire_us)
+            out += pairs if cell // BLOCK == block else []
+        for r in alone:
+            moved = (r[0] + expire_us) // width
+            if moved // BLOCK != block:
+                continue
+            if moved < passed:
+                across[block, span, moved].append(r)
+            else:
+                waits.append((block, span, True, *r))
+    for of_moved in across.values():
+        pairs, alone = pair_in_order(sorted(of_moved), expire_us)
+        out += pairs + [(r, None) for r in alone]
+    return out, waits
 
 
 def reconcile_stream(netty: DataFrame, gateway: DataFrame, expire_ms: int = EXPIRE_MS, lateness: str = "10 seconds") -> DataFrame:
     """The merge of :func:`mapmeter.operators.reconcile.reconcile`, as a stream.
 
-    What a moved cell comes to hangs on the records of the two cells it lies across and on nothing else. So each record
-    goes to the two moved cells that touch its own. Moved cells of spans are dealt to lots by span *and* cell, so a
-    constant span spreads over all tasks; a state with its timer is a lot's stretch of time, as a call of Python for each
-    span would cost far more than its records. A moved cell is settled, and leaves the state, once the watermark has
-    passed both cells: it emits the pairs of the later one, and what is left of both and lies in itself. Records without
-    span or time go around.
+    What a moved cell comes to hangs on the records of the two cells it lies across and on nothing else. Moved cells come
+    in blocks, and a record goes to the block of the two that touch its own cell, or at a border to both blocks. Blocks of
+    spans are dealt to lots by span *and* block, so a constant span spreads over all tasks; a state with its timer is a
+    lot's stretch of time, as a call of Python for each span would cost far more than its records. Once the watermark has
+    passed a cell, its pairs are emitted, and what is left of it and of the cell before and lies in the moved cell between
+    them; what lies behind its middle waits for the next cell. Records without span or time go around.
+
+    A state holds its records compressed, and a dense one is settled by some of its blocks after the other, so that it is
+    never unpacked as a whole. States lie in the memory of the executors, unless the stream is started within
+    :func:`mapmeter.session.state_on_disk`.
     """
     names, expire_us = gateway.columns, expire_ms * 1000
     width = 2 * expire_us
@@ -100,44 +146,48 @@ def reconcile_stream(netty: DataFrame, gateway: DataFrame, expire_ms: int = EXPI
     kind = both.schema["_record"].dataType
     # records travel as text; times keep their microseconds
     options = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"}
+    cell = F.floor(F.col("_us") / width)
+    lot = F.pmod(F.hash("_span", "_block"), F.lit(LOTS))
     waiting = (
         both.where("_span IS NOT NULL")
         .select("_span", "_time", "_side", F.to_json("_record", options).alias("_text"), "_tie")
         .withWatermark("_time", lateness)
         .withColumn("_us", F.unix_micros("_time"))
-        .withColumn("_cell", F.floor(F.col("_us") / width))
-        .withColumn("_moved", F.explode(F.array(F.col("_cell"), F.col("_cell") + 1)))
-        .withColumns({"_lot": F.pmod(F.hash("_span", "_moved"), F.lit(LOTS)), "_stretch": F.floor(F.col("_moved") / STRETCH)})
+        .withColumn("_block", F.explode(F.array_distinct(F.array(F.floor(cell / BLOCK), F.floor((cell + 1) / BLOCK)))))
+        .withColumn("_state", F.floor(F.col("_block") / STRETCH) * LOTS + lot)
     )
 
     def settle(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = json.loads(state.get[0]) if state.exists else []
+        held = pickle.loads(state.get[0]) if state.exists else []
         for frame in frames:
-            held += zip(*(frame[c].tolist() for c in ("_span", "_moved", "_us", "_side", "_tie", "_text")), strict=True)
-        passed = state.getCurrentWatermarkMs() * 1000
-        waits = [r for r in held if (r[1] + 1) * width > passed]
-        if waits:
-            state.update((json.dumps(waits),))
-            state.setTimeoutTimestamp(-(-(min(r[1] for r in waits) + 1) * width // 1000))
+            block, span, *record = (frame[c].tolist() for c in ("_block", "_span", "_us", "_side", "_tie", "_text"))
+            if block:
+                held.append(_packed(list(zip(block, span, repeat(False), *record)), expire_us))
+        passed = state.getCurrentWatermarkMs() * 1000 // width  # cells before this one are whole
+        texts = []
+        if held and min(due for due, *_ in held) < passed:
+            chunks, held = held, []
+            turns = 1 + sum(size for _, size, _ in chunks) // TURN
+            for turn in range(turns):
+                pairs, waits = _settled([r for c in chunks for r in _unpacked(*c) if r[0] % turns == turn], passed, expire_us)
+                held += [_packed(waits, expire_us)] if waits else []
+                texts += [(a[3], b and b[3]) if a[1] == 0 else (b and b[3], a[3]) for a, b in pairs]
+                if len(texts) >= ROWS:
+                    yield pd.DataFrame(texts, columns=["n", "g"], dtype=object)
+                    texts = []
+        if held:
+            kept = pickle.dumps(held)
+            state.update((kept,))
+            state.setTimeoutTimestamp(-(-(min(due for due, *_ in held) + 1) * width // 1000))
+            # Python gives states back with so many rows, and else keeps all states of a task: an empty row for each KB
+            texts += [(None, None)] * (1 + len(kept) // 1000)
         elif state.exists:
             state.remove()
-        ripe = defaultdict(list)
-        for span, moved, *record in held:
-            if (moved + 1) * width <= passed:
-                ripe[span, moved].append(tuple(record))
-        out = []
-        for (_, moved), rows in ripe.items():
-            rows.sort()  # by text at last: both moved cells that hold a record must see the same order
-            _, before = pair_in_order([r for r in rows if r[0] // width < moved], expire_us)
-            pairs, after = pair_in_order([r for r in rows if r[0] // width == moved], expire_us)
-            across, alone = pair_in_order([r for r in before + after if (r[0] + expire_us) // width == moved], expire_us)
-            out += [(a[3], b[3]) if a[1] == 0 else (b[3], a[3]) for a, b in pairs + across]
-            out += [(r[3], None) if r[1] == 0 else (None, r[3]) for r in alone]
-        if out:
-            yield pd.DataFrame(out, columns=["n", "g"], dtype=object)
-
-    paired = waiting.groupBy("_lot", "_stretch").applyInPandasWithState(settle, "n string, g string", "held string", "append", GroupStateTimeout.EventTimeTimeout)
-    pairs = paired.select(*[F.from_json(c, kind, options).alias(f"_{c}") for c in ("n", "g")])
+        if texts:
+            yield pd.DataFrame(texts, columns=["n", "g"], dtype=object)
+
+    paired = waiting.groupBy("_state").applyInPandasWithState(settle, "n string, g string", "held binary", "append", GroupStateTimeout.EventTimeTimeout)
+    pairs = paired.where("n IS NOT NULL OR g IS NOT NULL").select(*[F.from_json(c, kind, options).alias(f"_{c}") for c in ("n", "g")])
     nobody = F.lit(None).cast(kind)
     netty_side = F.col("_side") == 0
     alone = both.where("_span IS NULL").select(

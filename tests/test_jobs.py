@@ -3,6 +3,7 @@
 import random
 import statistics
 from collections import Counter
+from contextlib import nullcontext
 from datetime import datetime, timedelta
 
 import pytest
@@ -17,7 +18,7 @@ from mapmeter.operators.telemetry import merge_message, parse_telemetry
 from mapmeter.plans import rollups
 from mapmeter.plans.ingestion import ingest_text
 from mapmeter.schemas import ACCESS_LOG_SCHEMA, OTEL_SCHEMA
-from mapmeter.session import fresh_path, shared_dir, spread
+from mapmeter.session import fresh_path, shared_dir, spread, state_on_disk
 from mapmeter.settings import CLF_PATTERN, NETTY_SCOPE, Settings
 from mapmeter.sources.logs import stream_text_logs
 from mapmeter.sources.tables import date_folders, read_access_logs, write_access_logs
@@ -306,6 +307,69 @@ def test_sparse_spans_share_their_state(spark):
     assert 0 < max(s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]) < 300
 
 
+def test_a_stream_of_many_batches_equals_batch(spark, monkeypatch):
+    """Time goes on by a second or two a micro-batch, so cells are settled one by one, and records on their borders wait;
+    states are unpacked in several turns."""
+    monkeypatch.setattr(jobs, "TURN", 500)
+    monkeypatch.setattr(jobs, "ROWS", 5)
+    r = random.Random(3)
+    paths = [fresh_path(spark, "in") for _ in range(2)]
+    whole = [[], []]
+    for step in range(24):
+        for side, path in enumerate(paths):
+            rows = [(1_500 * step + 250 * r.randrange(6), r.choice(["hot", f"s{r.randrange(4)}"]), f"{side}-{step}-{i}") for i in range(12)]
+            rows += [(40_000, f"end{side}", "end")] if step == 23 else []
+            whole[side] += rows
+            _otel(spark, rows, (NETTY_SCOPE, "gw.accesslog")[side]).coalesce(1).write.mode("append").parquet(path)
+    streams = [spark.readStream.schema(OTEL_SCHEMA).option("maxFilesPerTrigger", 1).parquet(p) for p in paths]
+    out, merged = fresh_path(spark, "out"), jobs.reconcile_stream(*streams, lateness="2 seconds")
+    with state_on_disk(spark):
+        query = merged.writeStream.format("parquet").option("path", out).option("checkpointLocation", fresh_path(spark, "c")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    batch = reconcile(*[_otel(spark, rows, scope) for rows, scope in zip(whole, (NETTY_SCOPE, "gw.accesslog"))])
+    kept = "span_id NOT LIKE 'end%'"
+    key = lambda x: (x.timestamp, x.message or "", (x.attributes or {}).get("a", ""))
+    assert sorted(map(key, spark.read.schema(merged.schema).parquet(out).filter(kept).collect())) == sorted(map(key, batch.filter(kept).collect()))
+    assert sum(p["numInputRows"] > 0 for p in query.recentProgress) == 24
+
+
+def test_the_state_of_a_backlog_is_small_and_may_lie_on_disk(spark):
+    """4,000 records of a KB: a state holds them compressed and, but for borders, once; in RocksDB if asked to."""
+    words = "GET /geoserver/ws/ows?service=WMS&layers=" * 24
+    sides = [_otel(spark, [(2_000 * i + ms, f"s{i}", f"{words}{i}") for i in range(2_000)], scope) for ms, scope in ((200, NETTY_SCOPE), (0, "gw.accesslog"))]
+    paths = [fresh_path(spark, "in") for _ in sides]
+    for df, path in zip(sides, paths):
+        df.write.parquet(path)
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    for store in (nullcontext(), state_on_disk(spark)):
+        merged = jobs.reconcile_stream(*[spark.readStream.schema(OTEL_SCHEMA).parquet(p) for p in paths])
+        with store:
+            query = merged.writeStream.format("noop").option("checkpointLocation", fresh_path(spark, "c")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        assert spark.conf.get(key) == before
+        first = query.recentProgress[0]["stateOperators"][0]
+        on_disk = any("rocksdb" in k for k in first["customMetrics"])
+        assert on_disk == (type(store) is not nullcontext)
+        assert on_disk or first["memoryUsedBytes"] < 1_000_000
+        assert first["numRowsTotal"] > 0
+
+
+def test_cells_settled_one_by_one_or_at_once():
+    """However records are dealt to calls, what comes out is the same, each record once."""
+    r = random.Random(4)
+    # block, span, left over, time, side, tie, text; cells of a second, all in block 0
+    rows = [(0, r.choice("ab"), False, r.randrange(0, 15_000_000, 250_000), r.randrange(2), i, str(i)) for i in range(120)]
+    whole, waits = jobs._settled(rows, 16, 500_000)
+    steps, held = [], []
+    for passed in range(17):
+        held += [x for x in rows if x[3] // 1_000_000 == passed - 1]
+        out, later = jobs._settled(held, passed, 500_000)
+        steps, held = steps + out, later
+    assert sorted(map(str, steps)) == sorted(map(str, whole))
+    assert len({x[3] for pair in whole for x in pair if x}) == sum(x is not None for pair in whole for x in pair) == 120 - len(waits)
+
+
 def test_stream_equals_batch_and_replays_safely(spark):
     line = '10.0.0.{i} - u{i}|o|R [18/Oct/2023:17:{m:02d}:10 +0000] "GET /geoserver/sf/wms?service=WMS&layers=l{i} HTTP/1.1" 200 {i}'
     source = fresh_path(spark, "in")
